@@ -9,12 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..cluster import cut_lineage
+from ..cluster import cut_lineage, fits
 from ..functions import kda_ratio, ratio_pct
 from .ranking import rank_by_score, rank_top, top_k, top_n_per_key
-from .skew import SEGMENT, HotGroup, add_offsets, add_segment, hot_groups, is_hot, position_in_group, skew_join
+from .skew import HOT_ROWS, SEGMENT, HotGroup, add_offsets, add_segment, hot_groups, is_hot, position_in_group, skew_join
 
 MAX_LEADERBOARD = 500  # fixed value: the largest leaderboard that may be asked for
+FEW_GROUPS = 200_000
 _REPEAT_STEP = 10_000
 
 
@@ -148,7 +149,7 @@ def leaderboard(players: DataFrame, limit: int = 100, kind: str = "rank") -> Dat
 def enrich_ranked(ranked: DataFrame, metadata: DataFrame) -> DataFrame:
     """Add user name and country to ranked ids; an id without metadata is shown as ``unknown``."""
     named = metadata.select(F.col("id").cast("string").alias("player_id"), "username", "country")
-    joined = skew_join(ranked, named, ["player_id"], "left")
+    joined = ranked.join(named, "player_id", "left")  # one row per id on both sides
     return joined.select(
         "rank", "player_id", F.coalesce("username", F.lit("unknown")).alias("username"), "elo_rating", "country"
     )
@@ -157,7 +158,7 @@ def enrich_ranked(ranked: DataFrame, metadata: DataFrame) -> DataFrame:
 def lookup(df: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
     """Rows whose key is in a set of ids (a batch of point lookups)."""
     wanted = ids.select(F.col(ids.columns[0]).alias(key)).distinct()
-    return skew_join(df, wanted, [key], "left_semi", hot=[])
+    return df.join(wanted, key, "left_semi")  # one row per key on both sides
 
 
 def win_flags(matches: DataFrame) -> DataFrame:
@@ -188,50 +189,38 @@ def win_history(matches: DataFrame, block: int = 10_000, hot: Sequence[HotGroup]
     )
 
 
-def team_summary(matches: DataFrame, hot: Sequence[HotGroup] | None = None) -> DataFrame:
-    """Matches, wins, losses and current streak per (tournament, first team), in one shuffle of matches.
+def team_summary(matches: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
+    """Matches, wins, losses and current streak per (tournament, first team).
 
-    The streak counts from the latest match, by (played_at, id), back to the last one not won. A hot
-    group is counted in time pieces, and the pieces are then read from the latest until one contains a
-    match not won.
+    The streak is the number of matches won after the last one not won, by (played_at, id). So a first
+    aggregate finds that match per group, and a second counts the wins after it: no window and no sort
+    of all matches of a team. The groups are written once and broadcast to the matches if few.
     """
     keys = ["tournament_id", "team_a_id"]
-    hot = hot_groups(matches, keys) if hot is None else hot
     won = F.col("team_a_id") == F.col("winner_id")
-    cut = add_segment(matches.select(*keys, "played_at", "id", won.alias("won")), keys, "played_at", hot)
-    back = W.partitionBy(*keys, SEGMENT).orderBy(F.desc_nulls_last("played_at"), F.desc("id"))
-    not_won = ~F.coalesce("won", F.lit(False))
-    pieces = (
-        cut.withColumn("rn", F.row_number().over(back))
-        .groupBy(*keys, SEGMENT)
-        .agg(
+    moment = F.struct("played_at", "id")
+    groups = cut_lineage(
+        matches.groupBy(*keys).agg(
             F.count(F.lit(1)).alias("total_matches"),
-            F.count_if("won").alias("wins"),
-            F.count_if(~F.col("won")).alias("losses"),
-            F.min(F.when(not_won, F.col("rn"))).cast("long").alias("stop"),
+            F.count_if(won).alias("wins"),
+            F.count_if(~won).alias("losses"),
+            F.max(F.when(~F.coalesce(won, F.lit(False)), moment)).alias("stop"),
         )
-        .withColumn("run", F.coalesce(F.col("stop") - 1, F.col("total_matches")))
     )
-    counts = ["total_matches", "wins", "losses"]
-    if not hot:
-        return pieces.select(*keys, *counts, F.col("run").alias("current_streak"))
-    # one entry per time piece of the group
-    latest_first = F.sort_array(F.collect_list(F.struct(SEGMENT, "run", F.col("stop").isNull().alias("open"))), False)
-    streak = F.aggregate(
-        latest_first,
-        F.struct(F.lit(0).cast("long").alias("run"), F.lit(True).alias("open")),
-        lambda acc, piece: F.struct(
-            F.when(acc["open"], acc["run"] + piece["run"]).otherwise(acc["run"]).alias("run"),
-            (acc["open"] & piece["open"]).alias("open"),
-        ),
-        lambda acc: acc["run"],
+    wins = matches.filter(won).select(*keys, moment.alias("moment"))
+    stops = groups.filter(F.col("stop").isNotNull()).select(*keys, "stop")
+    few = fits(groups, FEW_GROUPS)
+    compared = wins.join(F.broadcast(stops), keys) if few else skew_join(wins, stops, keys, min_rows=min_rows)
+    runs = compared.filter("moment > stop").groupBy(*keys).agg(F.count(F.lit(1)).alias("run"))
+    streak = F.when(F.col("stop").isNull(), F.col("total_matches")).otherwise(F.coalesce("run", F.lit(0)))
+    return groups.join(runs, keys, "left").select(
+        *keys, "total_matches", "wins", "losses", streak.cast("long").alias("current_streak")
     )
-    return pieces.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counts], streak.alias("current_streak"))
 
 
-def current_streak(matches: DataFrame, hot: Sequence[HotGroup] | None = None) -> DataFrame:
+def current_streak(matches: DataFrame) -> DataFrame:
     """Matches won in a row up to now per (tournament, first team)."""
-    return team_summary(matches, hot).select("tournament_id", "team_a_id", "current_streak")
+    return team_summary(matches).select("tournament_id", "team_a_id", "current_streak")
 
 
 def team_counters(matches: DataFrame) -> DataFrame:

@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import draw_item
 from .ranking import first_per_key
-from .skew import hot_groups, position_in_group
+from .skew import previous_in_group
 from .skew import skew_join
 
 
+def _json(row: Column) -> Column:
+    return F.to_json(row, {"ignoreNullFields": "false"})
+
+
 def audit_diff(before: DataFrame, after: DataFrame, key: str, table_name: str, as_of: str) -> DataFrame:
     """Audit rows between two states of a table: INSERT, UPDATE and DELETE with old and new row as JSON.
 
@@ -31,8 +35,8 @@ def audit_diff(before: DataFrame, after: DataFrame, key: str, table_name: str, a
         F.coalesce("__new_key", "__old_key").alias("row_key"),
         F.lit(table_name).alias("table_name"),
         operation.alias("operation"),
-        F.to_json("old", {"ignoreNullFields": "false"}).alias("old_data"),
-        F.to_json("new", {"ignoreNullFields": "false"}).alias("new_data"),
+        _json(F.col("old")).alias("old_data"),
+        _json(F.col("new")).alias("new_data"),
         F.lit(as_of).cast("timestamp_ntz").alias("changed_at"),
     )
 
@@ -99,27 +103,20 @@ def changelog_compact(log: DataFrame, key: str, version: str) -> DataFrame:
 
 
 def audit_feed(changes: DataFrame, key: str, version: str, columns: Sequence[str], table_name: str) -> DataFrame:
-    """Audit rows of a change feed: old row from the feed's previous change of the key.
+    """Audit rows of a change feed: the old row is the key's previous change in the feed.
 
-    INSERT shows the new row only, DELETE the old one only, UPDATE both. Versions of a key are numbered
-    in pieces when the key is hot, and each change is joined to the one before it.
+    INSERT shows the new row only, DELETE the old one only, UPDATE both.
     """
-    hot = hot_groups(changes, [key])
-    numbered = position_in_group(changes, [key], [version], "__n", hot)
-    row = F.struct(key, *columns)
-    now = numbered.select(
-        F.col(key).alias("row_key"), version, "operation", "changed_at", "__n", row.alias("new")
+    rows = changes.select(
+        F.col(key).alias("row_key"), version, "operation", "changed_at", _json(F.struct(key, *columns)).alias("new")
     )
-    previous = numbered.select(F.col(key).alias("row_key"), (F.col("__n") + 1).alias("__n"), row.alias("old"))
-    # (key, number) is unique, so a hot key spreads over all tasks
-    pairs = now.join(previous, ["row_key", "__n"], "left")
-    as_json = {"ignoreNullFields": "false"}
+    pairs = previous_in_group(rows, ["row_key"], version, "new", "old")
     return pairs.select(
         "row_key",
-        F.col(version),
+        version,
         F.lit(table_name).alias("table_name"),
         "operation",
-        F.when(F.col("operation") != "INSERT", F.to_json("old", as_json)).alias("old_data"),
-        F.when(F.col("operation") != "DELETE", F.to_json("new", as_json)).alias("new_data"),
+        F.when(F.col("operation") != "INSERT", F.col("old")).alias("old_data"),
+        F.when(F.col("operation") != "DELETE", F.col("new")).alias("new_data"),
         "changed_at",
     )

@@ -80,9 +80,9 @@ def team_paths(edges: DataFrame, max_level: int = 3) -> DataFrame:
 def team_reach(edges: DataFrame, max_level: int = 8) -> DataFrame:
     """Fewest steps from each team to every other team it can reach within ``max_level`` steps."""
     step = cut_lineage(_distinct_edges(edges).filter("src <> dst"))
-    frontier = step.select(F.col("src").alias("team_id"), F.col("dst").alias("reached_id"))
-    reached = cut_lineage(frontier.withColumn("hops", F.lit(1)))
-    frontier = reached
+    reached = frontier = step.select(
+        F.col("src").alias("team_id"), F.col("dst").alias("reached_id"), F.lit(1).alias("hops")
+    )
     for hops in range(2, max_level + 1):
         further = (
             frontier.select("team_id", F.col("reached_id").alias("src"))
@@ -96,5 +96,5 @@ def team_reach(edges: DataFrame, max_level: int = 8) -> DataFrame:
         )
         if frontier.isEmpty():
             break
-        reached = cut_lineage(reached.unionByName(frontier))
+        reached = reached.unionByName(frontier)
     return reached

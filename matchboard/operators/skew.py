@@ -60,29 +60,44 @@ def is_hot(keys: Sequence[str], hot: Sequence[HotGroup]) -> Column:
     return match
 
 
-def skew_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    keys: Sequence[str],
-    how: str = "inner",
-    hot: Sequence[HotGroup] | None = None,
-) -> DataFrame:
-    """Join each fact to its lookup row; hot keys are spread over ``SALTS`` tasks.
+@dataclass(frozen=True)
+class Lookup:
+    """One side of ``skew_joins``: a frame with one row per key."""
+
+    frame: DataFrame
+    keys: tuple[str, ...]
+    how: str = "inner"
 
-    Spark broadcasts the lookup side by itself when its measured size allows. Beyond that both sides
-    shuffle; then facts of hot keys get a salt and the few lookup rows of those keys are repeated once
-    per salt. ``facts`` should come from a scan, whose row order repeats when a task is retried.
+
+def skew_joins(facts: DataFrame, lookups: Sequence[Lookup], min_rows: int = HOT_ROWS) -> DataFrame:
+    """Join each fact to its row in every lookup; hot keys are spread over ``SALTS`` tasks.
+
+    Spark broadcasts a lookup by itself when its size allows. Beyond that both sides shuffle; then facts
+    of hot keys carry a salt, and the few lookup rows of those keys are repeated once per salt. Salts
+    count rows of the scan, before any shuffle, so a retried task deals them out the same way; facts
+    must therefore come straight from a scan or a written table.
     """
-    keys = list(keys)
-    hot = hot_groups(facts, keys) if hot is None else hot
-    if not hot:
-        return facts.join(lookup, keys, how)
-    spread = is_hot(keys, hot)
-    salted = facts.withColumn(
-        _SALT, F.when(spread, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))).otherwise(0).cast("int")
-    )
-    copies = F.when(spread, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    return salted.join(lookup.withColumn(_SALT, F.explode(copies)), [*keys, _SALT], how).drop(_SALT)
+    hot = [hot_groups(facts, lookup.keys, min_rows) for lookup in lookups]
+    spread = [is_hot(lookup.keys, groups) for lookup, groups in zip(lookups, hot)]
+    turn = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    salts = {
+        f"{_SALT}{i}": F.when(spread[i], turn).otherwise(0) for i, groups in enumerate(hot) if groups
+    }
+    joined = facts.withColumns(salts) if salts else facts
+    for i, lookup in enumerate(lookups):
+        frame, keys = lookup.frame, list(lookup.keys)
+        if hot[i]:
+            copies = F.when(spread[i], F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+            frame, keys = frame.withColumn(f"{_SALT}{i}", F.explode(copies)), [*keys, f"{_SALT}{i}"]
+        joined = joined.join(frame, keys, lookup.how)
+    return joined.drop(*salts)
+
+
+def skew_join(
+    facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "inner", min_rows: int = HOT_ROWS
+) -> DataFrame:
+    """``skew_joins`` with one lookup."""
+    return skew_joins(facts, [Lookup(lookup, tuple(keys), how)], min_rows)
 
 
 def order_number(df: DataFrame, column: str) -> Column:
@@ -170,3 +185,31 @@ def position_in_group(
     counted = add_offsets(cut, keys, {"__before": F.count(F.lit(1))}, hot)
     local = F.row_number().over(W.partitionBy(*keys, SEGMENT).orderBy(*[F.asc_nulls_last(c) for c in order]))
     return counted.withColumn(name, (local + F.col("__before")).cast("long")).drop("__before", SEGMENT)
+
+
+def previous_in_group(
+    df: DataFrame, keys: Sequence[str], order: str, value: str, name: str, hot: Sequence[HotGroup] | None = None
+) -> DataFrame:
+    """Add the ``value`` of the row before, by ascending ``order``, in the same group.
+
+    In a hot group the first row of a piece takes the last value of the nearest earlier piece.
+    """
+    keys = list(keys)
+    hot = hot_groups(df, keys) if hot is None else hot
+    cut = add_segment(df, keys, order, hot)
+    within = W.partitionBy(*keys, SEGMENT).orderBy(F.asc_nulls_last(order))
+    lagged = cut.withColumn(name, F.lag(value).over(within))
+    if not hot:
+        return lagged.drop(SEGMENT)
+    lagged = lagged.withColumn("__first", F.row_number().over(within) == 1)
+    last = cut.filter(is_hot(keys, hot)).groupBy(*keys, SEGMENT).agg(F.max_by(value, order).alias("__last"))
+    pieces = W.partitionBy(*keys).orderBy(SEGMENT)
+    carried = last.select(  # at most MAX_SEGMENTS rows and one per hot group
+        *[F.col(k).alias(f"__{k}") for k in [*keys, SEGMENT]], F.lag("__last").over(pieces).alias("__carried")
+    )
+    joined = lagged.alias("l").join(
+        F.broadcast(carried), [F.col(f"l.{k}").eqNullSafe(F.col(f"__{k}")) for k in [*keys, SEGMENT]], "left"
+    )
+    return joined.select(
+        *df.columns, F.when(F.col("__first"), F.col("__carried")).otherwise(F.col(name)).alias(name)
+    )

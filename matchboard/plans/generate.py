@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..cluster import broadcast_if_small
 from ..functions import draw, draw_item
 from ..operators.analytics import at
 from ..operators.ranking import bucket_assign, zip_join, zip_with_index
@@ -124,9 +125,9 @@ def gen_rosters(players: DataFrame, teams: DataFrame) -> DataFrame:
 
 
 def _by_position(df: DataFrame, name: str) -> DataFrame:
-    """Ids with their position from 0, to be drawn by number."""
+    """Ids with their position from 0, to be drawn by number; broadcast if few."""
     ids = df.select(F.col("id").alias(name))
-    return zip_with_index(ids, [F.asc(name)], f"{name}_at", start=0)
+    return broadcast_if_small(zip_with_index(ids, [F.asc(name)], f"{name}_at", start=0))
 
 
 def gen_matches(

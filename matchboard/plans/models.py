@@ -13,7 +13,7 @@ from ..cluster import cut_lineage
 from ..functions import kda, ratio_pct
 from ..operators.analytics import team_summary
 from ..operators.ranking import rank_by_score
-from ..operators.skew import skew_join
+from ..operators.skew import Lookup, skew_join, skew_joins
 
 MIN_CAREER_MATCHES = 3  # fixed value: fewer matches give no career row
 
@@ -57,7 +57,7 @@ def int_player_match_summary(tables) -> DataFrame:
     stats = stg_player_stats(tables)
     matches = stg_matches(tables).select("match_id", "tournament_id", "played_at")
     players = stg_players(tables).select(F.col("id").alias("player_id"), "username", "country", "elo_rating")
-    joined = skew_join(skew_join(stats, matches, ["match_id"]), players, ["player_id"])
+    joined = skew_joins(stats, [Lookup(matches, ("match_id",)), Lookup(players, ("player_id",))])
     return joined.select(
         "stat_id",
         "match_id",
