@@ -99,6 +99,8 @@ def retention(spark: SparkSession, path: str, as_of: str, days: int = 90, dry_ru
     if not dry_run and days < 1:
         raise ValueError("keep at least one day")
     files = lake_files(spark, path).withColumn("folder", F.expr("left(path, length(path) - instr(reverse(path), '/'))"))
+    if not dry_run:
+        files = cut_lineage(files)  # one listing, taken before anything goes; the report outlives the files
     cutoff = F.lit(as_of).cast("timestamp") - F.make_dt_interval(F.lit(days))
     expired = F.col("modificationTime") < cutoff
     folders = files.groupBy("folder").agg(
@@ -109,7 +111,6 @@ def retention(spark: SparkSession, path: str, as_of: str, days: int = 90, dry_ru
     found = folders.filter(F.col("n_files") > 0)
     if dry_run:
         return found
-    found = cut_lineage(found)  # the report must outlive the files it lists
     whole = found.filter("whole").select(F.col("folder").alias("path"))
     single = files.filter(expired).join(found.filter("NOT whole").select("folder"), "folder").select("path")
     for paths in (whole, single):
