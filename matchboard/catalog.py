@@ -574,8 +574,7 @@ def dq_active_roster(t):
 
 @query
 def quarantine_stats(t):
-    valid, rejected = Q.quarantine(_shifted_stats(t), Q.stats_rules())
-    return valid.withColumn("broken_rules", F.lit(None).cast("string")).unionByName(rejected)
+    return Q.judge(_shifted_stats(t), Q.stats_rules())
 
 
 @query

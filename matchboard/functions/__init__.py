@@ -6,9 +6,11 @@ from .columns import (  # noqa: F401
     draw_item,
     iso_timestamp,
     kda,
+    kda_hundredths,
     kda_ratio,
     ratio_pct,
     register_sql_functions,
+    rounded_div,
     size_pretty,
     streakcount,
 )

@@ -19,18 +19,27 @@ def kda_ratio(kills: ColumnLike, assists: ColumnLike, deaths: ColumnLike) -> Col
     return (_col(kills) + _col(assists)).cast("double") / F.nullif(_col(deaths), F.lit(0)).cast("double")
 
 
+def rounded_div(part: ColumnLike, whole: ColumnLike) -> Column:
+    """part / whole as a whole number, rounded half away from zero; NULL when whole is 0."""
+    part, whole = _col(part).cast("long"), F.nullif(_col(whole).cast("long"), F.lit(0).cast("long"))
+    size = F.call_function("div", F.abs(part) * 2 + F.abs(whole), F.abs(whole) * 2)
+    return F.when((part < 0) != (whole < 0), -size).otherwise(size)
+
+
+def kda_hundredths(kills: ColumnLike, assists: ColumnLike, deaths: ColumnLike) -> Column:
+    """KDA in hundredths, rounded: missing counts taken as 0, NULL when there were no deaths."""
+    counts = [F.coalesce(_col(c), F.lit(0)) for c in (kills, assists, deaths)]
+    return rounded_div((counts[0] + counts[1]).cast("long") * 100, counts[2])
+
+
 def kda(kills: ColumnLike, assists: ColumnLike, deaths: ColumnLike) -> Column:
     """KDA rounded to 2 places, missing counts taken as 0, NULL when there were no deaths."""
-    part = F.coalesce(_col(kills), F.lit(0)) + F.coalesce(_col(assists), F.lit(0))
-    whole = F.nullif(F.coalesce(_col(deaths), F.lit(0)), F.lit(0))
-    return F.round(part.cast("decimal(12,0)") / whole.cast("decimal(12,0)"), 2).cast("decimal(14,2)")
+    return kda_hundredths(kills, assists, deaths).cast("double") / 100
 
 
 def ratio_pct(part: ColumnLike, whole: ColumnLike) -> Column:
-    """100 * part / whole rounded half up to 2 places; NULL when whole is 0."""
-    part, whole = _col(part).cast("long"), F.nullif(_col(whole), F.lit(0)).cast("long")
-    hundredths = F.call_function("div", part * 20000 + whole, whole * 2)
-    return hundredths.cast("double") / 100
+    """100 * part / whole rounded to 2 places; NULL when whole is 0."""
+    return rounded_div(_col(part).cast("long") * 10000, whole).cast("double") / 100
 
 
 def streakcount(history: ColumnLike) -> Column:

@@ -100,18 +100,21 @@ def negative_stats(stats: DataFrame) -> DataFrame:
     return wrong.select("player_id", F.explode(F.array_compact(messages)).alias("message"))
 
 
-def quarantine(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
-    """Split into (valid rows, rejected rows with the names of the rules they break).
+def judge(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """All rows with the names of the rules they break; NULL for a valid row.
 
     As for a CHECK constraint, a rule that gives NULL is not broken.
     """
-    broken = F.array_compact(
-        F.array(*[F.when(~F.coalesce(rule, F.lit(True)), F.lit(name)) for name, rule in rules.items()])
-    )
-    marked = df.withColumn("broken_rules", broken)
-    valid = marked.filter(F.size("broken_rules") == 0).drop("broken_rules")
-    rejected = marked.filter(F.size("broken_rules") > 0)
-    return valid, rejected.withColumn("broken_rules", F.array_join("broken_rules", ", "))
+    names = [F.when(~rule, F.lit(name)) for name, rule in rules.items()]
+    return df.withColumn("broken_rules", F.nullif(F.concat_ws(", ", *names), F.lit("")))
+
+
+def quarantine(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """Split into (valid rows, rejected rows with the names of the rules they break)."""
+    kept = F.lit(True)
+    for rule in rules.values():
+        kept = kept & F.coalesce(rule, F.lit(True))
+    return df.filter(kept), judge(df.filter(~kept), rules)
 
 
 def stats_rules() -> dict[str, Column]:

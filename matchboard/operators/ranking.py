@@ -13,6 +13,7 @@ from .skew import order_number, skew_join
 
 _LOCAL_ROW_BITS = 33  # monotonically_increasing_id keeps the partition number above these bits
 _RANK_PIECES = 4096
+FEW_ROWS = 100_000
 FEW_SCORES = 200_000
 
 
@@ -49,12 +50,16 @@ def rank_top(df: DataFrame, score: str, k: int, kind: str, tie: Sequence[Column]
 def rank_by_score(df: DataFrame, score: str, kind: str = "rank", name: str = "rank") -> DataFrame:
     """Rank of every row by descending score (NULL last), without a window over the whole table.
 
-    Rows are first counted per distinct score and the counts written once. Few scores (ratings have at
-    most 4001) are ranked in one small window and broadcast. Many are cut into pieces of equal width:
-    a rank is the count in better pieces plus the count of better scores in the same piece.
+    A frame of few rows takes that window all the same. Otherwise rows are first counted per distinct
+    score and the counts written once. Few scores (ratings have at most 4001) are ranked in one small
+    window and broadcast. Many are cut into pieces of equal width: a rank is the count in better pieces
+    plus the count of better scores in the same piece.
     """
     if kind not in ("rank", "dense"):
         raise ValueError(f"kind must be 'rank' or 'dense', not {kind!r}")
+    if fits(df, FEW_ROWS):
+        function = F.rank() if kind == "rank" else F.dense_rank()
+        return df.withColumn(name, function.over(W.orderBy(F.desc_nulls_last(score))).cast("long"))
     keyed = df.withColumn("__missing", F.col(score).isNull()).withColumn(
         "__score", F.coalesce(F.col(score), F.lit(0).cast(df.schema[score].dataType))
     )

@@ -31,14 +31,16 @@ class HotGroup:
     rows: int
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> list[HotGroup]:
+def hot_groups(
+    df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS, total: int | None = None
+) -> list[HotGroup]:
     """Groups that hold more than ``min_rows`` rows and a noticeable share of all rows.
 
     At most ``2 / HOT_SHARE`` groups can qualify, so the list is small however large ``df`` is. Only
     the key columns are read, and a frame with fewer than ``min_rows`` rows costs one count. The
     sample decides how work is spread, never what the result is.
     """
-    total = df.count()
+    total = df.count() if total is None else total
     if total <= min_rows:
         return []
     fraction = min(1.0, SAMPLE_ROWS / total)
@@ -77,12 +79,11 @@ def skew_joins(facts: DataFrame, lookups: Sequence[Lookup], min_rows: int = HOT_
     count rows of the scan, before any shuffle, so a retried task deals them out the same way; facts
     must therefore come straight from a scan or a written table.
     """
-    hot = [hot_groups(facts, lookup.keys, min_rows) for lookup in lookups]
+    total = facts.count()
+    hot = [hot_groups(facts, lookup.keys, min_rows, total) for lookup in lookups]
     spread = [is_hot(lookup.keys, groups) for lookup, groups in zip(lookups, hot)]
     turn = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
-    salts = {
-        f"{_SALT}{i}": F.when(spread[i], turn).otherwise(0) for i, groups in enumerate(hot) if groups
-    }
+    salts = {f"{_SALT}{i}": F.when(spread[i], turn).otherwise(0) for i, groups in enumerate(hot) if groups}
     joined = facts.withColumns(salts) if salts else facts
     for i, lookup in enumerate(lookups):
         frame, keys = lookup.frame, list(lookup.keys)

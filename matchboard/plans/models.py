@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..cluster import cut_lineage
-from ..functions import kda, ratio_pct
+from ..functions import kda, kda_hundredths, ratio_pct, rounded_div
 from ..operators.analytics import team_summary
 from ..operators.ranking import rank_by_score
 from ..operators.skew import Lookup, skew_join, skew_joins
@@ -90,13 +90,23 @@ def player_performance(tables) -> DataFrame:
     Statistics are added up per player before the player columns are joined, so a player with very many
     rows is one row in that join.
     """
-    stats = stg_player_stats(tables)
+    stats = tables["player_stats"].select(
+        "match_id", "player_id", "kills", kda_hundredths("kills", "assists", "deaths").alias("kda")
+    )
     played = skew_join(stats, stg_matches(tables).select("match_id"), ["match_id"], "left_semi")
-    career = played.groupBy("player_id").agg(
+    sums = played.groupBy("player_id").agg(
         F.count(F.lit(1)).alias("total_matches"),
         F.sum("kills").cast("long").alias("total_kills"),
-        F.round(F.sum("kills").cast("decimal(18,0)") / F.count("kills"), 2).cast("double").alias("avg_kills"),
-        F.round(F.sum("kda") / F.count("kda"), 2).cast("double").alias("career_kda"),
+        F.count("kills").alias("n_kills"),
+        F.sum("kda").alias("sum_kda"),
+        F.count("kda").alias("n_kda"),
+    )
+    career = sums.select(
+        "player_id",
+        "total_matches",
+        "total_kills",
+        (rounded_div(F.col("total_kills") * 100, "n_kills") / 100.0).alias("avg_kills"),
+        (rounded_div("sum_kda", "n_kda") / 100.0).alias("career_kda"),
     )
     players = stg_players(tables).select(F.col("id").alias("player_id"), "username", "country", "elo_rating")
     joined = career.filter(F.col("total_matches") >= MIN_CAREER_MATCHES).join(players, "player_id")

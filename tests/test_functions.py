@@ -1,5 +1,3 @@
-from decimal import Decimal
-
 from pyspark.sql import functions as F
 
 from matchboard.functions import (
@@ -11,6 +9,7 @@ from matchboard.functions import (
     kda_ratio,
     ratio_pct,
     register_sql_functions,
+    rounded_div,
     size_pretty,
     streakcount,
 )
@@ -24,14 +23,16 @@ def test_kda(spark):
     df = spark.createDataFrame(
         [(5, 0, 3), (5, 2, 3), (0, 0, 0), (None, 2, 1), (1, 3, 1)], "kills int, deaths int, assists int"
     ).coalesce(1)
-    expected = [None, Decimal("4.00"), None, Decimal("0.50"), Decimal("0.67")]
+    expected = [None, 4.0, None, 0.5, 0.67]
     assert values(df, kda("kills", "assists", "deaths")) == expected
     assert values(df, kda_ratio("kills", "assists", "deaths"))[:3] == [None, 4.0, None]
 
 
 def test_ratio_rounds_half_up(spark):
-    df = spark.createDataFrame([(1, 8), (1, 3), (2, 3), (0, 5), (1, 0), (1, 800)], "a long, b long").coalesce(1)
-    assert values(df, ratio_pct("a", "b")) == [12.5, 33.33, 66.67, 0.0, None, 0.13]
+    pairs = [(1, 8), (1, 3), (2, 3), (0, 5), (1, 0), (1, 800), (-1, 800), (None, 1)]
+    df = spark.createDataFrame(pairs, "a long, b long").coalesce(1)
+    assert values(df, ratio_pct("a", "b")) == [12.5, 33.33, 66.67, 0.0, None, 0.13, -0.13, None]
+    assert values(df.limit(3), rounded_div("b", F.col("a") * 2)) == [4, 2, 1]
 
 
 def test_streakcount(spark):

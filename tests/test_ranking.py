@@ -27,10 +27,12 @@ def test_limit_is_checked(players, limit):
         A.leaderboard(players, limit)
 
 
-@pytest.mark.parametrize("few", [True, False])
+@pytest.mark.parametrize("few", ["rows", "scores", "neither"])
 @pytest.mark.parametrize("kind", ["rank", "dense"])
 def test_rank_by_score(spark, rows, monkeypatch, few, kind):
-    if not few:
+    if few != "rows":
+        monkeypatch.setattr(R, "FEW_ROWS", 0)
+    if few == "neither":
         monkeypatch.setattr(R, "FEW_SCORES", 0)
     rng = random.Random(3)
     scores = [rng.choice([None, 1200, rng.randrange(-50, 4000)]) for _ in range(600)]
