@@ -632,7 +632,7 @@ def rate_limited_calls(t):
 
 @query
 def stream_rate_limit(t):
-    calls = feeds.stream_table(t.spark, t.folder, "events").select("user_id", "event_id", "ts")
+    calls = feeds.stream_table(t.spark, t.folder, "events", files_per_batch=16).select("user_id", "event_id", "ts")
     folder = new_folder(t.spark, "rate")
     feeds.limit_rate(calls, f"{folder}/out", f"{folder}/log", "user_id", "ts", "event_id", **RATE)
     return t.spark.read.parquet(f"{folder}/out").select("user_id", "event_id", "allowed")

@@ -210,8 +210,9 @@ def team_summary(matches: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
     wins = matches.filter(won).select(*keys, moment.alias("moment"))
     stops = groups.filter(F.col("stop").isNotNull()).select(*keys, "stop")
     few = fits(groups, FEW_GROUPS)
-    compared = wins.join(F.broadcast(stops), keys) if few else skew_join(wins, stops, keys, min_rows=min_rows)
+    compared = wins.join(F.broadcast(stops), keys) if few else skew_join(wins, stops, keys, "inner", min_rows, 0)
     runs = compared.filter("moment > stop").groupBy(*keys).agg(F.count(F.lit(1)).alias("run"))
+    runs = F.broadcast(runs) if few else runs  # no more rows than groups
     streak = F.when(F.col("stop").isNull(), F.col("total_matches")).otherwise(F.coalesce("run", F.lit(0)))
     return groups.join(runs, keys, "left").select(
         *keys, "total_matches", "wins", "losses", streak.cast("long").alias("current_streak")

@@ -32,10 +32,7 @@ def team_network(matches: DataFrame) -> DataFrame:
     )
     step = played.select(F.col("a").alias("mid"), F.col("b").alias("far"), F.col("n"))
     edge = first.select(F.col("direction").alias("mid"), "full_path")
-    second = edge.join(step, "mid").filter(
-        # a team may not repeat after the arrow; the first team of the path is not looked at
-        ~F.contains(F.concat("full_path", F.lit("->")), F.concat(F.lit("->"), "far", F.lit("->")))
-    )
+    second = edge.join(step, "mid").filter("mid <> far")  # no team after itself; the way back is allowed
     return first.unionByName(
         second.select(
             F.col("mid").alias("teamname"),

@@ -67,7 +67,7 @@ def rank_by_score(df: DataFrame, score: str, kind: str = "rank", name: str = "ra
     counts = cut_lineage(keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")))
     few = fits(counts, FEW_SCORES)
     ranks = (_rank_scores if few else _rank_many_scores)(counts, kind, name).select(*keys, name)
-    joined = keyed.join(F.broadcast(ranks), keys) if few else skew_join(keyed, ranks, keys)
+    joined = keyed.join(F.broadcast(ranks), keys) if few else skew_join(keyed, ranks, keys, broadcast_rows=0)
     return joined.select(*df.columns, name)
 
 

@@ -8,33 +8,47 @@ chunks are linked by that, and all chunks are then walked at the same time.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .skew import HotGroup, hot_groups, is_hot
 
+# task code travels with the task: executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _NONE = -(2**62)  # "no window open": earlier than any time
+_HELPERS = ["__group", "__chunk", "__t", "__end", "__used"]
+
 
+def _walk(batches: Iterator[pa.RecordBatch], max_calls: int, width: int) -> Iterator[pa.RecordBatch]:
+    """Decide each call. Rows come sorted by (group, chunk, time).
 
-def _walk(pieces: Iterator[pd.DataFrame], max_calls: int, width: int) -> Iterator[pd.DataFrame]:
-    """Decide each call. Rows come sorted by (group, chunk, time); ``ends``/``used`` start each group."""
+    A row whose ``__used`` is set is no call: it says in which state its chunk is entered, and being
+    earlier than any call it comes first. Without such a row a chunk is entered with no open window.
+    """
     group, end, used = None, _NONE, 0
-    for pdf in pieces:
-        allowed = np.empty(len(pdf), dtype=bool)
-        groups = zip(pdf["__group"].tolist(), pdf["__chunk"].tolist())
-        starts = zip(pdf["__end"].tolist(), pdf["__used"].tolist())
-        for i, (now, t, start) in enumerate(zip(groups, pdf["__t"].tolist(), starts)):
-            if now != group:
-                group, (end, used) = now, start
-            if t >= end:
+    for batch in batches:
+        allowed, is_call = [], []
+        for g, chunk, t, entered, counted in zip(*[batch.column(name).to_pylist() for name in _HELPERS]):
+            if (g, chunk) != group:
+                group, end, used = (g, chunk), _NONE, 0
+            if counted is not None:
+                end, used = entered, counted
+            elif t >= end:
                 end, used = t + width, 0
-            allowed[i] = used < max_calls
-            used += 1
-        yield pdf.drop(columns=["__group", "__chunk", "__t", "__end", "__used"]).assign(allowed=allowed)
+            is_call.append(counted is None)
+            allowed.append(used < max_calls)
+            used += counted is None
+        columns = [name for name in batch.schema.names if name not in _HELPERS]
+        decided = [*[batch.column(name) for name in columns], pa.array(allowed)]
+        yield pa.RecordBatch.from_arrays(decided, names=[*columns, "allowed"]).filter(pa.array(is_call))
 
 
 def _chunk_exits(width: int):
@@ -107,9 +121,9 @@ def rate_limit(
     hot = hot_groups(events, [key]) if hot is None else hot
     time = F.unix_micros(F.col(ts).cast("timestamp"))
     rows = events.withColumn("__group", F.coalesce(F.col(key).cast("string"), F.lit("\0"))).withColumn("__t", time)
-    no_window = [F.lit(_NONE).cast("long").alias("__end"), F.lit(0).cast("long").alias("__used")]
+    no_state = {"__end": F.lit(None).cast("long"), "__used": F.lit(None).cast("long")}
     ordinary = rows if not hot else rows.filter(~is_hot([key], hot))
-    parts = [ordinary.select("*", F.lit(0).cast("long").alias("__chunk"), *no_window)]
+    calls = ordinary.withColumn("__chunk", F.lit(0).cast("long")).withColumns(no_state)
     if hot:
         chunked = _cut_into_chunks(rows.filter(is_hot([key], hot)), hot, width, rows_per_chunk)
         distinct = chunked.groupBy("__group", "__chunk", "__t").agg(F.count(F.lit(1)).alias("n"))
@@ -121,18 +135,18 @@ def rate_limit(
             .sortWithinPartitions("__group", "__chunk", "__upto")
             .mapInPandas(_link, "__group string, __chunk long, __end long, __used long")
         )
-        parts.append(chunked.join(entries, ["__group", "__chunk"]))
-    result = None
-    schema = events.schema.simpleString()[len("struct<") : -1]
-    for part in parts:
-        walked = (
-            part.select(*events.columns, "__group", "__chunk", "__t", "__end", "__used")
-            .repartition("__group", "__chunk")
-            .sortWithinPartitions("__group", "__chunk", "__t", order)
-            .mapInPandas(lambda pieces: _walk(pieces, max_calls, width), f"{schema}, allowed boolean")
+        calls = calls.unionByName(chunked.withColumns(no_state)).unionByName(
+            entries.withColumn("__t", F.lit(_NONE).cast("long")), allowMissingColumns=True
         )
-        result = walked if result is None else result.unionByName(walked)
-    return result
+    # entry states travel as rows, not through a join: the shuffle below must be the last thing before
+    # the walk, as a join next to it could be planned in its place and spread a chunk over tasks
+    schema = events.schema.simpleString()[len("struct<") : -1]
+    return (
+        calls.select(*events.columns, *_HELPERS)
+        .repartition("__group", "__chunk")
+        .sortWithinPartitions("__group", "__chunk", "__t", order)
+        .mapInArrow(lambda batches: _walk(batches, max_calls, width), f"{schema}, allowed boolean")
+    )
 
 
 def _cut_into_chunks(rows: DataFrame, hot: Sequence[HotGroup], width: int, rows_per_chunk: int) -> DataFrame:

@@ -13,9 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..cluster import fits
+
 HOT_ROWS = 2_000_000  # a group below this is no problem for one task
 HOT_SHARE = 0.005  # and neither is one with less than this share of all rows
 SAMPLE_ROWS = 1_000_000
+BROADCAST_ROWS = 200_000  # lookups up to here are broadcast: some ten MB
 SALTS = 64
 MAX_SEGMENTS = 100_000
 
@@ -71,22 +74,27 @@ class Lookup:
     how: str = "inner"
 
 
-def skew_joins(facts: DataFrame, lookups: Sequence[Lookup], min_rows: int = HOT_ROWS) -> DataFrame:
-    """Join each fact to its row in every lookup; hot keys are spread over ``SALTS`` tasks.
+def skew_joins(
+    facts: DataFrame, lookups: Sequence[Lookup], min_rows: int = HOT_ROWS, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Join each fact to its row in every lookup without gathering a hot key in one task.
 
-    Spark broadcasts a lookup by itself when its size allows. Beyond that both sides shuffle; then facts
-    of hot keys carry a salt, and the few lookup rows of those keys are repeated once per salt. Salts
-    count rows of the scan, before any shuffle, so a retried task deals them out the same way; facts
-    must therefore come straight from a scan or a written table.
+    A lookup of at most ``broadcast_rows`` rows, counted here, is broadcast and the facts stay where they
+    are. For a larger one both sides shuffle; then facts of hot keys carry a salt, and the few lookup
+    rows of those keys are repeated once per salt. Salts count rows of the scan, before any shuffle, so
+    a retried task deals them out the same way; facts must come straight from a scan or written table.
     """
-    total = facts.count()
-    hot = [hot_groups(facts, lookup.keys, min_rows, total) for lookup in lookups]
+    small = [fits(lookup.frame, broadcast_rows) for lookup in lookups]
+    total = 0 if all(small) else facts.count()
+    hot = [[] if few else hot_groups(facts, lookup.keys, min_rows, total) for lookup, few in zip(lookups, small)]
     spread = [is_hot(lookup.keys, groups) for lookup, groups in zip(lookups, hot)]
     turn = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
     salts = {f"{_SALT}{i}": F.when(spread[i], turn).otherwise(0) for i, groups in enumerate(hot) if groups}
     joined = facts.withColumns(salts) if salts else facts
     for i, lookup in enumerate(lookups):
         frame, keys = lookup.frame, list(lookup.keys)
+        if small[i]:
+            frame = F.broadcast(frame)
         if hot[i]:
             copies = F.when(spread[i], F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
             frame, keys = frame.withColumn(f"{_SALT}{i}", F.explode(copies)), [*keys, f"{_SALT}{i}"]
@@ -95,10 +103,15 @@ def skew_joins(facts: DataFrame, lookups: Sequence[Lookup], min_rows: int = HOT_
 
 
 def skew_join(
-    facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "inner", min_rows: int = HOT_ROWS
+    facts: DataFrame,
+    lookup: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    min_rows: int = HOT_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """``skew_joins`` with one lookup."""
-    return skew_joins(facts, [Lookup(lookup, tuple(keys), how)], min_rows)
+    return skew_joins(facts, [Lookup(lookup, tuple(keys), how)], min_rows, broadcast_rows)
 
 
 def order_number(df: DataFrame, column: str) -> Column:

@@ -403,16 +403,12 @@ add("team_edges", "matches", "SELECT DISTINCT team_a_id, team_b_id FROM matches"
 add(
     "team_network",
     "matches",
-    """+ c AS (
-      SELECT DISTINCT team_a_id::VARCHAR AS teamname, team_b_id::VARCHAR AS direction, 1 AS level,
-             team_a_id::VARCHAR || '->' || team_b_id::VARCHAR AS full_path FROM matches
-      UNION ALL
-      SELECT m.team_a_id::VARCHAR, c.direction || '->' || m.team_b_id::VARCHAR, c.level + 1,
-             c.full_path || '->' || m.team_b_id::VARCHAR
-      FROM matches m JOIN c ON c.direction = m.team_a_id::VARCHAR
-      WHERE c.level < 8 AND concat(c.full_path, '->') NOT LIKE concat('%->', m.team_b_id::VARCHAR, '->%'))
-    SELECT teamname, direction, level, full_path, count(*) AS n_rows FROM c GROUP BY ALL""",
-    recursive=True,
+    """+ edge AS (
+      SELECT team_a_id::VARCHAR AS a, team_b_id::VARCHAR AS b, count(*) AS n FROM matches GROUP BY ALL)
+    SELECT a AS teamname, b AS direction, 1 AS level, a || '->' || b AS full_path, 1::BIGINT AS n_rows FROM edge
+    UNION ALL
+    SELECT y.a, y.a || '->' || y.b, 2, x.a || '->' || y.a || '->' || y.b, y.n
+    FROM edge x JOIN edge y ON y.a = x.b WHERE y.b <> y.a""",
 )
 add(
     "team_paths_k3",

@@ -6,9 +6,11 @@ stores a batch that is delivered twice once.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +20,9 @@ from ..operators.analytics import team_counters
 from ..operators.changes import audit_feed, latest_changes
 from ..sources.results import append_new, leaderboard_snapshot, read_or_empty
 
+# task code travels with the task: executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
