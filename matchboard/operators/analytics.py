@@ -12,7 +12,18 @@ from pyspark.sql import functions as F
 from ..cluster import cut_lineage, fits
 from ..functions import kda_ratio, ratio_pct
 from .ranking import rank_by_score, rank_top, top_k, top_n_per_key
-from .skew import HOT_ROWS, SEGMENT, HotGroup, add_offsets, add_segment, hot_groups, is_hot, position_in_group, skew_join
+from .skew import (
+    HOT_ROWS,
+    SEGMENT,
+    SEGMENT_ROWS,
+    HotGroup,
+    add_offsets,
+    add_segment,
+    hot_groups,
+    is_hot,
+    position_in_group,
+    skew_join,
+)
 
 MAX_LEADERBOARD = 500  # fixed value: the largest leaderboard that may be asked for
 FEW_GROUPS = 200_000
@@ -53,13 +64,16 @@ def prize_by_player(payouts: DataFrame, limit: int | None = None) -> DataFrame:
 
 def _repeat(df: DataFrame, times: str) -> DataFrame:
     """Each row as often as its count says, in two steps so that no list of copies gets long."""
-    steps = F.sequence(F.lit(0).cast("long"), F.call_function("div", F.col(times) - 1, F.lit(_REPEAT_STEP).cast("long")))
+    size = F.lit(_REPEAT_STEP).cast("long")
+    steps = F.sequence(F.lit(0).cast("long"), F.call_function("div", F.col(times) - 1, size))
     stepped = df.withColumn("__step", F.explode(steps))
-    left = F.least(F.lit(_REPEAT_STEP).cast("long"), F.col(times) - F.col("__step") * _REPEAT_STEP)
+    left = F.least(size, F.col(times) - F.col("__step") * size)
     return stepped.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), left))).drop("__step", "__copy")
 
 
-def avg_damage(stats: DataFrame, hot: Sequence[HotGroup] | None = None, rows_per_segment: int = 1_000_000) -> DataFrame:
+def avg_damage(
+    stats: DataFrame, hot: Sequence[HotGroup] | None = None, rows_per_segment: int = SEGMENT_ROWS
+) -> DataFrame:
     """Average damage in a match over all players up to the row's player, rows of one player together.
 
     An ordinary match is one window partition. A hot match is added up per player first, cut into
@@ -78,7 +92,7 @@ def avg_damage(stats: DataFrame, hot: Sequence[HotGroup] | None = None, rows_per
         .groupBy("match_id", "player_id")
         .agg(F.sum("damage_dealt").alias("s"), F.count("damage_dealt").alias("c"), F.count(F.lit(1)).alias("n"))
     )
-    cut = add_segment(players, ["match_id"], "player_id", hot, rows_per_segment)
+    cut = add_segment(players, ["match_id"], ["player_id"], hot, rows_per_segment)
     total = add_offsets(cut, ["match_id"], {"s0": F.sum("s"), "c0": F.sum("c")}, hot)
     within = W.partitionBy("match_id", SEGMENT).orderBy(F.asc_nulls_last("player_id"))
     means = total.select(

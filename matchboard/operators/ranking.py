@@ -9,10 +9,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..cluster import cut_lineage, fits
-from .skew import order_number, skew_join
+from .skew import range_pieces, skew_join
 
 _LOCAL_ROW_BITS = 33  # monotonically_increasing_id keeps the partition number above these bits
-_RANK_PIECES = 4096
+_RANK_PIECES = 1000
 FEW_ROWS = 100_000
 FEW_SCORES = 200_000
 
@@ -52,8 +52,8 @@ def rank_by_score(df: DataFrame, score: str, kind: str = "rank", name: str = "ra
 
     A frame of few rows takes that window all the same. Otherwise rows are first counted per distinct
     score and the counts written once. Few scores (ratings have at most 4001) are ranked in one small
-    window and broadcast. Many are cut into pieces of equal width: a rank is the count in better pieces
-    plus the count of better scores in the same piece.
+    window and broadcast. Many are cut into ranges: a rank is the count in better ranges plus the count of
+    better scores in the same range.
     """
     if kind not in ("rank", "dense"):
         raise ValueError(f"kind must be 'rank' or 'dense', not {kind!r}")
@@ -78,16 +78,11 @@ def _rank_scores(counts: DataFrame, kind: str, name: str) -> DataFrame:
 
 
 def _rank_many_scores(counts: DataFrame, kind: str, name: str) -> DataFrame:
-    bounds = counts.filter(~F.col("__missing")).agg(F.min("__score").alias("lo"), F.max("__score").alias("hi"))
-    low = bounds.select(order_number(bounds, "lo")).scalar()
-    high = bounds.select(order_number(bounds, "hi")).scalar()
-    share = (order_number(counts, "__score") - low) / (high - low + 1)
-    piece = F.when(F.col("__missing"), F.lit(-1)).otherwise(F.floor(share * _RANK_PIECES).cast("int"))
-    counts = counts.withColumn("__piece", piece)
-
-    better_pieces = W.orderBy(F.desc("__piece")).rowsBetween(W.unboundedPreceding, -1)
+    best_first = [F.asc("__missing"), F.desc("__score")]
+    counts = range_pieces(counts, best_first, _RANK_PIECES, "__piece")
+    better_pieces = W.orderBy("__piece").rowsBetween(W.unboundedPreceding, -1)
     pieces = (
-        counts.groupBy("__piece")  # at most _RANK_PIECES + 1 rows
+        counts.groupBy("__piece")  # at most _RANK_PIECES rows
         .agg(F.sum("__n").alias("rows"), F.count(F.lit(1)).alias("scores"))
         .select(
             "__piece",
@@ -95,7 +90,7 @@ def _rank_many_scores(counts: DataFrame, kind: str, name: str) -> DataFrame:
             F.coalesce(F.sum("scores").over(better_pieces), F.lit(0)).alias("__scores_above"),
         )
     )
-    same_piece = W.partitionBy("__piece").orderBy(F.desc("__score"))
+    same_piece = W.partitionBy("__piece").orderBy(*best_first)
     better_here = same_piece.rowsBetween(W.unboundedPreceding, -1)
     if kind == "rank":
         place = F.col("__rows_above") + F.coalesce(F.sum("__n").over(better_here), F.lit(0)) + 1

@@ -1,9 +1,9 @@
 """Fixed-window rate limit: a key's first call opens a window, the first ``max_calls`` calls in it pass.
 
 Windows of one key depend on each other, so a key's calls are walked in time order. Tasks stream over
-sorted rows and keep one window start and one counter, whatever the size of a key. A hot key is cut
-into time chunks: each chunk first works out where any window reaching into it would leave it, the
-chunks are linked by that, and all chunks are then walked at the same time.
+sorted rows and keep one window and one counter, whatever the size of a key. A hot key is cut into
+chunks of about equally many calls in time order: each chunk first works out where any window reaching
+into it would leave it, the chunks are linked by that, and all chunks are then walked at the same time.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .skew import HotGroup, hot_groups, is_hot
+from .skew import SEGMENT_ROWS, HotGroup, hot_groups, is_hot, piece_count, range_pieces
 
 # task code travels with the task: executors need no copy of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -114,7 +114,7 @@ def rate_limit(
     max_calls: int = 100,
     seconds: int = 60,
     hot: Sequence[HotGroup] | None = None,
-    rows_per_chunk: int = 1_000_000,
+    rows_per_chunk: int = SEGMENT_ROWS,
 ) -> DataFrame:
     """All events with a column ``allowed``. Calls of one key at the same time are taken by ``order``."""
     width = seconds * 1_000_000
@@ -125,7 +125,10 @@ def rate_limit(
     ordinary = rows if not hot else rows.filter(~is_hot([key], hot))
     calls = ordinary.withColumn("__chunk", F.lit(0).cast("long")).withColumns(no_state)
     if hot:
-        chunked = _cut_into_chunks(rows.filter(is_hot([key], hot)), hot, width, rows_per_chunk)
+        sorting = [F.asc("__group"), F.asc("__t"), F.asc(order)]
+        pieces = piece_count(hot, rows_per_chunk)
+        chunked = range_pieces(rows.filter(is_hot([key], hot)), sorting, pieces, "__chunk")
+        chunked = chunked.withColumn("__chunk", F.col("__chunk").cast("long"))
         distinct = chunked.groupBy("__group", "__chunk", "__t").agg(F.count(F.lit(1)).alias("n"))
         exits = distinct.groupBy("__group", "__chunk").applyInPandas(
             _chunk_exits(width), "__group string, __chunk long, __upto long, __exit long, n long"
@@ -147,14 +150,3 @@ def rate_limit(
         .sortWithinPartitions("__group", "__chunk", "__t", order)
         .mapInArrow(lambda batches: _walk(batches, max_calls, width), f"{schema}, allowed boolean")
     )
-
-
-def _cut_into_chunks(rows: DataFrame, hot: Sequence[HotGroup], width: int, rows_per_chunk: int) -> DataFrame:
-    """Number equal time spans of each hot key; no span is shorter than a window."""
-    pieces = max(2, -(-max(g.rows for g in hot) // rows_per_chunk))
-    span = rows.groupBy("__group").agg(F.min("__t").alias("__lo"), F.max("__t").alias("__hi"))  # hot keys only
-    joined = rows.join(F.broadcast(span), "__group")
-    length = F.greatest(F.lit(width), F.call_function("div", F.col("__hi") - F.col("__lo"), F.lit(pieces)) + 1)
-    return joined.withColumn("__chunk", F.call_function("div", F.col("__t") - F.col("__lo"), length)).drop(
-        "__lo", "__hi"
-    )

@@ -13,13 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..cluster import fits
+from ..cluster import cut_lineage, fits
 
 HOT_ROWS = 2_000_000  # a group below this is no problem for one task
 HOT_SHARE = 0.005  # and neither is one with less than this share of all rows
 SAMPLE_ROWS = 1_000_000
 BROADCAST_ROWS = 200_000  # lookups up to here are broadcast: some ten MB
 SALTS = 64
+SEGMENT_ROWS = 1_000_000
 MAX_SEGMENTS = 100_000
 
 SEGMENT = "__segment"
@@ -114,52 +115,34 @@ def skew_join(
     return skew_joins(facts, [Lookup(lookup, tuple(keys), how)], min_rows, broadcast_rows)
 
 
-def order_number(df: DataFrame, column: str) -> Column:
-    """A number that grows with the column; equal values give equal numbers."""
-    kind = df.schema[column].dataType.simpleString()
-    if kind == "string":
-        head = F.rpad(F.substring(F.hex(F.encode(F.col(column), "utf-8")), 1, 14), 14, "0")
-        return F.conv(head, 16, 10).cast("double")
-    if kind == "timestamp_ntz":
-        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
-    if kind == "timestamp":
-        return F.unix_micros(F.col(column)).cast("double")
-    if kind == "date":
-        return F.unix_date(F.col(column)).cast("double")
-    return F.col(column).cast("double")
+def piece_count(hot: Sequence[HotGroup], rows_per_piece: int = SEGMENT_ROWS) -> int:
+    """Into how many pieces to cut the rows of the hot groups."""
+    return min(MAX_SEGMENTS, max(2, -(-sum(group.rows for group in hot) // rows_per_piece)))
 
 
-def add_segment(
-    df: DataFrame, keys: Sequence[str], order: str, hot: Sequence[HotGroup], rows_per_segment: int = 1_000_000
-) -> DataFrame:
-    """Cut each hot group into pieces along ``order``; all other groups are one piece, number 0.
+def range_pieces(df: DataFrame, order: Sequence[Column], pieces: int, name: str) -> DataFrame:
+    """Cut rows into about equally large ranges of ``order``, numbered in that order.
 
-    Pieces are ranges of equal width between the exact minimum and maximum of the group, so a later
-    piece holds only later values and rows with equal order values share a piece.
+    Spark finds the ranges from a sample, whatever the values look like. The result is written once, so
+    that a row keeps its piece however often the result is read. Rows equal in ``order`` stay together.
     """
+    return cut_lineage(df.repartitionByRange(pieces, *order)).withColumn(name, F.spark_partition_id())
+
+
+def add_segment(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    hot: Sequence[HotGroup],
+    rows_per_segment: int = SEGMENT_ROWS,
+) -> DataFrame:
+    """Cut hot groups into ranges of ``order``; every other group is one piece, number 0."""
     if not hot:
         return df.withColumn(SEGMENT, F.lit(0))
-    keys = list(keys)
-    rows = max(rows_per_segment, sum(g.rows for g in hot) // MAX_SEGMENTS + 1)
-    pieces = F.lit(1)
-    for group in hot:
-        pieces = F.when(is_hot(keys, [group]), F.lit(max(2, -(-group.rows // rows)))).otherwise(pieces)
-    number = order_number(df, order)
-    bounds = (
-        df.filter(is_hot(keys, hot))
-        .groupBy(*keys)
-        .agg(F.min(number).alias("__lo"), F.max(number).alias("__hi"))
-        .withColumn("__pieces", pieces)
-    )
-    # one row per hot group, at most 2 / HOT_SHARE of them
-    joined = df.alias("l").join(
-        F.broadcast(bounds.select(*[F.col(k).alias(f"__{k}") for k in keys], "__lo", "__hi", "__pieces")),
-        [F.col(f"l.{k}").eqNullSafe(F.col(f"__{k}")) for k in keys],
-        "left",
-    )
-    share = (number - F.col("__lo")) / (F.col("__hi") - F.col("__lo") + 1)
-    segment = F.coalesce(F.floor(share * F.col("__pieces")).cast("int"), F.lit(0))
-    return joined.withColumn(SEGMENT, segment).select(*df.columns, SEGMENT)
+    pieces = piece_count(hot, rows_per_segment)
+    sorting = [*[F.asc(k) for k in keys], *[F.asc_nulls_last(c) for c in order]]
+    cut = range_pieces(df.filter(is_hot(keys, hot)), sorting, pieces, SEGMENT)
+    return df.filter(~is_hot(keys, hot)).withColumn(SEGMENT, F.lit(0)).unionByName(cut)
 
 
 def add_offsets(
@@ -167,8 +150,9 @@ def add_offsets(
 ) -> DataFrame:
     """For rows cut by ``add_segment``: the totals over all earlier pieces of the row's group.
 
-    ``totals`` maps new column names to aggregates. Only hot groups have earlier pieces; their number
-    is at most ``MAX_SEGMENTS`` plus the number of hot groups, which bounds the broadcast.
+    ``totals`` maps new column names to aggregates. Only hot groups have earlier pieces. A piece holds
+    ranges of one group or of neighbours, so there are at most ``MAX_SEGMENTS`` plus the number of hot
+    groups of them, which bounds the broadcast.
     """
     keys = list(keys)
     if not hot:
@@ -195,7 +179,7 @@ def position_in_group(
     """Number the rows of each group 1, 2, ... by ascending ``order``; hot groups are numbered in pieces."""
     keys = list(keys)
     hot = hot_groups(df, keys) if hot is None else hot
-    cut = add_segment(df, keys, order[0], hot)
+    cut = add_segment(df, keys, order, hot)
     counted = add_offsets(cut, keys, {"__before": F.count(F.lit(1))}, hot)
     local = F.row_number().over(W.partitionBy(*keys, SEGMENT).orderBy(*[F.asc_nulls_last(c) for c in order]))
     return counted.withColumn(name, (local + F.col("__before")).cast("long")).drop("__before", SEGMENT)
@@ -210,7 +194,7 @@ def previous_in_group(
     """
     keys = list(keys)
     hot = hot_groups(df, keys) if hot is None else hot
-    cut = add_segment(df, keys, order, hot)
+    cut = add_segment(df, keys, [order], hot)
     within = W.partitionBy(*keys, SEGMENT).orderBy(F.asc_nulls_last(order))
     lagged = cut.withColumn(name, F.lag(value).over(within))
     if not hot:

@@ -35,6 +35,16 @@ def test_avg_damage(stats, rows):
     assert rows(A.avg_damage(stats, hot, rows_per_segment=100)) == rows(A.avg_damage(stats, []))
 
 
+def test_pieces_are_balanced_whatever_the_values(spark):
+    """Nearly all rows within one second of ten years."""
+    df = spark.range(4000).select(F.lit(1).alias("k"), F.when(F.col("id") == 0, 0.0).otherwise(1e9 + F.col("id")).alias("v"))
+    cut = S.add_segment(df, ["k"], ["v"], [S.HotGroup((1,), 4000)], 500)
+    sizes = [r["count"] for r in cut.groupBy(S.SEGMENT).count().collect()]
+    assert sum(sizes) == 4000 and len(sizes) >= 7 and max(sizes) < 1200
+    edges = cut.groupBy(S.SEGMENT).agg(F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy(S.SEGMENT).collect()
+    assert all(a["hi"] < b["lo"] for a, b in zip(edges, edges[1:]))
+
+
 def test_avg_damage_with_text_ids(stats, rows):
     named = stats.withColumn("player_id", F.md5(F.col("player_id").cast("string").cast("binary")))
     hot = S.hot_groups(named, ["match_id"], min_rows=500)
