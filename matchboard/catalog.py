@@ -281,14 +281,12 @@ def drop_created_by(t):
 
 @query
 def validate_new_players(t):
-    candidates = t["players"].select(
-        "id",
-        F.substring("username", F.lit(1), (F.col("id") % 60).cast("int")).alias("username"),
-        F.substring("country", F.lit(1), (F.col("id") % 7).cast("int")).alias("country"),
-        "date_of_birth",
+    born = F.lit("1995-01-01").cast("date")
+    texts = t["documents"].select(
+        F.col("doc_id").alias("id"), F.col("text").alias("username"), F.col("lang").alias("country"), born.alias("date_of_birth")
     )
-    valid, rejected = Q.validate_new_players(candidates, AS_OF)
-    return valid.withColumn("broken_rules", F.lit(None).cast("string")).unionByName(rejected, allowMissingColumns=True)
+    candidates = t["players"].select("id", "username", "country", "date_of_birth").unionByName(texts)
+    return Q.judge_new_players(candidates, AS_OF)
 
 
 # scalar functions --------------------------------------------------------------------------------
@@ -777,4 +775,4 @@ def local_export_job(t):
 
 @query
 def lake_export_job(t):
-    return _steps(J.lake_export(t.spark, t, new_folder(t.spark, "lake"), RUN_DATE))
+    return _steps(J.lake_export(t.spark, t, new_folder(t.spark, "lake"), RUN_DATE, limit=None))

@@ -208,9 +208,11 @@ def team_summary(matches: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
 
     The streak is the number of matches won after the last one not won, by (played_at, id). So a first
     aggregate finds that match per group, and a second counts the wins after it: no window and no sort
-    of all matches of a team. The groups are written once and broadcast to the matches if few.
+    of all matches of a team. The groups are written once and broadcast to the matches if few. Matches
+    without tournament or team belong to no group.
     """
     keys = ["tournament_id", "team_a_id"]
+    matches = matches.dropna(subset=keys)
     won = F.col("team_a_id") == F.col("winner_id")
     moment = F.struct("played_at", "id")
     groups = cut_lineage(

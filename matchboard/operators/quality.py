@@ -123,17 +123,29 @@ def stats_rules() -> dict[str, Column]:
     return {**rules, "headshot_pct_0_100": F.col("headshot_pct").between(0, 100)}
 
 
-def validate_new_players(candidates: DataFrame, as_of: str) -> tuple[DataFrame, DataFrame]:
-    """New player rows: length bounds on name and country; valid ones start at rating 1200."""
-    name, country = F.char_length("username"), F.char_length("country")
-    rules = {
-        "username_length": F.coalesce(name.between(3, 50), F.lit(False)),
-        "country_length": F.coalesce(country.between(2, 60), F.lit(False)),
+def new_player_rules() -> dict[str, Column]:
+    """Length bounds on name and country of a new player; all three values must be given."""
+    return {
+        "username_length": F.coalesce(F.char_length("username").between(3, 50), F.lit(False)),
+        "country_length": F.coalesce(F.char_length("country").between(2, 60), F.lit(False)),
         "date_of_birth_given": F.col("date_of_birth").isNotNull(),
     }
-    valid, rejected = quarantine(candidates, rules)
-    started = valid.withColumn("elo_rating", F.lit(1200)).withColumn("created_at", F.lit(as_of).cast("timestamp_ntz"))
-    return started, rejected
+
+
+def judge_new_players(candidates: DataFrame, as_of: str) -> DataFrame:
+    """New player rows with the rules they break. Valid ones start now at rating 1200."""
+    judged = judge(candidates, new_player_rules())
+    valid = F.col("broken_rules").isNull()
+    return judged.withColumn("elo_rating", F.when(valid, F.lit(1200))).withColumn(
+        "created_at", F.when(valid, F.lit(as_of).cast("timestamp_ntz"))
+    )
+
+
+def validate_new_players(candidates: DataFrame, as_of: str) -> tuple[DataFrame, DataFrame]:
+    """(rows to add, rejected rows with the rules they break)."""
+    judged = judge_new_players(candidates, as_of)
+    accepted = judged.filter(F.col("broken_rules").isNull()).drop("broken_rules")
+    return accepted, judged.filter(F.col("broken_rules").isNotNull()).drop("elo_rating", "created_at")
 
 
 def valid_utf8(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -247,8 +247,8 @@ add(
     "validate_new_players",
     "players",
     f"""+ candidates AS (
-      SELECT id, substr(username, 1, (id % 60)::INT) AS username, substr(country, 1, (id % 7)::INT) AS country,
-             date_of_birth FROM players),
+      SELECT id, username, country, date_of_birth FROM players
+      UNION ALL SELECT doc_id, text, lang, DATE '1995-01-01' FROM documents),
     judged AS (
       SELECT *, concat_ws(', ', CASE WHEN length(username) NOT BETWEEN 3 AND 50 THEN 'username_length' END,
                                 CASE WHEN length(country) NOT BETWEEN 2 AND 60 THEN 'country_length' END) AS b
@@ -762,6 +762,6 @@ add(
     "lake_export_job",
     "",
     " UNION ALL ".join(
-        _job("lake_export", {name: f"SELECT least(1000, count(*)) FROM ({ORACLE[name]})"}) for name in _LAKE
+        _job("lake_export", {name: f"SELECT count(*) FROM ({ORACLE[name]})"}) for name in _LAKE
     ),
 )

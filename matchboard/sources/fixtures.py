@@ -28,7 +28,7 @@ VIEWS: dict[str, str] = {
                {ntz}'2026-01-01 00:00:00' + INTERVAL '1' DAY * CAST(p_partkey % 365 AS INT) AS starts_at,
                CASE p_partkey % 4 WHEN 0 THEN 'upcoming' WHEN 1 THEN 'ongoing'
                                   WHEN 2 THEN 'completed' ELSE 'cancelled' END AS status
-        FROM {part} AS part WHERE p_partkey < 100""",
+        FROM {part} AS part""",
     "matches": """
         SELECT o_orderkey AS id, (o_orderkey * 7 + o_custkey) % 100 AS tournament_id,
                o_custkey % 25 AS team_a_id, (o_custkey + 1 + o_orderkey % 24) % 25 AS team_b_id,
@@ -64,11 +64,11 @@ VIEWS: dict[str, str] = {
                ts + INTERVAL '37' DAY AS expires_at, FALSE AS is_permanent
         FROM {events} AS events WHERE event_type = 'error'""",
     "players_before": """
-        SELECT id, username, country, CASE WHEN id % 7 = 0 THEN elo_rating - 100 ELSE elo_rating END AS elo_rating
-        FROM {players} AS p1 WHERE id % 10 <> 0
+        SELECT id, username, country, CASE WHEN elo_rating < 1500 THEN elo_rating - 100 ELSE elo_rating END AS elo_rating
+        FROM {players} AS players WHERE created_at < {ntz}'2025-07-01 00:00:00'
         UNION ALL
-        SELECT id + 1000000, concat(username, '-gone'), country, elo_rating
-        FROM {players} AS p2 WHERE id % 11 = 0""",
+        SELECT -1 - s_suppkey, s_name, n_name, CAST(1000 + floor(s_acctbal / 5) AS INT)
+        FROM {supplier} AS supplier JOIN {nation} AS nation ON s_nationkey = n_nationkey""",
     "player_changes": """
         SELECT user_id AS id, event_id AS version, ts AS changed_at,
                CASE event_type WHEN 'signup' THEN 'INSERT' WHEN 'error' THEN 'DELETE' ELSE 'UPDATE' END AS operation,

@@ -138,3 +138,13 @@ def test_table_sizes(spark, tmp_path):
     base = str(tmp_path / "base")
     got = readers.table_sizes(readers.lake_files(spark, base), base).collect()
     assert [r["table_name"] for r in got] == ["a", "b"] and all(r["size"].endswith("bytes") for r in got)
+
+
+def test_scan_uses_the_declared_columns(spark, tmp_path):
+    from matchboard.schema import TABLES
+
+    path = str(tmp_path / "teams")
+    spark.sql("SELECT 'a' AS id, 'x' AS name, true AS is_active, 1 AS extra").write.parquet(path)
+    got = readers.scan(spark, path, "teams")
+    assert got.schema == TABLES["teams"]  # missing columns are NULL, undeclared ones are not read
+    assert got.first().asDict()["region"] is None and got.first()["name"] == "x"
