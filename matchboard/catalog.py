@@ -18,6 +18,7 @@ from .operators import ranking as R
 from .operators.ratelimit import rate_limit
 from .plans import generate as G
 from .plans import jobs as J
+from .plans.checks import check_models
 from .plans.models import MARTS, VIEWS, Models
 from .schema import FOREIGN_KEYS
 from .sources import readers, results, writers
@@ -264,6 +265,12 @@ def unmatched_elo_updates(t):
     return unmatched
 
 
+@query
+def write_through_leaderboard(t):
+    _, board, _ = results.write_through(t["players"], _rating_updates(t), "version", new_folder(t.spark, "board"))
+    return board
+
+
 @query
 def bulk_elo_shift(t):
     return C.shift_rating(t["players"], 100).select("id", "elo_rating")
@@ -580,6 +587,11 @@ def dq_utf8(t):
     return Q.valid_utf8(t["documents"], ["text", "lang", "source"])
 
 
+@query
+def model_tests(t):
+    return check_models(Models(t))
+
+
 @query
 def fk_violations(t):
     return Q.foreign_keys(t, (*FOREIGN_KEYS, ("lineitem", "l_suppkey", "teams")))
@@ -630,9 +642,18 @@ def rate_limited_calls(t):
 
 @query
 def stream_rate_limit(t):
+    calls = feeds.stream_table(t.spark, t.folder, "events").select("user_id", "event_id", "ts")
+    folder = new_folder(t.spark, "rate")
+    out, state, log = f"{folder}/out", f"{folder}/state", f"{folder}/log"
+    feeds.limit_rate(calls, out, state, log, "user_id", "ts", "event_id", **RATE)
+    return t.spark.read.option("basePath", out).parquet(out).select("user_id", "event_id", "allowed")
+
+
+@query
+def stream_rate_limit_state(t):
     calls = feeds.stream_table(t.spark, t.folder, "events", files_per_batch=16).select("user_id", "event_id", "ts")
     folder = new_folder(t.spark, "rate")
-    feeds.limit_rate(calls, f"{folder}/out", f"{folder}/log", "user_id", "ts", "event_id", **RATE)
+    feeds.limit_rate_in_state(calls, f"{folder}/out", f"{folder}/log", "user_id", "ts", "event_id", **RATE)
     return t.spark.read.parquet(f"{folder}/out").select("user_id", "event_id", "allowed")
 
 
@@ -726,7 +747,7 @@ def gen_player_stats(t):
 
 @query
 def gen_wide_player_stats(t):
-    return _plain(G.gen_player_stats(t["matches"], t["players"], wide=True))
+    return _plain(G.gen_player_stats(t["matches"], t["players"], wide=True, groups=2))
 
 
 @query
@@ -744,6 +765,14 @@ def gen_payouts(t):
     return _plain(G.gen_payouts(t["players"], t["teams"], t["tournaments"], AS_OF))
 
 
+@query
+def named_queries_kept(t):
+    root = new_folder(t.spark, "named")
+    J.keep_slowest(t.spark, t, root, AS_OF, repeats=1)
+    kept = results.ResultStore(t.spark, f"{root}/results").registry()
+    return kept.agg(F.count(F.lit(1)).alias("n_kept"), F.min("ttl_s").alias("ttl_s"))
+
+
 # jobs --------------------------------------------------------------------------------------------
 
 

@@ -11,6 +11,7 @@ from .columns import (  # noqa: F401
     ratio_pct,
     register_sql_functions,
     rounded_div,
+    row_uuid,
     size_pretty,
     streakcount,
 )

@@ -98,3 +98,10 @@ def draw_item(items: Sequence, seed: str, *key: ColumnLike) -> Column:
     """One element of a short list, chosen by ``draw``."""
     values = F.array(*[F.lit(item) for item in items])
     return F.element_at(values, (F.floor(draw(seed, *key) * len(items)) + 1).cast("int"))
+
+
+def row_uuid(seed: str, *key: ColumnLike) -> Column:
+    """An id in UUID form that depends on seed and key only."""
+    digest = F.md5(F.concat_ws(":", F.lit(seed), *[_col(k).cast("string") for k in key]).cast("binary"))
+    bounds = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
+    return F.concat_ws("-", *[F.substring(digest, start, length) for start, length in bounds])

@@ -14,6 +14,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _NONE = -(2**62)  # "no window open": earlier than any time
 _HELPERS = ["__group", "__chunk", "__t", "__end", "__used"]
+_DECIDED = ["allowed", "window_end", "calls"]
+_BEFORE = -1  # number of the chunk that stands for earlier runs
 
 
 def _walk(batches: Iterator[pa.RecordBatch], max_calls: int, width: int) -> Iterator[pa.RecordBatch]:
@@ -35,7 +38,7 @@ def _walk(batches: Iterator[pa.RecordBatch], max_calls: int, width: int) -> Iter
     """
     group, end, used = None, _NONE, 0
     for batch in batches:
-        allowed, is_call = [], []
+        is_call, ends, calls = [], [], []
         for g, chunk, t, entered, counted in zip(*[batch.column(name).to_pylist() for name in _HELPERS]):
             if (g, chunk) != group:
                 group, end, used = (g, chunk), _NONE, 0
@@ -43,12 +46,15 @@ def _walk(batches: Iterator[pa.RecordBatch], max_calls: int, width: int) -> Iter
                 end, used = entered, counted
             elif t >= end:
                 end, used = t + width, 0
-            is_call.append(counted is None)
-            allowed.append(used < max_calls)
             used += counted is None
+            is_call.append(counted is None)
+            ends.append(end)
+            calls.append(used)
         columns = [name for name in batch.schema.names if name not in _HELPERS]
-        decided = [*[batch.column(name) for name in columns], pa.array(allowed)]
-        yield pa.RecordBatch.from_arrays(decided, names=[*columns, "allowed"]).filter(pa.array(is_call))
+        counted = pa.array(calls, pa.int64())
+        decided = [pc.less_equal(counted, max_calls), pa.array(ends, pa.int64()), counted]
+        rows = [*[batch.column(name) for name in columns], *decided]
+        yield pa.RecordBatch.from_arrays(rows, names=[*columns, *_DECIDED]).filter(pa.array(is_call))
 
 
 def _chunk_exits(width: int):
@@ -96,7 +102,8 @@ def _link(pieces: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 group, chunk, end, used = g, None, _NONE, 0
             if c != chunk:
                 chunk, done = c, False
-                out.append((g, c, end, used))
+                if c != _BEFORE:
+                    out.append((g, c, end, used))
             if not done and end <= upto:
                 done = True
                 if leaves == _NONE:
@@ -115,32 +122,56 @@ def rate_limit(
     seconds: int = 60,
     hot: Sequence[HotGroup] | None = None,
     rows_per_chunk: int = SEGMENT_ROWS,
+    open_windows: DataFrame | None = None,
 ) -> DataFrame:
-    """All events with a column ``allowed``. Calls of one key at the same time are taken by ``order``."""
+    """All events with ``allowed``, the end of the window they fell in (epoch microseconds) and their
+    number in it. Calls of one key at the same time are taken by ``order``.
+
+    ``open_windows`` (key, window_end, calls) carries on from earlier events.
+    """
     width = seconds * 1_000_000
     hot = hot_groups(events, [key]) if hot is None else hot
-    time = F.unix_micros(F.col(ts).cast("timestamp"))
-    rows = events.withColumn("__group", F.coalesce(F.col(key).cast("string"), F.lit("\0"))).withColumn("__t", time)
+    group = F.coalesce(F.col(key).cast("string"), F.lit("\0")).alias("__group")
+    time = F.unix_micros(F.col(ts).cast("timestamp")).alias("__t")
+    rows = events.select("*", group, time)
     no_state = {"__end": F.lit(None).cast("long"), "__used": F.lit(None).cast("long")}
     ordinary = rows if not hot else rows.filter(~is_hot([key], hot))
     calls = ordinary.withColumn("__chunk", F.lit(0).cast("long")).withColumns(no_state)
+    entries = None
+    if open_windows is not None:
+        cold = open_windows.filter(~is_hot([key], hot))
+        entries = cold.select(
+            group,
+            F.lit(0).cast("long").alias("__chunk"),
+            F.col("window_end").alias("__end"),
+            F.col("calls").alias("__used"),
+        )
     if hot:
         sorting = [F.asc("__group"), F.asc("__t"), F.asc(order)]
-        pieces = piece_count(hot, rows_per_chunk)
-        chunked = range_pieces(rows.filter(is_hot([key], hot)), sorting, pieces, "__chunk")
+        chunked = range_pieces(rows.filter(is_hot([key], hot)), sorting, piece_count(hot, rows_per_chunk), "__chunk")
         chunked = chunked.withColumn("__chunk", F.col("__chunk").cast("long"))
         distinct = chunked.groupBy("__group", "__chunk", "__t").agg(F.count(F.lit(1)).alias("n"))
         exits = distinct.groupBy("__group", "__chunk").applyInPandas(
             _chunk_exits(width), "__group string, __chunk long, __upto long, __exit long, n long"
         )
-        entries = (
+        if open_windows is not None:
+            before = open_windows.filter(is_hot([key], hot)).select(
+                group,
+                F.lit(_BEFORE).cast("long").alias("__chunk"),
+                F.lit(-_NONE).cast("long").alias("__upto"),
+                F.col("window_end").alias("__exit"),
+                F.col("calls").alias("n"),
+            )
+            exits = exits.unionByName(before)
+        linked = (
             exits.repartition("__group")
             .sortWithinPartitions("__group", "__chunk", "__upto")
             .mapInPandas(_link, "__group string, __chunk long, __end long, __used long")
         )
-        calls = calls.unionByName(chunked.withColumns(no_state)).unionByName(
-            entries.withColumn("__t", F.lit(_NONE).cast("long")), allowMissingColumns=True
-        )
+        entries = linked if entries is None else entries.unionByName(linked)
+        calls = calls.unionByName(chunked.withColumns(no_state))
+    if entries is not None:
+        calls = calls.unionByName(entries.withColumn("__t", F.lit(_NONE).cast("long")), allowMissingColumns=True)
     # entry states travel as rows, not through a join: the shuffle below must be the last thing before
     # the walk, as a join next to it could be planned in its place and spread a chunk over tasks
     schema = events.schema.simpleString()[len("struct<") : -1]
@@ -148,5 +179,8 @@ def rate_limit(
         calls.select(*events.columns, *_HELPERS)
         .repartition("__group", "__chunk")
         .sortWithinPartitions("__group", "__chunk", "__t", order)
-        .mapInArrow(lambda batches: _walk(batches, max_calls, width), f"{schema}, allowed boolean")
+        .mapInArrow(
+            lambda batches: _walk(batches, max_calls, width),
+            f"{schema}, allowed boolean, window_end long, calls long",
+        )
     )

@@ -39,6 +39,11 @@ def _draw(seed: str, *key: str) -> str:
     return f"(CAST('0x' || substr(md5({text}), 1, 13) AS BIGINT)::DOUBLE / 4503599627370496.0)"
 
 
+def _uuid(seed: str, key: str) -> str:
+    digest = f"md5('{seed}:' || {key})"
+    return " || '-' || ".join(f"substr({digest}, {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
+
+
 def _below(limit, seed: str, *key: str) -> str:
     return f"CAST(floor({_draw(seed, *key)} * {limit}) AS BIGINT)"
 
@@ -240,6 +245,13 @@ add(
     "teams player_changes",
     f"+ {_NEWEST} SELECT id, elo_rating FROM newest WHERE id NOT IN (SELECT id FROM teams)",
 )
+add(
+    "write_through_leaderboard",
+    "players player_changes",
+    f"""+ {_NEWEST} SELECT CAST(p.id AS VARCHAR) AS player_id,
+        coalesce(n.elo_rating, p.elo_rating)::BIGINT AS elo_rating, username, country
+        FROM players p LEFT JOIN newest n ON n.id = p.id ORDER BY 2 DESC, p.id LIMIT 500""",
+)
 add("bulk_elo_shift", "players", "SELECT id, elo_rating + 100 AS elo_rating FROM players")
 add("backfill_created_by", "matches", f"SELECT id, {_CREATED_BY} AS created_by FROM matches")
 add("drop_created_by", "matches", "SELECT * FROM matches")
@@ -511,7 +523,41 @@ add(
     ),
 )
 
+_TESTED = {
+    "stg_players": [("id", "unique"), ("id", "not_null"), ("elo_rating", "0 AND 4000")],
+    "stg_player_stats": [("stat_id", "unique"), ("stat_id", "not_null"), ("headshot_pct", "0 AND 100")],
+    "stg_tournaments": [("id", "unique"), ("id", "not_null"), ("status", TOURNAMENT_STATUSES)],
+    "stg_matches": [("match_id", "unique"), ("match_id", "not_null")],
+    "stg_teams": [("id", "unique"), ("id", "not_null")],
+    "player_performance": [("player_id", "unique"), ("player_id", "not_null"), ("career_kda", "0 AND 1e300")],
+    "tournament_standings": [("team_id", "unique"), ("total_wins", "0 AND 1e300")],
+    "prize_earnings": [("id", "unique"), ("prize_pool", "0 AND 1e300")],
+}
+
+
+def _tested(model: str, column: str, test) -> str:
+    source = f"({ORACLE[model]})"
+    if test == "unique":
+        source = f"(SELECT {column} FROM {source} WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1)"
+        check, condition = test, "true"
+    elif test == "not_null":
+        check, condition = test, f"{column} IS NULL"
+    elif isinstance(test, tuple):
+        check, condition = "accepted_values", f"{column} NOT IN {test}"
+    else:
+        check, condition = "accepted_range", f"{column} NOT BETWEEN {test}"
+    return f"""SELECT '{model}' AS model, '{check}' AS "check", '{column}' AS column_name,
+        count(*) AS n_violations, count(*) = 0 AS passed FROM {source} WHERE {condition}"""
+
+
+add(
+    "model_tests",
+    "",
+    " UNION ALL ".join(_tested(model, *test) for model, tests in _TESTED.items() for test in tests),
+)
+
 # changes
+add("named_queries_kept", "", "SELECT 3::BIGINT AS n_kept, 3600::BIGINT AS ttl_s")
 add(
     "audit_diff",
     "players players_before",
@@ -561,6 +607,7 @@ _LIMIT = f"""WITH RECURSIVE s AS (
     SELECT user_id, event_id, n <= {RATE['max_calls']} AS allowed FROM c"""
 add("rate_limited_calls", "", _LIMIT)
 add("stream_rate_limit", "", _LIMIT)
+add("stream_rate_limit_state", "", _LIMIT)
 add("stream_new_matches", "matches", "SELECT * FROM matches")
 add("stream_dedup", "", "SELECT DISTINCT l_orderkey * 10 + l_linenumber AS id FROM lineitem")
 
@@ -569,7 +616,7 @@ _ZONED = f"(({_ago(_NOW, 3 * 365 * 86400, 'player_created', 'n')}) AT TIME ZONE
 add(
     "gen_players",
     "",
-    f"""SELECT n AS id, 'player' || n AS username, {_item(G.COUNTRIES, 'player_country', 'n')} AS country,
+    f"""SELECT {_uuid('player', 'n')} AS id, 'player' || n AS username, {_item(G.COUNTRIES, 'player_country', 'n')} AS country,
         CAST({_item(G.BIRTH_DATES, 'player_born', 'n')} AS DATE) AS date_of_birth,
         (1080 + {_below('least(n, 500)', 'player_elo', 'n')})::INT AS elo_rating,
         {_ZONED} {_item(G.TIME_ZONES, 'player_zone', 'n')} AS created_at
@@ -578,7 +625,7 @@ add(
 add(
     "gen_teams",
     "",
-    f"""SELECT n AS id, 'team' || n AS name, {_item(G.REGIONS, 'team_region', 'n')} AS region,
+    f"""SELECT {_uuid('team', 'n')} AS id, 'team' || n AS name, {_item(G.REGIONS, 'team_region', 'n')} AS region,
         DATE '2001-10-10' + {_below(365, 'team_founded', 'n')}::INT AS founded_at,
         CAST(50000 + round({_draw('team_prize', 'n')} * 50000, 2) AS DECIMAL(15,2))::DOUBLE AS prize_pool, {_draw('team_active', 'n')} < 0.5 AS is_active
         FROM (SELECT s_suppkey + 1 AS n FROM supplier)""",
@@ -586,7 +633,7 @@ add(
 add(
     "gen_tournaments",
     "",
-    f"""SELECT n AS id, 'tournament' || n AS name, {_item(G.GAMES, 'tournament_game', 'n')} AS game,
+    f"""SELECT {_uuid('tournament', 'n')} AS id, 'tournament' || n AS name, {_item(G.GAMES, 'tournament_game', 'n')} AS game,
         CAST(50000 + round({_draw('tournament_prize', 'n')} * 500000, 2) AS DECIMAL(15,2))::DOUBLE AS prize_pool,
         TIMESTAMP '2026-01-01 00:00:00' + INTERVAL 1 SECOND * {_below(365 * 86400, 'tournament_start', 'n')} AS starts_at,
         {_item(TOURNAMENT_STATUSES, 'tournament_status', 'n')} AS status
@@ -615,7 +662,7 @@ def _matches(winner: str, played_at: str) -> str:
              5 + round({_draw('match_score_a', 'n')} * 11) AS score_a,
              5 + round({_draw('match_score_b', 'n')} * 11) AS score_b, {_draw('match_coin', 'n')} < 0.5 AS coin
       FROM (SELECT o_orderkey + 1 AS n FROM orders))
-    SELECT n AS id, u.id AS tournament_id, x.id AS team_a_id, y.id AS team_b_id,
+    SELECT {_uuid('match', 'n')} AS id, u.id AS tournament_id, x.id AS team_a_id, y.id AS team_b_id,
            CASE WHEN {winner} THEN x.id ELSE y.id END AS winner_id, {played_at} AS played_at
     FROM d JOIN u ON u.at = tour JOIN t x ON x.at = a
     JOIN t y ON y.at = (a + 1 + step) % (SELECT count(*) FROM teams)"""
@@ -635,14 +682,15 @@ add(
 )
 
 
-def _stats(kills: int, deaths: int, assists: int, least: int, damage: tuple, headshots: tuple) -> str:
-    key = ("match_id", "s")
+def _stats(row_id: str, groups: int, kills: int, deaths: int, assists: int, least: int, damage, headshots) -> str:
+    key = ("match_id", "g", "s")
     return f"""+ p AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS at FROM players),
     c AS (SELECT count(*) AS n FROM players),
     r AS (
-      SELECT match_id, s, (s - 1) * n // 8 AS lo, s * n // 8 AS hi
-      FROM (SELECT id AS match_id, unnest(range(1, 9)) AS s FROM matches), c)
-    SELECT match_id * 10 + s AS id, match_id, p.id AS player_id,
+      SELECT i, match_id, g, s, (s - 1) * n // 8 AS lo, s * n // 8 AS hi
+      FROM (SELECT id AS match_id, row_number() OVER (ORDER BY id) AS i FROM matches),
+           (SELECT unnest(range(1, {groups} + 1)) AS g), (SELECT unnest(range(1, 9)) AS s), c)
+    SELECT {row_id} AS id, match_id, p.id AS player_id,
            ({_below(kills, 'stat_kills', *key)} + {least})::INT AS kills,
            ({_below(deaths, 'stat_deaths', *key)} + {least})::INT AS deaths,
            ({_below(assists, 'stat_assists', *key)} + {least})::INT AS assists,
@@ -651,8 +699,12 @@ def _stats(kills: int, deaths: int, assists: int, least: int, damage: tuple, hea
     FROM r JOIN p ON p.at = lo + {_below('(hi - lo)', 'stat_player', *key)}"""
 
 
-add("gen_player_stats", "matches players", _stats(40, 20, 15, 1, (1, 3000), (30, 40)))
-add("gen_wide_player_stats", "matches players", _stats(40, 25, 20, 0, (100, 4500), (25, 55)))
+add("gen_player_stats", "matches players", _stats("i * 10 + s", 1, 40, 20, 15, 1, (1, 3000), (30, 40)))
+add(
+    "gen_wide_player_stats",
+    "matches players",
+    _stats("((i - 1) * 2 + g - 1) * 8 + s", 2, 40, 25, 20, 0, (100, 4500), (25, 55)),
+)
 add(
     "gen_elo_history",
     "player_stats players",

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..cluster import broadcast_if_small
-from ..functions import draw, draw_item
+from ..functions import draw, draw_item, row_uuid
 from ..operators.analytics import at
 from ..operators.ranking import bucket_assign, zip_join, zip_with_index
 from ..schema import TOURNAMENT_STATUSES
@@ -38,6 +38,8 @@ GAMES = (
 ROLES = ("IGL", "AWPer", "Support", "Entry Fragger", "Lurker")
 PLAYERS_PER_TEAM = 6
 PLAYERS_PER_MATCH = 8
+LEAST_MATCHES = 10
+BAN_REASON = "Violation of terms of service"
 
 
 def series(spark: SparkSession, first: int, last: int, name: str = "n") -> DataFrame:
@@ -63,7 +65,7 @@ def gen_players(numbers: DataFrame, as_of: str) -> DataFrame:
     zone = draw_item(TIME_ZONES, "player_zone", "n")
     moment = _seconds_before(as_of, 3 * 365 * 86400, "player_created", "n")
     return numbers.select(
-        F.col("n").alias("id"),
+        row_uuid("player", "n").alias("id"),
         F.concat(F.lit("player"), F.col("n").cast("string")).alias("username"),
         draw_item(COUNTRIES, "player_country", "n").alias("country"),
         draw_item(BIRTH_DATES, "player_born", "n").cast("date").alias("date_of_birth"),
@@ -75,7 +77,7 @@ def gen_players(numbers: DataFrame, as_of: str) -> DataFrame:
 def gen_teams(numbers: DataFrame) -> DataFrame:
     """One team per number: region, founding day within a year, prize pool 50k to 100k."""
     return numbers.select(
-        F.col("n").alias("id"),
+        row_uuid("team", "n").alias("id"),
         F.concat(F.lit("team"), F.col("n").cast("string")).alias("name"),
         draw_item(REGIONS, "team_region", "n").alias("region"),
         F.date_add(F.lit("2001-10-10").cast("date"), _below(365, "team_founded", "n").cast("int")).alias("founded_at"),
@@ -88,7 +90,7 @@ def gen_tournaments(numbers: DataFrame) -> DataFrame:
     """One tournament per number: game, prize pool 50k to 550k, start within 2026, status."""
     start = F.make_dt_interval(secs=_below(365 * 86400, "tournament_start", "n").cast("decimal(18,6)"))
     return numbers.select(
-        F.col("n").alias("id"),
+        row_uuid("tournament", "n").alias("id"),
         F.concat(F.lit("tournament"), F.col("n").cast("string")).alias("name"),
         draw_item(GAMES, "tournament_game", "n").alias("game"),
         _money(50_000, 500_000, "tournament_prize", "n").alias("prize_pool"),
@@ -150,7 +152,7 @@ def gen_matches(
         a_wins = F.when(score_a == score_b, coin).otherwise(score_a > score_b)
         played_at = _seconds_before(as_of, 730 * 86400, "match_time", "n")
     drawn = numbers.select(
-        F.col("n").alias("id"),
+        row_uuid("match", "n").alias("id"),
         _below(n_tournaments, "match_tournament", "n").alias("tournament_id_at"),
         a.alias("team_a_id_at"),
         b.alias("team_b_id_at"),
@@ -164,20 +166,25 @@ def gen_matches(
     return drawn.select("id", "tournament_id", "team_a_id", "team_b_id", winner.alias("winner_id"), "played_at")
 
 
-def gen_player_stats(matches: DataFrame, players: DataFrame, wide: bool = False) -> DataFrame:
+def gen_player_stats(matches: DataFrame, players: DataFrame, wide: bool = False, groups: int = 1) -> DataFrame:
     """Eight different players per match: the players are cut into eight equal ranges in order and one
-    is drawn from each. ``wide`` gives the variant with deaths from 0."""
+    is drawn from each. ``wide`` gives the variant with deaths from 0, ids without gaps and ``groups``
+    times eight players per match."""
     n_players = players.count()
     if n_players < PLAYERS_PER_MATCH:
         raise ValueError(f"need at least {PLAYERS_PER_MATCH} players")
-    slots = F.explode(F.sequence(F.lit(1), F.lit(PLAYERS_PER_MATCH))).alias("s")
-    rows = matches.select(F.col("id").alias("match_id"), slots)
+    if wide and matches.limit(LEAST_MATCHES).count() < LEAST_MATCHES:
+        raise ValueError(f"need at least {LEAST_MATCHES} matches")
+    numbered = zip_with_index(matches.select(F.col("id").alias("match_id")), [F.asc("match_id")], "i")
+    grouped = numbered.select("*", F.explode(F.sequence(F.lit(1), F.lit(groups))).alias("g"))
+    rows = grouped.select("*", F.explode(F.sequence(F.lit(1), F.lit(PLAYERS_PER_MATCH))).alias("s"))
     first = F.floor((F.col("s") - 1) * F.lit(n_players) / PLAYERS_PER_MATCH).cast("long")
     after = F.floor(F.col("s") * F.lit(n_players) / PLAYERS_PER_MATCH).cast("long")
-    key = ("match_id", "s")
+    key = ("match_id", "g", "s")
     kills, deaths, assists = (40, 25, 20) if wide else (40, 20, 15)
     least = 0 if wide else 1
     damage, headshots = ((100, 4500), (25, 55)) if wide else ((1, 3000), (30, 40))
+    in_order = ((F.col("i") - 1) * groups + F.col("g") - 1) * PLAYERS_PER_MATCH + F.col("s")
 
     def count(limit: int, seed: str) -> Column:
         return (_below(limit, seed, *key) + least).cast("int")
@@ -187,7 +194,7 @@ def gen_player_stats(matches: DataFrame, players: DataFrame, wide: bool = False)
 
     drawn = rows.withColumn("player_id_at", first + _below(after - first, "stat_player", *key))
     return drawn.join(_by_position(players, "player_id"), "player_id_at").select(
-        (F.col("match_id") * 10 + F.col("s")).alias("id"),
+        (in_order if wide else F.col("i") * 10 + F.col("s")).alias("id"),
         "match_id",
         "player_id",
         count(kills, "stat_kills").alias("kills"),
@@ -220,7 +227,7 @@ def gen_bans(players: DataFrame, as_of: str, share: float = 0.1) -> DataFrame:
     return zip_with_index(banned, [F.asc("player_id")], "id").select(
         "id",
         "player_id",
-        F.lit("Violation of terms of service").alias("reason"),
+        F.lit(BAN_REASON).alias("reason"),
         (at(as_of) - F.make_dt_interval(F.lit(7))).alias("banned_at"),
         (at(as_of) + F.make_dt_interval(F.lit(30))).alias("expires_at"),
         F.lit(False).alias("is_permanent"),

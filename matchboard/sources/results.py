@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..cluster import cut_lineage
 from ..operators.analytics import MAX_LEADERBOARD, top_players
+from ..operators.changes import apply_updates
 from ..operators.ranking import first_per_key
 
 REGISTRY = T.StructType(
@@ -111,3 +113,15 @@ def leaderboard_snapshot(players: DataFrame, path: str, size: int = MAX_LEADERBO
     """Replace the stored leaderboard and return it."""
     leaderboard_rows(players, size).write.mode("overwrite").parquet(path)
     return players.sparkSession.read.parquet(path)
+
+
+def write_through(
+    players: DataFrame, updates: DataFrame, version: str, board: str, size: int = MAX_LEADERBOARD
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(players with new ratings, leaderboard built from just those, updates of unknown players).
+
+    Table and leaderboard come from one written copy, so they always agree.
+    """
+    updated, unmatched = apply_updates(players, updates, "id", ["elo_rating"], version)
+    updated = cut_lineage(updated)
+    return updated, leaderboard_snapshot(updated, board, size), unmatched

@@ -18,12 +18,15 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.analytics import team_counters
 from ..operators.changes import audit_feed, latest_changes
+from ..operators.ranking import first_per_key
+from ..operators.ratelimit import rate_limit
 from ..sources.results import append_new, leaderboard_snapshot, read_or_empty
 
 # task code travels with the task: executors need no copy of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_OPEN_WINDOW = [T.StructField("window_end", T.LongType()), T.StructField("calls", T.LongType())]
 
 
 def stream_table(spark: SparkSession, folder: str, table: str, files_per_batch: int | None = None) -> DataFrame:
@@ -122,6 +125,38 @@ def audit_changes(
     return run_available(changes, checkpoint, write)
 
 
+def limit_rate(
+    events: DataFrame,
+    target: str,
+    state: str,
+    checkpoint: str,
+    key: str,
+    ts: str,
+    order: str,
+    max_calls: int = 100,
+    seconds: int = 60,
+):
+    """Fixed-window rate limit on a stream whose files arrive in time order.
+
+    Each batch goes on from the open windows of its keys, kept per batch in the state folder, and is
+    decided like a table: a key that fills a third of a batch is spread over tasks.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        fields = [batch.schema[key], *_OPEN_WINDOW, T.StructField("batch", T.LongType())]
+        kept = read_or_empty(spark, state, T.StructType(fields)).filter(F.col("batch") < batch_id)
+        needed = kept.join(batch.select(key).distinct(), key, "left_semi")
+        windows = latest_changes(needed, key, "batch").drop("batch")
+        decided = rate_limit(batch, key, ts, order, max_calls, seconds, open_windows=windows)
+        decided.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        written = spark.read.schema(decided.schema).parquet(f"{target}/batch={batch_id}")
+        last = first_per_key(written, [key], [F.desc(ts), F.desc(order)])
+        last.select(key, "window_end", "calls").write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
+
+    return run_available(events, checkpoint, write)
+
+
 class _RateWindow(StatefulProcessor):
     """One open window per key: when it ends and how many calls it has seen."""
 
@@ -133,7 +168,7 @@ class _RateWindow(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         end, used = self.window.get() if self.window.exists() else (-(2**62), 0)
-        calls = pd.concat(list(rows)).sort_values(["call_us", self.order])  # this key's rows of one micro-batch
+        calls = pd.concat(list(rows)).sort_values(["call_us", self.order])  # this key's calls of one micro-batch
         allowed = []
         for t in calls["call_us"].tolist():
             if t >= end:
@@ -147,7 +182,7 @@ class _RateWindow(StatefulProcessor):
         pass
 
 
-def limit_rate(
+def limit_rate_in_state(
     events: DataFrame,
     target: str,
     checkpoint: str,
@@ -157,8 +192,11 @@ def limit_rate(
     max_calls: int = 100,
     seconds: int = 60,
 ):
-    """Fixed-window rate limit on a stream whose files arrive in time order. ``maxFilesPerTrigger`` on
-    the source bounds how many rows of one key a micro-batch can hold."""
+    """The rate limit with windows in Spark's state store, for streams of small micro-batches.
+
+    A task sorts the calls one key makes within a micro-batch, so the source must bound that with
+    ``maxFilesPerTrigger``. Use ``limit_rate`` to work off a backlog or for very busy keys.
+    """
     spark = events.sparkSession
     setting = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(setting, None)

@@ -45,6 +45,8 @@ def test_matches(made):
 @pytest.mark.parametrize("wide", [False, True])
 def test_player_stats(made, wide):
     stats = G.gen_player_stats(made["matches"], made["players"], wide)
+    first, last = stats.agg(F.min("id"), F.max("id")).first()
+    assert (first, last) == ((1, 8000) if wide else (11, 10008))
     per_match = stats.groupBy("match_id").agg(F.count("*").alias("n"), F.countDistinct("player_id").alias("d"))
     assert per_match.filter("n <> 8 OR d <> 8").count() == 0 and per_match.count() == 1000
     assert stats.select("id").distinct().count() == stats.count()
@@ -77,3 +79,19 @@ def test_too_few_rows_are_refused(spark, made):
         G.gen_matches(G.series(spark, 1, 5), made["tournaments"], made["teams"].limit(1), NOW)
     with pytest.raises(ValueError):
         G.gen_player_stats(made["matches"], made["players"].limit(7))
+    with pytest.raises(ValueError):
+        G.gen_player_stats(made["matches"].limit(9), made["players"], wide=True)
+
+
+def test_groups_of_a_match(made):
+    stats = G.gen_player_stats(made["matches"].limit(20), made["players"], wide=True, groups=5)
+    assert stats.groupBy("match_id").count().filter("count <> 40").count() == 0
+    assert stats.count() == 800 == stats.select("id").distinct().count()
+
+
+def test_ids_look_like_uuids(made):
+    pattern = "^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
+    for name in ("players", "teams", "tournaments", "matches"):
+        ids = made[name].select("id")
+        assert ids.filter(~F.col("id").rlike(pattern)).count() == 0
+        assert ids.distinct().count() == ids.count()

@@ -1,6 +1,9 @@
+import pytest
+
 from matchboard.plans import jobs as J
+from matchboard.plans.checks import MODEL_TESTS, check_model
 from matchboard.plans.models import MARTS, VIEWS, Models, build_models
-from matchboard.sources import readers
+from matchboard.sources import readers, results
 from matchboard.sources.fixtures import AS_OF
 
 
@@ -45,3 +48,32 @@ def test_lake_export_goes_on_after_a_failure(spark, tables, tmp_path):
     log = {r["step"]: r["status"] for r in J.lake_export(spark, Broken(), str(tmp_path), "2026-05-17").collect()}
     assert log["int_player_match_summary"] == "failed"
     assert log["int_team_match_summary"] == log["tournament_standings"] == "ok"
+
+
+def test_named_queries_are_kept(spark, tables, tmp_path):
+    root = str(tmp_path)
+    log = J.keep_slowest(spark, tables, root, AS_OF, repeats=1, k=2)
+    assert log.count() == 8 and log.filter("status <> 'ok'").count() == 0
+    assert results.ResultStore(spark, f"{root}/results").registry().count() == 2
+    assert J.named_query(spark, tables, "Top_Elo_Players", root, AS_OF).count() == 10
+    with pytest.raises(KeyError):
+        J.named_query(spark, tables, "nothing", root, AS_OF)
+
+
+def test_table_and_leaderboard_agree(spark, tmp_path, rows):
+    players = spark.createDataFrame([(1, "a", "X", 10), (2, "b", "Y", 20)], "id long, username string, country string, elo_rating int")
+    updates = spark.createDataFrame([(1, 1, 99), (7, 1, 5)], "id long, v long, elo_rating int")
+    updated, board, unmatched = results.write_through(players, updates, "v", str(tmp_path / "b"))
+    assert rows(updated, "id", "elo_rating") == [(1, 99), (2, 20)]
+    assert rows(board, "player_id", "elo_rating") == [("1", 99), ("2", 20)]
+    assert rows(unmatched, "id") == [(7,)]
+
+
+def test_model_report_names_what_fails(spark, rows):
+    stats = spark.createDataFrame([(1, 50.0), (1, 101.0), (None, 5.0)], "stat_id long, headshot_pct double")
+    assert rows(check_model(stats, "m", MODEL_TESTS["stg_player_stats"])) == [
+        ("m", "accepted_range", "headshot_pct", 1, False),
+        ("m", "not_null", "stat_id", 1, False),
+        ("m", "unique", "stat_id", 1, False),
+    ]
+    assert sum(len(tests) for columns in MODEL_TESTS.values() for tests in columns.values()) == 20

@@ -1,10 +1,13 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
+from matchboard.operators import ratelimit
 from matchboard.operators.analytics import team_counters
 from matchboard.operators.changes import audit_feed
 from matchboard.operators.ratelimit import rate_limit
+from matchboard.operators.skew import HotGroup
 from matchboard.streaming import feeds
 
 
@@ -74,18 +77,30 @@ def test_audit_over_several_batches(spark, tables, tmp_path, rows):
     assert rows(got) == rows(audit_feed(changes, "id", "version", ["elo_rating"], "players"))
 
 
-def test_rate_limit_over_several_batches(spark, tmp_path, rows):
+@pytest.mark.parametrize("way", ["state", "batches", "hot batches"])
+def test_rate_limit_over_several_batches(spark, tmp_path, rows, monkeypatch, way):
     rng = random.Random(5)
     times = sorted(rng.randrange(600) for _ in range(400))
     calls = spark.createDataFrame(
         [(rng.randrange(3), i, t) for i, t in enumerate(times)], "user_id long, event_id long, s long"
     ).select("user_id", "event_id", F.timestamp_seconds("s").alias("ts"))
-    folder, out, log = (str(tmp_path / n) for n in ("in", "out", "log"))
+    expected = rows(rate_limit(calls, "user_id", "ts", "event_id", 5, 60), "user_id", "event_id", "allowed")
+    if way == "hot batches":
+        monkeypatch.setattr(ratelimit, "hot_groups", lambda *_: [HotGroup((1,), 3_000_000), HotGroup((2,), 9)])
+    folder, out, state, log = (str(tmp_path / n) for n in ("in", "out", "state", "log"))
+
+    def run():
+        source, columns = reader(spark, folder, calls.schema), ("user_id", "ts", "event_id", 5, 60)
+        if way == "state":
+            feeds.limit_rate_in_state(source, out, log, *columns)
+        else:
+            feeds.limit_rate(source, out, state, log, *columns)
+
     land(calls.filter("event_id < 300"), folder, 3, "event_id")
-    feeds.limit_rate(reader(spark, folder, calls.schema), out, log, "user_id", "ts", "event_id", 5, 60)
+    run()
     calls.filter("event_id >= 300").coalesce(1).write.mode("append").parquet(folder)
-    feeds.limit_rate(reader(spark, folder, calls.schema), out, log, "user_id", "ts", "event_id", 5, 60)
-    assert rows(spark.read.parquet(out)) == rows(rate_limit(calls, "user_id", "ts", "event_id", 5, 60))
+    run()
+    assert rows(spark.read.parquet(out), "user_id", "event_id", "allowed") == expected
 
 
 def test_leaderboard_follows_new_players(spark, tables, tmp_path):
