@@ -164,7 +164,8 @@ def partition_layout(t):
     matches = t["matches"]
     base = new_folder(t.spark, "dated")
     writers.write_dated(matches, base, RUN_DATE)
-    dated = T.StructType([*matches.schema.fields, *[T.StructField(c, T.StringType()) for c in ("year", "month", "day")]])
+    date_parts = [T.StructField(c, T.StringType()) for c in ("year", "month", "day")]
+    dated = T.StructType([*matches.schema.fields, *date_parts])
     stored = t.spark.read.schema(dated).parquet(base)
     return stored.groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -290,7 +291,10 @@ def drop_created_by(t):
 def validate_new_players(t):
     born = F.lit("1995-01-01").cast("date")
     texts = t["documents"].select(
-        F.col("doc_id").alias("id"), F.col("text").alias("username"), F.col("lang").alias("country"), born.alias("date_of_birth")
+        F.col("doc_id").alias("id"),
+        F.col("text").alias("username"),
+        F.col("lang").alias("country"),
+        born.alias("date_of_birth"),
     )
     candidates = t["players"].select("id", "username", "country", "date_of_birth").unionByName(texts)
     return Q.judge_new_players(candidates, AS_OF)

@@ -86,7 +86,7 @@ add("gen_series", "", "SELECT unnest(range(1, (SELECT max(o_orderkey) + 2 FROM o
 # staging, intermediate and mart models
 _KDA100 = """((200 * (coalesce(kills, 0) + coalesce(assists, 0)) + coalesce(deaths, 0))
              // (2 * nullif(coalesce(deaths, 0), 0)))"""
-_STREAK = """t AS (
+_GROUPS = """t AS (
       SELECT tournament_id, team_a_id, winner_id = team_a_id AS w,
              row_number() OVER (PARTITION BY tournament_id, team_a_id ORDER BY played_at DESC, id DESC) AS rn
       FROM matches),
@@ -94,7 +94,8 @@ _STREAK = """t AS (
       SELECT tournament_id, team_a_id, count(*) AS total_matches, count(*) FILTER (WHERE w) AS wins,
              count(*) FILTER (WHERE NOT w) AS losses,
              coalesce(min(rn) FILTER (WHERE NOT w) - 1, count(*))::BIGINT AS current_streak
-      FROM t GROUP BY ALL),
+      FROM t GROUP BY ALL)"""
+_STREAK = f"""{_GROUPS},
     team AS (SELECT * FROM summary WHERE tournament_id IN (SELECT id FROM tournaments))"""
 add("stg_players", "players", "SELECT * FROM players")
 add("stg_teams", "teams", "SELECT id, name, region, prize_pool::DOUBLE AS prize_pool FROM teams")
@@ -233,7 +234,8 @@ add(
 )
 add("player_lookup", "players", "SELECT * FROM players WHERE id IN (SELECT user_id FROM events)")
 _NEWEST = """newest AS (
-      SELECT id, arg_max(elo_rating, version) AS elo_rating FROM player_changes WHERE operation <> 'DELETE' GROUP BY id)"""
+      SELECT id, arg_max(elo_rating, version) AS elo_rating FROM player_changes
+      WHERE operation <> 'DELETE' GROUP BY id)"""
 add(
     "apply_elo_updates",
     "players player_changes",
@@ -274,7 +276,8 @@ add("clean_document_text", "", "SELECT doc_id, text FROM documents")
 add(
     "interval_math",
     "matches",
-    """SELECT id, played_at - INTERVAL 7 DAY AS week_before, played_at + INTERVAL 1 SECOND * (id % 86400) AS seconds_after,
+    """SELECT id, played_at - INTERVAL 7 DAY AS week_before,
+       played_at + INTERVAL 1 SECOND * (id % 86400) AS seconds_after,
        CAST(played_at AS DATE) + CAST(id % 365 AS INT) AS days_after FROM matches""",
 )
 add(
@@ -296,7 +299,8 @@ add(
 add(
     "streakcount_sql",
     "matches",
-    f"+ {_STREAK.split(',' + chr(10) + '    team AS')[0]} SELECT tournament_id, team_a_id, 0::BIGINT AS part, current_streak::INT AS streak FROM summary",
+    f"""+ {_GROUPS}
+    SELECT tournament_id, team_a_id, 0::BIGINT AS part, current_streak::INT AS streak FROM summary""",
 )
 
 # analytical queries
@@ -366,8 +370,8 @@ add(
 )
 add(
     "current_streak",
-    "matches tournaments",
-    f"+ {_STREAK} SELECT tournament_id, team_a_id, current_streak FROM summary",
+    "matches",
+    f"+ {_GROUPS} SELECT tournament_id, team_a_id, current_streak FROM summary",
 )
 _COUNTERS = """SELECT team_id, count(*) AS matches_played, count(*) FILTER (WHERE team_id = winner_id) AS matches_won
     FROM (SELECT team_a_id AS team_id, winner_id FROM matches UNION ALL SELECT team_b_id, winner_id FROM matches)
@@ -452,7 +456,8 @@ _SHIFTED = """shifted AS (SELECT id, match_id, player_id, kills - 5 AS kills, de
 
 
 def _count(check: str, column: str, table: str, condition: str) -> str:
-    return f"SELECT '{check}' AS \"check\", '{column}' AS column_name, count(*) AS n_violations FROM {table} WHERE {condition}"
+    return f"""SELECT '{check}' AS "check", '{column}' AS column_name, count(*) AS n_violations
+        FROM {table} WHERE {condition}"""
 
 
 _ROSTER = ("id", "team_id", "player_id", "role", "joined_at", "left_at")
@@ -484,7 +489,8 @@ add(
     "player_stats",
     f"+ {_SHIFTED} "
     + " UNION ALL ".join(
-        f"SELECT player_id, 'Negative {c} for player ' || player_id || ': ' || {c} AS message FROM shifted WHERE {c} < 0"
+        f"""SELECT player_id, 'Negative {c} for player ' || player_id || ': ' || {c} AS message
+            FROM shifted WHERE {c} < 0"""
         for c in ("kills", "assists", "deaths")
     ),
 )
@@ -616,7 +622,8 @@ _ZONED = f"(({_ago(_NOW, 3 * 365 * 86400, 'player_created', 'n')}) AT TIME ZONE
 add(
     "gen_players",
     "",
-    f"""SELECT {_uuid('player', 'n')} AS id, 'player' || n AS username, {_item(G.COUNTRIES, 'player_country', 'n')} AS country,
+    f"""SELECT {_uuid('player', 'n')} AS id, 'player' || n AS username,
+        {_item(G.COUNTRIES, 'player_country', 'n')} AS country,
         CAST({_item(G.BIRTH_DATES, 'player_born', 'n')} AS DATE) AS date_of_birth,
         (1080 + {_below('least(n, 500)', 'player_elo', 'n')})::INT AS elo_rating,
         {_ZONED} {_item(G.TIME_ZONES, 'player_zone', 'n')} AS created_at
@@ -627,15 +634,18 @@ add(
     "",
     f"""SELECT {_uuid('team', 'n')} AS id, 'team' || n AS name, {_item(G.REGIONS, 'team_region', 'n')} AS region,
         DATE '2001-10-10' + {_below(365, 'team_founded', 'n')}::INT AS founded_at,
-        CAST(50000 + round({_draw('team_prize', 'n')} * 50000, 2) AS DECIMAL(15,2))::DOUBLE AS prize_pool, {_draw('team_active', 'n')} < 0.5 AS is_active
+        CAST(50000 + round({_draw('team_prize', 'n')} * 50000, 2) AS DECIMAL(15,2))::DOUBLE AS prize_pool,
+        {_draw('team_active', 'n')} < 0.5 AS is_active
         FROM (SELECT s_suppkey + 1 AS n FROM supplier)""",
 )
 add(
     "gen_tournaments",
     "",
-    f"""SELECT {_uuid('tournament', 'n')} AS id, 'tournament' || n AS name, {_item(G.GAMES, 'tournament_game', 'n')} AS game,
+    f"""SELECT {_uuid('tournament', 'n')} AS id, 'tournament' || n AS name,
+        {_item(G.GAMES, 'tournament_game', 'n')} AS game,
         CAST(50000 + round({_draw('tournament_prize', 'n')} * 500000, 2) AS DECIMAL(15,2))::DOUBLE AS prize_pool,
-        TIMESTAMP '2026-01-01 00:00:00' + INTERVAL 1 SECOND * {_below(365 * 86400, 'tournament_start', 'n')} AS starts_at,
+        TIMESTAMP '2026-01-01 00:00:00'
+          + INTERVAL 1 SECOND * {_below(365 * 86400, 'tournament_start', 'n')} AS starts_at,
         {_item(TOURNAMENT_STATUSES, 'tournament_status', 'n')} AS status
         FROM (SELECT p_partkey + 1 AS n FROM part)""",
 )
@@ -646,8 +656,7 @@ add(
     f"""+ p AS (SELECT id AS player_id, row_number() OVER (ORDER BY id) AS rn FROM players),
     t AS (SELECT id AS team_id, row_number() OVER (ORDER BY {_draw('roster_team', 'id')}, id) AS rn FROM teams)
     SELECT p.rn AS id, team_id, player_id,
-           (['IGL', 'AWPer', 'Support', 'Entry Fragger', 'Lurker'])[round({_draw('roster_role', 'player_id')} * 4)::INT + 1]
-           AS role, {_JOINED} AS joined_at, {_JOINED} + 2 AS left_at
+           ({list(G.ROLES)})[round({_draw('roster_role', 'player_id')} * 4)::INT + 1] AS role, {_JOINED} AS joined_at, {_JOINED} + 2 AS left_at
     FROM p JOIN t ON t.rn = (p.rn - 1) // 6 + 1""",
 )
 

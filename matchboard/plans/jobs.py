@@ -179,7 +179,9 @@ def weekly(spark: SparkSession, tables, root: str, as_of: str) -> DataFrame:
     )
 
 
-def monthly(spark: SparkSession, tables, names: Sequence[str], root: str, as_of: str, dry_run: bool = True) -> DataFrame:
+def monthly(
+    spark: SparkSession, tables, names: Sequence[str], root: str, as_of: str, dry_run: bool = True
+) -> DataFrame:
     """Snapshot every table, then drop snapshots older than the retention time."""
 
     def backup() -> int:

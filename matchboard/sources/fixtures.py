@@ -64,7 +64,8 @@ VIEWS: dict[str, str] = {
                ts + INTERVAL '37' DAY AS expires_at, FALSE AS is_permanent
         FROM {events} AS events WHERE event_type = 'error'""",
     "players_before": """
-        SELECT id, username, country, CASE WHEN elo_rating < 1500 THEN elo_rating - 100 ELSE elo_rating END AS elo_rating
+        SELECT id, username, country,
+               CASE WHEN elo_rating < 1500 THEN elo_rating - 100 ELSE elo_rating END AS elo_rating
         FROM {players} AS players WHERE created_at < {ntz}'2025-07-01 00:00:00'
         UNION ALL
         SELECT -1 - s_suppkey, s_name, n_name, CAST(1000 + floor(s_acctbal / 5) AS INT)

@@ -20,7 +20,8 @@ def test_audit_rows(spark):
 
 def test_updates_newest_wins_and_unknown_is_reported(spark, rows):
     df = spark.createDataFrame([(1, 10), (2, 20)], "id long, elo_rating int")
-    updates = spark.createDataFrame([(1, 1, 11), (1, 2, 12), (2, 1, None), (9, 1, 5)], "id long, v long, elo_rating int")
+    changes = [(1, 1, 11), (1, 2, 12), (2, 1, None), (9, 1, 5)]
+    updates = spark.createDataFrame(changes, "id long, v long, elo_rating int")
     updated, unmatched = C.apply_updates(df, updates, "id", ["elo_rating"], "v")
     assert rows(updated) == [(1, 12), (2, None)]
     assert rows(unmatched) == [(9, 5)]
@@ -46,7 +47,8 @@ def test_bloat_and_compaction(spark, rows):
 
 
 def test_traversals_of_a_cycle(spark, rows):
-    matches = spark.createDataFrame([("A", "B"), ("B", "C"), ("C", "A"), ("A", "B")], "team_a_id string, team_b_id string")
+    played = [("A", "B"), ("B", "C"), ("C", "A"), ("A", "B")]
+    matches = spark.createDataFrame(played, "team_a_id string, team_b_id string")
     network = N.team_network(matches)
     assert rows(network, "full_path", "level", "n_rows") == [
         ("A->B", 1, 1), ("A->B->C", 2, 1), ("B->C", 1, 1), ("B->C->A", 2, 1), ("C->A", 1, 1), ("C->A->B", 2, 2),

@@ -12,7 +12,8 @@ def test_a_failing_step_stops_the_job(spark):
         raise RuntimeError("no such table\nsecond line")
 
     log = J.run_steps(spark, "j", [("a", lambda: 3), ("b", fail), ("c", lambda: 1)]).orderBy("position").collect()
-    assert [(r["step"], r["status"], r["n_rows"]) for r in log] == [("a", "ok", 3), ("b", "failed", None), ("c", "skipped", None)]
+    steps = [(r["step"], r["status"], r["n_rows"]) for r in log]
+    assert steps == [("a", "ok", 3), ("b", "failed", None), ("c", "skipped", None)]
     assert log[1]["message"] == "no such table"
     summary = J.run_log_summary(spark.createDataFrame(log)).collect()
     assert {r["query_name"] for r in summary} == {"a", "b", "c"}
@@ -61,7 +62,8 @@ def test_named_queries_are_kept(spark, tables, tmp_path):
 
 
 def test_table_and_leaderboard_agree(spark, tmp_path, rows):
-    players = spark.createDataFrame([(1, "a", "X", 10), (2, "b", "Y", 20)], "id long, username string, country string, elo_rating int")
+    columns = "id long, username string, country string, elo_rating int"
+    players = spark.createDataFrame([(1, "a", "X", 10), (2, "b", "Y", 20)], columns)
     updates = spark.createDataFrame([(1, 1, 99), (7, 1, 5)], "id long, v long, elo_rating int")
     updated, board, unmatched = results.write_through(players, updates, "v", str(tmp_path / "b"))
     assert rows(updated, "id", "elo_rating") == [(1, 99), (2, 20)]

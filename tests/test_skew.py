@@ -37,7 +37,8 @@ def test_avg_damage(stats, rows):
 
 def test_pieces_are_balanced_whatever_the_values(spark):
     """Nearly all rows within one second of ten years."""
-    df = spark.range(4000).select(F.lit(1).alias("k"), F.when(F.col("id") == 0, 0.0).otherwise(1e9 + F.col("id")).alias("v"))
+    value = F.when(F.col("id") == 0, 0.0).otherwise(1e9 + F.col("id"))
+    df = spark.range(4000).select(F.lit(1).alias("k"), value.alias("v"))
     cut = S.add_segment(df, ["k"], ["v"], [S.HotGroup((1,), 4000)], 500)
     sizes = [r["count"] for r in cut.groupBy(S.SEGMENT).count().collect()]
     assert sum(sizes) == 4000 and len(sizes) >= 7 and max(sizes) < 1200
