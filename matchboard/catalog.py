@@ -22,7 +22,7 @@ from .plans.checks import check_models
 from .plans.models import MARTS, VIEWS, Models
 from .schema import FOREIGN_KEYS
 from .sources import readers, results, writers
-from .sources.fixtures import AS_OF, EVENTS_AS_OF, WATERMARK, Tables
+from .sources.fixtures import AS_OF, EVENTS_AS_OF, WATERMARK, Tables, open_tables
 from .streaming import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,12 +35,12 @@ RATE = {"max_calls": 2, "seconds": 86400}
 
 def query(function: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
     """Register a function of the tables under its own name."""
-    QUERIES[function.__name__] = lambda spark, folder: function(Tables(spark, folder))
+    QUERIES[function.__name__] = lambda spark, folder: function(open_tables(spark, folder))
     return function
 
 
 def _model(name: str) -> None:
-    QUERIES[name] = lambda spark, folder: _plain(Models(Tables(spark, folder))[name])
+    QUERIES[name] = lambda spark, folder: _plain(Models(open_tables(spark, folder))[name])
 
 
 def _plain(df: DataFrame) -> DataFrame:

@@ -107,6 +107,20 @@ class Tables:
         return self._known[name]
 
 
+_OPENED: dict[tuple, Tables] = {}
+
+
+def open_tables(spark: SparkSession, folder: str) -> Tables:
+    """The tables of a folder, looked up once per session: files listed, schemas read, views analysed.
+
+    No data is kept. A folder whose files are replaced needs a new ``Tables``.
+    """
+    key = (spark.sparkContext.applicationId, id(spark), folder)
+    if key not in _OPENED:
+        _OPENED[key] = Tables(spark, folder)
+    return _OPENED[key]
+
+
 def view_sql(*names: str) -> str:
     """``name AS (...)`` clauses for the named views and the views they need, for a WITH list."""
     ordered: list[str] = []
