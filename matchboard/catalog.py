@@ -371,6 +371,13 @@ def avg_damage(t):
     return A.avg_damage(t["player_stats"])
 
 
+@query
+def avg_damage_bucketed(t):
+    folder = new_folder(t.spark, "bucketed")
+    name = "stats_by_match_" + folder.rsplit("-", 1)[-1]
+    return A.avg_damage(writers.store_layout(t, "stats_by_match", name, folder, 8))
+
+
 @query
 def most_improved(t):
     return A.most_improved(t["elo_history"], AS_OF)

@@ -308,12 +308,10 @@ _TOP_KDA = """SELECT player_id, (kills + assists)::DOUBLE / nullif(deaths, 0)::D
     FROM player_stats ORDER BY kda DESC NULLS LAST, player_id LIMIT 10"""
 add("top_kda", "player_stats", _TOP_KDA)
 add("top_kda_nulls_last", "player_stats", _TOP_KDA)
-add(
-    "avg_damage",
-    "player_stats",
-    """SELECT match_id, player_id, CAST(sum(damage_dealt) OVER p AS DOUBLE) / count(damage_dealt) OVER p AS avg_dmg
-       FROM player_stats WINDOW p AS (PARTITION BY match_id ORDER BY player_id)""",
-)
+_AVG_DAMAGE = """SELECT match_id, player_id, CAST(sum(damage_dealt) OVER p AS DOUBLE) / count(damage_dealt) OVER p AS avg_dmg
+    FROM player_stats WINDOW p AS (PARTITION BY match_id ORDER BY player_id)"""
+add("avg_damage", "player_stats", _AVG_DAMAGE)
+add("avg_damage_bucketed", "player_stats", _AVG_DAMAGE)
 add(
     "frequent_pairs",
     "matches",

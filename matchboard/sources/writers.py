@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..cluster import cut_lineage
 from ..functions import clean_text
+from ..operators.skew import HOT_ROWS, hot_groups
 from .readers import lake_files
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -46,6 +47,38 @@ def write(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite
     return path
 
 
+# What the indexes of the original serve: (table, bucket columns, sort columns) per frequent query.
+LAYOUTS: dict[str, tuple[str, tuple[str, ...], tuple[str, ...]]] = {
+    "matches_by_tournament": ("matches", ("tournament_id", "team_a_id"), ("tournament_id", "team_a_id")),
+    "stats_by_match": ("player_stats", ("match_id",), ("match_id", "player_id")),
+    "stats_by_player": ("player_stats", ("player_id",), ("player_id", "match_id")),
+    "payouts_by_player": ("prize_payouts", ("player_id",), ("player_id",)),
+}
+
+
+def write_bucketed(
+    df: DataFrame, name: str, path: str, keys: tuple, sort: tuple, buckets: int, min_rows: int = HOT_ROWS
+) -> DataFrame:
+    """A catalog table bucketed by ``keys``: joins, aggregates and windows on them need no shuffle.
+
+    A bucket is read by one task, so a table with a hot key is not bucketed. It is stored in balanced
+    sorted ranges instead, which still let scans skip files by key.
+    """
+    if hot_groups(df, keys, min_rows):
+        ranges = [F.asc(c) for c in dict.fromkeys([*sort, *df.columns])]
+        writer = df.repartitionByRange(buckets, *ranges).sortWithinPartitions(*ranges).write.mode("overwrite")
+    else:
+        writer = df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*sort)
+    writer.option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def store_layout(tables, layout: str, name: str, path: str, buckets: int) -> DataFrame:
+    """One of the ``LAYOUTS`` as a bucketed table. Buckets should come to some hundred MB each."""
+    table, keys, sort = LAYOUTS[layout]
+    return write_bucketed(tables[table], name, path, keys, sort, buckets)
+
+
 def write_dated(df: DataFrame, base: str, run_date: str, fmt: str = "parquet") -> str:
     """Write below ``base/year=YYYY/month=MM/day=DD`` of the run date; other dates are left alone."""
     day = F.lit(run_date).cast("date")

@@ -148,3 +148,32 @@ def test_scan_uses_the_declared_columns(spark, tmp_path):
     got = readers.scan(spark, path, "teams")
     assert got.schema == TABLES["teams"]  # missing columns are NULL, undeclared ones are not read
     assert got.first().asDict()["region"] is None and got.first()["name"] == "x"
+
+
+@pytest.mark.parametrize("layout", sorted(writers.LAYOUTS))
+def test_bucketed_layouts_need_no_shuffle(spark, tables, tmp_path, layout, rows):
+    stored = writers.store_layout(tables, layout, f"t_{layout}", str(tmp_path / layout), 4)
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    try:
+        use = {
+            "matches_by_tournament": A.frequent_pairs,
+            "stats_by_match": A.avg_damage,
+            "stats_by_player": A.last_n_per_player,
+            "payouts_by_player": A.prize_by_player,
+        }[layout]
+        assert "Exchange" not in use(stored)._jdf.queryExecution().executedPlan().toString()
+        assert rows(use(stored)) == rows(use(tables[writers.LAYOUTS[layout][0]]))
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+        spark.sql(f"DROP TABLE t_{layout}")
+
+
+def test_a_table_with_a_hot_key_is_stored_in_even_ranges(spark, tmp_path, rows):
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), "id")
+    stored = writers.write_bucketed(df, "t_hot", str(tmp_path / "hot"), ("k",), ("k", "id"), 4, min_rows=100)
+    try:
+        sizes = [r["count"] for r in stored.groupBy(F.input_file_name()).count().collect()]
+        assert len(sizes) == 4 and max(sizes) < 1000
+        assert rows(stored) == rows(df)
+    finally:
+        spark.sql("DROP TABLE t_hot")
