@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..cluster import broadcast_if_small
+from ..cluster import broadcast_if_small, fits
 from ..functions import draw, draw_item, row_uuid
 from ..operators.analytics import at
 from ..operators.ranking import bucket_assign, zip_join, zip_with_index
@@ -173,7 +173,7 @@ def gen_player_stats(matches: DataFrame, players: DataFrame, wide: bool = False,
     n_players = players.count()
     if n_players < PLAYERS_PER_MATCH:
         raise ValueError(f"need at least {PLAYERS_PER_MATCH} players")
-    if wide and matches.limit(LEAST_MATCHES).count() < LEAST_MATCHES:
+    if wide and fits(matches, LEAST_MATCHES - 1):
         raise ValueError(f"need at least {LEAST_MATCHES} matches")
     numbered = zip_with_index(matches.select(F.col("id").alias("match_id")), [F.asc("match_id")], "i")
     grouped = numbered.select("*", F.explode(F.sequence(F.lit(1), F.lit(groups))).alias("g"))
