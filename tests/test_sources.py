@@ -177,3 +177,16 @@ def test_a_table_with_a_hot_key_is_stored_in_even_ranges(spark, tmp_path, rows):
         assert rows(stored) == rows(df)
     finally:
         spark.sql("DROP TABLE t_hot")
+
+
+def test_csv_times_with_a_zone(spark, tmp_path):
+    from matchboard.schema import TABLES
+
+    path = tmp_path / "matches.csv"
+    path.write_text(
+        "id,tournament_id,team_a_id,team_b_id,winner_id,played_at\n"
+        "m1,t1,a,b,a,2026-05-17 11:49:20.035116+00:00\nm2,t1,b,a,a,2026-05-17 11:49:20+00:00\n"
+    )
+    older = T.StructType(TABLES["matches"].fields[:-1])
+    got = readers.read_csv_versions(spark, [(str(path), older)]).orderBy("id").collect()
+    assert [r["played_at"].isoformat() for r in got] == ["2026-05-17T11:49:20.035116", "2026-05-17T11:49:20"]
