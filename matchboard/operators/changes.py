@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ..functions import draw_item
 from .ranking import first_per_key
 from .skew import previous_in_group
-from .skew import skew_join
 
 
 def _json(row: Column) -> Column:

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -56,14 +58,17 @@ def hot_groups(
 
 
 def is_hot(keys: Sequence[str], hot: Sequence[HotGroup]) -> Column:
-    """Predicate: the row belongs to one of the hot groups."""
-    match = F.lit(False)
-    for group in hot:
-        same = F.lit(True)
-        for name, value in zip(keys, group.key):
-            same = same & F.col(name).eqNullSafe(F.lit(value))
-        match = match | same
-    return match
+    """Predicate, never NULL: the row belongs to one of the hot groups."""
+    if len(keys) == 1:
+        known = [group.key[0] for group in hot if group.key[0] is not None]
+        match = F.coalesce(F.col(keys[0]).isin(known), F.lit(False))
+        return match | F.col(keys[0]).isNull() if len(known) < len(hot) else match
+    tests = [
+        reduce(and_, [F.col(name).eqNullSafe(F.lit(value)) for name, value in zip(keys, group.key)]) for group in hot
+    ]
+    while len(tests) > 1:  # a balanced tree stays shallow
+        tests = [reduce(or_, tests[i : i + 2]) for i in range(0, len(tests), 2)]
+    return tests[0] if tests else F.lit(False)
 
 
 @dataclass(frozen=True)

@@ -114,9 +114,8 @@ def audit_changes(
         kept = read_or_empty(spark, state, T.StructType([*batch.schema.fields, T.StructField("batch", T.LongType())]))
         earlier = kept.filter(F.col("batch") < batch_id).join(batch.select(key).distinct(), key, "left_semi")
         before = latest_changes(earlier, key, version).drop("batch")
-        both = before.withColumn("__old", F.lit(True)).unionByName(batch.withColumn("__old", F.lit(False)))
-        audited = audit_feed(both.drop("__old"), key, version, columns, name)
-        fresh = batch.select(F.col(key).alias("row_key"), version)
+        audited = audit_feed(before.unionByName(batch), key, version, columns, name)
+        fresh = batch.select(F.col(key).alias("row_key"), version)  # without the earlier rows
         audited.join(fresh, ["row_key", version], "left_semi").write.mode("overwrite").parquet(
             f"{target}/batch={batch_id}"
         )

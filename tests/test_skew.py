@@ -30,6 +30,16 @@ def test_hot_groups_are_found(stats):
     assert S.hot_groups(stats, ["match_id"]) == []  # far too few rows to matter
 
 
+def test_hot_predicate(spark, rows):
+    df = spark.createDataFrame([(1, "a"), (1, None), (None, "a"), (None, None), (2, "b")], "k long, t string")
+    single = S.is_hot(["k"], [S.HotGroup((2,), 1), S.HotGroup((None,), 1)])
+    assert rows(df.filter(single)) == [(2, "b"), (None, "a"), (None, None)]
+    assert rows(df.filter(~S.is_hot(["k"], [S.HotGroup((2,), 1)])).agg(F.count("*"))) == [(4,)]
+    many = [S.HotGroup((i, "x"), 1) for i in range(399)] + [S.HotGroup((1, None), 1), S.HotGroup((2, "b"), 1)]
+    assert rows(df.filter(S.is_hot(["k", "t"], many))) == [(1, None), (2, "b")]
+    assert df.filter(S.is_hot(["k", "t"], [])).isEmpty() and df.filter(S.is_hot(["k"], [])).isEmpty()
+
+
 def test_avg_damage(stats, rows):
     hot = S.hot_groups(stats, ["match_id"], min_rows=500)
     assert rows(A.avg_damage(stats, hot, rows_per_segment=100)) == rows(A.avg_damage(stats, []))
