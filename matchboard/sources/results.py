@@ -39,11 +39,11 @@ def new_rows(batch: DataFrame, target: DataFrame, key: str, ts: str) -> DataFram
     """Rows of ``batch`` whose key the target lacks, one per key.
 
     A row delivered again carries the same time, so only the target's rows between the batch's first
-    and last time are looked at.
+    and last time, and those without a time, are looked at.
     """
     first = batch.agg(F.min(ts)).scalar()
     last = batch.agg(F.max(ts)).scalar()
-    known = target.filter((F.col(ts) >= first) & (F.col(ts) <= last)).select(key)
+    known = target.filter(F.col(ts).between(first, last) | F.col(ts).isNull()).select(key)
     return first_per_key(batch, [key], [F.desc_nulls_last(ts)]).join(known, key, "left_anti")
 
 

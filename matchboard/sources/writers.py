@@ -48,11 +48,13 @@ def write(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite
 
 
 # What the indexes of the original serve: (table, bucket columns, sort columns) per frequent query.
+# Without bucket columns a table is stored in sorted ranges, for filters on the first sort column.
 LAYOUTS: dict[str, tuple[str, tuple[str, ...], tuple[str, ...]]] = {
     "matches_by_tournament": ("matches", ("tournament_id", "team_a_id"), ("tournament_id", "team_a_id")),
     "stats_by_match": ("player_stats", ("match_id",), ("match_id", "player_id")),
     "stats_by_player": ("player_stats", ("player_id",), ("player_id", "match_id")),
     "payouts_by_player": ("prize_payouts", ("player_id",), ("player_id",)),
+    "ratings_by_time": ("elo_history", (), ("changed_at", "player_id")),
 }
 
 
@@ -62,9 +64,9 @@ def write_bucketed(
     """A catalog table bucketed by ``keys``: joins, aggregates and windows on them need no shuffle.
 
     A bucket is read by one task, so a table with a hot key is not bucketed. It is stored in balanced
-    sorted ranges instead, which still let scans skip files by key.
+    sorted ranges instead, as is one without ``keys``; these let scans skip files by the sort columns.
     """
-    if hot_groups(df, keys, min_rows):
+    if not keys or hot_groups(df, keys, min_rows):
         ranges = [F.asc(c) for c in dict.fromkeys([*sort, *df.columns])]
         writer = df.repartitionByRange(buckets, *ranges).sortWithinPartitions(*ranges).write.mode("overwrite")
     else:

@@ -150,7 +150,7 @@ def test_scan_uses_the_declared_columns(spark, tmp_path):
     assert got.first().asDict()["region"] is None and got.first()["name"] == "x"
 
 
-@pytest.mark.parametrize("layout", sorted(writers.LAYOUTS))
+@pytest.mark.parametrize("layout", sorted(name for name, (_, keys, _) in writers.LAYOUTS.items() if keys))
 def test_bucketed_layouts_need_no_shuffle(spark, tables, tmp_path, layout, rows):
     stored = writers.store_layout(tables, layout, f"t_{layout}", str(tmp_path / layout), 4)
     spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
@@ -190,3 +190,21 @@ def test_csv_times_with_a_zone(spark, tmp_path):
     older = T.StructType(TABLES["matches"].fields[:-1])
     got = readers.read_csv_versions(spark, [(str(path), older)]).orderBy("id").collect()
     assert [r["played_at"].isoformat() for r in got] == ["2026-05-17T11:49:20.035116", "2026-05-17T11:49:20"]
+
+
+def test_ratings_are_stored_by_time(spark, tables, tmp_path, rows):
+    stored = writers.store_layout(tables, "ratings_by_time", "t_ratings", str(tmp_path / "ratings"), 4)
+    try:
+        span = stored.groupBy(F.input_file_name()).agg(F.min("changed_at").alias("lo"), F.max("changed_at").alias("hi"))
+        files = span.orderBy("lo").collect()
+        assert len(files) == 4 and all(a["hi"] <= b["lo"] for a, b in zip(files, files[1:]))
+        assert rows(A.elo_last_days(stored, "2000-01-01")) == rows(A.elo_last_days(tables["elo_history"], "2000-01-01"))
+    finally:
+        spark.sql("DROP TABLE t_ratings")
+
+
+def test_rows_without_a_time_are_stored_once(spark, tmp_path, rows):
+    batch = spark.sql("SELECT 1L AS id, CAST(null AS timestamp_ntz) AS ts UNION ALL SELECT 2L, TIMESTAMP_NTZ'2020-01-01'")
+    for _ in range(2):
+        results.append_new(batch, str(tmp_path / "t"), "id", "ts")
+    assert rows(spark.read.parquet(str(tmp_path / "t")), "id") == [(1,), (2,)]
