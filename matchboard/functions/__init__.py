@@ -4,6 +4,7 @@ from .columns import (  # noqa: F401
     clean_text,
     draw,
     draw_item,
+    epoch_micros,
     iso_timestamp,
     kda,
     kda_hundredths,

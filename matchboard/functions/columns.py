@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ColumnLike = Column | str
 
@@ -79,6 +80,16 @@ def iso_timestamp(ts: ColumnLike) -> Column:
     return F.date_format(_col(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 
 
+def epoch_micros(df: DataFrame, column: str) -> Column:
+    """Microseconds since 1970; a time without a zone is counted by its clock, whatever the session's zone."""
+    if df.schema[column].dataType != T.TimestampNTZType():
+        return F.unix_micros(F.col(column).cast("timestamp"))
+    since = F.col(column) - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    days, hours, minutes, seconds = (F.extract(F.lit(unit), since) for unit in ("DAY", "HOUR", "MINUTE", "SECOND"))
+    whole = (days.cast("long") * 24 + hours.cast("long")) * 60 + minutes.cast("long")
+    return whole * 60_000_000 + (seconds * 1_000_000).cast("long")
+
+
 def clean_text(text: ColumnLike) -> Column:
     """Text that any JSON or CSV reader accepts: bad byte runs replaced, lone surrogates dropped."""
     valid = F.make_valid_utf8(_col(text))

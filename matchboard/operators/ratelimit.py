@@ -19,6 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import epoch_micros
 from .skew import SEGMENT_ROWS, HotGroup, hot_groups, is_hot, piece_count, range_pieces
 
 # task code travels with the task: executors need no copy of this package
@@ -132,7 +133,7 @@ def rate_limit(
     width = seconds * 1_000_000
     hot = hot_groups(events, [key]) if hot is None else hot
     group = F.coalesce(F.col(key).cast("string"), F.lit("\0")).alias("__group")
-    time = F.unix_micros(F.col(ts).cast("timestamp")).alias("__t")
+    time = epoch_micros(events, ts).alias("__t")
     rows = events.select("*", group, time)
     no_state = {"__end": F.lit(None).cast("long"), "__used": F.lit(None).cast("long")}
     ordinary = rows if not hot else rows.filter(~is_hot([key], hot))

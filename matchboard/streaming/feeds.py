@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from ..functions import epoch_micros
 from ..operators.analytics import team_counters
 from ..operators.changes import audit_feed, latest_changes
 from ..operators.ranking import first_per_key
@@ -201,7 +202,7 @@ def limit_rate_in_state(
     before = spark.conf.get(setting, None)
     spark.conf.set(setting, _ROCKSDB)
     try:
-        timed = events.withColumn("call_us", F.unix_micros(F.col(ts).cast("timestamp")))
+        timed = events.withColumn("call_us", epoch_micros(events, ts))
         schema = T.StructType([*events.schema.fields, T.StructField("allowed", T.BooleanType())])
         decided = timed.groupBy(key).transformWithStateInPandas(
             _RateWindow(max_calls, seconds, order), schema, "Append", "None"

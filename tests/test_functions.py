@@ -1,9 +1,12 @@
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F
 
 from matchboard.functions import (
     clean_text,
     draw,
     draw_item,
+    epoch_micros,
     iso_timestamp,
     kda,
     kda_ratio,
@@ -57,6 +60,22 @@ def test_iso_timestamp(spark):
     assert values(df, iso_timestamp("t")) == ["2026-05-15T10:58:33.767569"]
 
 
+def test_epoch_micros_by_the_clock(spark):
+    texts = ["2024-03-10 01:59:59.999999", "2024-03-10 02:30:00", "2024-03-10 03:00:00", "1969-12-31 23:59:59.5"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string").coalesce(1)
+    df = df.withColumn("t", F.col("s").cast("timestamp_ntz"))
+    expected = [int(datetime.fromisoformat(t).replace(tzinfo=timezone.utc).timestamp() * 1e6 + 0.01) for t in texts]
+    assert values(df, epoch_micros(df, "t"))[:3] == expected[:3]
+    assert values(df, epoch_micros(df, "t"))[3] == -500_000
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # 02:30 does not exist there
+    try:
+        assert values(df, epoch_micros(df, "t"))[:3] == expected[:3]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    zoned = df.select(F.lit(5).alias("n"), F.timestamp_micros(F.lit(7)).alias("t"))
+    assert values(zoned, epoch_micros(zoned, "t")) == [7] * 4
+
+
 def test_clean_text_repairs_bytes_and_keeps_all_else(spark):
     broken = spark.sql("SELECT cast(X'61FF62' AS string) AS t")
     assert values(broken, clean_text("t")) == ["a�b"]
