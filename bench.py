@@ -20,7 +20,7 @@ HEADLINE = (
     "top_kda win_rate avg_damage most_improved frequent_pairs prize_by_player top10_dense_rank last10_per_player "
     "team_network current_streak int_player_match_summary int_team_match_summary player_performance "
     "tournament_standings prize_earnings team_counters dense_rank_all leaderboard_global surrogate_ids "
-    "dq_unique fk_violations quarantine_stats audit_diff changelog_compact rate_limited_calls"
+    "dq_unique fk_violations quarantine_stats audit_diff changelog_compact rate_limit"
 ).split()
 
 
@@ -42,7 +42,8 @@ def main() -> None:
         times[name] = round(statistics.median(run(spark, name, folder) for _ in range(3)), 4)
     total = round(sum(times.values()), 4)
     scale = os.path.basename(folder.rstrip("/")).removeprefix("sf")
-    print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec", "queries": times, "sf": scale}))
+    result = {"metric": "headline_total", "value": total, "unit": "sec", "queries": times, "sf": float(scale)}
+    print(json.dumps(result))
     spark.stop()
 
 

@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import functions as fn
 from .cluster import new_folder
-from .functions import clean_text, iso_timestamp, register_sql_functions, size_pretty
 from .operators import analytics as A
 from .operators import changes as C
 from .operators import network as N
 from .operators import quality as Q
 from .operators import ranking as R
-from .operators.ratelimit import rate_limit
+from .operators import ratelimit as L
 from .plans import generate as G
 from .plans import jobs as J
 from .plans.checks import check_models
@@ -132,7 +132,7 @@ def csv_schema_drift(t):
 
 @query
 def gen_series(t):
-    last = t["orders"].agg(F.max("o_orderkey")).first()[0]
+    last = t["orders"].agg(F.max("o_orderkey")).first()[0] or 0
     return G.series(t.spark, 1, last + 1)
 
 
@@ -304,8 +304,8 @@ def validate_new_players(t):
 
 
 @query
-def clean_document_text(t):
-    return t["documents"].select("doc_id", clean_text("text").alias("text"))
+def clean_text(t):
+    return t["documents"].select("doc_id", fn.clean_text("text").alias("text"))
 
 
 @query
@@ -327,18 +327,18 @@ def tz_convert(t):
 
 @query
 def iso_timestamps(t):
-    return t["players"].select("id", iso_timestamp("created_at").alias("created_at"))
+    return t["players"].select("id", fn.iso_timestamp("created_at").alias("created_at"))
 
 
 @query
 def size_labels(t):
     size = F.col("o_orderkey") * F.col("o_orderkey") * F.col("o_orderkey")
-    return t["orders"].select("o_orderkey", size_pretty(size).alias("size"))
+    return t["orders"].select("o_orderkey", fn.size_pretty(size).alias("size"))
 
 
 @query
 def streakcount_sql(t):
-    register_sql_functions(t.spark)
+    fn.register_sql_functions(t.spark)
     history = A.win_history(t["matches"])
     return history.selectExpr("tournament_id", "team_a_id", "part", "streakcount(streak_history) AS streak")
 
@@ -646,9 +646,9 @@ def _streamed(t, view: str, base: str) -> DataFrame:
 
 
 @query
-def rate_limited_calls(t):
+def rate_limit(t):
     calls = t["events"].select("user_id", "event_id", "ts")
-    return rate_limit(calls, "user_id", "ts", "event_id", **RATE).select("user_id", "event_id", "allowed")
+    return L.rate_limit(calls, "user_id", "ts", "event_id", **RATE).select("user_id", "event_id", "allowed")
 
 
 @query

@@ -272,7 +272,7 @@ add(
 )
 
 # scalar functions
-add("clean_document_text", "", "SELECT doc_id, text FROM documents")
+add("clean_text", "", "SELECT doc_id, text FROM documents")
 add(
     "interval_math",
     "matches",
@@ -609,7 +609,7 @@ _LIMIT = f"""WITH RECURSIVE s AS (
              CASE WHEN s.ts >= c.st + INTERVAL {RATE['seconds']} SECOND THEN 1 ELSE c.n + 1 END
       FROM s JOIN c ON s.user_id = c.user_id AND s.rn = c.rn + 1)
     SELECT user_id, event_id, n <= {RATE['max_calls']} AS allowed FROM c"""
-add("rate_limited_calls", "", _LIMIT)
+add("rate_limit", "", _LIMIT)
 add("stream_rate_limit", "", _LIMIT)
 add("stream_rate_limit_state", "", _LIMIT)
 add("stream_new_matches", "matches", "SELECT * FROM matches")
