@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchboard.llm import knn, secret_scan, sharding, simhash
+from matchboard.llm import decontaminate, knn, secret_scan, sharding, simhash, toxicity
 from matchboard.llm.common import read_table
 
 QUERIES = {}
@@ -43,3 +43,18 @@ def op8_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     return secret_scan.report(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from the labels that are not held out."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(~toxicity.held_out()))
+    rows = toxicity.scored(docs.select("doc_id", "text"), model)
+    return rows.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op2_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that a document holds, with the words in which it differs."""
+    return decontaminate.find_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
