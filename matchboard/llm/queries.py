@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchboard.llm import decontaminate, knn, secret_scan, sharding, simhash, toxicity
+from matchboard.llm import (
+    decontaminate,
+    html_text,
+    knn,
+    secret_scan,
+    sentencepiece_dropout,
+    sharding,
+    simhash,
+    token_files,
+    toxicity,
+    warc,
+)
 from matchboard.llm.common import read_table
 
 QUERIES = {}
@@ -58,3 +69,28 @@ def op10_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item that a document holds, with the words in which it differs."""
     return decontaminate.find_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op1_sentencepiece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded with merge-dropout and decoded again."""
+    return sentencepiece_dropout.round_trips(read_table(spark, sf_dir, "documents"), dropout=0.1, seed=17)
+
+
+@query
+def op3_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
+@query
+def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to an archive and read back by way of the capture index."""
+    found = warc.archive(read_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op5_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token ids, written to grammar-compressed files and read back."""
+    return token_files.read_shards(token_files.write_shards(read_table(spark, sf_dir, "documents")))
