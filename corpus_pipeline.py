@@ -1,7 +1,8 @@
 """From raw documents to token ids: five stages, each on all that its predecessor kept.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as
-the next one's documents.
+the next one's documents. All stages but the last return the columns of documents. Rows without an id pass the
+stages as documents of their own; repeated rows of an id are copies, of which the second stage keeps one.
 """
 
 from __future__ import annotations
@@ -9,20 +10,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchboard.llm import secret_scan, simhash
+from matchboard.llm import decontaminate, secret_scan, sentencepiece_dropout, simhash, toxicity
 from matchboard.llm.common import read_table, stored
 
+TOXIC_FROM = 0.3
+
+
+def _columns(docs: DataFrame) -> list:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model does not reject; it learns from the labels that are not held out."""
+    labels = read_table(spark, sf_dir, "labels").where(~toxicity.held_out())
+    model = toxicity.train(docs, labels)
+    return toxicity.scored(docs, model, "__score").where(F.col("__score") < TOXIC_FROM).select(*_columns(docs))
+
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near copies: the one with the smallest id."""
     classes = simhash.near_duplicates(docs, shingle=3, max_distance=3)
-    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n"))
-    kept = stored(kept.withColumnRenamed("doc_id", "__kept"), "simhash-kept")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    found = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")))
-    once = found.where(F.col("__n") == 1).select(*columns)
-    repeated = found.where(F.col("__n") > 1).select(*columns).dropDuplicates(["doc_id"])
-    return once.union(repeated)
+    kept = classes.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n"))
+    kept = stored(kept.select(F.col("doc_id").alias("__kept"), "__n"), "simhash-kept")
+    found = docs.join(kept, F.col("doc_id") == F.col("__kept"))
+    once = found.where(F.col("__n") == 1).select(*_columns(docs))
+    repeated = found.where(F.col("__n") > 1).select(*_columns(docs)).dropDuplicates(["doc_id"])
+    return once.union(repeated).union(docs.where(F.col("doc_id").isNull()))
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    leaks = decontaminate.find_items(docs, read_table(spark, sf_dir, "benchmark"))
+    leaked = stored(leaks.select(F.col("doc_id").alias("__leaked")).distinct(), "leaked-documents")
+    return docs.join(leaked, F.col("doc_id") == F.col("__leaked"), "left_anti")
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,15 +51,26 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
+def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token ids of every document, cut with merge-dropout."""
+    encoded = sentencepiece_dropout.encoded(docs.select("doc_id", "text"), dropout=0.1, seed=17)
+    return encoded.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids")
+
+
 STAGES = [
+    ("toxicity", without_toxic),
     ("simhash_near_dedup", one_of_each),
+    ("benchmark_decontamination", without_benchmark),
     ("secret_scan", without_secrets),
+    ("sentencepiece", to_tokens),
 ]
 
+# Fingerprints, a fitted model and an agenda have no SQL; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of the folder."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
