@@ -24,6 +24,7 @@ import struct
 import sys
 import unicodedata
 import zlib
+from array import array
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -42,8 +43,10 @@ from matchboard.llm.files import create, new_name, read_all
 TOKENIZER = "byte_bpe_50k.json"
 END = 0
 SHARD_IDS = 1 << 21  # a shard ends with the document that reaches this
-ROUNDS = 5
+ROUNDS = 3
 RULES_A_ROUND = 4096
+SLOT_BITS = 17
+SLOTS = 1 << SLOT_BITS
 LEAST_COUNT = 6  # a rule takes three numbers, each replaced pair saves one
 KEEP_WORDS = 400_000
 LONG_WORD = 64
@@ -53,14 +56,20 @@ MAGIC = b"REPAIR1\0"
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
 
-@lru_cache(maxsize=1)
-def _pattern() -> re.Pattern:
-    """The vocabulary's word pattern, with its Unicode classes spelled out for ``re``."""
+ASTRAL = re.compile("[\U00010000-\U0010ffff]")
+
+
+@lru_cache(maxsize=2)
+def _pattern(top: int) -> re.Pattern:
+    """The vocabulary's word pattern, with its Unicode classes spelled out up to the code point ``top``.
+
+    Texts without higher characters are cut alike by a pattern that stops there, and much faster.
+    """
 
     def ranges(kind: str) -> str:
         out, start, last = [], None, None
-        for code in range(sys.maxunicode + 1):
-            if unicodedata.category(chr(code))[0] == kind:
+        for code in range(top + 2):
+            if code <= top and unicodedata.category(chr(code))[0] == kind:
                 start, last = (code, code) if start is None else (start, code)
             elif start is not None:
                 out.append(f"\\U{start:08x}-\\U{last:08x}")
@@ -73,18 +82,33 @@ def _pattern() -> re.Pattern:
     )
 
 
+def words_of(text: str) -> list[str]:
+    return _pattern(sys.maxunicode if ASTRAL.search(text) else 0xFFFF).findall(text)
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in the vocabulary: printable Latin-1 itself, others from U+0100 on."""
+    plain = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + i) for i, b in enumerate(others)}
+
+
 class Encoder(dict):
-    """Ids of words as bytes; missing words are encoded when asked for."""
+    """Ids of words as bytes; missing words are encoded by the library's model when asked for."""
 
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.tokenizer.encode_special_tokens = True
-        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+        self.n_plain = self.tokenizer.get_vocab_size()
+        self.code = "H" if self.n_plain <= 1 << 16 else "I"
+        self.kind = np.dtype(self.code)
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype=self.kind).tobytes()
+        tokens = self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
+        ids = array(self.code, [t.id for t in tokens]).tobytes()
         if len(word) <= LONG_WORD:
             if len(self) >= KEEP_WORDS:
                 self.clear()
@@ -92,7 +116,7 @@ class Encoder(dict):
         return ids
 
     def ids(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.__getitem__, _pattern().findall(text))), dtype=self.kind)
+        return np.frombuffer(b"".join(map(self.__getitem__, words_of(text))), dtype=self.kind)
 
 
 @lru_cache(maxsize=2)
@@ -110,17 +134,27 @@ class Grammar:
     lengths: np.ndarray
     symbols: np.ndarray
     ends: np.ndarray
+    table: tuple | None = None
+
+    def _expansions(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of every symbol, one after the other, and where they start and how many they are."""
+        if self.table is None:
+            sizes = np.concatenate((np.ones(self.n_plain, dtype=np.int64), self.lengths))
+            starts = np.cumsum(sizes) - sizes
+            flat = np.empty(int(sizes.sum()), dtype=np.int64)
+            flat[: self.n_plain] = np.arange(self.n_plain)
+            for rule, (a, b) in enumerate(zip(self.left.tolist(), self.right.tolist()), self.n_plain):
+                at, middle = starts[rule], starts[rule] + sizes[a]  # parts have lower numbers, so they are there
+                flat[at:middle] = flat[starts[a] : starts[a] + sizes[a]]
+                flat[middle : at + sizes[rule]] = flat[starts[b] : starts[b] + sizes[b]]
+            self.table = flat, starts, sizes
+        return self.table
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        symbols = symbols.astype(np.int64)
-        while len(symbols) and (rule := symbols >= self.n_plain).any():
-            at = np.cumsum(rule) - rule + np.arange(len(symbols))
-            out = np.empty(len(symbols) + int(rule.sum()), dtype=np.int64)
-            out[at[~rule]] = symbols[~rule]
-            out[at[rule]] = self.left[symbols[rule] - self.n_plain]
-            out[at[rule] + 1] = self.right[symbols[rule] - self.n_plain]
-            symbols = out
-        return symbols
+        flat, starts, sizes = self._expansions()
+        n = sizes[symbols]
+        ends = np.cumsum(n)
+        return flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts[symbols] - (ends - n), n)]
 
     def sizes(self, symbols: np.ndarray) -> np.ndarray:
         """How many ids each symbol stands for."""
@@ -138,6 +172,10 @@ class Grammar:
         return self.expand(symbols[first:last])[skip : skip + max(0, stop - start)]
 
 
+def _slot(codes: np.ndarray) -> np.ndarray:
+    return (codes * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
 def _disjoint(codes: np.ndarray) -> np.ndarray:
     """The places of pairs, in the given order, none of whose symbols is a left part and a right part."""
     lefts, rights, chosen = set(), set(), []
@@ -160,7 +198,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, n_plain: int) -> Grammar:
         if len(symbols) < 2:
             break
         inner = np.ones(len(symbols), dtype=bool)
-        inner[ends[ends > 0] - 1] = False  # no pair begins at a document's last symbol
+        inner[ends - 1] = False  # no pair begins at a document's last symbol
         codes = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
         ordered = np.sort(codes[inner[:-1]])
         if not len(ordered):
@@ -173,7 +211,11 @@ def compress(ids: np.ndarray, ends: np.ndarray, n_plain: int) -> Grammar:
         pairs = pairs[_disjoint(pairs)]
         if not len(pairs):
             break
-        fresh = np.arange(len(sizes), len(sizes) + len(pairs), dtype=np.uint32)
+        # a hash table of the pairs; of pairs that share a slot the most frequent one is taken in this round
+        first = np.unique(_slot(pairs), return_index=True)[1]
+        pairs = pairs[np.sort(first)]
+        table = np.zeros(SLOTS, dtype=np.int64)
+        table[_slot(pairs)] = np.arange(len(pairs))
         a, b = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
         left.append(a)
         right.append(b)
@@ -181,12 +223,11 @@ def compress(ids: np.ndarray, ends: np.ndarray, n_plain: int) -> Grammar:
         is_left[a], is_right[b] = True, True
         sizes = np.concatenate((sizes, sizes[a] + sizes[b]))
         at = np.nonzero(is_left[symbols[:-1]] & is_right[symbols[1:]] & inner[:-1])[0]
-        order = np.argsort(pairs)
-        found = np.searchsorted(pairs, codes[at], sorter=order)
-        found[found == len(pairs)] = 0
-        hit = pairs[order[found]] == codes[at]
-        at, new = at[hit], fresh[order[found[hit]]]
-        symbols[at] = new
+        asked = codes[at]
+        found = table[_slot(asked)]
+        hit = pairs[found] == asked
+        at = at[hit]
+        symbols[at] = (found[hit] + len(is_left)).astype(np.uint32)
         keep = np.ones(len(symbols), dtype=bool)
         keep[at + 1] = False
         ends = ends - np.searchsorted(at + 1, ends)
@@ -224,7 +265,7 @@ def write_shards(docs: DataFrame, tokenizer_file: str | None = None, id_col: str
 
     def write(batches):
         encode, part, n_files = encoder(tokenizer), TaskContext.get().partitionId(), 0
-        n_plain = encode.tokenizer.get_vocab_size()
+        n_plain = encode.n_plain
         doc_ids, texts, held = [], [], 0
 
         def flush():
@@ -281,4 +322,5 @@ def read_shards(shards: DataFrame) -> DataFrame:
                 columns = [pa.array(doc_ids, pa.int64()), pa.array(starts.astype(np.int64)), pa.array(lengths.astype(np.int64)), pa.array(sums, pa.int64())]
                 yield pa.record_batch(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return shards.select("file", "start").repartition("file").mapInArrow(read, DOCUMENTS)
+    tasks = int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # shards are of a size; deal them evenly
+    return shards.select("file", "start").repartition(tasks).mapInArrow(read, DOCUMENTS)
