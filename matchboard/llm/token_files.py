@@ -43,12 +43,12 @@ from matchboard.llm.files import create, new_name, read_all
 TOKENIZER = "byte_bpe_50k.json"
 END = 0
 SHARD_IDS = 1 << 21  # a shard ends with the document that reaches this
-ROUNDS = 3
+ROUNDS = 5
 RULES_A_ROUND = 4096
 SLOT_BITS = 17
 SLOTS = 1 << SLOT_BITS
 LEAST_COUNT = 6  # a rule takes three numbers, each replaced pair saves one
-KEEP_WORDS = 400_000
+KEEP_WORDS = 800_000
 LONG_WORD = 64
 MAGIC = b"REPAIR1\0"
 
