@@ -105,12 +105,16 @@ class Encoder(dict):
         self.n_plain = self.tokenizer.get_vocab_size()
         self.code = "H" if self.n_plain <= 1 << 16 else "I"
         self.kind = np.dtype(self.code)
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        tokens = self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
-        ids = array(self.code, [t.id for t in tokens]).tobytes()
+        ids = self.older.get(word)
+        if ids is None:
+            tokens = self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
+            ids = array(self.code, [t.id for t in tokens]).tobytes()
         if len(word) <= LONG_WORD:
-            if len(self) >= KEEP_WORDS:
+            if len(self) >= KEEP_WORDS // 2:  # words not asked for since the last time are forgotten
+                self.older = dict(self)
                 self.clear()
             self[word] = ids
         return ids
@@ -173,16 +177,16 @@ class Grammar:
 
 
 def _slot(codes: np.ndarray) -> np.ndarray:
-    return (codes * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+    return (codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
-def _disjoint(codes: np.ndarray) -> np.ndarray:
+def _disjoint(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The places of pairs, in the given order, none of whose symbols is a left part and a right part."""
     lefts, rights, chosen = set(), set(), []
-    for at, (a, b) in enumerate(zip((codes >> np.uint64(32)).tolist(), (codes & np.uint64(0xFFFFFFFF)).tolist())):
-        if a != b and a not in rights and b not in lefts:
-            lefts.add(a)
-            rights.add(b)
+    for at, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+        if x != y and x not in rights and y not in lefts:
+            lefts.add(x)
+            rights.add(y)
             chosen.append(at)
             if len(chosen) == RULES_A_ROUND:
                 break
@@ -199,7 +203,9 @@ def compress(ids: np.ndarray, ends: np.ndarray, n_plain: int) -> Grammar:
             break
         inner = np.ones(len(symbols), dtype=bool)
         inner[ends - 1] = False  # no pair begins at a document's last symbol
-        codes = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
+        wide = np.uint64 if len(sizes) > 1 << 16 else np.uint32
+        half = wide(32 if wide is np.uint64 else 16)  # bits of one symbol in the code of a pair
+        codes = symbols[:-1].astype(wide) << half | symbols[1:]
         ordered = np.sort(codes[inner[:-1]])
         if not len(ordered):
             break
@@ -208,7 +214,8 @@ def compress(ids: np.ndarray, ends: np.ndarray, n_plain: int) -> Grammar:
         often = counts >= LEAST_COUNT
         pairs, counts = ordered[starts[often]], counts[often]
         pairs = pairs[np.lexsort((pairs, -counts))][: 4 * RULES_A_ROUND]
-        pairs = pairs[_disjoint(pairs)]
+        a, b = (pairs >> half).astype(np.int64), (pairs & ((wide(1) << half) - wide(1))).astype(np.int64)
+        pairs = pairs[_disjoint(a, b)]
         if not len(pairs):
             break
         # a hash table of the pairs; of pairs that share a slot the most frequent one is taken in this round
@@ -216,7 +223,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, n_plain: int) -> Grammar:
         pairs = pairs[np.sort(first)]
         table = np.zeros(SLOTS, dtype=np.int64)
         table[_slot(pairs)] = np.arange(len(pairs))
-        a, b = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        a, b = (pairs >> half).astype(np.int64), (pairs & ((wide(1) << half) - wide(1))).astype(np.int64)
         left.append(a)
         right.append(b)
         is_left, is_right = np.zeros(len(sizes), dtype=bool), np.zeros(len(sizes), dtype=bool)
