@@ -237,7 +237,9 @@ class Index:
 
 def read_archives(captures: DataFrame, index: list) -> DataFrame:
     """Every capture by way of the index: the values of its record as read from the archive."""
-    wanted = captures.select("surt", "page_id").distinct().repartitionByRange("surt", "page_id").sortWithinPartitions("surt", "page_id")
+    tasks = int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # the keys are few bytes, the records are not
+    keys = captures.select("surt", "page_id").distinct()
+    wanted = keys.repartitionByRange(tasks, "surt", "page_id").sortWithinPartitions("surt", "page_id")
 
     def read(batches):
         lookups, records = Index(index), Readers()
