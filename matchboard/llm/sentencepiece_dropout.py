@@ -16,10 +16,11 @@ The model file is a parameter and is read on the executors where it is used.
 
 from __future__ import annotations
 
-import heapq
 import re
 import zlib
+from array import array
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 MODEL = "piece_bpe_32k.model"
 SPACE_MARK = "▁"
 RUN = re.compile(r"\n| *[^ \n]+| +")  # no piece reaches over the end of such a run
-KEEP_RUNS = 500_000  # runs that a task remembers, over all variants
+KEEP_RUNS = 1_600_000  # runs that a task remembers, over all variants
 LONG_RUN = 64  # longer ones are not remembered
 MASK = (1 << 64) - 1
 
@@ -43,61 +44,71 @@ class Codec:
         pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
         plain = [i for i in range(len(pieces)) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
         self.ids = {pieces[i].replace(SPACE_MARK, " "): i for i in plain}
-        self.scores = {piece: model.get_score(i) for piece, i in self.ids.items() if len(piece) > 1}
+        # the order of a merge in the agenda, and its part in the hash that may skip it
+        self.merges = {p: (-model.get_score(i), i * 0x9E3779B97F4A7C15 & MASK) for p, i in self.ids.items() if len(p) > 1}
+        self.places = [(i + 1) * 0xC2B2AE3D27D4EB4F & MASK for i in range(LONG_RUN)]
         self.byte_ids = {int(pieces[i][1:-1], 16): i for i in range(len(pieces)) if model.is_byte(i)}
         self.bytes_of = [b""] * len(pieces)
         for piece, i in self.ids.items():
             self.bytes_of[i] = piece.encode()
         for byte, i in self.byte_ids.items():
             self.bytes_of[i] = bytes([byte])
-        self.kind = "<u2" if len(pieces) <= 1 << 16 else "<u4"
+        self.code = "H" if len(pieces) <= 1 << 16 else "I"
+        self.kind = np.dtype(self.code)
         self.threshold = int(dropout * (1 << 32))
         self.variants = variants if self.threshold else 1
         self.seed = seed
         self.keys = [xxhash.xxh64_intdigest(f"{seed}:{v}") for v in range(self.variants)]
         self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
-
-    def _skipped(self, key: int, piece: str, place: int) -> bool:
-        mixed = (self.ids[piece] * 0x9E3779B97F4A7C15 ^ (place + 1) * 0xC2B2AE3D27D4EB4F ^ key) & MASK
-        mixed = (mixed ^ mixed >> 29) * 0xBF58476D1CE4E5B9 & MASK
-        return mixed >> 32 < self.threshold
+        self.older: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
 
     def cut(self, run: str, variant: int = 0) -> list[str]:
         """The pieces of a run."""
-        scores, key = self.scores, self.keys[variant]
+        n = len(run)
+        if n < 2:
+            return list(run)
+        merges, key, threshold = self.merges, self.keys[variant], self.threshold << 32
+        places = self.places if n <= LONG_RUN else [(i + 1) * 0xC2B2AE3D27D4EB4F & MASK for i in range(n)]
         parts: list[str | None] = list(run)
-        after, before = [*range(1, len(run)), -1], [*range(-1, len(run) - 1)]
-        agenda = [(-scores[p], i, p) for i in range(len(run) - 1) if (p := run[i : i + 2]) in scores]
-        heapq.heapify(agenda)
+        after, before = [*range(1, n), -1], [*range(-1, n - 1)]
+        agenda = [(m[0], i, p, m[1]) for i in range(n - 1) if (m := merges.get(p := run[i : i + 2]))]
+        heapify(agenda)
         while agenda:
-            _, i, piece = heapq.heappop(agenda)
+            _, i, piece, mixed = heappop(agenda)
             j = after[i]
             if j < 0 or parts[i] is None or parts[i] + parts[j] != piece:
                 continue  # one of the two has been merged otherwise
-            if self.threshold and self._skipped(key, piece, i):
-                continue
-            parts[i], parts[j], after[i] = piece, None, after[j]
-            if after[i] >= 0:
-                before[after[i]] = i
-                if (p := piece + parts[after[i]]) in scores:
-                    heapq.heappush(agenda, (-scores[p], i, p))
-            if before[i] >= 0 and (p := parts[before[i]] + piece) in scores:
-                heapq.heappush(agenda, (-scores[p], before[i], p))
+            if threshold:
+                mixed ^= places[i] ^ key
+                if (mixed ^ mixed >> 29) * 0xBF58476D1CE4E5B9 & MASK < threshold:
+                    continue
+            parts[i], parts[j] = piece, None
+            after[i] = k = after[j]
+            if k >= 0:
+                before[k] = i
+                if m := merges.get(p := piece + parts[k]):
+                    heappush(agenda, (m[0], i, p, m[1]))
+            k = before[i]
+            if k >= 0 and (m := merges.get(p := parts[k] + piece)):
+                heappush(agenda, (m[0], k, p, m[1]))
         return [p for p in parts if p is not None]
 
     def _ids_of(self, run: str, variant: int) -> bytes:
-        ids: list[int] = []
-        for piece in self.cut(run, variant):
-            if piece in self.ids:
-                ids.append(self.ids[piece])
-            else:
-                ids.extend(self.byte_ids[b] for b in piece.encode())
-        found = np.array(ids, dtype=self.kind).tobytes()
+        found = self.older[variant].get(run)
+        if found is None:
+            ids: list[int] = []
+            for piece in self.cut(run, variant):
+                number = self.ids.get(piece)
+                if number is None:
+                    ids.extend(self.byte_ids[b] for b in piece.encode())
+                else:
+                    ids.append(number)
+            found = array(self.code, ids).tobytes()
         if len(run) <= LONG_RUN:
             known = self.known[variant]
-            if len(known) >= KEEP_RUNS // self.variants:
-                known.clear()
-            known[run] = found
+            if len(known) >= KEEP_RUNS // (2 * self.variants):  # runs not met since the last time are forgotten
+                self.older[variant], self.known[variant] = known, {}
+            self.known[variant][run] = found
         return found
 
     def encode(self, text: str, name: object = None) -> np.ndarray:
@@ -109,10 +120,9 @@ class Codec:
         shift = xxhash.xxh64_intdigest(str(name), self.seed & MASK) % self.variants
         for lane in range(self.variants):
             variant = (lane + shift) % self.variants
-            known = self.known[variant]
             of_lane = runs[lane :: self.variants]
-            got = list(map(known.get, of_lane))
-            out[lane :: self.variants] = [g if g is not None else known.get(r) or self._ids_of(r, variant) for g, r in zip(got, of_lane)]
+            got = map(self.known[variant].get, of_lane)
+            out[lane :: self.variants] = [g if g is not None else self._ids_of(r, variant) for g, r in zip(got, of_lane)]
         return np.frombuffer(b"".join(out), dtype=self.kind)
 
     def decode(self, ids) -> str:
