@@ -32,7 +32,11 @@ from pyspark.sql import functions as F
 
 MODEL = "piece_bpe_32k.model"
 SPACE_MARK = "▁"
-RUN = re.compile(r"\n| *[^ \n]+| +")  # no piece reaches over the end of such a run
+# No piece reaches over the end of a run. Most models have no piece that joins a letter and a following mark or
+# digit either; their runs end there too.
+RUN = re.compile(r"\n| *[^ \n]+| +")
+FINE_RUN = re.compile(r"\n| *[^\W\d_¹²³]+| *(?:[^\w \n]|[\d_¹²³])+| +")
+LETTER = re.compile(r"[^\W\d_¹²³]")
 KEEP_RUNS = 1_600_000  # runs that a task remembers, over all variants
 LONG_RUN = 64  # longer ones are not remembered
 MASK = (1 << 64) - 1
@@ -46,6 +50,8 @@ class Codec:
         self.ids = {pieces[i].replace(SPACE_MARK, " "): i for i in plain}
         # the order of a merge in the agenda, and its part in the hash that may skip it
         self.merges = {p: (-model.get_score(i), i * 0x9E3779B97F4A7C15 & MASK) for p, i in self.ids.items() if len(p) > 1}
+        kinds = [[bool(LETTER.match(c)) for c in p.lstrip(" ")] for p in self.ids]
+        self.run = RUN if any(a != b for k in kinds for a, b in zip(k, k[1:])) or any("\n" in p for p in self.ids) else FINE_RUN
         self.places = [(i + 1) * 0xC2B2AE3D27D4EB4F & MASK for i in range(LONG_RUN)]
         self.byte_ids = {int(pieces[i][1:-1], 16): i for i in range(len(pieces)) if model.is_byte(i)}
         self.bytes_of = [b""] * len(pieces)
@@ -96,13 +102,10 @@ class Codec:
     def _ids_of(self, run: str, variant: int) -> bytes:
         found = self.older[variant].get(run)
         if found is None:
-            ids: list[int] = []
-            for piece in self.cut(run, variant):
-                number = self.ids.get(piece)
-                if number is None:
-                    ids.extend(self.byte_ids[b] for b in piece.encode())
-                else:
-                    ids.append(number)
+            pieces = self.cut(run, variant)
+            ids = list(map(self.ids.get, pieces))
+            if None in ids:
+                ids = [n for i, p in zip(ids, pieces) for n in ([i] if i is not None else [self.byte_ids[b] for b in p.encode()])]
             found = array(self.code, ids).tobytes()
         if len(run) <= LONG_RUN:
             known = self.known[variant]
@@ -115,7 +118,7 @@ class Codec:
         """Token ids; ``name`` says which document it is, as far as the choice of variants goes."""
         if not text:
             return np.empty(0, dtype=self.kind)
-        runs = RUN.findall(" " + text)
+        runs = self.run.findall(" " + text)
         out: list[bytes] = [b""] * len(runs)
         shift = xxhash.xxh64_intdigest(str(name), self.seed & MASK) % self.variants
         for lane in range(self.variants):
