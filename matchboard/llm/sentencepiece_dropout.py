@@ -37,7 +37,7 @@ SPACE_MARK = "▁"
 RUN = re.compile(r"\n| *[^ \n]+| +")
 FINE_RUN = re.compile(r"\n| *[^\W\d_¹²³]+| *(?:[^\w \n]|[\d_¹²³])+| +")
 LETTER = re.compile(r"[^\W\d_¹²³]")
-KEEP_RUNS = 1_600_000  # runs that a task remembers, over all variants
+KEEP_RUNS = 800_000  # runs that a task remembers, over all variants
 LONG_RUN = 64  # longer ones are not remembered
 MASK = (1 << 64) - 1
 
