@@ -25,10 +25,12 @@ from heapq import heapify, heappop, heappush
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import sentencepiece
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 MODEL = "piece_bpe_32k.model"
 SPACE_MARK = "▁"
@@ -38,6 +40,7 @@ RUN = re.compile(r"\n| *[^ \n]+| +")
 FINE_RUN = re.compile(r"\n| *[^\W\d_¹²³]+| *(?:[^\w \n]|[\d_¹²³])+| +")
 LETTER = re.compile(r"[^\W\d_¹²³]")
 KEEP_RUNS = 800_000  # runs that a task remembers, over all variants
+DOCS_AT_ONCE = 256
 LONG_RUN = 64  # longer ones are not remembered
 MASK = (1 << 64) - 1
 
@@ -142,15 +145,27 @@ def encoded(
     docs: DataFrame, dropout: float = 0.1, seed: int = 0, variants: int = 4, name: str = "token_ids", model_file: str | None = None,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """All rows and columns, and the token ids of the text."""
+    """All rows and columns, and the token ids of the text.
+
+    Ids leave a task some hundred documents at a time, so that they never fill its memory.
+    """
     file = model_file or public_tokenizers.path(MODEL)
+    rows = docs.drop(name)
+    id_at, text_at = rows.columns.index(id_col), rows.columns.index(text_col)
+    schema = StructType([*rows.schema.fields, StructField(name, ArrayType(IntegerType()))])
 
-    @F.pandas_udf("array<int>")
-    def ids(names: pd.Series, texts: pd.Series) -> pd.Series:
+    def encode(batches):
         c = codec(file, dropout, seed, variants)
-        return pd.Series([c.encode(t or "", n).astype(np.int32) for n, t in zip(names, texts)], dtype=object)
-
-    return docs.withColumn(name, ids(F.col(f"`{id_col}`").cast("string"), F.col(f"`{text_col}`").cast("string")))
+        for batch in batches:
+            for start in range(0, batch.num_rows, DOCS_AT_ONCE):
+                part = batch.slice(start, DOCS_AT_ONCE)
+                names, texts = part.column(id_at).to_pylist(), part.column(text_at).to_pylist()
+                ids = [c.encode(t or "", n) for n, t in zip(names, texts)]
+                offsets = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids).astype(np.int32)))
+                yield pa.record_batch([*part.columns, lists], [*part.schema.names, name])
+
+    return rows.mapInArrow(encode, schema)
 
 
 def decoded(rows: DataFrame, ids_col: str = "token_ids", name: str = "text", model_file: str | None = None) -> DataFrame:
