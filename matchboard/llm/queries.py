@@ -94,3 +94,17 @@ def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token ids, written to grammar-compressed files and read back."""
     return token_files.read_shards(token_files.write_shards(read_table(spark, sf_dir, "documents")))
+
+
+_DIGITS = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> {shift}) & 31) + 1, 1)" for shift in (15, 10, 5, 0))
+
+# base 32 by groups of five hexadecimal digits, which are four digits there
+ORACLE["op4_warc_index"] = f"""
+WITH page AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS digest FROM pages),
+copies AS (SELECT digest, max(page_id) AS chosen FROM page GROUP BY digest)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
+  array_to_string([{_DIGITS} FOR v IN [('0x' || substr(digest, 5 * i + 1, 5))::BIGINT FOR i IN range(8)]], '') AS payload_digest,
+  CASE WHEN page_id = chosen THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> chosen THEN chosen END AS refers_to
+FROM page JOIN copies USING (digest)
+"""
