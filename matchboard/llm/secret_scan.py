@@ -193,7 +193,10 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The same rows and columns; every found span in the text becomes [REDACTED]. Null texts stay null."""
+    """The same rows and columns; every found span in the text becomes [REDACTED]. Null texts stay null.
+
+    Store the result before scanning it again: the new text is a large expression, which a second scan would repeat.
+    """
     scanned = with_spans(docs, "__spans", text_col)
     text = F.col(f"`{text_col}`")
     merged = F.aggregate(

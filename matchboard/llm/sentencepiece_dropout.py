@@ -163,9 +163,11 @@ def encoded(
                 ids = [c.encode(t or "", n) for n, t in zip(names, texts)]
                 offsets = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids).astype(np.int32)))
-                yield pa.record_batch([*part.columns, lists], [*part.schema.names, name])
+                yield pa.record_batch([*part.columns, lists], numbered.names)
 
-    return rows.mapInArrow(encode, schema)
+    # numbered names on the way, as any name may occur among the columns
+    numbered = StructType([StructField(f"c{i}", f.dataType, f.nullable) for i, f in enumerate(schema)])
+    return rows.toDF(*numbered.names[:-1]).mapInArrow(encode, numbered).toDF(*schema.names)
 
 
 def decoded(rows: DataFrame, ids_col: str = "token_ids", name: str = "text", model_file: str | None = None) -> DataFrame:

@@ -165,14 +165,18 @@ def features(hits, n_words: int, clean=frozenset()) -> list[float]:
     return [math.log1p(direct), math.log1p(quoted), math.log1p(fuzzy), strongest / 10, math.log1p(100 * (direct + quoted) / max(20, n_words))]
 
 
+# What the weights are drawn to where there is little to learn from: quoted and misspelled terms count for less.
+PRIOR = (1.0, 0.3, 0.5, 0.0, 0.0, 0.0)
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50) -> np.ndarray:
     """Weights and intercept by Newton steps."""
-    a = np.column_stack([x, np.ones(len(x))])
+    a, prior = np.column_stack([x, np.ones(len(x))]), np.array(PRIOR)
     penalty = np.diag([ridge] * x.shape[1] + [1e-3])
     w = np.zeros(a.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve(a.T @ (a * (p * (1 - p))[:, None]) + penalty, a.T @ (p - y) + penalty @ w)
+        step = np.linalg.solve(a.T @ (a * (p * (1 - p))[:, None]) + penalty, a.T @ (p - y) + penalty @ (w - prior))
         w -= step
         if np.abs(step).max() < 1e-8:
             break

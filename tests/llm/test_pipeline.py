@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 import check
 import corpus_pipeline
 from matchboard.llm import decontaminate, secret_scan, simhash
-from matchboard.llm.common import read_table
+from matchboard.llm.common import read_table, stored
 from matchboard.llm.queries import ORACLE, QUERIES
 
 DATA = "/root/testdata/sf0.001"
@@ -48,7 +48,7 @@ def test_toxicity_on_held_out_rows(spark):
 def test_stages(spark):
     docs = read_table(spark, DATA, "documents")
     extra = docs.limit(1).select(F.lit(None).cast("long").alias("doc_id"), F.lit("no id").alias("text"), "lang", "source", "n_chars")
-    docs = docs.union(docs.where("doc_id < 5")).union(extra)
+    docs = stored(docs.union(docs.where("doc_id < 5")).union(extra), "test")
     toxic_free = corpus_pipeline.without_toxic(spark, docs, DATA)
     assert toxic_free.columns == docs.columns
     classes = simhash.near_duplicates(docs)
@@ -59,8 +59,8 @@ def test_stages(spark):
     leaks = {r[0] for r in decontaminate.find_items(docs, read_table(spark, DATA, "benchmark")).select("doc_id").collect()}
     kept = corpus_pipeline.without_benchmark(spark, docs, DATA)
     assert leaks and sorted(r[0] or -1 for r in kept.select("doc_id").collect()) == sorted(r[0] or -1 for r in docs.select("doc_id").collect() if r[0] not in leaks)
-    clean = corpus_pipeline.without_secrets(spark, docs, DATA)
-    assert clean.schema == docs.schema and clean.count() == docs.count()
+    clean = stored(corpus_pipeline.without_secrets(spark, docs, DATA), "test")
+    assert clean.dtypes == docs.dtypes and clean.count() == docs.count()
     assert secret_scan.report(clean).where("n_assign + n_access + n_hex > 0").count() == 0
     assert clean.where(F.col("n_chars") != F.length("text")).count() == 0
     assert corpus_pipeline.to_tokens(spark, docs, DATA).count() == docs.count()
