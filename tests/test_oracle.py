@@ -6,6 +6,7 @@ import pytest
 import __spark_entry__ as entry
 import check
 from conftest import DATA
+from matchboard.catalog import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +17,7 @@ def duck():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     result = entry.queries()[name](spark, DATA)
     plan = result._jdf.queryExecution().executedPlan().toString()
