@@ -12,12 +12,16 @@ from pyspark.sql import functions as F
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (a local test session) a private folder is set.
+    Only a local session may leave it open; it gets a private folder. On a cluster that would be a folder
+    of one machine, so it is an error there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="matchboard-")
         spark.sparkContext.setCheckpointDir(root)
     return root

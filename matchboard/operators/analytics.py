@@ -241,8 +241,9 @@ def current_streak(matches: DataFrame) -> DataFrame:
 
 
 def team_counters(matches: DataFrame) -> DataFrame:
-    """Matches played (on either side) and won per team."""
-    sides = matches.select(F.explode(F.array("team_a_id", "team_b_id")).alias("team_id"), "winner_id")
+    """Matches played (on either side) and won per team; a match counts once per team, an open side not at all."""
+    teams = F.array_compact(F.array_distinct(F.array("team_a_id", "team_b_id")))
+    sides = matches.select(F.explode(teams).alias("team_id"), "winner_id")
     return sides.groupBy("team_id").agg(
         F.count(F.lit(1)).alias("matches_played"),
         F.count_if(F.col("team_id") == F.col("winner_id")).alias("matches_won"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,13 +76,16 @@ def team_paths(edges: DataFrame, max_level: int = 3) -> DataFrame:
     return result.select("team_id", "reached_id", "level", shown.alias("full_path"))
 
 
-def team_reach(edges: DataFrame, max_level: int = 8) -> DataFrame:
-    """Fewest steps from each team to every other team it can reach within ``max_level`` steps."""
+def team_reach(edges: DataFrame, max_level: int | None = None) -> DataFrame:
+    """Fewest steps from each team to every other team it can reach; in ``max_level`` steps if that is given.
+
+    Ends when a step finds no new pair.
+    """
     step = cut_lineage(_distinct_edges(edges).filter("src <> dst"))
     reached = frontier = step.select(
         F.col("src").alias("team_id"), F.col("dst").alias("reached_id"), F.lit(1).alias("hops")
     )
-    for hops in range(2, max_level + 1):
+    for hops in count(2) if max_level is None else range(2, max_level + 1):
         further = (
             frontier.select("team_id", F.col("reached_id").alias("src"))
             .join(step, "src")

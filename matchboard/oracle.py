@@ -372,7 +372,8 @@ add(
     f"+ {_GROUPS} SELECT tournament_id, team_a_id, current_streak FROM summary",
 )
 _COUNTERS = """SELECT team_id, count(*) AS matches_played, count(*) FILTER (WHERE team_id = winner_id) AS matches_won
-    FROM (SELECT team_a_id AS team_id, winner_id FROM matches UNION ALL SELECT team_b_id, winner_id FROM matches)
+    FROM (SELECT team_a_id AS team_id, winner_id FROM matches WHERE team_a_id IS NOT NULL
+      UNION ALL SELECT team_b_id, winner_id FROM matches WHERE team_b_id IS NOT NULL AND team_b_id IS DISTINCT FROM team_a_id)
     GROUP BY team_id"""
 add("team_counters", "matches", _COUNTERS)
 add("stream_team_counters", "matches", _COUNTERS)

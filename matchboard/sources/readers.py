@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 from ..functions import size_pretty
 from ..schema import TABLES
 
+# Text comes back as it was written: spaces at the ends, quotes and line breaks included.
+CSV_TEXT = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 # Where the first run of each incremental read starts.
 FIRST_LOAD = "2020-01-01 00:00:00"
 FIRST_EXPORT = "1900-01-01 00:00:00"
@@ -79,7 +82,7 @@ def from_json_records(df: DataFrame, column: str, schema: T.StructType) -> DataF
 
 def read_csv_versions(spark: SparkSession, versions: Sequence[tuple[str, T.StructType]]) -> DataFrame:
     """CSV exports with header, each read by its own schema; a column a version lacks is NULL."""
-    frames = [spark.read.schema(schema).option("header", True).csv(path) for path, schema in versions]
+    frames = [spark.read.schema(schema).options(**CSV_TEXT, multiLine=True).csv(path) for path, schema in versions]
     result = frames[0]
     for frame in frames[1:]:
         result = result.unionByName(frame, allowMissingColumns=True)

@@ -36,14 +36,11 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 def new_rows(batch: DataFrame, target: DataFrame, key: str, ts: str) -> DataFrame:
-    """Rows of ``batch`` whose key the target lacks, one per key.
+    """Rows of ``batch`` whose key the target lacks, one per key, the newest of the batch.
 
-    A row delivered again carries the same time, so only the target's rows between the batch's first
-    and last time, and those without a time, are looked at.
+    The key alone decides: a row delivered again with another time is not stored again.
     """
-    first = batch.agg(F.min(ts)).scalar()
-    last = batch.agg(F.max(ts)).scalar()
-    known = target.filter(F.col(ts).between(first, last) | F.col(ts).isNull()).select(key)
+    known = target.select(key)
     return first_per_key(batch, [key], [F.desc_nulls_last(ts)]).join(known, key, "left_anti")
 
 

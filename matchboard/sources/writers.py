@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from datetime import datetime
-from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,10 +11,9 @@ from pyspark.sql import types as T
 from ..cluster import cut_lineage
 from ..functions import clean_text
 from ..operators.skew import HOT_ROWS, hot_groups
-from .readers import lake_files
+from .readers import CSV_TEXT, lake_files
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-_DELETE_BATCH = 1000
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -32,11 +30,16 @@ def as_text(df: DataFrame) -> DataFrame:
 
 
 def write(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", partitions: tuple = ()) -> str:
-    """Write one table as csv (with header), json (one record per line, ISO times) or parquet (snappy)."""
+    """Write one table as csv (with header), json (one record per line, ISO times) or parquet (snappy).
+
+    With partitions, ``overwrite`` replaces the partitions that ``df`` has and leaves others alone.
+    """
     target = df if fmt == "parquet" else as_text(df)
     writer = target.write.mode(mode).partitionBy(*partitions)
+    if partitions:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
-        writer.option("header", True).option("timestampNTZFormat", ISO).csv(path)
+        writer.options(**CSV_TEXT).option("timestampNTZFormat", ISO).csv(path)
     elif fmt == "json":
         options = {"timestampFormat": ISO, "timestampNTZFormat": ISO, "ignoreNullFields": "false"}
         writer.options(**options).json(path)
@@ -82,7 +85,7 @@ def store_layout(tables, layout: str, name: str, path: str, buckets: int) -> Dat
 
 
 def write_dated(df: DataFrame, base: str, run_date: str, fmt: str = "parquet") -> str:
-    """Write below ``base/year=YYYY/month=MM/day=DD`` of the run date; other dates are left alone."""
+    """Write below ``base/year=YYYY/month=MM/day=DD`` of the run date; a second run of a date replaces the first."""
     day = F.lit(run_date).cast("date")
     dated = df.select(
         "*",
@@ -90,7 +93,7 @@ def write_dated(df: DataFrame, base: str, run_date: str, fmt: str = "parquet") -
         F.date_format(day, "MM").alias("month"),
         F.date_format(day, "dd").alias("day"),
     )
-    return write(dated, base, fmt, "append", ("year", "month", "day"))
+    return write(dated, base, fmt, "overwrite", ("year", "month", "day"))
 
 
 def stamped(path: str, moment: str) -> str:
@@ -126,10 +129,10 @@ def retention_report(files: DataFrame, as_of: str, days: int = 90) -> DataFrame:
 
 
 def retention(spark: SparkSession, path: str, as_of: str, days: int = 90, dry_run: bool = True) -> DataFrame:
-    """Expired folders below ``path`` with their files and size; deletes them unless ``dry_run``.
+    """Expired files below ``path`` by folder, with their number and size; deletes them unless ``dry_run``.
 
-    A folder goes as a whole when all its files have expired (date partitions do); in any other folder
-    the expired files go one by one. Paths are handed to the driver in batches.
+    Only expired files are deleted, one by one. A folder goes when nothing but hidden markers is left below it.
+    Paths are handed to the driver in batches.
     """
     if not dry_run and days < 1:
         raise ValueError("keep at least one day")
@@ -141,22 +144,28 @@ def retention(spark: SparkSession, path: str, as_of: str, days: int = 90, dry_ru
     folders = files.groupBy("folder").agg(
         F.count_if(expired).alias("n_files"),
         F.sum(F.when(expired, F.col("length")).otherwise(0)).alias("n_bytes"),
-        F.every(expired).alias("whole"),
+        F.every(expired).alias("whole"),  # the folder's own files, not those of folders below it
     )
     found = folders.filter(F.col("n_files") > 0)
     if dry_run:
         return found
-    whole = found.filter("whole").select(F.col("folder").alias("path"))
-    single = files.filter(expired).join(found.filter("NOT whole").select("folder"), "folder").select("path")
-    for paths in (whole, single):
-        _delete(spark, paths)
+    fs_of = _file_systems(spark)
+    for path in _in_batches(files.filter(expired).select("path")):
+        fs_of(path).delete(path, False)
+    for path in _in_batches(found.filter("whole").select(F.col("folder").alias("path"))):
+        left = fs_of(path).listStatus(path)
+        if all(status.isFile() and status.getPath().getName()[0] in "_." for status in left):
+            fs_of(path).delete(path, True)
     return found
 
 
-def _delete(spark: SparkSession, paths: DataFrame) -> None:
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    rows = paths.toLocalIterator()
-    while batch := list(islice(rows, _DELETE_BATCH)):
-        for row in batch:
-            target = jvm.org.apache.hadoop.fs.Path(row["path"])
-            target.getFileSystem(conf).delete(target, True)
+def _file_systems(spark: SparkSession):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return lambda path: path.getFileSystem(conf)
+
+
+def _in_batches(paths: DataFrame):
+    """Hadoop paths, one partition of the listing at a time."""
+    make = paths.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for row in paths.toLocalIterator():
+        yield make(row["path"])
