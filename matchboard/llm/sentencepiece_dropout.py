@@ -39,14 +39,14 @@ SPACE_MARK = "▁"
 RUN = re.compile(r"\n| *[^ \n]+| +")
 FINE_RUN = re.compile(r"\n| *[^\W\d_¹²³]+| *(?:[^\w \n]|[\d_¹²³])+| +")
 LETTER = re.compile(r"[^\W\d_¹²³]")
-KEEP_RUNS = 800_000  # runs that a task remembers, over all variants
+KEEP_RUNS = 800_000  # runs that a task remembers, over all variants; some 200 bytes each
 DOCS_AT_ONCE = 256
 LONG_RUN = 64  # longer ones are not remembered
 MASK = (1 << 64) - 1
 
 
 class Codec:
-    def __init__(self, model_file: str, dropout: float = 0.0, seed: int = 0, variants: int = 4):
+    def __init__(self, model_file: str, dropout: float = 0.0, seed: int = 0, variants: int = 4, keep_runs: int = KEEP_RUNS):
         model = sentencepiece.SentencePieceProcessor(model_file=model_file)
         pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
         plain = [i for i in range(len(pieces)) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
@@ -66,7 +66,7 @@ class Codec:
         self.kind = np.dtype(self.code)
         self.threshold = int(dropout * (1 << 32))
         self.variants = variants if self.threshold else 1
-        self.seed = seed
+        self.seed, self.keep_runs = seed, keep_runs
         self.keys = [xxhash.xxh64_intdigest(f"{seed}:{v}") for v in range(self.variants)]
         self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
         self.older: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
@@ -112,7 +112,7 @@ class Codec:
             found = array(self.code, ids).tobytes()
         if len(run) <= LONG_RUN:
             known = self.known[variant]
-            if len(known) >= KEEP_RUNS // (2 * self.variants):  # runs not met since the last time are forgotten
+            if len(known) >= self.keep_runs // (2 * self.variants):  # runs not met since the last time are forgotten
                 self.older[variant], self.known[variant] = known, {}
             self.known[variant][run] = found
         return found
@@ -137,13 +137,13 @@ class Codec:
 
 
 @lru_cache(maxsize=4)
-def codec(model_file: str, dropout: float, seed: int, variants: int) -> Codec:
-    return Codec(model_file, dropout, seed, variants)
+def codec(model_file: str, dropout: float, seed: int, variants: int, keep_runs: int = KEEP_RUNS) -> Codec:
+    return Codec(model_file, dropout, seed, variants, keep_runs)
 
 
 def encoded(
     docs: DataFrame, dropout: float = 0.1, seed: int = 0, variants: int = 4, name: str = "token_ids", model_file: str | None = None,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", keep_runs: int = KEEP_RUNS,
 ) -> DataFrame:
     """All rows and columns, and the token ids of the text.
 
@@ -155,7 +155,7 @@ def encoded(
     schema = StructType([*rows.schema.fields, StructField(name, ArrayType(IntegerType()))])
 
     def encode(batches):
-        c = codec(file, dropout, seed, variants)
+        c = codec(file, dropout, seed, variants, keep_runs)
         for batch in batches:
             for start in range(0, batch.num_rows, DOCS_AT_ONCE):
                 part = batch.slice(start, DOCS_AT_ONCE)
@@ -184,14 +184,14 @@ def decoded(rows: DataFrame, ids_col: str = "token_ids", name: str = "text", mod
 
 def round_trips(
     docs: DataFrame, dropout: float = 0.1, seed: int = 0, variants: int = 4, model_file: str | None = None, id_col: str = "doc_id",
-    text_col: str = "text",
+    text_col: str = "text", keep_runs: int = 2 * KEEP_RUNS,
 ) -> DataFrame:
     """Rows (doc_id, n_tokens, ids_crc32, lossless): each text encoded and decoded again."""
     file = model_file or public_tokenizers.path(MODEL)
 
     @F.pandas_udf("struct<n_tokens long, ids_crc32 long, lossless boolean>")
     def both(names: pd.Series, texts: pd.Series) -> pd.DataFrame:
-        c = codec(file, dropout, seed, variants)
+        c = codec(file, dropout, seed, variants, keep_runs)
         out = []
         for n, t in zip(names, texts):
             ids = c.encode(t or "", n)
