@@ -22,7 +22,7 @@ from .plans.checks import check_models
 from .plans.models import MARTS, VIEWS, Models
 from .schema import FOREIGN_KEYS
 from .sources import readers, results, writers
-from .sources.fixtures import AS_OF, EVENTS_AS_OF, WATERMARK, Tables, open_tables
+from .sources.fixtures import AS_OF, EVENTS_AS_OF, MATCH_TABLES, WATERMARK, Tables, open_tables
 from .streaming import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -175,15 +175,15 @@ def load_new_matches(t):
     batch = readers.incremental(t["matches"], "played_at", A.at(WATERMARK), A.at(AS_OF))
     batch = results.as_new_matches(batch, AS_OF)
     target = new_folder(t.spark, "new_matches")
-    for _ in range(2):  # the second delivery of the same batch adds nothing
-        results.append_new(batch, target, "id", "played_at")
+    for moved in range(2):  # the second delivery adds nothing, though its times have moved by a day
+        again = batch.withColumn("played_at", F.col("played_at") + F.make_dt_interval(F.lit(moved)))
+        results.append_new(again, target, "id", "played_at")
     return t.spark.read.parquet(target)
 
 
 @query
 def snapshot_manifest(t):
-    names = ("players", "teams", "tournaments", "matches", "player_stats", "elo_history", "prize_payouts")
-    return writers.snapshot(t.spark, {n: t[n] for n in names}, new_folder(t.spark, "snapshot"), AS_OF)
+    return writers.snapshot(t.spark, {n: t[n] for n in MATCH_TABLES}, new_folder(t.spark, "snapshot"), AS_OF)
 
 
 @query
@@ -303,9 +303,16 @@ def validate_new_players(t):
 # scalar functions --------------------------------------------------------------------------------
 
 
+def _damaged(t) -> DataFrame:
+    """Documents; every third text ends in a cut-off character and a bracket."""
+    broken = F.when(F.col("doc_id") % 3 == 0, F.unhex(F.lit("C328"))).otherwise(F.unhex(F.lit("")))
+    damaged = F.concat(F.encode("text", "UTF-8"), broken).cast("string")
+    return t["documents"].withColumn("text", damaged)
+
+
 @query
 def clean_text(t):
-    return t["documents"].select("doc_id", fn.clean_text("text").alias("text"))
+    return _damaged(t).select("doc_id", fn.clean_text("text").alias("text"))
 
 
 @query
@@ -339,8 +346,7 @@ def size_labels(t):
 @query
 def streakcount_sql(t):
     fn.register_sql_functions(t.spark)
-    history = A.win_history(t["matches"])
-    return history.selectExpr("tournament_id", "team_a_id", "part", "streakcount(streak_history) AS streak")
+    return A.streak_from_history(t["matches"], run_length=lambda text: F.call_function("streakcount", text))
 
 
 # analytical queries ------------------------------------------------------------------------------
@@ -525,6 +531,12 @@ def team_paths_k3(t):
     return N.team_paths(N.team_edges(t["matches"]), 3)
 
 
+@query
+def chain_paths_k8(t):
+    steps = t["customer"].select(F.col("c_custkey").alias("src"), (F.col("c_custkey") + 1).alias("dst"))
+    return N.team_paths(steps, 8)
+
+
 @query
 def team_reach(t):
     return N.team_reach(N.team_edges(t["matches"]))
@@ -593,9 +605,18 @@ def quarantine_stats(t):
     return Q.judge(_shifted_stats(t), Q.stats_rules())
 
 
+@query
+def quarantine_split(t):
+    valid, rejected = Q.quarantine(_shifted_stats(t), Q.stats_rules())
+    parts = valid.select(F.lit("valid").alias("part"), F.lit(None).cast("string").alias("broken_rules")).unionByName(
+        rejected.select(F.lit("rejected").alias("part"), "broken_rules")
+    )
+    return parts.groupBy("part", "broken_rules").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query
 def dq_utf8(t):
-    return Q.valid_utf8(t["documents"], ["text", "lang", "source"])
+    return Q.valid_utf8(_damaged(t), ["text", "lang", "source"])
 
 
 @query
@@ -683,7 +704,7 @@ def stream_dedup(t):
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
         F.col("l_shipdate").cast("timestamp").alias("ts"),
     )
-    once = feeds.drop_repeats(rows, "id", "ts", "10000 days").select("id")
+    once = feeds.drop_repeats(rows, "id", "ts", "30 days").select("id")
     feeds.append_batches(once, f"{folder}/out", f"{folder}/log")
     return t.spark.read.parquet(f"{folder}/out")
 
@@ -698,8 +719,12 @@ def stream_team_counters(t):
 @query
 def stream_leaderboard(t):
     folder = new_folder(t.spark, "board")
-    players = _streamed(t, "players", "customer")
-    feeds.refresh_leaderboard(players, f"{folder}/players", f"{folder}/board", f"{folder}/log")
+    players = t["players"]
+    earlier = players.withColumn("elo_rating", (4000 - F.col("elo_rating")).cast("int"))
+    for version in (earlier, players):  # the second run changes all ratings
+        version.write.mode("append").parquet(f"{folder}/in")
+        arriving = t.spark.readStream.schema(players.schema).parquet(f"{folder}/in")
+        feeds.refresh_leaderboard(arriving, f"{folder}/players", f"{folder}/board", f"{folder}/log")
     return t.spark.read.parquet(f"{folder}/board")
 
 
@@ -779,9 +804,13 @@ def gen_payouts(t):
 @query
 def named_queries_kept(t):
     root = new_folder(t.spark, "named")
-    J.keep_slowest(t.spark, t, root, AS_OF, repeats=1)
-    kept = results.ResultStore(t.spark, f"{root}/results").registry()
-    return kept.agg(F.count(F.lit(1)).alias("n_kept"), F.min("ttl_s").alias("ttl_s"))
+    J.keep_slowest(t.spark, t, root, AS_OF, repeats=1, k=len(J.NAMED_QUERIES))
+    sizes = None
+    for name in J.NAMED_QUERIES:
+        stored = J.named_query(t.spark, t, name, root, AS_OF).agg(F.count(F.lit(1)).alias("n_rows"))
+        row = stored.select(F.lit(name).alias("name"), "n_rows")
+        sizes = row if sizes is None else sizes.unionByName(row)
+    return sizes
 
 
 # jobs --------------------------------------------------------------------------------------------
@@ -804,8 +833,7 @@ def weekly_job(t):
 
 @query
 def monthly_job(t):
-    names = ("players", "teams", "tournaments", "matches", "player_stats")
-    return _steps(J.monthly(t.spark, t, names, new_folder(t.spark, "monthly"), EVENTS_AS_OF))
+    return _steps(J.monthly(t.spark, t, MATCH_TABLES, new_folder(t.spark, "monthly"), EVENTS_AS_OF))
 
 
 @query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..cluster import cut_lineage, fits
-from ..functions import kda_ratio, ratio_pct
+from ..functions import kda_ratio, ratio_pct, streakcount
 from .ranking import rank_by_score, rank_top, top_k, top_n_per_key
 from .skew import (
     HOT_ROWS,
@@ -20,14 +20,16 @@ from .skew import (
     add_offsets,
     add_segment,
     hot_groups,
-    is_hot,
+    only_hot,
     position_in_group,
     skew_join,
+    without_hot,
 )
 
 MAX_LEADERBOARD = 500  # fixed value: the largest leaderboard that may be asked for
 FEW_GROUPS = 200_000
 _REPEAT_STEP = 10_000
+_TEAM = ["tournament_id", "team_a_id"]
 
 
 def at(moment: str | datetime) -> Column:
@@ -82,13 +84,13 @@ def avg_damage(
     hot = hot_groups(stats, ["match_id"]) if hot is None else hot
     rows = stats.select("match_id", "player_id", "damage_dealt")
     upto = W.partitionBy("match_id").orderBy(F.asc_nulls_last("player_id"))
-    ordinary = rows if not hot else rows.filter(~is_hot(["match_id"], hot))
+    ordinary = without_hot(rows, ["match_id"], hot)
     mean = F.sum("damage_dealt").over(upto).cast("double") / F.nullif(F.count("damage_dealt").over(upto), F.lit(0))
     result = ordinary.select("match_id", "player_id", mean.alias("avg_dmg"))
     if not hot:
         return result
     players = (
-        rows.filter(is_hot(["match_id"], hot))
+        only_hot(rows, ["match_id"], hot)
         .groupBy("match_id", "player_id")
         .agg(F.sum("damage_dealt").alias("s"), F.count("damage_dealt").alias("c"), F.count(F.lit(1)).alias("n"))
     )
@@ -181,26 +183,51 @@ def win_flags(matches: DataFrame) -> DataFrame:
     return matches.select(F.col("id").alias("match_id"), "tournament_id", "team_a_id", won.alias("streak"))
 
 
-def win_history(matches: DataFrame, block: int = 10_000, hot: Sequence[HotGroup] | None = None) -> DataFrame:
-    """Win flags of each (tournament, first team) in playing order as text, ``block`` flags per row.
-
-    Part 0 is the whole history of a group of ordinary size; a longer one goes on in parts 1, 2, ...
-    """
-    keys = ["tournament_id", "team_a_id"]
+def win_history(matches: DataFrame, hot: Sequence[HotGroup] | None = None) -> DataFrame:
+    """Win flag of every match with its place, 1, 2, ..., in the playing order of its (tournament, first team)."""
     flags = matches.select(
-        *keys,
-        "played_at",
-        "id",
-        F.when(F.col("team_a_id") == F.col("winner_id"), F.lit("1")).otherwise(F.lit("0")).alias("flag"),
+        *_TEAM, "played_at", "id", F.when(F.col("team_a_id") == F.col("winner_id"), "1").otherwise("0").alias("streak")
     )
-    placed = position_in_group(flags, keys, ["played_at", "id"], "place", hot)
-    part = F.call_function("div", F.col("place") - 1, F.lit(block).cast("long")).alias("part")
-    listed = F.array_sort(F.collect_list(F.struct("place", "flag")))  # at most `block` entries
-    return (
-        placed.groupBy(*keys, part)
+    placed = position_in_group(flags, _TEAM, ["played_at", "id"], "place", hot)
+    return placed.select(*_TEAM, "place", F.col("id").alias("match_id"), "streak")
+
+
+def streak_from_history(
+    matches: DataFrame,
+    rows_per_text: int = 10_000,
+    hot: Sequence[HotGroup] | None = None,
+    run_length: Callable[[Column], Column] = streakcount,
+) -> DataFrame:
+    """Current streak per (tournament, first team), read from histories written as text with ``run_length``.
+
+    A history is written in texts of ``rows_per_text`` flags, so that none outgrows a task. The streak of the
+    group is the run that ends its last text with a 0 in it, and all flags of the texts after that one.
+    """
+    text = F.call_function("div", F.col("place") - 1, F.lit(rows_per_text).cast("long")).alias("text")
+    listed = F.array_sort(F.collect_list(F.struct("place", "streak")))  # at most rows_per_text entries
+    texts = (
+        win_history(matches, hot)
+        .groupBy(*_TEAM, text)
         .agg(listed.alias("l"))
-        .select(*keys, "part", F.array_join(F.col("l.flag"), ", ").alias("streak_history"))
+        .select(
+            *_TEAM,
+            "text",
+            F.size("l").cast("long").alias("n"),
+            run_length(F.array_join(F.col("l.streak"), ", ")).cast("long").alias("run"),
+        )
+    )
+    ended = F.col("run") < F.col("n")
+    last = texts.groupBy(*_TEAM).agg(
+        F.max(F.when(ended, F.struct("text", "run"))).alias("stop"),
+        F.sum("n").alias("n_all"),
+        F.max("text").alias("last_text"),
+    )
+    # all texts but the last are full, which gives the flags after a text without counting them again
+    after = F.col("n_all") - (F.col("stop.text") + 1) * rows_per_text
+    streak = F.when(F.col("stop").isNull(), F.col("n_all")).otherwise(
+        F.col("stop.run") + F.when(F.col("stop.text") < F.col("last_text"), after).otherwise(0)
     )
+    return last.select(*_TEAM, streak.cast("long").alias("streak"))
 
 
 def team_summary(matches: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:

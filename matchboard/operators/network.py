@@ -50,7 +50,7 @@ def _distinct_edges(edges: DataFrame) -> DataFrame:
     return edges.select(F.col(edges.columns[0]).alias("src"), F.col(edges.columns[1]).alias("dst")).distinct()
 
 
-def team_paths(edges: DataFrame, max_level: int = 3) -> DataFrame:
+def team_paths(edges: DataFrame, max_level: int) -> DataFrame:
     """Simple paths of up to ``max_level`` steps from every team; each level is written before the next.
 
     The number of paths grows with the number of neighbours at every level: for a dense network of many

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import epoch_micros
-from .skew import SEGMENT_ROWS, HotGroup, hot_groups, is_hot, piece_count, range_pieces
+from .skew import SEGMENT_ROWS, HotGroup, hot_groups, only_hot, piece_count, range_pieces, without_hot
 
 # task code travels with the task: executors need no copy of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -136,11 +136,11 @@ def rate_limit(
     time = epoch_micros(events, ts).alias("__t")
     rows = events.select("*", group, time)
     no_state = {"__end": F.lit(None).cast("long"), "__used": F.lit(None).cast("long")}
-    ordinary = rows if not hot else rows.filter(~is_hot([key], hot))
+    ordinary = without_hot(rows, [key], hot)
     calls = ordinary.withColumn("__chunk", F.lit(0).cast("long")).withColumns(no_state)
     entries = None
     if open_windows is not None:
-        cold = open_windows.filter(~is_hot([key], hot))
+        cold = without_hot(open_windows, [key], hot)
         entries = cold.select(
             group,
             F.lit(0).cast("long").alias("__chunk"),
@@ -149,14 +149,14 @@ def rate_limit(
         )
     if hot:
         sorting = [F.asc("__group"), F.asc("__t"), F.asc(order)]
-        chunked = range_pieces(rows.filter(is_hot([key], hot)), sorting, piece_count(hot, rows_per_chunk), "__chunk")
+        chunked = range_pieces(only_hot(rows, [key], hot), sorting, piece_count(hot, rows_per_chunk), "__chunk")
         chunked = chunked.withColumn("__chunk", F.col("__chunk").cast("long"))
         distinct = chunked.groupBy("__group", "__chunk", "__t").agg(F.count(F.lit(1)).alias("n"))
         exits = distinct.groupBy("__group", "__chunk").applyInPandas(
             _chunk_exits(width), "__group string, __chunk long, __upto long, __exit long, n long"
         )
         if open_windows is not None:
-            before = open_windows.filter(is_hot([key], hot)).select(
+            before = only_hot(open_windows, [key], hot).select(
                 group,
                 F.lit(_BEFORE).cast("long").alias("__chunk"),
                 F.lit(-_NONE).cast("long").alias("__upto"),

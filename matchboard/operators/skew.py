@@ -9,24 +9,26 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..cluster import cut_lineage, fits
 
 HOT_ROWS = 2_000_000  # a group below this is no problem for one task
-HOT_SHARE = 0.005  # and neither is one with less than this share of all rows
-SAMPLE_ROWS = 1_000_000
+MAX_HOT = 100_000  # a bound of the list of hot groups: beyond 200 billion rows, HOT_ROWS grows with the table
+SAMPLED_ROWS = 500  # rows of the smallest hot group to expect in the sample
 BROADCAST_ROWS = 200_000  # lookups up to here are broadcast: some ten MB
-SALTS = 64
 SEGMENT_ROWS = 1_000_000
-MAX_SEGMENTS = 100_000
 
 SEGMENT = "__segment"
 _SALT = "__salt"
+_TURN = "__turn"
+_HOT = "__hot"
+_PARTS = "__parts"
 
 
 @dataclass(frozen=True)
@@ -40,35 +42,45 @@ class HotGroup:
 def hot_groups(
     df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS, total: int | None = None
 ) -> list[HotGroup]:
-    """Groups that hold more than ``min_rows`` rows and a noticeable share of all rows.
+    """Groups of more than ``min_rows`` rows, whatever share of all rows that is.
 
-    At most ``2 / HOT_SHARE`` groups can qualify, so the list is small however large ``df`` is. Only
-    the key columns are read, and a frame with fewer than ``min_rows`` rows costs one count. The
-    sample decides how work is spread, never what the result is.
+    Only the key columns are sampled, densely enough that such a group shows with some ``SAMPLED_ROWS`` rows. A
+    frame with fewer than ``min_rows`` rows costs one count. The list has at most ``MAX_HOT`` entries or so, as
+    ``min_rows`` is at least the ``MAX_HOT``-th part of the table. The sample decides how work is spread, never
+    what the result is.
     """
     total = df.count() if total is None else total
     if total <= min_rows:
         return []
-    fraction = min(1.0, SAMPLE_ROWS / total)
+    min_rows = max(min_rows, total // MAX_HOT)
+    fraction = min(1.0, SAMPLED_ROWS / min_rows)
     keyed = df.select(*keys)
     sample = keyed if fraction == 1.0 else keyed.sample(fraction, seed=17)
-    least = max(min_rows, total * HOT_SHARE / 2) * fraction
+    least = min_rows * fraction * (1.0 if fraction == 1.0 else 0.8)  # room for chance
     found = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > least)
     return [HotGroup(tuple(row[k] for k in keys), int(row["n"] / fraction)) for row in found.collect()]
 
 
-def is_hot(keys: Sequence[str], hot: Sequence[HotGroup]) -> Column:
-    """Predicate, never NULL: the row belongs to one of the hot groups."""
-    if len(keys) == 1:
-        known = [group.key[0] for group in hot if group.key[0] is not None]
-        match = F.coalesce(F.col(keys[0]).isin(known), F.lit(False))
-        return match | F.col(keys[0]).isNull() if len(known) < len(hot) else match
-    tests = [
-        reduce(and_, [F.col(name).eqNullSafe(F.lit(value)) for name, value in zip(keys, group.key)]) for group in hot
-    ]
-    while len(tests) > 1:  # a balanced tree stays shallow
-        tests = [reduce(or_, tests[i : i + 2]) for i in range(0, len(tests), 2)]
-    return tests[0] if tests else F.lit(False)
+def _hot_frame(df: DataFrame, keys: Sequence[str], hot: Sequence[HotGroup], min_rows: int = HOT_ROWS) -> DataFrame:
+    """The keys of the hot groups and into how many parts each is cut; at most ``MAX_HOT`` rows or so."""
+    fields = [T.StructField(f"{_HOT}{i}", df.schema[k].dataType) for i, k in enumerate(keys)]
+    rows = [(*group.key, max(2, -(-group.rows // min_rows))) for group in hot]
+    return F.broadcast(df.sparkSession.createDataFrame(rows, T.StructType([*fields, T.StructField(_PARTS, T.LongType())])))
+
+
+def _same_key(keys: Sequence[str]) -> Column:
+    """Condition of a join with ``_hot_frame``; NULL equals NULL."""
+    return reduce(and_, [F.col(k).eqNullSafe(F.col(f"{_HOT}{i}")) for i, k in enumerate(keys)])
+
+
+def only_hot(df: DataFrame, keys: Sequence[str], hot: Sequence[HotGroup]) -> DataFrame:
+    """Rows of the hot groups."""
+    return df.join(_hot_frame(df, keys, hot), _same_key(keys), "left_semi") if hot else df.filter(F.lit(False))
+
+
+def without_hot(df: DataFrame, keys: Sequence[str], hot: Sequence[HotGroup]) -> DataFrame:
+    """Rows of all other groups."""
+    return df.join(_hot_frame(df, keys, hot), _same_key(keys), "left_anti") if hot else df
 
 
 @dataclass(frozen=True)
@@ -86,26 +98,29 @@ def skew_joins(
     """Join each fact to its row in every lookup without gathering a hot key in one task.
 
     A lookup of at most ``broadcast_rows`` rows, counted here, is broadcast and the facts stay where they
-    are. For a larger one both sides shuffle; then facts of hot keys carry a salt, and the few lookup
-    rows of those keys are repeated once per salt. Salts count rows of the scan, before any shuffle, so
-    a retried task deals them out the same way; facts must come straight from a scan or written table.
+    are. For a larger one both sides shuffle; then facts of hot keys carry a salt, and the lookup rows of
+    those keys are repeated once per salt: as many as parts of ``min_rows`` rows need. Salts count rows of
+    the scan, before any shuffle, so a retried task deals them out the same way; facts must come straight
+    from a scan or written table.
     """
     small = [fits(lookup.frame, broadcast_rows) for lookup in lookups]
     total = 0 if all(small) else facts.count()
     hot = [[] if few else hot_groups(facts, lookup.keys, min_rows, total) for lookup, few in zip(lookups, small)]
-    spread = [is_hot(lookup.keys, groups) for lookup, groups in zip(lookups, hot)]
-    turn = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
-    salts = {f"{_SALT}{i}": F.when(spread[i], turn).otherwise(0) for i, groups in enumerate(hot) if groups}
-    joined = facts.withColumns(salts) if salts else facts
+    joined = facts.withColumn(_TURN, F.monotonically_increasing_id()) if any(hot) else facts
     for i, lookup in enumerate(lookups):
-        frame, keys = lookup.frame, list(lookup.keys)
+        frame, keys, salt = lookup.frame, list(lookup.keys), f"{_SALT}{i}"
         if small[i]:
             frame = F.broadcast(frame)
         if hot[i]:
-            copies = F.when(spread[i], F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-            frame, keys = frame.withColumn(f"{_SALT}{i}", F.explode(copies)), [*keys, f"{_SALT}{i}"]
+            parts = _hot_frame(facts, keys, hot[i], min_rows)
+            names = [f"{_HOT}{k}" for k in range(len(keys))] + [_PARTS]
+            joined = joined.join(parts, _same_key(keys), "left")
+            joined = joined.withColumn(salt, F.coalesce(F.pmod(_TURN, _PARTS), F.lit(0).cast("long"))).drop(*names)
+            copies = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(_PARTS), F.lit(1)) - 1)
+            frame = frame.join(parts, _same_key(keys), "left").withColumn(salt, F.explode(copies)).drop(*names)
+            keys = [*keys, salt]
         joined = joined.join(frame, keys, lookup.how)
-    return joined.drop(*salts)
+    return joined.drop(_TURN, *[f"{_SALT}{i}" for i in range(len(lookups))])
 
 
 def skew_join(
@@ -122,7 +137,7 @@ def skew_join(
 
 def piece_count(hot: Sequence[HotGroup], rows_per_piece: int = SEGMENT_ROWS) -> int:
     """Into how many pieces to cut the rows of the hot groups."""
-    return min(MAX_SEGMENTS, max(2, -(-sum(group.rows for group in hot) // rows_per_piece)))
+    return max(2, -(-sum(group.rows for group in hot) // rows_per_piece))
 
 
 def range_pieces(df: DataFrame, order: Sequence[Column], pieces: int, name: str) -> DataFrame:
@@ -146,8 +161,8 @@ def add_segment(
         return df.withColumn(SEGMENT, F.lit(0))
     pieces = piece_count(hot, rows_per_segment)
     sorting = [*[F.asc(k) for k in keys], *[F.asc_nulls_last(c) for c in order]]
-    cut = range_pieces(df.filter(is_hot(keys, hot)), sorting, pieces, SEGMENT)
-    return df.filter(~is_hot(keys, hot)).withColumn(SEGMENT, F.lit(0)).unionByName(cut)
+    cut = range_pieces(only_hot(df, keys, hot), sorting, pieces, SEGMENT)
+    return without_hot(df, keys, hot).withColumn(SEGMENT, F.lit(0)).unionByName(cut)
 
 
 def add_offsets(
@@ -156,14 +171,14 @@ def add_offsets(
     """For rows cut by ``add_segment``: the totals over all earlier pieces of the row's group.
 
     ``totals`` maps new column names to aggregates. Only hot groups have earlier pieces. A piece holds
-    ranges of one group or of neighbours, so there are at most ``MAX_SEGMENTS`` plus the number of hot
-    groups of them, which bounds the broadcast.
+    ranges of one group or of neighbours, so there are at most as many as pieces and hot groups together:
+    one per million rows, which bounds the broadcast.
     """
     keys = list(keys)
     if not hot:
         return df.select("*", *[F.lit(0).alias(name) for name in totals])
     per_piece = (
-        df.filter(is_hot(keys, hot)).groupBy(*keys, SEGMENT).agg(*[agg.alias(name) for name, agg in totals.items()])
+        only_hot(df, keys, hot).groupBy(*keys, SEGMENT).agg(*[agg.alias(name) for name, agg in totals.items()])
     )
     before = W.partitionBy(*keys).orderBy(SEGMENT).rowsBetween(W.unboundedPreceding, -1)
     offsets = per_piece.select(
@@ -205,9 +220,9 @@ def previous_in_group(
     if not hot:
         return lagged.drop(SEGMENT)
     lagged = lagged.withColumn("__first", F.row_number().over(within) == 1)
-    last = cut.filter(is_hot(keys, hot)).groupBy(*keys, SEGMENT).agg(F.max_by(value, order).alias("__last"))
+    last = only_hot(cut, keys, hot).groupBy(*keys, SEGMENT).agg(F.max_by(value, order).alias("__last"))
     pieces = W.partitionBy(*keys).orderBy(SEGMENT)
-    carried = last.select(  # at most MAX_SEGMENTS rows and one per hot group
+    carried = last.select(  # one row per piece and hot group
         *[F.col(k).alias(f"__{k}") for k in [*keys, SEGMENT]], F.lag("__last").over(pieces).alias("__carried")
     )
     joined = lagged.alias("l").join(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from .catalog import CREATORS, RATE, RUN_DATE
 from .plans import generate as G
 from .schema import FOREIGN_KEYS, TOURNAMENT_STATUSES
-from .sources.fixtures import AS_OF, EVENTS_AS_OF, WATERMARK, view_sql
+from .sources.fixtures import AS_OF, EVENTS_AS_OF, MATCH_TABLES, WATERMARK, view_sql
 
 ORACLE: dict[str, str] = {}
 
@@ -178,11 +178,10 @@ add(
     "matches",
     f"SELECT *, CAST(NULL AS VARCHAR) AS created_by, {_NOW} AS loaded_at FROM matches WHERE {_HALF_OPEN}",
 )
-_SNAPSHOT = ("players", "teams", "tournaments", "matches", "player_stats", "elo_history", "prize_payouts")
 add(
     "snapshot_manifest",
-    " ".join(_SNAPSHOT),
-    " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {n}" for n in _SNAPSHOT),
+    " ".join(MATCH_TABLES),
+    " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {n}" for n in MATCH_TABLES),
 )
 _WIN_RATE = """SELECT tournament_id, team_a_id,
     ((20000 * count(*) FILTER (WHERE team_a_id = winner_id) + count(team_a_id))
@@ -272,7 +271,11 @@ add(
 )
 
 # scalar functions
-add("clean_text", "", "SELECT doc_id, text FROM documents")
+add(
+    "clean_text",
+    "",
+    "SELECT doc_id, text || CASE WHEN doc_id % 3 = 0 THEN chr(65533) || '(' ELSE '' END AS text FROM documents",
+)
 add(
     "interval_math",
     "matches",
@@ -300,7 +303,7 @@ add(
     "streakcount_sql",
     "matches",
     f"""+ {_GROUPS}
-    SELECT tournament_id, team_a_id, 0::BIGINT AS part, current_streak::INT AS streak FROM summary""",
+    SELECT tournament_id, team_a_id, current_streak AS streak FROM summary""",
 )
 
 # analytical queries
@@ -360,11 +363,8 @@ add(
 add(
     "win_history",
     "matches",
-    """+ f AS (
-      SELECT tournament_id, team_a_id, CASE WHEN team_a_id = winner_id THEN '1' ELSE '0' END AS flag,
-             row_number() OVER (PARTITION BY tournament_id, team_a_id ORDER BY played_at, id) AS rn FROM matches)
-    SELECT tournament_id, team_a_id, (rn - 1) // 10000 AS part, string_agg(flag, ', ' ORDER BY rn) AS streak_history
-    FROM f GROUP BY tournament_id, team_a_id, part""",
+    """SELECT tournament_id, team_a_id, id AS match_id, CASE WHEN team_a_id = winner_id THEN '1' ELSE '0' END AS streak,
+       row_number() OVER (PARTITION BY tournament_id, team_a_id ORDER BY played_at, id) AS place FROM matches""",
 )
 add(
     "current_streak",
@@ -437,6 +437,17 @@ add(
     SELECT team_id, reached_id, level, array_to_string(path, '->') AS full_path FROM p""",
     recursive=True,
 )
+add(
+    "chain_paths_k8",
+    "",
+    """+ e AS (SELECT c_custkey AS src, c_custkey + 1 AS dst FROM customer),
+    p AS (
+      SELECT src AS team_id, dst AS reached_id, 1 AS level, src || '->' || dst AS full_path FROM e
+      UNION ALL
+      SELECT team_id, e.dst, level + 1, full_path || '->' || e.dst FROM p JOIN e ON e.src = reached_id WHERE level < 8)
+    SELECT * FROM p""",
+    recursive=True,
+)
 add(
     "team_reach",
     "matches",
@@ -444,7 +455,7 @@ add(
     r AS (
       SELECT src AS team_id, dst AS reached_id, 1 AS hops FROM e
       UNION
-      SELECT team_id, e.dst, hops + 1 FROM r JOIN e ON e.src = reached_id WHERE hops < 8 AND e.dst <> team_id)
+      SELECT team_id, e.dst, hops + 1 FROM r JOIN e ON e.src = reached_id WHERE hops < 25 AND e.dst <> team_id)
     SELECT team_id, reached_id, min(hops) AS hops FROM r GROUP BY ALL""",
     recursive=True,
 )
@@ -513,10 +524,19 @@ add(
       CASE WHEN headshot_pct NOT BETWEEN 0 AND 100 THEN 'headshot_pct_0_100' END), '') AS broken_rules
     FROM shifted""",
 )
+add(
+    "quarantine_split",
+    "",
+    f"""SELECT CASE WHEN broken_rules IS NULL THEN 'valid' ELSE 'rejected' END AS part, broken_rules, count(*) AS n_rows
+    FROM ({ORACLE['quarantine_stats']}) GROUP BY ALL""",
+)
 add(
     "dq_utf8",
     "",
-    " UNION ALL ".join(_count("utf8", c, "documents", "false") for c in ("text", "lang", "source")),
+    " UNION ALL ".join(
+        _count("utf8", c, "documents", "doc_id % 3 = 0 AND text IS NOT NULL" if c == "text" else "false")
+        for c in ("text", "lang", "source")
+    ),
 )
 add(
     "fk_violations",
@@ -562,7 +582,6 @@ add(
 )
 
 # changes
-add("named_queries_kept", "", "SELECT 3::BIGINT AS n_kept, 3600::BIGINT AS ttl_s")
 add(
     "audit_diff",
     "players players_before",
@@ -795,8 +814,7 @@ add(
     _job(
         "monthly",
         {
-            "snapshot": f"SELECT sum(n_rows) FROM ({ORACLE['snapshot_manifest']}) WHERE table_name NOT IN "
-            "('elo_history', 'prize_payouts')",
+            "snapshot": f"SELECT sum(n_rows) FROM ({ORACLE['snapshot_manifest']})",
             "retention": "SELECT 0",
         },
     ),
@@ -825,3 +843,20 @@ add(
         _job("lake_export", {name: f"SELECT count(*) FROM ({ORACLE[name]})"}) for name in _LAKE
     ),
 )
+_KEPT_QUERIES = {
+    "KDA_Ranking": ORACLE["top_kda"],
+    "Winrate_Per_Tournament": ORACLE["win_rate_first_10"],
+    "Avg_Damage_Per_Match": f"{ORACLE['avg_damage']} LIMIT 10",
+    "Elo_Gainers_Last_30d": ORACLE["most_improved"],
+    "Tournaments_With_Many_Matches": ORACLE["frequent_pairs"],
+    "Top_Prize_Players": ORACLE["top_prize_players"],
+    "Top_Elo_Players": "SELECT c_custkey FROM customer LIMIT 10",
+    "Last_10_Matches_Per_Player": ORACLE["last10_first_rows"],
+}
+add(
+    "named_queries_kept",
+    "",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS name, count(*) AS n_rows FROM ({text})" for name, text in _KEPT_QUERIES.items()
+    ),
+)

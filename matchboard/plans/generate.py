@@ -10,6 +10,7 @@ from ..cluster import broadcast_if_small, fits
 from ..functions import draw, draw_item, row_uuid
 from ..operators.analytics import at
 from ..operators.ranking import bucket_assign, zip_join, zip_with_index
+from ..operators.skew import skew_join
 from ..schema import TOURNAMENT_STATUSES
 
 # The choices the generated tables draw from.
@@ -211,7 +212,7 @@ def gen_elo_history(stats: DataFrame, players: DataFrame, as_of: str) -> DataFra
     step = _below(500, "elo_step", "id")
     after = F.when(draw("elo_side", "id") < 0.5, 1200 - step).otherwise(1200 + step)
     rated = players.select(F.col("id").alias("player_id"), F.col("elo_rating").alias("elo_before"))
-    return numbered.join(rated, "player_id").select(
+    return skew_join(numbered, rated, ["player_id"]).select(
         "id",
         "player_id",
         "match_id",

@@ -30,7 +30,6 @@ RUN_LOG = T.StructType(
 )
 RESULT_TTL_S = 3600  # fixed value: how long a stored result is valid
 KEEP_DAYS = 90  # fixed value: how long backups are kept
-LAKE_ROWS = 1000  # fixed value: rows per model in the lake export
 
 Step = tuple[str, Callable[[], int | None]]
 
@@ -221,8 +220,11 @@ def local_export(spark: SparkSession, tables, root: str, as_of: str, since: str)
     )
 
 
-def lake_export(spark: SparkSession, tables, root: str, run_date: str, limit: int | None = LAKE_ROWS) -> DataFrame:
-    """Three models as CSV and Parquet under the run date. A model that fails is logged; the others go on."""
+def lake_export(spark: SparkSession, tables, root: str, run_date: str, limit: int | None = None) -> DataFrame:
+    """Three models as CSV and Parquet under the run date, whole or the first ``limit`` rows of each.
+
+    A model that fails is logged; the others go on.
+    """
     models = Models(tables)
     orders = {
         "int_player_match_summary": ["player_id", "match_id", "stat_id", "kills", "deaths", "assists"],

@@ -2,6 +2,10 @@
 
 One text per view serves both engines: Spark fills the braces with DataFrames, the comparison SQL
 with table names.
+
+Every id runs over its whole domain, so that the views grow with the tables in keys as well as in rows. Half of
+the matches share a hundred large tournaments, the others are spread. The given tables hold four parts to three
+customers at every size; that maps a part to a player.
 """
 
 from __future__ import annotations
@@ -30,25 +34,27 @@ VIEWS: dict[str, str] = {
                                   WHEN 2 THEN 'completed' ELSE 'cancelled' END AS status
         FROM {part} AS part""",
     "matches": """
-        SELECT o_orderkey AS id, (o_orderkey * 7 + o_custkey) % 100 AS tournament_id,
+        SELECT o_orderkey AS id,
+               CASE WHEN o_orderkey % 2 = 0 THEN (o_orderkey * 7 + o_custkey) % 100 ELSE o_custkey END AS tournament_id,
                o_custkey % 25 AS team_a_id, (o_custkey + 1 + o_orderkey % 24) % 25 AS team_b_id,
                CASE WHEN CAST(floor(o_totalprice) AS BIGINT) % 2 = 0 THEN o_custkey % 25
                     ELSE (o_custkey + 1 + o_orderkey % 24) % 25 END AS winner_id,
                o_orderdate AS played_at
         FROM {orders} AS orders""",
     "player_stats": """
-        SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS match_id, l_partkey % 150 AS player_id,
+        SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS match_id,
+               CAST((l_partkey * 3 - l_partkey * 3 % 4) / 4 AS BIGINT) AS player_id,
                CAST(l_quantity AS INT) AS kills, l_linenumber - 1 AS deaths, CAST(l_suppkey % 20 AS INT) AS assists,
                CAST(l_extendedprice AS DECIMAL(12,2)) AS damage_dealt,
                CAST(l_discount * 1000 AS DECIMAL(5,2)) AS headshot_pct
         FROM {lineitem} AS lineitem""",
     "elo_history": """
-        SELECT o_orderkey AS id, o_custkey % 150 AS player_id, o_orderkey AS match_id,
+        SELECT o_orderkey AS id, o_custkey AS player_id, o_orderkey AS match_id,
                CAST(1000 + o_custkey % 500 AS INT) AS elo_before,
                CAST(700 + CAST(floor(o_totalprice) AS BIGINT) % 1000 AS INT) AS elo_after, o_orderdate AS changed_at
         FROM {orders} AS orders""",
     "team_rosters": """
-        SELECT c_custkey AS id, c_custkey % 25 AS team_id, c_custkey % 150 AS player_id,
+        SELECT c_custkey AS id, c_custkey % 25 AS team_id, c_custkey - c_custkey % 4 AS player_id,
                CASE c_custkey % 5 WHEN 0 THEN 'IGL' WHEN 1 THEN 'AWPer' WHEN 2 THEN 'Support'
                                   WHEN 3 THEN 'Entry Fragger' ELSE 'Lurker' END AS role,
                DATE '2001-10-10' + CAST(c_custkey % 365 AS INT) AS joined_at,
@@ -56,9 +62,11 @@ VIEWS: dict[str, str] = {
                     ELSE DATE '2001-10-12' + CAST(c_custkey % 365 AS INT) END AS left_at
         FROM {customer} AS customer""",
     "prize_payouts": """
-        SELECT o_orderkey AS id, (o_orderkey * 7 + o_custkey) % 100 AS tournament_id, o_custkey % 25 AS team_id,
-               o_custkey % 150 AS player_id, CAST(o_totalprice AS DECIMAL(12,2)) AS amount, o_orderdate AS paid_at
-        FROM {orders} AS orders WHERE o_orderstatus = 'F'""",
+        SELECT o_orderkey AS id,
+               CASE WHEN o_orderkey % 2 = 0 THEN (o_orderkey * 7 + o_custkey) % 100 ELSE o_custkey END AS tournament_id,
+               o_custkey % 25 AS team_id,
+               o_custkey AS player_id, CAST(o_totalprice AS DECIMAL(12,2)) AS amount, o_orderdate AS paid_at
+        FROM {orders} AS orders""",
     "player_bans": """
         SELECT event_id AS id, user_id AS player_id, 'Violation of terms of service' AS reason, ts AS banned_at,
                ts + INTERVAL '37' DAY AS expires_at, FALSE AS is_permanent
@@ -80,6 +88,19 @@ VIEWS: dict[str, str] = {
         FROM {events} AS events""",
 }
 
+# The tables a copy of everything holds.
+MATCH_TABLES = (
+    "players",
+    "teams",
+    "tournaments",
+    "matches",
+    "player_stats",
+    "elo_history",
+    "team_rosters",
+    "prize_payouts",
+    "player_bans",
+)
+
 # Fixed parameters of the checked queries.
 AS_OF = "2001-08-01 00:00:00"
 EVENTS_AS_OF = "2024-01-30 00:00:00"

@@ -55,7 +55,7 @@ def watermark_advance(registry: DataFrame, loaded: DataFrame, ts: str) -> DataFr
     return registry.unionByName(newest.select(following.cast("long").alias("id"), "point_of_time"))
 
 
-def bounded_extract(df: DataFrame, order: Sequence[Column], limit: int = 1000) -> DataFrame:
+def bounded_extract(df: DataFrame, order: Sequence[Column], limit: int) -> DataFrame:
     """The first ``limit`` rows in a stated total order."""
     return df.orderBy(*order).limit(limit)
 

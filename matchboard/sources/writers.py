@@ -164,6 +164,12 @@ def _file_systems(spark: SparkSession):
     return lambda path: path.getFileSystem(conf)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all below it; nothing happens where there is none."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    _file_systems(spark)(target).delete(target, True)
+
+
 def _in_batches(paths: DataFrame):
     """Hadoop paths, one partition of the listing at a time."""
     make = paths.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path

@@ -2,6 +2,9 @@
 
 Progress is the checkpoint's commit log: it moves only after a batch was written, and every sink below
 stores a batch that is delivered twice once.
+
+What a stream remembers from batch to batch is one merged table, ``batch=N`` of a state folder. Batch N reads
+what batch N-1 left and replaces it; older states go, as N only starts once N-1 is committed.
 """
 
 from __future__ import annotations
@@ -21,12 +24,15 @@ from ..operators.analytics import team_counters
 from ..operators.changes import audit_feed, latest_changes
 from ..operators.ranking import first_per_key
 from ..operators.ratelimit import rate_limit
+from ..operators.skew import skew_join
 from ..sources.results import append_new, leaderboard_snapshot, read_or_empty
+from ..sources.writers import drop_folder
 
 # task code travels with the task: executors need no copy of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_NEWEST = T.StructType([T.StructField("newest_us", T.LongType())])
 _OPEN_WINDOW = [T.StructField("window_end", T.LongType()), T.StructField("calls", T.LongType())]
 
 
@@ -55,6 +61,22 @@ def run_available(df: DataFrame, checkpoint: str, write: Callable[[DataFrame, in
     return query
 
 
+def _state_before(spark: SparkSession, folder: str, batch_id: int, schema: T.StructType) -> DataFrame:
+    return read_or_empty(spark, f"{folder}/batch={batch_id - 1}", schema)
+
+
+def _merged(before: DataFrame, changed: DataFrame, key: str) -> DataFrame:
+    """One row per key: that of ``changed`` where it has one."""
+    return changed.unionByName(before.join(changed.select(key), key, "left_anti"))
+
+
+def _keep_state(state: DataFrame, folder: str, batch_id: int) -> DataFrame:
+    path = f"{folder}/batch={batch_id}"
+    state.write.mode("overwrite").parquet(path)
+    drop_folder(state.sparkSession, f"{folder}/batch={batch_id - 2}")
+    return state.sparkSession.read.schema(state.schema).parquet(path)
+
+
 def load_new_matches(matches: DataFrame, target: str, checkpoint: str, key: str = "id", ts: str = "played_at"):
     """Append matches that arrived since the last run."""
     return run_available(matches, checkpoint, lambda batch, _: append_new(batch, target, key, ts))
@@ -80,26 +102,33 @@ def append_batches(df: DataFrame, target: str, checkpoint: str):
 
 
 def count_teams(matches: DataFrame, target: str, checkpoint: str):
-    """Running counters per team; each batch writes the teams it changed."""
+    """Running counters per team; a batch replaces those of the teams it changed."""
 
     def write(changed: DataFrame, batch_id: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        before = _state_before(changed.sparkSession, target, batch_id, changed.schema)
+        _keep_state(_merged(before, changed, "team_id"), target, batch_id)
 
     return run_available(team_counters(matches), checkpoint, write, "update")
 
 
 def counters_now(spark: SparkSession, target: str) -> DataFrame:
     """The newest counters of every team."""
-    changes = spark.read.option("basePath", target).parquet(target)
-    return latest_changes(changes, "team_id", "batch").drop("batch")
+    kept = spark.read.option("basePath", target).parquet(target)
+    newest = kept.agg(F.max("batch")).first()[0]  # of at most two folders
+    return kept.filter(F.col("batch") == newest).drop("batch")
 
 
-def refresh_leaderboard(players: DataFrame, table: str, board: str, checkpoint: str):
-    """Store new players, then rebuild the leaderboard from all of them."""
+def refresh_leaderboard(players: DataFrame, table: str, board: str, checkpoint: str, version: str = "created_at"):
+    """Store new and changed players, then rebuild the leaderboard.
 
-    def write(batch: DataFrame, _: int) -> None:
-        append_new(batch, table, "id", "created_at")
-        leaderboard_snapshot(batch.sparkSession.read.parquet(table), board)
+    A player that comes again replaces the stored one; within a batch the newest ``version`` counts, then the
+    higher rating. All players are kept, as one who falls off the board makes room for one below it.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        before = _state_before(batch.sparkSession, table, batch_id, batch.schema)
+        newest = first_per_key(batch, ["id"], [F.desc_nulls_last(version), F.desc_nulls_last("elo_rating")])
+        leaderboard_snapshot(_keep_state(_merged(before, newest, "id"), table, batch_id), board)
 
     return run_available(players, checkpoint, write)
 
@@ -107,20 +136,19 @@ def refresh_leaderboard(players: DataFrame, table: str, board: str, checkpoint:
 def audit_changes(
     changes: DataFrame, target: str, state: str, checkpoint: str, key: str, version: str, columns: list[str], name: str
 ):
-    """Audit rows of a change feed. The state folder keeps the newest row per key and batch; only rows
-    of keys in the current batch are looked up."""
+    """Audit rows of a change feed. The state folder keeps the newest row per key."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        kept = read_or_empty(spark, state, T.StructType([*batch.schema.fields, T.StructField("batch", T.LongType())]))
-        earlier = kept.filter(F.col("batch") < batch_id).join(batch.select(key).distinct(), key, "left_semi")
-        before = latest_changes(earlier, key, version).drop("batch")
+        kept = _state_before(spark, state, batch_id, batch.schema)
+        before = kept.join(batch.select(key).distinct(), key, "left_semi")
         audited = audit_feed(before.unionByName(batch), key, version, columns, name)
         fresh = batch.select(F.col(key).alias("row_key"), version)  # without the earlier rows
         audited.join(fresh, ["row_key", version], "left_semi").write.mode("overwrite").parquet(
             f"{target}/batch={batch_id}"
         )
-        latest_changes(batch, key, version).write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
+        newest = latest_changes(before.unionByName(batch), key, version)
+        _keep_state(_merged(kept, newest, key), state, batch_id)
 
     return run_available(changes, checkpoint, write)
 
@@ -135,24 +163,43 @@ def limit_rate(
     order: str,
     max_calls: int = 100,
     seconds: int = 60,
+    lateness: int = 3600,
 ):
-    """Fixed-window rate limit on a stream whose files arrive in time order.
+    """Fixed-window rate limit on a stream.
+
+    Each batch goes on from the last windows of its keys, kept in the state folder, and is decided like a
+    table: a key that fills a third of a batch is spread over tasks. A window that ended more than
+    ``lateness`` seconds before the newest call is dropped.
 
-    Each batch goes on from the open windows of its keys, kept per batch in the state folder, and is
-    decided like a table: a key that fills a third of a batch is spread over tasks.
+    Late calls cannot be decided any more, as later ones were: calls from before the key's last window and
+    calls older than ``lateness`` when their batch begins. They go whole to ``target-late``, undecided. A call
+    without a time is late as well.
     """
+    width, slack = seconds * 1_000_000, lateness * 1_000_000
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fields = [batch.schema[key], *_OPEN_WINDOW, T.StructField("batch", T.LongType())]
-        kept = read_or_empty(spark, state, T.StructType(fields)).filter(F.col("batch") < batch_id)
-        needed = kept.join(batch.select(key).distinct(), key, "left_semi")
-        windows = latest_changes(needed, key, "batch").drop("batch")
+        kept = _state_before(spark, f"{state}/windows", batch_id, T.StructType([batch.schema[key], *_OPEN_WINDOW]))
+        seen = _state_before(spark, f"{state}/newest", batch_id, _NEWEST).agg(F.max("newest_us")).first()[0]
+        horizon = F.lit(None if seen is None else seen - slack).cast("long")
+        opened = kept.select(key, (F.col("window_end") - width).alias("__opened"))
+        timed = skew_join(batch.withColumn("__us", epoch_micros(batch, ts)), opened, [key], "left")
+        earliest = F.greatest("__opened", horizon, F.lit(-(2**62)).cast("long"))
+        judged = timed.withColumn("__late", F.coalesce(F.col("__us") < earliest, F.lit(True)))
+        columns = batch.columns
+        judged.filter("__late").select(*columns).write.mode("overwrite").parquet(f"{target}-late/batch={batch_id}")
+        batch = judged.filter("NOT __late").select(*columns)
+        windows = kept.join(batch.select(key).distinct(), key, "left_semi")
         decided = rate_limit(batch, key, ts, order, max_calls, seconds, open_windows=windows)
         decided.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
         written = spark.read.schema(decided.schema).parquet(f"{target}/batch={batch_id}")
         last = first_per_key(written, [key], [F.desc(ts), F.desc(order)])
-        last.select(key, "window_end", "calls").write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
+        every = _merged(kept, last.select(key, "window_end", "calls"), key)
+        times = written.select(epoch_micros(written, ts).alias("us")).agg(F.max("us").alias("newest_us"))
+        now = _keep_state(times.select(F.greatest("newest_us", F.lit(seen).cast("long")).alias("newest_us")), f"{state}/newest", batch_id)
+        newest = now.first()[0]
+        still = every if newest is None else every.filter(F.col("window_end") > newest - slack)
+        _keep_state(still, f"{state}/windows", batch_id)
 
     return run_available(events, checkpoint, write)
 

@@ -30,14 +30,24 @@ def test_hot_groups_are_found(stats):
     assert S.hot_groups(stats, ["match_id"]) == []  # far too few rows to matter
 
 
-def test_hot_predicate(spark, rows):
+def test_hot_rows_and_the_others(spark, rows):
     df = spark.createDataFrame([(1, "a"), (1, None), (None, "a"), (None, None), (2, "b")], "k long, t string")
-    single = S.is_hot(["k"], [S.HotGroup((2,), 1), S.HotGroup((None,), 1)])
-    assert rows(df.filter(single)) == [(2, "b"), (None, "a"), (None, None)]
-    assert rows(df.filter(~S.is_hot(["k"], [S.HotGroup((2,), 1)])).agg(F.count("*"))) == [(4,)]
+    single = [S.HotGroup((2,), 1), S.HotGroup((None,), 1)]
+    assert rows(S.only_hot(df, ["k"], single)) == [(2, "b"), (None, "a"), (None, None)]
+    assert rows(S.without_hot(df, ["k"], single)) == [(1, "a"), (1, None)]
     many = [S.HotGroup((i, "x"), 1) for i in range(399)] + [S.HotGroup((1, None), 1), S.HotGroup((2, "b"), 1)]
-    assert rows(df.filter(S.is_hot(["k", "t"], many))) == [(1, None), (2, "b")]
-    assert df.filter(S.is_hot(["k", "t"], [])).isEmpty() and df.filter(S.is_hot(["k"], [])).isEmpty()
+    assert rows(S.only_hot(df, ["k", "t"], many)) == [(1, None), (2, "b")]
+    assert S.without_hot(df, ["k", "t"], many).count() == 3
+    assert S.only_hot(df, ["k"], []).isEmpty() and S.without_hot(df, ["k"], []).count() == 5
+
+
+def test_many_even_groups_are_all_cut(spark, rows):
+    """500 groups of 0.2 % each, all above the bound."""
+    df = spark.range(500 * 40).select((F.col("id") % 500).alias("k"), F.col("id").alias("v"))
+    hot = S.hot_groups(df, ["k"], min_rows=30)
+    assert len(hot) == 500
+    plain = S.position_in_group(df, ["k"], ["v"], "place", [])
+    assert rows(S.position_in_group(df, ["k"], ["v"], "place", hot)) == rows(plain)
 
 
 def test_avg_damage(stats, rows):
@@ -99,15 +109,23 @@ def test_positions_and_previous_values(stats, rows):
         assert rows(got) == rows(S.previous_in_group(numbered, ["match_id"], "row", "row", "before", []))
 
 
-def test_win_history_in_blocks(tables, rows):
+def test_streaks_from_histories_in_texts(spark, tables, rows):
     matches = tables["matches"].withColumn("tournament_id", F.lit(1)).withColumn("team_a_id", F.col("team_a_id") % 2)
-    whole = A.win_history(matches, hot=[]).collect()
-    hot = [S.HotGroup((1, 0), 10_000_000)]
-    for r in whole:
-        key = (F.col("tournament_id") == r["tournament_id"]) & (F.col("team_a_id") == r["team_a_id"])
-        parts = A.win_history(matches, block=100, hot=hot).filter(key).orderBy("part").collect()
-        assert len(parts) > 1
-        assert ", ".join(p["streak_history"] for p in parts) == r["streak_history"]
+    won = spark.range(25_000).select(  # 25,000 wins in a row, and 24,000 after a loss
+        (F.lit(10**6) + F.col("id")).alias("id"),
+        F.lit(2).alias("tournament_id"),
+        F.explode(F.sequence(F.lit(7).cast("long"), F.lit(8).cast("long"))).alias("team_a_id"),
+        F.lit(9).cast("long").alias("team_b_id"),
+        F.timestamp_seconds("id").cast("timestamp_ntz").alias("played_at"),
+    )
+    winner = F.when((F.col("team_a_id") == 8) & (F.col("id") == 10**6 + 999), F.col("team_b_id"))
+    won = won.withColumn("winner_id", winner.otherwise(F.col("team_a_id")))
+    both = matches.unionByName(won)
+    expected = rows(A.current_streak(both))
+    assert (2, 7, 25_000) in expected and (2, 8, 24_000) in expected
+    assert rows(A.streak_from_history(both)) == expected
+    hot = [S.HotGroup((1, 0), 10_000_000), S.HotGroup((2, 7), 25_000)]
+    assert rows(A.streak_from_history(both, rows_per_text=100, hot=hot)) == expected
 
 
 def test_streaks_without_broadcast(tables, rows, monkeypatch):

@@ -109,3 +109,28 @@ def test_leaderboard_follows_new_players(spark, tables, tmp_path):
     land(players, folder, 3, "id")
     feeds.refresh_leaderboard(reader(spark, folder, players.schema), table, board, log)
     assert spark.read.parquet(board).count() == min(500, players.count())
+
+
+def test_leaderboard_follows_changed_ratings(spark, tmp_path):
+    folder, table, board, log = (str(tmp_path / n) for n in ("in", "table", "board", "log"))
+    schema = "id long, username string, country string, elo_rating int, created_at timestamp_ntz"
+    for rating in (2000, 1500, 1000):
+        row = f"SELECT 1L AS id, 'a' AS username, 'x' AS country, {rating} AS elo_rating, TIMESTAMP_NTZ'2024-01-01' AS created_at"
+        spark.sql(row).write.mode("append").parquet(folder)
+        feeds.refresh_leaderboard(reader(spark, folder, schema), table, board, log)
+        assert [r["elo_rating"] for r in spark.read.parquet(board).collect()] == [rating]
+    assert sorted(p.name for p in (tmp_path / "table").iterdir()) == ["batch=1", "batch=2"]
+
+
+def test_late_calls_are_put_aside(spark, tmp_path, rows):
+    folder, out, state, log = (str(tmp_path / n) for n in ("in", "out", "state", "log"))
+    batches = [[(1, 1, 1000), (2, 2, 1010)], [(1, 3, 990), (1, 4, 1030), (2, 5, 1005)], [(1, 6, 1100), (1, 7, None), (3, 8, 10)]]
+    for calls in batches:
+        frame = spark.createDataFrame(calls, "user_id long, event_id long, s long")
+        frame = frame.select("user_id", "event_id", F.timestamp_seconds("s").alias("ts"))
+        frame.coalesce(1).write.mode("append").parquet(folder)
+        feeds.limit_rate(reader(spark, folder, frame.schema), out, state, log, "user_id", "ts", "event_id", 1, 60, 300)
+    late = spark.read.option("basePath", f"{out}-late").parquet(f"{out}-late")
+    assert rows(late, "event_id") == [(3,), (5,), (7,), (8,)]
+    decided = spark.read.option("basePath", out).parquet(out)
+    assert rows(decided, "event_id", "allowed") == [(1, True), (2, True), (4, False), (6, True)]
