@@ -356,6 +356,19 @@ def test_extract(spark):
     assert got[10].text == got[12].text != "" and got[11].text == got[None].text == ""
 
 
+def test_extract_finds_runs_of_two_pages_on_a_large_host(spark):
+    runs = [" ".join(f"r{p}t{i}" for i in range(9)) for p in range(150)]
+    bare = [(p, "http://big.example/", f"<div>own{p} a{p}</div><div>{runs[p // 2]}</div><p>own{p} two</p>") for p in range(300)]
+    marked = [(300, "http://big.example/", f"<article><p>kept</p></article><div>{BASE}</div>"), (301, "http://big.example/", f"<div>{BASE}</div><p>x</p>")]
+    alone = [(302, "http://other.example/", f"<div>{BASE}</div>"), (303, "http://other.example/", f"<div>{BASE}</div>"), (303, "http://other.example/", "<p>y</p>")]
+    table = bare + marked + alone
+    frame = spark.createDataFrame(table, "page_id long, url string, html string")
+    got = [(r.page_id, r.text, r.n_chars) for r in html_text.extract(frame).collect()]
+    plain = html_text.main_texts([html_text.blocks(h) for _, _, h in bare + marked]) + html_text.main_texts([html_text.blocks(h) for _, _, h in alone])
+    assert plain[:2] == ["own0 a0\n\nown0 two", "own1 a1\n\nown1 two"] and plain[300:] == ["kept", "x", BASE, BASE, "y"]
+    assert sorted(got) == sorted((p, text, len(text)) for (p, _, _), text in zip(table, plain))
+
+
 # ---- archives
 
 
