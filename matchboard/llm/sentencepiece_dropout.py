@@ -1,10 +1,10 @@
 """SentencePiece encoding with seeded merge-dropout, and lossless decoding.
 
-Merges are taken from an agenda in the order of the model's scores. With dropout p, a merge that comes up is
-skipped when a hash of the seed, the variant, the merged piece and its place falls below p, so the same seed
-always gives the same segmentation and another one varies it. Every run of a text between spaces or line
-breaks gets one of ``variants`` ways to be cut, by its place in the document and a hash of the document's id;
-equal runs in the same variant are cut once per task and remembered.
+Merges are taken from an agenda in the order of the model's scores. With dropout p, each merge that comes up
+is skipped with probability p, drawn anew for every occurrence of a run: a hash of the seed, the document's id
+and text, and the run's place in the text tells how many merges come up until the next one is skipped. So the
+same seed always gives the same segmentation of a document, and equal runs are cut in as many ways as chance
+gives them. A task remembers the ids of a run for the skips that led to them, not the draws.
 
 Spaces are part of the pieces, a space is put before the text, and letters without a piece fall back to their
 UTF-8 bytes, so decoding gives back every text exactly, also texts that hold the model's own space mark.
@@ -19,6 +19,8 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
+from bisect import bisect_right
+from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
@@ -39,23 +41,39 @@ SPACE_MARK = "▁"
 RUN = re.compile(r"\n| *[^ \n]+| +")
 FINE_RUN = re.compile(r"\n| *[^\W\d_¹²³]+| *(?:[^\w \n]|[\d_¹²³])+| +")
 LETTER = re.compile(r"[^\W\d_¹²³]")
-KEEP_RUNS = 800_000  # runs that a task remembers, over all variants; some 200 bytes each
+KEEP_RUNS = 800_000  # runs that a task remembers, each with its skips; some 200 bytes each
 DOCS_AT_ONCE = 256
-LONG_RUN = 64  # longer ones are not remembered
+LONG_RUN = 64  # longer ones are not remembered; fewer than 3 * LONG_RUN merges come up in one
+MOST_AT_ONCE = 255  # merges that one draw goes over without a skip; the next draw goes on from there
 MASK = (1 << 64) - 1
+NEVER = float("inf")
+LANE, GOLDEN, MIX_1, MIX_2 = 0xC2B2AE3D27D4EB4F, 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
+
+
+def _mixed(z):
+    """The last step of splitmix64, on a whole number or an array of them."""
+    if isinstance(z, np.ndarray):
+        z = (z ^ z >> np.uint64(30)) * np.uint64(MIX_1)
+        z = (z ^ z >> np.uint64(27)) * np.uint64(MIX_2)
+        return z ^ z >> np.uint64(31)
+    z = (z ^ z >> 30) * MIX_1 & MASK
+    z = (z ^ z >> 27) * MIX_2 & MASK
+    return z ^ z >> 31
+
+
+# A skip in the name of what is remembered: letters that no text has, as they are halves of a surrogate pair.
+SKIP = [chr(0xD800 + n) for n in range(MOST_AT_ONCE + 1)]
 
 
 class Codec:
-    def __init__(self, model_file: str, dropout: float = 0.0, seed: int = 0, variants: int = 4, keep_runs: int = KEEP_RUNS):
+    def __init__(self, model_file: str, dropout: float = 0.0, seed: int = 0, keep_runs: int = KEEP_RUNS):
         model = sentencepiece.SentencePieceProcessor(model_file=model_file)
         pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
         plain = [i for i in range(len(pieces)) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
         self.ids = {pieces[i].replace(SPACE_MARK, " "): i for i in plain}
-        # the order of a merge in the agenda, and its part in the hash that may skip it
-        self.merges = {p: (-model.get_score(i), i * 0x9E3779B97F4A7C15 & MASK) for p, i in self.ids.items() if len(p) > 1}
+        self.merges = {p: -model.get_score(i) for p, i in self.ids.items() if len(p) > 1}  # their order in the agenda
         kinds = [[bool(LETTER.match(c)) for c in p.lstrip(" ")] for p in self.ids]
         self.run = RUN if any(a != b for k in kinds for a, b in zip(k, k[1:])) or any("\n" in p for p in self.ids) else FINE_RUN
-        self.places = [(i + 1) * 0xC2B2AE3D27D4EB4F & MASK for i in range(LONG_RUN)]
         self.byte_ids = {int(pieces[i][1:-1], 16): i for i in range(len(pieces)) if model.is_byte(i)}
         self.bytes_of = [b""] * len(pieces)
         for piece, i in self.ids.items():
@@ -64,71 +82,132 @@ class Codec:
             self.bytes_of[i] = bytes([byte])
         self.code = "H" if len(pieces) <= 1 << 16 else "I"
         self.kind = np.dtype(self.code)
-        self.threshold = int(dropout * (1 << 32))
-        self.variants = variants if self.threshold else 1
+        self.dropout = dropout
         self.seed, self.keep_runs = seed, keep_runs
-        self.keys = [xxhash.xxh64_intdigest(f"{seed}:{v}") for v in range(self.variants)]
-        self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
-        self.older: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
+        # draws below the n-th bound go over fewer than n merges before the one that is skipped
+        bounds = [min(MASK, int((1 - (1 - dropout) ** (n + 1)) * (1 << 64))) for n in range(MOST_AT_ONCE)]
+        self.bounds, self.bounds_of = np.array(bounds, dtype=np.uint64), bounds
+        self.known: dict[str, bytes] = {}  # run, then a letter for each skip: how many merges came up, and the ids
+        self.older: dict[str, bytes] = {}
+
+    def _skips(self, draw: int) -> Iterator[int]:
+        """The merges that are skipped, by their number in the order they come up, for one occurrence of a run."""
+        at = -1
+        while self.bounds_of[-1]:  # without dropout there are none
+            gap = bisect_right(self.bounds_of, _mixed(draw))
+            draw = draw + GOLDEN & MASK
+            at += gap
+            if gap < MOST_AT_ONCE:
+                at += 1
+                yield at
+
+    def cut(self, run: str, skips: Iterator[int] = iter(())) -> tuple[list[str], int]:
+        """The pieces of a run, and how many merges came up; ``skips`` ascend."""
+        if len(run) > LONG_RUN:
+            return self._cut_long(run, skips)
+        rank, skip, came = self.merges.get, next(skips, -1), 0
+        parts = list(run)
+        agenda = [rank(a + b, NEVER) for a, b in zip(parts, parts[1:])]  # of a short run, the merge of each neighbour
+        while agenda:
+            first = min(agenda)
+            if first == NEVER:
+                break
+            i = agenda.index(first)
+            came += 1
+            if came - 1 == skip:
+                skip = next(skips, -1)
+                agenda[i] = NEVER
+                continue
+            piece = parts[i] = parts[i] + parts.pop(i + 1)
+            del agenda[i]
+            if i:
+                agenda[i - 1] = rank(parts[i - 1] + piece, NEVER)
+            if i < len(agenda):
+                agenda[i] = rank(piece + parts[i + 1], NEVER)
+        return parts, came
 
-    def cut(self, run: str, variant: int = 0) -> list[str]:
-        """The pieces of a run."""
+    def _cut_long(self, run: str, skips: Iterator[int]) -> tuple[list[str], int]:
         n = len(run)
-        if n < 2:
-            return list(run)
-        merges, key, threshold = self.merges, self.keys[variant], self.threshold << 32
-        places = self.places if n <= LONG_RUN else [(i + 1) * 0xC2B2AE3D27D4EB4F & MASK for i in range(n)]
+        merges, skip, came = self.merges, next(skips, -1), 0
         parts: list[str | None] = list(run)
         after, before = [*range(1, n), -1], [*range(-1, n - 1)]
-        agenda = [(m[0], i, p, m[1]) for i in range(n - 1) if (m := merges.get(p := run[i : i + 2]))]
+        agenda = [(m, i, p) for i in range(n - 1) if (m := merges.get(p := run[i : i + 2])) is not None]
         heapify(agenda)
         while agenda:
-            _, i, piece, mixed = heappop(agenda)
+            _, i, piece = heappop(agenda)
             j = after[i]
             if j < 0 or parts[i] is None or parts[i] + parts[j] != piece:
                 continue  # one of the two has been merged otherwise
-            if threshold:
-                mixed ^= places[i] ^ key
-                if (mixed ^ mixed >> 29) * 0xBF58476D1CE4E5B9 & MASK < threshold:
-                    continue
+            came += 1
+            if came - 1 == skip:
+                skip = next(skips, -1)
+                continue
             parts[i], parts[j] = piece, None
             after[i] = k = after[j]
             if k >= 0:
                 before[k] = i
-                if m := merges.get(p := piece + parts[k]):
-                    heappush(agenda, (m[0], i, p, m[1]))
+                if (m := merges.get(p := piece + parts[k])) is not None:
+                    heappush(agenda, (m, i, p))
             k = before[i]
-            if k >= 0 and (m := merges.get(p := parts[k] + piece)):
-                heappush(agenda, (m[0], k, p, m[1]))
-        return [p for p in parts if p is not None]
-
-    def _ids_of(self, run: str, variant: int) -> bytes:
-        found = self.older[variant].get(run)
-        if found is None:
-            pieces = self.cut(run, variant)
-            ids = list(map(self.ids.get, pieces))
-            if None in ids:
-                ids = [n for i, p in zip(ids, pieces) for n in ([i] if i is not None else [self.byte_ids[b] for b in p.encode()])]
-            found = array(self.code, ids).tobytes()
-        if len(run) <= LONG_RUN:
-            known = self.known[variant]
-            if len(known) >= self.keep_runs // (2 * self.variants):  # runs not met since the last time are forgotten
-                self.older[variant], self.known[variant] = known, {}
-            self.known[variant][run] = found
+            if k >= 0 and (m := merges.get(p := parts[k] + piece)) is not None:
+                heappush(agenda, (m, k, p))
+        return [p for p in parts if p is not None], came
+
+    def _ids_of(self, pieces: list[str]) -> bytes:
+        ids = list(map(self.ids.get, pieces))
+        if None in ids:
+            ids = [n for i, p in zip(ids, pieces) for n in ([i] if i is not None else [self.byte_ids[b] for b in p.encode()])]
+        return array(self.code, ids).tobytes()
+
+    def _remember(self, name: str, found: bytes) -> bytes:
+        if len(self.known) >= self.keep_runs // 2:  # runs not met since the last time are forgotten
+            self.older, self.known = self.known, {}
+        self.known[name] = found
         return found
 
+    def _drawn(self, run: str, draw: int) -> bytes:
+        """How many merges come up in one occurrence of a run, in one byte, and its ids."""
+        name, at = run, -1
+        skips = self._skips(draw)
+        while found := self.known.get(name) or self.older.get(name):
+            at = next(skips, MOST_AT_ONCE) if at < 0 or at < found[0] else at
+            if at >= found[0]:
+                return self._remember(name, found)
+            name += SKIP[at]
+        drawn = []
+
+        def skip():
+            for at in self._skips(draw):
+                drawn.append(at)
+                yield at
+
+        pieces, came = self.cut(run, skip())
+        return self._remember(run + "".join(SKIP[at] for at in drawn[:-1]), bytes([came]) + self._ids_of(pieces))  # the last was not reached
+
     def encode(self, text: str, name: object = None) -> np.ndarray:
-        """Token ids; ``name`` says which document it is, as far as the choice of variants goes."""
+        """Token ids; ``name`` says which document it is, as far as the draws go."""
         if not text:
             return np.empty(0, dtype=self.kind)
         runs = self.run.findall(" " + text)
-        out: list[bytes] = [b""] * len(runs)
-        shift = xxhash.xxh64_intdigest(str(name), self.seed & MASK) % self.variants
-        for lane in range(self.variants):
-            variant = (lane + shift) % self.variants
-            of_lane = runs[lane :: self.variants]
-            got = map(self.known[variant].get, of_lane)
-            out[lane :: self.variants] = [g if g is not None else self._ids_of(r, variant) for g, r in zip(got, of_lane)]
+        key = xxhash.xxh64_intdigest(text, xxhash.xxh64_intdigest(str(name), self.seed & MASK))
+        draws = np.arange(1, len(runs) + 1, dtype=np.uint64) * np.uint64(LANE) + np.uint64(key)
+        # the first two skips of every run, in case they are reached
+        first = np.searchsorted(self.bounds, _mixed(draws), side="right")
+        second = first + 1 + np.searchsorted(self.bounds, _mixed(draws + np.uint64(GOLDEN)), side="right")
+        get, out = self.known.get, []
+        for at, (run, one, two) in enumerate(zip(runs, first.tolist(), second.tolist())):
+            found = get(run)
+            if found and one < found[0]:
+                found = get(run + SKIP[one])
+                if found and two < found[0]:
+                    found = None
+            if not found:
+                if len(run) > LONG_RUN:
+                    out.append(self._ids_of(self.cut(run, self._skips(int(draws[at])))[0]))
+                    continue
+                found = self._drawn(run, int(draws[at]))
+                get = self.known.get
+            out.append(found[1:])
         return np.frombuffer(b"".join(out), dtype=self.kind)
 
     def decode(self, ids) -> str:
@@ -137,12 +216,12 @@ class Codec:
 
 
 @lru_cache(maxsize=4)
-def codec(model_file: str, dropout: float, seed: int, variants: int, keep_runs: int = KEEP_RUNS) -> Codec:
-    return Codec(model_file, dropout, seed, variants, keep_runs)
+def codec(model_file: str, dropout: float, seed: int, keep_runs: int = KEEP_RUNS) -> Codec:
+    return Codec(model_file, dropout, seed, keep_runs)
 
 
 def encoded(
-    docs: DataFrame, dropout: float = 0.1, seed: int = 0, variants: int = 4, name: str = "token_ids", model_file: str | None = None,
+    docs: DataFrame, dropout: float = 0.1, seed: int = 0, name: str = "token_ids", model_file: str | None = None,
     id_col: str = "doc_id", text_col: str = "text", keep_runs: int = KEEP_RUNS,
 ) -> DataFrame:
     """All rows and columns, and the token ids of the text.
@@ -155,7 +234,7 @@ def encoded(
     schema = StructType([*rows.schema.fields, StructField(name, ArrayType(IntegerType()))])
 
     def encode(batches):
-        c = codec(file, dropout, seed, variants, keep_runs)
+        c = codec(file, dropout, seed, keep_runs)
         for batch in batches:
             for start in range(0, batch.num_rows, DOCS_AT_ONCE):
                 part = batch.slice(start, DOCS_AT_ONCE)
@@ -176,14 +255,14 @@ def decoded(rows: DataFrame, ids_col: str = "token_ids", name: str = "text", mod
 
     @F.pandas_udf("string")
     def text(ids: pd.Series) -> pd.Series:
-        c = codec(file, 0.0, 0, 1)
+        c = codec(file, 0.0, 0)
         return pd.Series([c.decode(i) if i is not None else None for i in ids], dtype=object)
 
     return rows.withColumn(name, text(F.col(f"`{ids_col}`")))
 
 
 def round_trips(
-    docs: DataFrame, dropout: float = 0.1, seed: int = 0, variants: int = 4, model_file: str | None = None, id_col: str = "doc_id",
+    docs: DataFrame, dropout: float = 0.1, seed: int = 0, model_file: str | None = None, id_col: str = "doc_id",
     text_col: str = "text", keep_runs: int = 2 * KEEP_RUNS,
 ) -> DataFrame:
     """Rows (doc_id, n_tokens, ids_crc32, lossless): each text encoded and decoded again."""
@@ -191,7 +270,7 @@ def round_trips(
 
     @F.pandas_udf("struct<n_tokens long, ids_crc32 long, lossless boolean>")
     def both(names: pd.Series, texts: pd.Series) -> pd.DataFrame:
-        c = codec(file, dropout, seed, variants, keep_runs)
+        c = codec(file, dropout, seed, keep_runs)
         out = []
         for n, t in zip(names, texts):
             ids = c.encode(t or "", n)

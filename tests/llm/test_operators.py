@@ -441,6 +441,35 @@ def test_sentencepiece():
     assert len(ways) > 2
 
 
+def test_sentencepiece_draws_for_every_occurrence():
+    file = public_tokenizers.path(sp.MODEL)
+    plain, codec, p = sp.Codec(file), sp.Codec(file, 0.1, 17), 0.1
+    word, n = "internationally", 4000
+    whole = plain.encode(word).tolist()
+    ways = Counter(tuple(codec.encode(word, i).tolist()) for i in range(n))
+    assert len(ways) > 20 and all(codec.decode(list(w)) == word for w in ways)
+    # all of the merges that come up are kept with probability (1 - p) ** merges; other ways may end alike
+    merges = codec.cut(" " + word)[1]
+    kept = (1 - p) ** merges
+    error = 5 * math.sqrt(kept * (1 - kept) / n)
+    assert merges > 5 and abs(sum(next(codec._skips(draw)) >= merges for draw in range(n)) / n - kept) < error
+    assert ways[tuple(whole)] / n > kept - error
+    # the same run at many places of one text, and copies of a text under many names
+    places = Counter(tuple(codec.encode(f"{word} " * 50, i).tolist()) for i in range(20))
+    assert len(places) == 20
+    # what is remembered equals what the draws of each occurrence give without it
+    text = " ".join(f"{word} stopping {'ab' * 40}" for _ in range(30))
+    few, many = sp.Codec(file, 0.3, 5, 2), sp.Codec(file, 0.3, 5)
+    for name in range(5):
+        assert (few.encode(text, name) == many.encode(text, name)).all()
+    for draw in range(300):
+        for run in (" " + word, " stopping", "ab" * 30):
+            ids = many._ids_of(many.cut(run, many._skips(draw))[0])
+            assert many._drawn(run, draw)[1:] == ids == many._drawn(run, draw)[1:]
+            assert many._cut_long(run, many._skips(draw)) == many.cut(run, many._skips(draw))
+    assert (sp.Codec(file, 1.0, 5).encode(word) == [i for c in " " + word for i in [plain.ids[c]]]).all()
+
+
 def test_sentencepiece_frames(docs, no_docs):
     out = sp.encoded(docs.withColumn("token_ids", F.lit("old")), dropout=0.2, seed=1)
     assert set(out.columns) == {*docs.columns, "token_ids"}
