@@ -144,13 +144,17 @@ class Lexicon:
         words = WORD.findall(text.lower())
         find = self.matcher.match
         at = [(i, m) for i, w in enumerate(words) if (m := find(w)) and (m[1] == 0 or w not in self.clean)]
-        found = []
+        found, low, high = [], 0, 0  # hits low to high are at most WINDOW words away
         for i, (term, edits) in at:
+            while at[low][0] < i - WINDOW:
+                low += 1
+            while high < len(at) and at[high][0] <= i + WINDOW:
+                high += 1
             before, after = words[max(0, i - WINDOW) : i], words[i + 1 : i + 1 + WINDOW]
             inside = any(w in QUOTES for w in before) and any(w in QUOTES for w in after)
             reported = any(w in REPORTING for w in before[-3:] + after[:3])
-            company = sum(1 for j, _ in at if j != i and abs(j - i) <= WINDOW) if len(at) <= 64 else 0
-            found.append((words[i], term, edits, inside or reported, self.weights[term] * (1 + 0.25 * min(company, 4))))
+            company = min(high - low - 1, 4)
+            found.append((words[i], term, edits, inside or reported, self.weights[term] * (1 + 0.25 * company)))
         return found, len(words)
 
 

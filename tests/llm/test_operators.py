@@ -270,6 +270,16 @@ def test_toxicity_learns_and_excuses_quotations(spark):
     assert {r.score for r in toxicity.scored(docs, nothing).collect()} == {0.0}
 
 
+def test_toxicity_context_in_texts_with_many_hits():
+    lexicon = toxicity.Lexicon({"bolvix": 2.0})
+    assert [w for *_, w in lexicon.hits("bolvix " * 200)[0]] == [4.0] * 200
+    rng = random.Random(3)
+    words = [rng.choice(["bolvix", "fine", "word", "text", "more"]) for _ in range(900)]
+    at = [i for i, w in enumerate(words) if w == "bolvix"]
+    expected = [2.0 * (1 + 0.25 * min(4, sum(0 < abs(j - i) <= toxicity.WINDOW for j in at))) for i in at]
+    assert len(at) > 64 and len(set(expected)) > 3 and [w for *_, w in lexicon.hits(" ".join(words))[0]] == expected
+
+
 # ---- decontamination
 
 
