@@ -93,7 +93,7 @@ def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token ids, written to grammar-compressed files and read back."""
-    return token_files.read_shards(token_files.write_shards(read_table(spark, sf_dir, "documents")))
+    return token_files.read_shards(token_files.write_shards(read_table(spark, sf_dir, "documents"), added_tokens=True))
 
 
 _DIGITS = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> {shift}) & 31) + 1, 1)" for shift in (15, 10, 5, 0))

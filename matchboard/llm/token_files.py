@@ -10,8 +10,10 @@ symbols. One document is decoded from its own symbols and the rules alone; the e
 symbols cover a given range of its ids.
 
 Encoding uses the tokenizers library on the byte-level words that the vocabulary's own pattern cuts, and
-remembers the ids of words seen in a task; the result is that of the library on the whole text, with the
-strings of special tokens taken as ordinary text.
+remembers the ids of words seen in a task; the result is that of the library on the whole text. With
+``added_tokens``, texts that hold a string of one of the tokenizer's added tokens are encoded by the library
+itself, which gives that token's id; otherwise such strings are ordinary text, as with the library's
+``encode_special_tokens``.
 
 Null texts count as empty: they have the end id alone. Null ids come first; repeated rows are written as often
 as given. An empty table gives an empty result. Other columns are never read.
@@ -96,11 +98,12 @@ def _byte_letters() -> dict[int, str]:
 class Encoder(dict):
     """Ids of words as bytes; missing words are encoded by the library's model when asked for."""
 
-    def __init__(self, tokenizer_file: str):
+    def __init__(self, tokenizer_file: str, added_tokens: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.model = self.tokenizer.model
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added_tokens else []
         self.letters = _byte_letters()
         self.n_plain = self.tokenizer.get_vocab_size()
         self.code = "H" if self.n_plain <= 1 << 16 else "I"
@@ -120,12 +123,14 @@ class Encoder(dict):
         return ids
 
     def ids(self, text: str) -> np.ndarray:
+        if any(t in text for t in self.added):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind)
         return np.frombuffer(b"".join(map(self.__getitem__, words_of(text))), dtype=self.kind)
 
 
 @lru_cache(maxsize=2)
-def encoder(tokenizer_file: str) -> Encoder:
-    return Encoder(tokenizer_file)
+def encoder(tokenizer_file: str, added_tokens: bool = False) -> Encoder:
+    return Encoder(tokenizer_file, added_tokens)
 
 
 @dataclass
@@ -264,14 +269,16 @@ def from_bytes(data: bytes) -> tuple[Grammar, list[int | None]]:
     return Grammar(n_plain, left.astype(np.int64), right.astype(np.int64), lengths.astype(np.int64), symbols, ends.astype(np.int64)), doc_ids
 
 
-def write_shards(docs: DataFrame, tokenizer_file: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def write_shards(
+    docs: DataFrame, tokenizer_file: str | None = None, id_col: str = "doc_id", text_col: str = "text", added_tokens: bool = False
+) -> DataFrame:
     """Write all documents; rows (file, start, n_docs, n_tokens, file_bytes) per shard, start being the ids before it."""
     tokenizer = tokenizer_file or public_tokenizers.path(TOKENIZER)
     folder = new_folder(docs.sparkSession, "token-files")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
 
     def write(batches):
-        encode, part, n_files = encoder(tokenizer), TaskContext.get().partitionId(), 0
+        encode, part, n_files = encoder(tokenizer, added_tokens), TaskContext.get().partitionId(), 0
         n_plain = encode.n_plain
         doc_ids, texts, held = [], [], 0
 

@@ -435,6 +435,22 @@ def test_token_files(docs, no_docs, rows, monkeypatch):
     assert token_files.read_shards(token_files.write_shards(no_docs)).count() == 0
 
 
+def test_token_files_with_added_tokens(spark, rows, tmp_path):
+    from tokenizers import Tokenizer
+
+    from matchboard.llm.queries import QUERIES
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(token_files.TOKENIZER))
+    texts = [*TEXTS, (20, "a <|endoftext|> b"), (21, "<|endoftext|>"), (22, "x <|endoftext|><|endoftext|>\n\n y  <|endof <|endoftext|>  "), (23, "plain")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    at, expected = 0, []
+    for i, t in sorted(texts, key=lambda x: (x[0] is not None, x[0] or 0)):
+        ids = tokenizer.encode(t or "", add_special_tokens=False).ids + [0]
+        expected.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    assert rows(QUERIES["op5_repair_token_files"](spark, str(tmp_path))) == sorted(expected, key=repr)
+
+
 def test_sentencepiece():
     import sentencepiece
 
