@@ -1,12 +1,13 @@
 """From raw documents to token ids: five stages, each on all that its predecessor kept.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as
-the next one's documents. All stages but the last return the columns of documents. Rows without an id pass the
-stages as documents of their own; repeated rows of an id are copies, of which the second stage keeps one.
+the next one's documents. All stages but the last return the columns of documents. Every row is judged by its own
+text, whether its id is null or repeated; of rows that are near copies the second stage keeps one.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,22 +28,32 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return toxicity.scored(docs, model, "__score").where(F.col("__score") < TOXIC_FROM).select(*_columns(docs))
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The rows and the place where each is stored (__file, __row), which tells them apart whatever their ids are.
+
+    A hash stands for the file: paths would take hundreds of megabytes where the kept rows are broadcast.
+    """
+
+    def placed(rows: DataFrame) -> DataFrame:
+        at = rows.metadataColumn("_metadata")
+        return rows.select(*_columns(docs), F.xxhash64(at["file_path"]).alias("__file"), at["row_index"].alias("__row"))
+
+    try:
+        return placed(docs)
+    except AnalysisException:  # not rows of files
+        return placed(stored(docs, "rows"))
+
+
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near copies: the one with the smallest id."""
-    classes = simhash.near_duplicates(docs, shingle=3, max_distance=3)
-    kept = classes.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n"))
-    kept = stored(kept.select(F.col("doc_id").alias("__kept"), "__n"), "simhash-kept")
-    found = docs.join(kept, F.col("doc_id") == F.col("__kept"))
-    once = found.where(F.col("__n") == 1).select(*_columns(docs))
-    repeated = found.where(F.col("__n") > 1).select(*_columns(docs)).dropDuplicates(["doc_id"])
-    return once.union(repeated).union(docs.where(F.col("doc_id").isNull()))
+    """One row of every group of near copies: one with the smallest id, or without an id where no row has one."""
+    numbered, place = _numbered(docs), ("__file", "__row")
+    kept = stored(simhash.representatives(numbered, place, shingle=3, max_distance=3), "simhash-kept")
+    return numbered.join(kept, list(place), "left_semi").select(*_columns(docs))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    leaks = decontaminate.find_items(docs, read_table(spark, sf_dir, "benchmark"))
-    leaked = stored(leaks.select(F.col("doc_id").alias("__leaked")).distinct(), "leaked-documents")
-    return docs.join(leaked, F.col("doc_id") == F.col("__leaked"), "left_anti")
+    """Rows whose text holds no benchmark item."""
+    return decontaminate.without_items(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,6 +20,7 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -129,20 +130,25 @@ def matches(block: Block, text: str | None) -> list[tuple[int | None, int, int,
     return [(block.items[i][0], d, block.items[i][2], end) for i, (d, end) in sorted(best.items())]
 
 
+def _blocks(benchmark: DataFrame, max_error: float, id_col: str, text_col: str):
+    """The indexed items, block by block."""
+    items = benchmark.select(F.col(id_col).cast("long").alias("item_id"), text_of(text_col).alias("text"))
+    size = items.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    blocks = max(1, math.ceil(size / BLOCK_BYTES))
+    for b in range(blocks):
+        of_block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
+        yield benchmark.sparkSession.sparkContext.broadcast(index_items([(r.item_id, r.text) for r in of_block.collect()], max_error))
+
+
 def find_items(
     docs: DataFrame, benchmark: DataFrame, max_error: float = MAX_ERROR, id_col: str = "doc_id", text_col: str = "text",
     item_id_col: str = "item_id", item_text_col: str = "text",
 ) -> DataFrame:
     """Rows (doc_id, item_id, distance, allowed, end_word): every benchmark item in every document."""
-    items = benchmark.select(F.col(item_id_col).cast("long").alias("item_id"), text_of(item_text_col).alias("text"))
-    size = items.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-    blocks = max(1, math.ceil(size / BLOCK_BYTES))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kinds = [("doc_id", pa.int64()), ("item_id", pa.int64()), ("distance", pa.int32()), ("allowed", pa.int32()), ("end_word", pa.int32())]
     found = []
-    for b in range(blocks):
-        of_block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        block = docs.sparkSession.sparkContext.broadcast(index_items([(r.item_id, r.text) for r in of_block.collect()], max_error))
+    for block in _blocks(benchmark, max_error, item_id_col, item_text_col):
 
         def search(batches, block=block):
             for batch in batches:
@@ -154,3 +160,20 @@ def find_items(
     for more in found[1:]:
         result = result.union(more)
     return result
+
+
+def without_items(
+    docs: DataFrame, benchmark: DataFrame, max_error: float = MAX_ERROR, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text"
+) -> DataFrame:
+    """The rows whose text holds no benchmark item, each judged by its own text; all columns."""
+    for block in _blocks(benchmark, max_error, item_id_col, item_text_col):
+        docs = docs.where(_free_of(block)(F.col(f"`{text_col}`").cast("string")))
+    return docs
+
+
+def _free_of(block):
+    @F.pandas_udf("boolean")
+    def free(texts: pd.Series) -> pd.Series:
+        return pd.Series([not matches(block.value, t) for t in texts], dtype=bool)
+
+    return free

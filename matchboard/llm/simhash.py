@@ -47,15 +47,15 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int.from_bytes(np.packbits(counts * 2 > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (doc_id, fp): the fingerprint of every row as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows (doc_id, fp) and the columns ``keep``: the fingerprint of every row as a signed long."""
 
     @F.pandas_udf("long")
     def of(texts: pd.Series) -> pd.Series:
         values = np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64)
         return pd.Series(values.view(np.int64))
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), of(F.col(text_col).cast("string")).alias("fp"))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), of(F.col(text_col).cast("string")).alias("fp"), *keep)
 
 
 def _signed(value: int) -> int:
@@ -82,6 +82,13 @@ def links(prints: DataFrame, max_distance: int = 3, segments: int = 2) -> DataFr
     return table.join(asked, (table.segment == asked.segment) & (table.value == asked.value) & near).select("a", "b").distinct()
 
 
+def _named(classes: DataFrame, max_distance: int, segments: int) -> DataFrame:
+    """Rows (fp, least, root) of distinct fingerprints; root is the same in a whole component."""
+    found = components(links(classes.select("fp"), max_distance, segments))
+    named = classes.join(found, classes.fp == found.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    return stored(named, "simhash-classes")
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = 3, max_distance: int = 3, segments: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -90,14 +97,21 @@ def near_duplicates(
     component_id is the smallest id that can be reached over links, the row's own included.
     """
     rows = stored(fingerprints(docs, shingle, id_col, text_col), "simhash")
-    classes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    found = components(links(classes.select("fp"), max_distance, segments))
-    named = classes.join(found, classes.fp == found.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = stored(named, "simhash-classes")
+    named = _named(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), max_distance, segments)
     grouped = named.groupBy("root").agg(F.min("least").alias("component_id"))
     return rows.join(named.join(grouped, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
+def representatives(
+    docs: DataFrame, key: tuple[str, ...], shingle: int = 3, max_distance: int = 3, segments: int = 2, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Rows (key columns), one per component: the row with the smallest id, null ids last, then the smallest key."""
+    rows = fingerprints(docs, shingle, id_col, text_col, key)
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", *key)).alias("least")
+    named = _named(stored(rows.groupBy("fp").agg(least), "simhash"), max_distance, segments)
+    return named.groupBy("root").agg(F.min("least").alias("least")).select(*[F.col(f"least.{k}") for k in key])
+
+
 def hex_print(name: str):
     """16 lowercase hexadecimal digits of a signed long."""
     return F.lpad(F.lower(F.hex(F.col(name))), 16, "0")

@@ -66,5 +66,19 @@ def test_stages(spark):
     assert corpus_pipeline.to_tokens(spark, docs, DATA).count() == docs.count()
 
 
+def test_rows_are_judged_whatever_their_ids(spark):
+    item = read_table(spark, DATA, "benchmark").where(F.length("text") > 100).head().text
+    near, other = " ".join(f"word{i}" for i in range(400)), " ".join(f"term{i}" for i in range(300))
+    texts = [(None, item), (None, near), (None, near), (None, near.upper()), (None, other), (7, "lone words here"), (7, other + " and more of it here"), (7, item), (8, near[::-1])]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts], read_table(spark, DATA, "documents").schema)
+    free = corpus_pipeline.without_benchmark(spark, docs, DATA).select("doc_id", "text").collect()
+    assert sorted(map(tuple, free), key=repr) == sorted((x for x in texts if x[1] != item), key=repr)
+    for given in (docs, stored(docs, "test")):
+        one = corpus_pipeline.one_of_each(spark, given, DATA)
+        groups = {simhash.fingerprint(t, 3) for _, t in texts}
+        assert one.columns == docs.columns and one.count() == len(groups) == len({simhash.fingerprint(r.text, 3) for r in one.collect()})
+        assert sorted((r.doc_id or -1 for r in one.collect() if r.text in (item, "lone words here")), reverse=True) == [7, 7]
+
+
 def test_run(spark):
     assert 0 < corpus_pipeline.run(spark, DATA).count() < read_table(spark, DATA, "documents").count()
