@@ -9,13 +9,16 @@ from matchboard.llm import (
     decontaminate,
     html_text,
     knn,
+    line_runs,
     secret_scan,
     sentencepiece_dropout,
     sharding,
     simhash,
+    spelling,
     token_files,
     toxicity,
     warc,
+    whitening,
 )
 from matchboard.llm.common import read_table
 
@@ -96,6 +99,26 @@ def op5_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_shards(token_files.write_shards(read_table(spark, sf_dir, "documents"), added_tokens=True))
 
 
+@query
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that at least five documents hold, the last of them excepted."""
+    kept = line_runs.deduplicate(read_table(spark, sf_dir, "documents"), min_docs=5, min_chars=40)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with the far more frequent word one edit away, if there is one."""
+    return spelling.variants(spelling.vocabulary(read_table(spark, sf_dir, "documents"), min_chars=7, min_count=2))
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whitened coordinates of every vector along the first eight components of all vectors."""
+    rows = whitening.whiten(read_table(spark, sf_dir, "embeddings"), components=8)
+    return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 _DIGITS = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> {shift}) & 31) + 1, 1)" for shift in (15, 10, 5, 0))
 
 # base 32 by groups of five hexadecimal digits, which are four digits there
@@ -108,3 +131,18 @@ SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
   CASE WHEN page_id <> chosen THEN chosen END AS refers_to
 FROM page JOIN copies USING (digest)
 """
+
+_WHITE = " || ".join(f"chr({c})" for c in (32, 9, 10, 11, 12, 13))
+
+ORACLE["op11_line_dedup"] = f"""
+WITH doc AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+line AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM doc),
+keyed AS (SELECT *, translate(trim(line, {_WHITE}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM line),
+frequent AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+judged AS (
+  SELECT doc_id, line, place, coalesce(doc_id <> keeper, false) AS gone FROM keyed LEFT JOIN frequent USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""

@@ -17,7 +17,7 @@ DATA = "/root/testdata/sf0.001"
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
 
 
@@ -30,7 +30,7 @@ def test_query_against_sql(spark, name):
     assert check.shape(got) == check.shape(expected) and check.rows(got) == check.rows(expected)
 
 
-@pytest.mark.parametrize("name", ["op1", "op3", "op5", "op6", "op7", "op9", "op10"])
+@pytest.mark.parametrize("name", ["op1", "op3", "op5", "op6", "op7", "op9", "op10", "op11"])
 def test_query_returns_every_row(spark, name):
     query = next(f for n, f in QUERIES.items() if n.startswith(name + "_"))
     table, key = ("pages", "page_id") if name == "op3" else ("documents", "doc_id")
