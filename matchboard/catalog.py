@@ -685,8 +685,9 @@ def stream_rate_limit(t):
 def stream_rate_limit_state(t):
     calls = feeds.stream_table(t.spark, t.folder, "events", files_per_batch=16).select("user_id", "event_id", "ts")
     folder = new_folder(t.spark, "rate")
-    feeds.limit_rate_in_state(calls, f"{folder}/out", f"{folder}/log", "user_id", "ts", "event_id", **RATE)
-    return t.spark.read.parquet(f"{folder}/out").select("user_id", "event_id", "allowed")
+    out = f"{folder}/out"
+    feeds.limit_rate_in_state(calls, out, f"{folder}/log", "user_id", "ts", "event_id", **RATE)
+    return t.spark.read.option("basePath", out).parquet(out).select("user_id", "event_id", "allowed")
 
 
 @query

@@ -12,6 +12,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from ..functions import epoch_micros
 from ..operators.analytics import team_counters
 from ..operators.changes import audit_feed, latest_changes
 from ..operators.ranking import first_per_key
-from ..operators.ratelimit import rate_limit
+from ..operators.ratelimit import NO_WINDOW, decide_times, rate_limit
 from ..operators.skew import skew_join
 from ..sources.results import append_new, leaderboard_snapshot, read_or_empty
 from ..sources.writers import drop_folder
@@ -205,30 +206,49 @@ def limit_rate(
 
 
 class _RateWindow(StatefulProcessor):
-    """One open window per key: when it ends and how many calls it has seen."""
+    """One open window per key: when it ends and how many calls it has seen. A timer drops it when it is over."""
 
     def __init__(self, max_calls: int, seconds: int, order: str):
         self.max_calls, self.width, self.order = max_calls, seconds * 1_000_000, order
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.window = handle.getValueState("window", "end long, used long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        end, used = self.window.get() if self.window.exists() else (-(2**62), 0)
-        calls = pd.concat(list(rows)).sort_values(["call_us", self.order])  # this key's calls of one micro-batch
-        allowed = []
-        for t in calls["call_us"].tolist():
-            if t >= end:
-                end, used = t + self.width, 0
-            allowed.append(used < self.max_calls)
-            used += 1
-        self.window.update((end, used))
-        yield calls.drop(columns=["call_us"]).assign(allowed=allowed)
+        known = self.window.get() if self.window.exists() else None
+        end, used = known or (NO_WINDOW, 0)
+        horizon = timerValues.getCurrentWatermarkInMs() * 1000  # zero before any call was seen
+        for calls in rows:  # as they come; only one part is held at a time
+            calls = calls.sort_values(["call_us", self.order])
+            opened = end - self.width if end > NO_WINDOW else NO_WINDOW + 1  # a call without a time is earlier
+            late = (calls["call_us"] < max(opened, horizon or opened)).to_numpy()
+            times = calls["call_us"].to_numpy()[~late]
+            allowed = np.full(len(calls), None, dtype=object)
+            if len(times):
+                ends, numbers = decide_times(times, end, used, self.width)
+                allowed[~late] = numbers <= self.max_calls
+                end, used = int(ends[-1]), int(numbers[-1])
+            yield calls.drop(columns=["call_us"]).assign(allowed=allowed)
+        if (end, used) != (known or (NO_WINDOW, 0)):
+            if known and known[0] != end:
+                self.handle.deleteTimer(_timer(known[0]))
+            self.handle.registerTimer(_timer(end))
+            self.window.update((end, used))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.window.clear()
+        return iter([])
 
     def close(self) -> None:
         pass
 
 
+def _timer(end: int) -> int:
+    """The first millisecond at which a window ending at ``end`` microseconds is over."""
+    return -(-end // 1000)
+
+
 def limit_rate_in_state(
     events: DataFrame,
     target: str,
@@ -238,23 +258,43 @@ def limit_rate_in_state(
     order: str,
     max_calls: int = 100,
     seconds: int = 60,
+    lateness: int = 3600,
 ):
     """The rate limit with windows in Spark's state store, for streams of small micro-batches.
 
-    A task sorts the calls one key makes within a micro-batch, so the source must bound that with
-    ``maxFilesPerTrigger``. Use ``limit_rate`` to work off a backlog or for very busy keys.
+    The state holds a window per key until ``lateness`` seconds after its end; a timer on the calls' time, not the
+    clock, then drops it, so the state is bounded by the keys with open windows. A key's calls are decided in the
+    parts in which Spark hands them over, each in time order, and none is kept. A key with more calls in a
+    micro-batch than an Arrow batch holds (``spark.sql.execution.arrow.maxRecordsPerBatch``) gets several parts;
+    a call of a later part that is earlier than the last window is late. Keep micro-batches small with
+    ``maxFilesPerTrigger``, or use ``limit_rate`` to work off a backlog or for very busy keys.
+
+    Batches are written to ``target/batch=N``. Late calls, as for ``limit_rate`` (the newest call counts by the
+    millisecond), go whole to ``target-late``, undecided.
     """
     spark = events.sparkSession
     setting = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(setting, None)
+    columns = events.columns
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()  # both parts come from one pass over the state
+        late = F.col("allowed").isNull()
+        batch.filter(late).select(*columns).write.mode("overwrite").parquet(f"{target}-late/batch={batch_id}")
+        batch.filter(~late).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        batch.unpersist()
+
     spark.conf.set(setting, _ROCKSDB)
     try:
-        timed = events.withColumn("call_us", epoch_micros(events, ts))
+        timed = events.withColumn("call_us", F.coalesce(epoch_micros(events, ts), F.lit(NO_WINDOW)))
+        # the watermark follows a copy of the time that goes no further: Spark would drop late rows by it
+        seen = timed.withColumn("__seen", F.timestamp_micros(F.greatest("call_us", F.lit(0).cast("long"))))
+        watched = seen.withWatermark("__seen", f"{lateness} seconds").drop("__seen")
         schema = T.StructType([*events.schema.fields, T.StructField("allowed", T.BooleanType())])
-        decided = timed.groupBy(key).transformWithStateInPandas(
-            _RateWindow(max_calls, seconds, order), schema, "Append", "None"
+        decided = watched.groupBy(key).transformWithStateInPandas(
+            _RateWindow(max_calls, seconds, order), schema, "Append", "EventTime"
         )
-        return append_batches(decided, target, checkpoint)
+        return run_available(decided, checkpoint, write)
     finally:
         if before is None:
             spark.conf.unset(setting)

@@ -3,11 +3,13 @@
 import random
 from decimal import Decimal
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from matchboard.operators import analytics as A
 from matchboard.operators import skew as S
+from matchboard.operators import ratelimit
 from matchboard.operators.ratelimit import rate_limit
 
 
@@ -150,6 +152,36 @@ def test_streak_edges(spark, rows):
     assert rows(got) == [(1, 2, 2, 0, 2), (2, 2, 2, 0, 2), (3, 2, 1, 1, 0), (4, 2, 1, 0, 1)]
 
 
+@pytest.mark.parametrize("seed", range(60))
+def test_windows_of_whole_batches(seed):
+    """Decisions of sorted rows at once against a walk call by call: ties, open windows, batches that cut a group."""
+    rng = random.Random(seed)
+    width, spread, size = rng.choice([1, 5, 60, 2**55]), rng.choice([3, 40, 1000]), rng.choice([1, 3, 7, 1000])
+    data = []
+    for group in "abcd"[: rng.randint(1, 4)]:
+        for chunk in range(rng.randint(1, 3)):
+            if rng.random() < 0.5:
+                data.append((group, chunk, ratelimit.NO_WINDOW, rng.randint(-10, spread + rng.choice([0, 100])), rng.randint(0, 5)))
+            data += sorted((group, chunk, rng.randint(0, spread), None, None) for _ in range(rng.randint(0, 30)))
+    expected, at, end, used = [], None, ratelimit.NO_WINDOW, 0
+    for group, chunk, t, entered, counted in data:
+        if (group, chunk) != at:
+            at, end, used = (group, chunk), ratelimit.NO_WINDOW, 0
+        if counted is not None:
+            end, used = entered, counted
+            continue
+        if t >= end:
+            end, used = t + width, 0
+        used += 1
+        expected.append((end, used, used <= 2))
+    names = ratelimit._HELPERS
+    schema = pa.schema([(names[0], pa.string()), *[(n, pa.int64()) for n in names[1:]]])
+    whole = pa.RecordBatch.from_pylist([dict(zip(names, row)) for row in data], schema)
+    parts = (whole.slice(low, size) for low in range(0, len(data), size))
+    got = [row for b in ratelimit._walk(parts, 2, width) for row in zip(*(b[c].to_pylist() for c in ("window_end", "calls", "allowed")))]
+    assert got == expected
+
+
 def brute_force(calls, max_calls, seconds):
     allowed, end, used = [], None, 0
     for t in calls:

@@ -100,7 +100,7 @@ def test_rate_limit_over_several_batches(spark, tmp_path, rows, monkeypatch, way
     run()
     calls.filter("event_id >= 300").coalesce(1).write.mode("append").parquet(folder)
     run()
-    assert rows(spark.read.parquet(out), "user_id", "event_id", "allowed") == expected
+    assert rows(spark.read.option("basePath", out).parquet(out), "user_id", "event_id", "allowed") == expected
 
 
 def test_leaderboard_follows_new_players(spark, tables, tmp_path):
@@ -122,15 +122,52 @@ def test_leaderboard_follows_changed_ratings(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "table").iterdir()) == ["batch=1", "batch=2"]
 
 
-def test_late_calls_are_put_aside(spark, tmp_path, rows):
+@pytest.mark.parametrize("way", ["batches", "state"])
+def test_late_calls_are_put_aside(spark, tmp_path, rows, way):
     folder, out, state, log = (str(tmp_path / n) for n in ("in", "out", "state", "log"))
     batches = [[(1, 1, 1000), (2, 2, 1010)], [(1, 3, 990), (1, 4, 1030), (2, 5, 1005)], [(1, 6, 1100), (1, 7, None), (3, 8, 10)]]
     for calls in batches:
         frame = spark.createDataFrame(calls, "user_id long, event_id long, s long")
         frame = frame.select("user_id", "event_id", F.timestamp_seconds("s").alias("ts"))
         frame.coalesce(1).write.mode("append").parquet(folder)
-        feeds.limit_rate(reader(spark, folder, frame.schema), out, state, log, "user_id", "ts", "event_id", 1, 60, 300)
+        source = reader(spark, folder, frame.schema)
+        if way == "state":
+            feeds.limit_rate_in_state(source, out, log, "user_id", "ts", "event_id", 1, 60, 300)
+        else:
+            feeds.limit_rate(source, out, state, log, "user_id", "ts", "event_id", 1, 60, 300)
     late = spark.read.option("basePath", f"{out}-late").parquet(f"{out}-late")
     assert rows(late, "event_id") == [(3,), (5,), (7,), (8,)]
     decided = spark.read.option("basePath", out).parquet(out)
     assert rows(decided, "event_id", "allowed") == [(1, True), (2, True), (4, False), (6, True)]
+
+
+def test_state_holds_open_windows_only(spark, tmp_path, rows):
+    folder, out, log = (str(tmp_path / n) for n in ("in", "out", "log"))
+    batches = [[(user, 100 + user, 1000 + user) for user in range(50)], [(1, 1, 1030), (2, 2, 1031)], [(7, 3, 1500)], [(7, 4, 1501)], [(8, 5, 9000)]]
+    held = []
+    for calls in batches:
+        frame = spark.createDataFrame(calls, "user_id long, event_id long, s long")
+        frame = frame.select("user_id", "event_id", F.timestamp_seconds("s").alias("ts"))
+        frame.coalesce(1).write.mode("append").parquet(folder)
+        feeds.limit_rate_in_state(reader(spark, folder, frame.schema), out, log, "user_id", "ts", "event_id", 1, 60, 100)
+        windows = spark.read.format("statestore").option("stateVarName", "window").load(log)
+        held.append(sorted(r[0] for r in windows.select("key.user_id").collect()))
+    assert held == [list(range(50)), list(range(50)), [7], [7], [8]]
+    decided = spark.read.option("basePath", out).parquet(out)
+    assert rows(decided.filter("event_id < 100"), "event_id", "allowed") == [(1, False), (2, False), (3, True), (4, False), (5, True)]
+
+
+def test_calls_are_decided_as_they_come(spark, tmp_path, rows):
+    """A key's micro-batch in several parts; the state carries the window from part to part."""
+    folder, out, log = (str(tmp_path / n) for n in ("in", "out", "log"))
+    calls = spark.range(40).select(F.lit(1).alias("user_id"), F.col("id").alias("event_id"), F.timestamp_seconds("id").alias("ts"))
+    calls.coalesce(1).write.parquet(folder)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "7")
+    try:
+        feeds.limit_rate_in_state(reader(spark, folder, calls.schema), out, log, "user_id", "ts", "event_id", 3, 10, 1)
+    finally:
+        spark.conf.set(setting, before)
+    decided = spark.read.option("basePath", out).parquet(out)
+    assert rows(decided, "event_id", "allowed") == sorted(((i, i % 10 < 3) for i in range(40)), key=repr)
