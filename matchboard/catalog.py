@@ -714,7 +714,7 @@ def stream_dedup(t):
 def stream_team_counters(t):
     folder = new_folder(t.spark, "counters")
     feeds.count_teams(_streamed(t, "matches", "orders"), f"{folder}/out", f"{folder}/log")
-    return feeds.counters_now(t.spark, f"{folder}/out")
+    return feeds.counters_now(t["matches"], f"{folder}/out")
 
 
 @query

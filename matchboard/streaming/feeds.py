@@ -3,8 +3,9 @@
 Progress is the checkpoint's commit log: it moves only after a batch was written, and every sink below
 stores a batch that is delivered twice once.
 
-What a stream remembers from batch to batch is one merged table, ``batch=N`` of a state folder. Batch N reads
-what batch N-1 left and replaces it; older states go, as N only starts once N-1 is committed.
+What a stream remembers of its keys is kept by ``KeyedState``. The rate limit's open windows, of which there are
+few, are one table, ``batch=N`` of a state folder: batch N reads what batch N-1 left and replaces it; older
+states go, as N only starts once N-1 is committed.
 """
 
 from __future__ import annotations
@@ -15,19 +16,21 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import epoch_micros
-from ..operators.analytics import team_counters
+from ..operators.analytics import MAX_LEADERBOARD, team_counters
 from ..operators.changes import audit_feed, latest_changes
 from ..operators.ranking import first_per_key
 from ..operators.ratelimit import NO_WINDOW, decide_times, rate_limit
 from ..operators.skew import skew_join
-from ..sources.results import append_new, leaderboard_snapshot, read_or_empty
+from ..sources.results import append_new, leaderboard_snapshot
 from ..sources.writers import drop_folder
+from .state import KeyedState
 
 # task code travels with the task: executors need no copy of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -63,7 +66,10 @@ def run_available(df: DataFrame, checkpoint: str, write: Callable[[DataFrame, in
 
 
 def _state_before(spark: SparkSession, folder: str, batch_id: int, schema: T.StructType) -> DataFrame:
-    return read_or_empty(spark, f"{folder}/batch={batch_id - 1}", schema)
+    """What the batch before left; only the first batch may find nothing."""
+    if batch_id == 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{folder}/batch={batch_id - 1}")
 
 
 def _merged(before: DataFrame, changed: DataFrame, key: str) -> DataFrame:
@@ -102,34 +108,62 @@ def append_batches(df: DataFrame, target: str, checkpoint: str):
     return query
 
 
+def _counters(df: DataFrame, target: str) -> KeyedState:
+    return KeyedState(df.sparkSession, target, "team_id", df.schema)
+
+
 def count_teams(matches: DataFrame, target: str, checkpoint: str):
     """Running counters per team; a batch replaces those of the teams it changed."""
+    return run_available(
+        team_counters(matches), checkpoint, lambda changed, batch_id: _counters(changed, target).put(batch_id, changed), "update"
+    )
 
-    def write(changed: DataFrame, batch_id: int) -> None:
-        before = _state_before(changed.sparkSession, target, batch_id, changed.schema)
-        _keep_state(_merged(before, changed, "team_id"), target, batch_id)
 
-    return run_available(team_counters(matches), checkpoint, write, "update")
+def counters_now(matches: DataFrame, target: str) -> DataFrame:
+    """The newest counters of every team, for matches like those counted."""
+    state = _counters(team_counters(matches), target)
+    return state.rows(state.newest())
 
 
-def counters_now(spark: SparkSession, target: str) -> DataFrame:
-    """The newest counters of every team."""
-    kept = spark.read.option("basePath", target).parquet(target)
-    newest = kept.agg(F.max("batch")).first()[0]  # of at most two folders
-    return kept.filter(F.col("batch") == newest).drop("batch")
+def _board_from_changes(state: KeyedState, changed: DataFrame, board: str, batch_id: int) -> DataFrame | None:
+    """Players among whom the new leaderboard is, when the stored one and the changes are enough to tell.
+
+    They are if as many of them as the board has places rank no lower than its last place did: everyone else
+    ranked below that and has not changed.
+    """
+    spark = changed.sparkSession
+    try:
+        last = spark.read.parquet(board).orderBy(F.asc_nulls_first("elo_rating"), F.desc("player_id")).collect()
+    except AnalysisException:  # no board yet
+        return None
+    if not last or last[0].elo_rating is None:
+        return None
+    kind = dict(changed.dtypes)["id"]
+    members = spark.createDataFrame([(r.player_id,) for r in last], "id string").select(F.col("id").cast(kind))
+    players = state.rows_of(members.union(changed.select("id")), batch_id)
+    if len(last) < MAX_LEADERBOARD:  # all players were on it
+        return players
+    rating = last[0].elo_rating
+    cut = members.sparkSession.createDataFrame([(r.player_id,) for r in last if r.elo_rating == rating], "id string")
+    lowest = cut.agg(F.max(F.col("id").cast(kind)).alias("id")).first()["id"]
+    no_lower = (F.col("elo_rating") > rating) | ((F.col("elo_rating") == rating) & (F.col("id") <= F.lit(lowest)))
+    return players if players.filter(no_lower).count() >= MAX_LEADERBOARD else None
 
 
 def refresh_leaderboard(players: DataFrame, table: str, board: str, checkpoint: str, version: str = "created_at"):
-    """Store new and changed players, then rebuild the leaderboard.
+    """Store new and changed players, then renew the leaderboard.
 
     A player that comes again replaces the stored one; within a batch the newest ``version`` counts, then the
-    higher rating. All players are kept, as one who falls off the board makes room for one below it.
+    higher rating. All players are kept, as one who falls off the board makes room for one below it; they are
+    read again only when that happens.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        before = _state_before(batch.sparkSession, table, batch_id, batch.schema)
+        state = KeyedState(batch.sparkSession, table, "id", batch.schema)
         newest = first_per_key(batch, ["id"], [F.desc_nulls_last(version), F.desc_nulls_last("elo_rating")])
-        leaderboard_snapshot(_keep_state(_merged(before, newest, "id"), table, batch_id), board)
+        state.put(batch_id, newest)
+        few = _board_from_changes(state, newest, board, batch_id) if batch_id else None
+        leaderboard_snapshot(state.rows(batch_id) if few is None else few, board)
 
     return run_available(players, checkpoint, write)
 
@@ -140,16 +174,14 @@ def audit_changes(
     """Audit rows of a change feed. The state folder keeps the newest row per key."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        kept = _state_before(spark, state, batch_id, batch.schema)
-        before = kept.join(batch.select(key).distinct(), key, "left_semi")
+        kept = KeyedState(batch.sparkSession, state, key, batch.schema)
+        before = kept.rows_of(batch, batch_id - 1)
         audited = audit_feed(before.unionByName(batch), key, version, columns, name)
         fresh = batch.select(F.col(key).alias("row_key"), version)  # without the earlier rows
         audited.join(fresh, ["row_key", version], "left_semi").write.mode("overwrite").parquet(
             f"{target}/batch={batch_id}"
         )
-        newest = latest_changes(before.unionByName(batch), key, version)
-        _keep_state(_merged(kept, newest, key), state, batch_id)
+        kept.put(batch_id, latest_changes(before.unionByName(batch), key, version))
 
     return run_available(changes, checkpoint, write)
 

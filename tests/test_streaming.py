@@ -1,14 +1,20 @@
 import random
+import shutil
+from collections import Counter
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from matchboard.operators import ratelimit
 from matchboard.operators.analytics import team_counters
 from matchboard.operators.changes import audit_feed
 from matchboard.operators.ratelimit import rate_limit
 from matchboard.operators.skew import HotGroup
+from matchboard.sources.results import leaderboard_snapshot
 from matchboard.streaming import feeds
+from matchboard.streaming.state import KeyedState
 
 
 def land(df, folder, parts, order):
@@ -63,7 +69,7 @@ def test_counters_over_several_batches(spark, tables, tmp_path, rows):
     feeds.count_teams(reader(spark, folder, matches.schema), out, log)
     matches.filter("id >= 1000").coalesce(1).write.mode("append").parquet(folder)
     feeds.count_teams(reader(spark, folder, matches.schema), out, log)
-    assert rows(feeds.counters_now(spark, out)) == rows(team_counters(matches))
+    assert rows(feeds.counters_now(matches, out)) == rows(team_counters(matches))
 
 
 def test_audit_over_several_batches(spark, tables, tmp_path, rows):
@@ -119,7 +125,6 @@ def test_leaderboard_follows_changed_ratings(spark, tmp_path):
         spark.sql(row).write.mode("append").parquet(folder)
         feeds.refresh_leaderboard(reader(spark, folder, schema), table, board, log)
         assert [r["elo_rating"] for r in spark.read.parquet(board).collect()] == [rating]
-    assert sorted(p.name for p in (tmp_path / "table").iterdir()) == ["batch=1", "batch=2"]
 
 
 @pytest.mark.parametrize("way", ["batches", "state"])
@@ -171,3 +176,62 @@ def test_calls_are_decided_as_they_come(spark, tmp_path, rows):
         spark.conf.set(setting, before)
     decided = spark.read.option("basePath", out).parquet(out)
     assert rows(decided, "event_id", "allowed") == sorted(((i, i % 10 < 3) for i in range(40)), key=repr)
+
+
+def test_leaderboard_from_changes_alone(spark, tmp_path, monkeypatch):
+    """The stored players are read whole only when someone falls off a full board."""
+    monkeypatch.setattr(feeds, "MAX_LEADERBOARD", 3)
+    monkeypatch.setattr(feeds, "leaderboard_snapshot", lambda players, path: leaderboard_snapshot(players, path, 3))
+    whole = []
+    monkeypatch.setattr(feeds.KeyedState, "rows", lambda self, n, own=feeds.KeyedState.rows: whole.append(n) or own(self, n))
+    folder, table, board, log = (str(tmp_path / n) for n in ("in", "table", "board", "log"))
+    schema = "id long, username string, country string, elo_rating int, created_at timestamp"
+    batches = [[(1, 10), (2, 20)], [(3, 30), (4, 5)], [(5, 25), (6, 5)], [(3, 1)], [(9, None), (8, 20), (4, 20)], [(7, 99), (5, 98)]]
+    now, boards = {}, []
+    for at, batch in enumerate(batches):
+        now |= dict(batch)
+        rows = [(i, "u", "c", elo, datetime(2024, 1, 1 + at)) for i, elo in batch]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+        feeds.refresh_leaderboard(reader(spark, folder, schema), table, board, log)
+        boards.append([int(r.player_id) for r in spark.read.parquet(board).collect()])
+        best = sorted(now, key=lambda i: (-(now[i] or -1), i))[:3]
+        assert sorted(boards[-1]) == sorted(best)
+    assert whole == [0, 3]
+
+
+def test_keyed_state_rewrites_only_what_changed(spark, tmp_path):
+    folder = str(tmp_path / "state")
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.LongType())])
+    state = KeyedState(spark, folder, "id", schema, parts=32)
+    state.put(0, spark.range(100_000).select("id", F.lit(0).cast("long").alias("v")))
+    expected, first = dict.fromkeys(range(100_000), 0), {p: p.stat().st_mtime_ns for p in tmp_path.rglob("delta-0/part=*/*.parquet")}
+    for batch in range(1, 12):
+        keys = [batch % 3, 7, 50_000 + batch]
+        expected |= dict.fromkeys(keys, batch)
+        changed = spark.createDataFrame([(k, batch) for k in keys], schema)
+        if batch in (4, 9):  # delivered twice
+            state.put(batch, changed)
+        state.put(batch, changed)
+        assert {r.id: r.v for r in state.rows_of(changed, batch).collect()} == dict.fromkeys(keys, batch)
+        delta = spark.read.parquet(f"{folder}/runs/delta-{batch}")
+        assert delta.count() == 3
+    assert state.newest() == 11 and {r.id: r.v for r in state.rows(11).collect()} == expected
+    runs = state.runs(11)
+    per_part = Counter(r.part for r in runs)
+    assert len(per_part) == 32 and max(per_part.values()) <= 7 and any(r.level for r in runs)
+    kept = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("delta-0/part=*/*.parquet")}
+    assert len(kept) >= 24 and kept.items() <= first.items()  # parts that no batch filled up are as they were
+    assert sorted(p.name for p in (tmp_path / "state" / "manifest").iterdir()) == ["batch=10", "batch=11"]
+
+
+def test_lost_state_is_an_error(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    state = KeyedState(spark, str(tmp_path / "state"), "id", schema)
+    state.put(0, spark.range(10))
+    with pytest.raises(ValueError, match="missing"):
+        state.rows_of(spark.range(3), 1)
+    with pytest.raises(ValueError, match="parts"):
+        KeyedState(spark, str(tmp_path / "state"), "id", schema, parts=3).rows(0)
+    shutil.rmtree(next((tmp_path / "state").glob("runs/delta-0/part=*")))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        state.rows(0).count()
