@@ -14,6 +14,7 @@ from ..cluster import cut_lineage
 from ..operators.analytics import MAX_LEADERBOARD, top_players
 from ..operators.changes import apply_updates
 from ..operators.ranking import first_per_key
+from .keyindex import ROWS_PER_FILE, KeyIndex
 
 REGISTRY = T.StructType(
     [
@@ -44,10 +45,22 @@ def new_rows(batch: DataFrame, target: DataFrame, key: str, ts: str) -> DataFram
     return first_per_key(batch, [key], [F.desc_nulls_last(ts)]).join(known, key, "left_anti")
 
 
-def append_new(batch: DataFrame, target_path: str, key: str, ts: str) -> None:
-    """Append the rows the target does not have yet. A batch delivered twice is stored once."""
-    target = read_or_empty(batch.sparkSession, target_path, batch.schema)
-    new_rows(batch, target, key, ts).write.mode("append").parquet(target_path)
+def append_new(batch: DataFrame, target_path: str, key: str, ts: str) -> int:
+    """Append the rows the target does not have yet and return how many. A batch delivered twice is stored once.
+
+    Only files that may hold a key of the batch are read, as the target's key index tells.
+    """
+    spark = batch.sparkSession
+    batch = cut_lineage(first_per_key(batch, [key], [F.desc_nulls_last(ts)]))  # looked at several times
+    index = KeyIndex(spark, target_path, key)
+    files = index.files_with(batch.select(key))
+    known = spark.read.schema(batch.schema).parquet(*files) if files else spark.createDataFrame([], batch.schema)
+    fresh = cut_lineage(batch.join(known.select(key), key, "left_anti"))
+    stored = fresh.count()
+    if stored or not files:  # an empty first batch still makes the table
+        fresh.write.mode("append").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(target_path)
+        index.refresh()
+    return stored
 
 
 def as_new_matches(matches: DataFrame, loaded_at: str) -> DataFrame:

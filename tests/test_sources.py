@@ -1,12 +1,14 @@
 import os
 from datetime import datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchboard.operators import analytics as A
 from matchboard.sources import readers, results, writers
+from matchboard.sources.keyindex import KeyIndex, bloom, bloom_holds
 
 AT = "2026-05-17 12:00:00"
 
@@ -208,3 +210,47 @@ def test_rows_without_a_time_are_stored_once(spark, tmp_path, rows):
     for _ in range(2):
         results.append_new(batch, str(tmp_path / "t"), "id", "ts")
     assert rows(spark.read.parquet(str(tmp_path / "t")), "id") == [(1,), (2,)]
+
+
+def test_second_delivery_reads_few_files(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "target")
+    rows = spark.range(4000).select(F.concat(F.lit("k"), F.xxhash64("id").cast("string")).alias("id"), F.timestamp_seconds("id").alias("ts"), "id")
+    rows = rows.toDF("id", "ts", "n")
+    asked = []
+    own = KeyIndex.files_with
+    monkeypatch.setattr(KeyIndex, "files_with", lambda self, keys: asked.append(own(self, keys)) or asked[-1])
+    for low in range(0, 4000, 200):
+        assert results.append_new(rows.where((F.col("n") >= low) & (F.col("n") < low + 200)).coalesce(1), target, "id", "ts") == 200
+    files = len(list((tmp_path / "target").glob("*.parquet")))
+    assert files >= 20 and asked[0] == []
+    again = rows.where("n >= 600 AND n < 650").union(rows.where("n = 3999"))
+    assert results.append_new(again.coalesce(1), target, "id", "ts") == 0
+    assert 2 <= len(asked[-1]) <= 4 < files  # the files that hold them, and hardly one in vain
+    mixed = again.select("id", "ts", "n").union(spark.sql("SELECT 'new' AS id, TIMESTAMP'2024-01-01' AS ts, -1L AS n"))
+    assert results.append_new(mixed, target, "id", "ts") == 1 and results.append_new(mixed, target, "id", "ts") == 0
+    assert spark.read.parquet(target).count() == 4001
+    assert spark.read.parquet(target).select("id").distinct().count() == 4001
+
+
+def test_index_that_lags_or_errs_changes_nothing(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "target")
+    rows = spark.range(100).select("id", F.timestamp_seconds("id").alias("ts"))
+    rows.where("id < 50").repartition(2).write.parquet(target)  # without an index
+    assert len(KeyIndex(spark, target, "id").files_with(rows)) == 2
+    assert results.append_new(rows.where("id < 60"), target, "id", "ts") == 10
+    assert KeyIndex(spark, target, "id").refresh() == 0
+    next((tmp_path / "target").glob("*.parquet")).unlink()  # dropped by hand: its rows are new again
+    lost = 60 - spark.read.parquet(target).count()
+    monkeypatch.setattr("matchboard.sources.keyindex.BITS_PER_KEY", 1)  # nearly every answer is in vain
+    assert lost > 0 and results.append_new(rows, target, "id", "ts") == 40 + lost
+    assert sorted(r.id for r in spark.read.parquet(target).select("id").collect()) == list(range(100))
+    monkeypatch.setattr("matchboard.sources.keyindex.FEW_KEYS", 10)  # more keys: their range alone
+    assert results.append_new(rows.union(spark.sql("SELECT 100L, TIMESTAMP'2024-01-01'")), target, "id", "ts") == 1
+    assert KeyIndex(spark, target, "id").files_with(spark.range(500, 600)) == []
+
+
+def test_bloom_filter():
+    hashes = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, size=5000)
+    held = bloom(hashes[:2000])
+    assert bloom_holds(held, hashes[:2000]).all() and bloom_holds(held, hashes[2000:]).sum() <= 3
+    assert not bloom_holds(bloom(hashes[:0]), hashes).any()
