@@ -18,7 +18,7 @@ from .operators import ranking as R
 from .operators import ratelimit as L
 from .plans import generate as G
 from .plans import jobs as J
-from .plans.checks import check_models
+from .plans.checks import check_models, write_tested
 from .plans.models import MARTS, VIEWS, Models
 from .schema import FOREIGN_KEYS
 from .sources import readers, results, writers
@@ -624,6 +624,12 @@ def model_tests(t):
     return check_models(Models(t))
 
 
+@query
+def marts_tested(t):
+    """The same tests, those of single values counted while the marts are written."""
+    return write_tested(t, new_folder(t.spark, "marts"))[1]
+
+
 @query
 def fk_violations(t):
     return Q.foreign_keys(t, (*FOREIGN_KEYS, ("lineitem", "l_suppkey", "teams")))

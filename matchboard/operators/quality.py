@@ -64,19 +64,35 @@ def foreign_key(child: DataFrame, column: str, parent: DataFrame, parent_key: st
     return used.filter(F.col("value").isNotNull()).join(known, "value", "left_anti")
 
 
+_KEY = -1  # in place of a reference's number: the row is a parent's key
+
+
 def foreign_keys(tables, references=FOREIGN_KEYS) -> DataFrame:
-    """All declared references: one row per value without a parent."""
-    found = None
-    for child, column, parent in references:
-        orphans = foreign_key(tables[child], column, tables[parent]).select(
-            F.lit(child).alias("child_table"),
-            F.lit(column).alias("column_name"),
-            F.lit(parent).alias("parent_table"),
-            F.col("value").cast("string").alias("value"),
-            "n_rows",
-        )
-        found = orphans if found is None else found.unionByName(orphans)
-    return found
+    """All declared references: one row per value without a parent.
+
+    Every table is read once, for its own keys and for all its references, and no join is needed: rows are counted
+    per parent and value, in the tasks first, and a value that is no key of its parent is an orphan.
+    """
+    parts = None
+    for name in dict.fromkeys([r[0] for r in references] + [r[2] for r in references]):
+        seen = [(parent, at, column) for at, (child, column, parent) in enumerate(references) if child == name]
+        if any(parent == name for _, _, parent in references):
+            seen.append((name, _KEY, "id"))
+        rows = [
+            F.struct(F.lit(parent).alias("parent_table"), F.lit(at).alias("at"), F.col(column).cast("string").alias("value"))
+            for parent, at, column in seen
+        ]
+        part = tables[name].select(F.inline(F.array(*rows)))
+        parts = part if parts is None else parts.unionByName(part)
+    counts = parts.filter(F.col("value").isNotNull()).groupBy("parent_table", "value").agg(
+        F.max(F.col("at") == _KEY).alias("known"), *[F.count_if(F.col("at") == at).alias(f"n{at}") for at in range(len(references))]
+    )
+    found = [
+        F.struct(F.lit(child).alias("child_table"), F.lit(column).alias("column_name"), F.lit(parent).alias("parent"), F.col(f"n{at}").alias("n_rows"))
+        for at, (child, column, parent) in enumerate(references)
+    ]
+    orphans = counts.filter(~F.col("known")).select("parent_table", "value", F.inline(F.array(*found)))
+    return orphans.filter("n_rows > 0 AND parent = parent_table").select("child_table", "column_name", "parent_table", "value", "n_rows")
 
 
 def singular(violating: DataFrame) -> DataFrame:

@@ -575,11 +575,8 @@ def _tested(model: str, column: str, test) -> str:
         count(*) AS n_violations, count(*) = 0 AS passed FROM {source} WHERE {condition}"""
 
 
-add(
-    "model_tests",
-    "",
-    " UNION ALL ".join(_tested(model, *test) for model, tests in _TESTED.items() for test in tests),
-)
+for _query in ("model_tests", "marts_tested"):
+    add(_query, "", " UNION ALL ".join(_tested(model, *test) for model, tests in _TESTED.items() for test in tests))
 
 # changes
 add(

@@ -15,7 +15,8 @@ from ..operators.analytics import slow_queries, top_players
 from ..operators.changes import changelog_bloat, changelog_compact
 from ..operators.quality import negative_stats
 from ..sources import readers, results, writers
-from .models import VIEWS, Models, build_models
+from .checks import write_tested
+from .models import VIEWS, Models
 
 RUN_LOG = T.StructType(
     [
@@ -132,8 +133,9 @@ def refresh_players(spark: SparkSession, players: DataFrame, root: str, as_of: s
 
 
 def build_marts(tables, root: str) -> int:
-    """Build all models and write the marts."""
-    built = build_models(tables, f"{root}/marts")
+    """Build all models, write the marts and keep the report of their tests."""
+    built, report = write_tested(tables, f"{root}/marts")
+    report.write.mode("overwrite").parquet(f"{root}/model_tests")
     return sum(built[name].count() for name in built if name not in VIEWS)
 
 

@@ -5,6 +5,8 @@ A model is a function from the tables to a DataFrame; Catalyst folds the layers
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -193,19 +195,23 @@ class Models:
         return self._built[name]
 
 
-def build_models(tables, target: str | None = None) -> dict[str, DataFrame]:
-    """All models in dependency order. With ``target`` the marts are written there as tables.
+def build_models(tables) -> dict[str, DataFrame]:
+    """All models in dependency order, none of them computed yet."""
+    models = Models(tables)
+    return {name: models[name] for name in (*VIEWS, *MARTS)}
+
+
+def write_models(tables, target: str, observed: Callable[[str, DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
+    """All models, the marts written below ``target`` as tables; ``observed`` may count a mart's rows on their way.
 
-    The aggregated team view feeds three marts; when tables are written it is written once as well.
+    The aggregated team view feeds three marts, so it is written once as well.
     """
     models = Models(tables)
     result = {name: models[name] for name in VIEWS}
-    if target is not None:
-        models._built["int_team_match_summary"] = _stored(result["int_team_match_summary"], target, "int_team")
+    models._built["int_team_match_summary"] = _stored(result["int_team_match_summary"], target, "int_team")
     for name in MARTS:
-        result[name] = models[name]
-        if target is not None:
-            models._built[name] = result[name] = _stored(result[name], target, name)
+        mart = models[name] if observed is None else observed(name, models[name])
+        models._built[name] = result[name] = _stored(mart, target, name)
     return result
 
 

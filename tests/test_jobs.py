@@ -1,8 +1,10 @@
 import pytest
 
 from matchboard.plans import jobs as J
-from matchboard.plans.checks import MODEL_TESTS, check_model
-from matchboard.plans.models import MARTS, VIEWS, Models, build_models
+from matchboard.operators import quality
+from matchboard.plans.checks import MODEL_TESTS, check_models, write_tested
+from matchboard.plans.models import MARTS, VIEWS, Models, build_models, write_models
+from matchboard.schema import FOREIGN_KEYS, TABLES
 from matchboard.sources import readers, results
 from matchboard.sources.fixtures import AS_OF
 
@@ -32,7 +34,7 @@ def test_default_first_load_is_after_these_matches(spark, tables, tmp_path):
 
 
 def test_all_models_are_built(spark, tables, tmp_path, rows):
-    built = build_models(tables, str(tmp_path))
+    built = write_models(tables, str(tmp_path))
     assert list(built) == [*VIEWS, *MARTS]
     lazy = Models(tables)
     for name in MARTS:
@@ -73,9 +75,37 @@ def test_table_and_leaderboard_agree(spark, tmp_path, rows):
 
 def test_model_report_names_what_fails(spark, rows):
     stats = spark.createDataFrame([(1, 50.0), (1, 101.0), (None, 5.0)], "stat_id long, headshot_pct double")
-    assert rows(check_model(stats, "m", MODEL_TESTS["stg_player_stats"])) == [
+    assert rows(check_models({"m": stats}, {"m": MODEL_TESTS["stg_player_stats"]})) == [
         ("m", "accepted_range", "headshot_pct", 1, False),
         ("m", "not_null", "stat_id", 1, False),
         ("m", "unique", "stat_id", 1, False),
     ]
     assert sum(len(tests) for columns in MODEL_TESTS.values() for tests in columns.values()) == 20
+
+
+def test_checks_while_writing(spark, tables, tmp_path, rows):
+    """The report of observed writes is that of the checks, also where something is wrong."""
+    tests = {
+        **MODEL_TESTS,
+        "player_performance": {"player_id": {"unique": True, "not_null": True}, "career_kda": {"range": (1, 2)}, "username": {"values": ["nobody"]}},
+        "country_leaderboard": {"team_id": {"unique": True}, "total_wins": {"unique": True}},
+    }
+    models, report = write_tested(tables, str(tmp_path), tests)
+    got = rows(report)
+    assert got == rows(check_models(Models(tables), tests))
+    assert sum(not r[-1] for r in got) >= 2 and len(got) == sum(len(t) for m in tests.values() for t in m.values())
+    assert {m: models[m].count() for m in MARTS} == {m: Models(tables)[m].count() for m in MARTS}
+
+
+def test_checks_of_empty_and_repeated_values(spark, rows):
+    wanted = {"m": {"a": {"unique": True, "not_null": True}, "b": {"range": (0, 5), "values": [1, 2]}}}
+    frame = spark.createDataFrame([(1, 1), (1, 9), (None, None), (None, -1), (2, 2), (2, 2), (2, 2)], "a int, b int")
+    expected = [("m", "accepted_range", "b", 2, False), ("m", "accepted_values", "b", 2, False), ("m", "not_null", "a", 2, False), ("m", "unique", "a", 2, False)]
+    assert rows(check_models({"m": frame}, wanted)) == expected
+    assert rows(check_models({"m": frame.limit(0)}, wanted)) == [(*r[:3], 0, True) for r in expected]
+
+
+def test_foreign_keys_take_one_shuffle(spark):
+    folder = {n: spark.createDataFrame([], TABLES[n]) for n in {t for r in FOREIGN_KEYS for t in (r[0], r[2])}}
+    plan = quality.foreign_keys(folder)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") <= 1
