@@ -62,24 +62,32 @@ def _signed(value: int) -> int:
     return value - (1 << BITS) if value >> (BITS - 1) else value
 
 
-def _ball(width: int, radius: int) -> list[int]:
-    return [_signed(sum(1 << b for b in bits)) for r in range(radius + 1) for bits in combinations(range(width), r)]
+def _masks(width: int, radius: int) -> list[int]:
+    """Up to ``radius`` bits out of ``width``."""
+    return [sum(1 << b for b in bits) for r in range(radius + 1) for bits in combinations(range(width), r)]
 
 
 def links(prints: DataFrame, max_distance: int = 3, segments: int = 2) -> DataFrame:
-    """Pairs (a, b), a < b, of distinct fingerprints ``fp`` that differ in at most ``max_distance`` bits."""
+    """Pairs (a, b), a < b, of distinct fingerprints ``fp`` that differ in at most ``max_distance`` bits.
+
+    Of two values a few bits apart one becomes the other by clearing at least as many bits as it sets, so half of
+    each ball is enough. Both sides are shuffled whatever their size, as a ball has many times the rows of its table.
+    """
     bounds = [BITS * i // segments for i in range(segments + 1)]
     radius = max_distance // segments
-    filed, probes = [], []
-    for segment, (low, high) in enumerate(zip(bounds, bounds[1:])):
-        value = F.shiftrightunsigned("fp", low).bitwiseAND(F.lit(_signed((1 << (high - low)) - 1)).cast("long"))
-        filed.append(F.struct(F.lit(segment).alias("segment"), value.alias("value")))
-        around = [value.bitwiseXOR(F.lit(m).cast("long")) for m in _ball(high - low, radius)]
-        probes += [F.struct(F.lit(segment).alias("segment"), v.alias("value")) for v in around]
-    table = prints.select(F.col("fp").alias("a"), F.explode(F.array(*filed)).alias("at")).select("at.*", "a")
-    asked = prints.select(F.col("fp").alias("b"), F.explode(F.array(*probes)).alias("at")).select("at.*", "b")
-    near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance)
-    return table.join(asked, (table.segment == asked.segment) & (table.value == asked.value) & near).select("a", "b").distinct()
+    segment = [F.shiftrightunsigned("fp", low).bitwiseAND(F.lit(_signed((1 << (high - low)) - 1)).cast("long")) for low, high in zip(bounds, bounds[1:])]
+    filed = F.array(*[F.struct(F.lit(at).alias("segment"), value.alias("value")) for at, value in enumerate(segment)])
+    flips = F.array(
+        *[F.struct(F.lit(at).alias("segment"), F.lit(_signed(m)).cast("long").alias("flip")) for at, (low, high) in enumerate(zip(bounds, bounds[1:])) for m in _masks(high - low, radius)]
+    )
+    table = prints.select(F.col("fp").alias("a"), F.explode(filed).alias("at")).select("at.*", "a")
+    own = F.get(F.array(*segment), F.col("at.segment"))
+    asked = prints.select("fp", F.explode(flips).alias("at")).select(F.col("fp").alias("b"), "at.*", own.alias("own"))
+    half = asked.where(F.bit_count(F.col("own").bitwiseAND(F.col("flip"))) * 2 >= F.bit_count("flip"))
+    probes = half.select("segment", F.col("own").bitwiseXOR(F.col("flip")).alias("value"), "b").hint("merge")
+    near = (F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance)
+    met = table.join(probes, ["segment", "value"]).where(near)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _named(classes: DataFrame, max_distance: int, segments: int) -> DataFrame:

@@ -78,6 +78,15 @@ def test_simhash_finds_every_link(spark):
     expected = {(min(a, b), max(a, b)) for a, b in combinations(signed, 2) if ((a ^ b) & (2**64 - 1)).bit_count() <= 3}
     assert expected and {(r.a, r.b) for r in simhash.links(frame, 3, 2).collect()} == expected
     assert {(r.a, r.b) for r in simhash.links(frame, 3, 4).collect()} == expected
+    wider = {(min(a, b), max(a, b)) for a, b in combinations(signed, 2) if ((a ^ b) & (2**64 - 1)).bit_count() <= 5}
+    assert {(r.a, r.b) for r in simhash.links(frame, 5, 2).collect()} == wider
+
+
+def test_simhash_probes_are_never_broadcast(spark, tmp_path):
+    for n in (100, 40_000):
+        spark.range(n).select(F.xxhash64("id").alias("fp")).write.parquet(str(tmp_path / str(n)))
+        plan = simhash.links(spark.read.parquet(str(tmp_path / str(n))))._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
 def test_simhash_of_nothing(no_docs):
