@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..cluster import cut_lineage
+from .ranking import zip_with_index
 
 
 def team_edges(matches: DataFrame) -> DataFrame:
@@ -54,7 +55,7 @@ def team_paths(edges: DataFrame, max_level: int) -> DataFrame:
     """Simple paths of up to ``max_level`` steps from every team; each level is written before the next.
 
     The number of paths grows with the number of neighbours at every level: for a dense network of many
-    teams use ``team_reach``.
+    teams use ``team_path_counts`` or ``team_reach``.
     """
     step = cut_lineage(_distinct_edges(edges))
     level = step.filter("src <> dst").select(
@@ -76,6 +77,37 @@ def team_paths(edges: DataFrame, max_level: int) -> DataFrame:
     return result.select("team_id", "reached_id", "level", shown.alias("full_path"))
 
 
+def team_path_counts(edges: DataFrame, max_level: int) -> DataFrame:
+    """How many simple paths of each length up to ``max_level`` lead from a team to another, without listing them.
+
+    What can follow a path depends on its ends and on which teams it holds, not on their order; so paths that share
+    these are one row with their number. Sets are sorted arrays of team numbers. Each level is added up in the tasks
+    and written before the next.
+    """
+    step = _distinct_edges(edges).filter("src <> dst")
+    teams = step.select(F.col("src").alias("team")).union(step.select("dst")).distinct()
+    numbered = cut_lineage(zip_with_index(teams, [F.asc("team")], "number"))
+    known = numbered.withColumn("number", F.col("number").cast("int"))
+    from_, to = (known.select(F.col("team").alias(c), F.col("number").alias(f"{c}_at")) for c in ("src", "dst"))
+    step = cut_lineage(step.join(from_, "src").join(to, "dst").select("src_at", "dst_at"))
+    level = step.select(
+        F.col("src_at").alias("start"), F.col("dst_at").alias("end"), F.array_sort(F.array("src_at", "dst_at")).alias("held"), F.lit(1).cast("long").alias("n")
+    )
+    result = None
+    for depth in range(1, max_level + 1):
+        if depth > 1:
+            onward = level.join(step, F.col("end") == F.col("src_at")).filter(~F.array_contains("held", F.col("dst_at")))
+            held = F.array_sort(F.array_append("held", F.col("dst_at"))).alias("held")
+            level = cut_lineage(onward.select("start", F.col("dst_at").alias("end"), held, "n").groupBy("start", "end", "held").agg(F.sum("n").alias("n")))
+        counted = level.groupBy("start", "end").agg(F.sum("n").alias("n_paths")).withColumn("level", F.lit(depth))
+        if depth > 1 and level.isEmpty():
+            break
+        result = counted if result is None else result.unionByName(counted)
+    named = result.join(known.select(F.col("team").alias("team_id"), F.col("number").alias("start")), "start")
+    named = named.join(known.select(F.col("team").alias("reached_id"), F.col("number").alias("end")), "end")
+    return named.select("team_id", "reached_id", "level", "n_paths")
+
+
 def team_reach(edges: DataFrame, max_level: int | None = None) -> DataFrame:
     """Fewest steps from each team to every other team it can reach; in ``max_level`` steps if that is given.
 

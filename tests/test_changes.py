@@ -1,4 +1,8 @@
 import json
+import math
+import random
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -65,3 +69,22 @@ def test_traversals_of_a_cycle(spark, rows):
 def test_ids_that_start_alike_are_told_apart(spark, rows):
     matches = spark.createDataFrame([(5, 10), (10, 1)], "team_a_id long, team_b_id long")
     assert ("5->10->1",) in rows(N.team_network(matches), "full_path")
+
+
+@pytest.mark.parametrize("n", [5, 9])
+def test_path_counts(spark, rows, n):
+    """As many paths as there are when they are listed."""
+    rng = random.Random(n)
+    links = [(a, b) for a in range(n) for b in range(n) if rng.random() < 0.5] + [(0, 1), (0, 1), (n, n), (50, None)]
+    edges = spark.createDataFrame(links, "src long, dst long")
+    listed = N.team_paths(edges, 8).groupBy("team_id", "reached_id", "level").count()
+    columns = ("team_id", "reached_id", "level")
+    listed = listed.filter("reached_id IS NOT NULL")
+    assert rows(N.team_path_counts(edges, 8), *columns, "n_paths") == rows(listed, *columns, "count")
+
+
+def test_path_counts_of_a_full_network(spark):
+    """Eight levels on twelve teams that all meet: 12 * 11 * ... * 4 paths, held as a few thousand sets."""
+    edges = spark.range(12).crossJoin(spark.range(12).withColumnRenamed("id", "dst")).withColumnRenamed("id", "src")
+    counts = N.team_path_counts(edges, 8).groupBy("level").agg(F.sum("n_paths").alias("n")).collect()
+    assert {r.level: r.n for r in counts} == {k: math.perm(12, k + 1) for k in range(1, 9)}
