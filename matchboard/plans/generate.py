@@ -167,10 +167,23 @@ def gen_matches(
     return drawn.select("id", "tournament_id", "team_a_id", "team_b_id", winner.alias("winner_id"), "played_at")
 
 
+def _different(n: int, picks: int, seed: str, *key) -> Column:
+    """``picks`` different numbers below ``n``, every set of them as likely, as an array.
+
+    The k-th number is drawn below n - picks + k; one that was drawn before gives way to the largest of that range,
+    which cannot have been. So no list of all numbers is needed, and no draw is repeated.
+    """
+
+    def pick(chosen: Column, k: Column) -> Column:
+        drawn = _below(n - picks + k, seed, *key, k)
+        return F.array_append(chosen, F.when(F.array_contains(chosen, drawn), n - picks + k - 1).otherwise(drawn))
+
+    return F.aggregate(F.sequence(F.lit(1).cast("long"), F.lit(picks).cast("long")), F.array().cast("array<bigint>"), pick)
+
+
 def gen_player_stats(matches: DataFrame, players: DataFrame, wide: bool = False, groups: int = 1) -> DataFrame:
-    """Eight different players per match: the players are cut into eight equal ranges in order and one
-    is drawn from each. ``wide`` gives the variant with deaths from 0, ids without gaps and ``groups``
-    times eight players per match."""
+    """Eight different players per match, any eight as likely. ``wide`` gives the variant with deaths from 0, ids
+    without gaps and ``groups`` times eight players per match."""
     n_players = players.count()
     if n_players < PLAYERS_PER_MATCH:
         raise ValueError(f"need at least {PLAYERS_PER_MATCH} players")
@@ -178,9 +191,8 @@ def gen_player_stats(matches: DataFrame, players: DataFrame, wide: bool = False,
         raise ValueError(f"need at least {LEAST_MATCHES} matches")
     numbered = zip_with_index(matches.select(F.col("id").alias("match_id")), [F.asc("match_id")], "i")
     grouped = numbered.select("*", F.explode(F.sequence(F.lit(1), F.lit(groups))).alias("g"))
-    rows = grouped.select("*", F.explode(F.sequence(F.lit(1), F.lit(PLAYERS_PER_MATCH))).alias("s"))
-    first = F.floor((F.col("s") - 1) * F.lit(n_players) / PLAYERS_PER_MATCH).cast("long")
-    after = F.floor(F.col("s") * F.lit(n_players) / PLAYERS_PER_MATCH).cast("long")
+    chosen = _different(n_players, PLAYERS_PER_MATCH, "stat_player", "match_id", "g")
+    rows = grouped.select("*", F.posexplode(chosen).alias("place", "player_id_at")).withColumn("s", F.col("place") + 1)
     key = ("match_id", "g", "s")
     kills, deaths, assists = (40, 25, 20) if wide else (40, 20, 15)
     least = 0 if wide else 1
@@ -193,8 +205,7 @@ def gen_player_stats(matches: DataFrame, players: DataFrame, wide: bool = False,
     def number(bounds: tuple[int, int], seed: str, digits: int) -> Column:
         return F.round(draw(seed, *key) * bounds[1] + bounds[0], 2).cast(f"decimal({digits},2)")
 
-    drawn = rows.withColumn("player_id_at", first + _below(after - first, "stat_player", *key))
-    return drawn.join(_by_position(players, "player_id"), "player_id_at").select(
+    return rows.join(_by_position(players, "player_id"), "player_id_at").select(
         (in_order if wide else F.col("i") * 10 + F.col("s")).alias("id"),
         "match_id",
         "player_id",

@@ -1,5 +1,7 @@
 """Invariants of the synthetic tables."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,6 +62,25 @@ def test_player_stats(made, wide):
     assert least == (0 if wide else 1)
 
 
+def test_any_eight_players_meet(spark, made):
+    """Pairs of players meet as often as chance has it, whatever their places in the list."""
+    few = made["players"].orderBy("id").limit(16)
+    stats = G.gen_player_stats(made["matches"], few).select("match_id", "player_id")
+    pairs = stats.join(stats.withColumnRenamed("player_id", "other"), "match_id").filter("player_id < other")
+    met = [r["count"] for r in pairs.groupBy("player_id", "other").count().collect()]
+    expected = 1000 * 28 / 120
+    assert len(met) == 120 and sum(met) == 28_000
+    assert sum((n - expected) ** 2 / expected for n in met) < 119 + 4 * (2 * 119) ** 0.5
+    single = [r["count"] for r in stats.groupBy("player_id").count().collect()]
+    assert sum((n - 500) ** 2 / 500 for n in single) < 15 + 4 * 30**0.5
+
+
+def test_different_numbers(spark):
+    draws = spark.range(3000).select(G._different(3, 2, "t", "id").alias("d"), G._different(2, 2, "u", "id").alias("all")).collect()
+    counts = Counter(frozenset(r.d) for r in draws)
+    assert len(counts) == 3 and all(900 < n < 1100 for n in counts.values()) and all(sorted(r["all"]) == [0, 1] for r in draws)
+
+
 def test_rosters(made):
     rosters = G.gen_rosters(made["players"], made["teams"])
     assert rosters.count() == 300  # 50 teams of six; the other players stay without a team
