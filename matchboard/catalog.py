@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import functions as fn
-from .cluster import new_folder
+from .cluster import cut_lineage, new_folder
 from .operators import analytics as A
 from .operators import changes as C
 from .operators import network as N
@@ -56,7 +57,7 @@ for _name in (*VIEWS, *MARTS):
     _model(_name)
 
 
-# scans and sources -------------------------------------------------------------------------------
+# scans and sources
 
 
 @query
@@ -96,7 +97,7 @@ def watermark_advance(t):
 def json_roundtrip(t):
     players = t["players"]
     path = writers.write(players, new_folder(t.spark, "json"), "json")
-    return t.spark.read.schema(players.schema).option("timestampNTZFormat", writers.ISO).json(path)
+    return t.spark.read.schema(players.schema).option("timestampNTZFormat", readers.ISO).json(path)
 
 
 @query
@@ -111,14 +112,38 @@ def json_extract(t):
     return t["events"].select("event_id", value.alias("k"))
 
 
+def _line(key: str, text: str):
+    return F.concat_ws("|", F.col(key).cast("string"), text).alias("line")
+
+
+def _customer_lake(t) -> str:
+    """A text file of customers per nation, last changed as many days after the first of 2020 as the nation's number."""
+    folder = f"{new_folder(t.spark, 'lake')}/customers"
+    lines = t["customer"].select("c_nationkey", _line("c_custkey", "c_name")).repartition("c_nationkey")
+    lines.write.partitionBy("c_nationkey").text(folder)
+    jvm = t.spark.sparkContext._jvm
+    first = datetime(2020, 1, 1, tzinfo=timezone.utc).timestamp() * 1000
+    for row in readers.lake_files(t.spark, folder).select("path", _nation("path").alias("nation")).collect():  # 25
+        path = jvm.org.apache.hadoop.fs.Path(row.path)
+        path.getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration()).setTimes(path, int(first + row.nation * 86_400_000), -1)
+    return folder
+
+
+def _nation(path: str):
+    return F.regexp_extract(path, "c_nationkey=([0-9]+)", 1).cast("int")
+
+
 @query
 def lake_file_listing(t):
-    return readers.lake_files(t.spark, t.folder)
+    return readers.lake_files(t.spark, _customer_lake(t)).select(_nation("path").alias("nation"), F.col("length").alias("n_bytes"))
 
 
 @query
 def table_sizes(t):
-    return readers.table_sizes(readers.lake_files(t.spark, t.folder), t.folder)
+    base = new_folder(t.spark, "sizes")
+    for name, line in (("nation", ("n_nationkey", "n_name")), ("customer", ("c_custkey", "c_name")), ("supplier", ("s_suppkey", "s_name"))):
+        t[name].select(_line(*line)).write.text(f"{base}/{name}")
+    return readers.table_sizes(readers.lake_files(t.spark, base), base).select("table_name", "n_bytes")
 
 
 @query
@@ -142,15 +167,24 @@ def bounded_extract(t):
     return readers.bounded_extract(summary, [F.asc("tournament_id"), F.asc("team_a_id")], 1000)
 
 
-# sinks and stored results ------------------------------------------------------------------------
+# sinks and stored results
 
 
 @query
 def export_csv_roundtrip(t):
     matches = t["matches"]
     path = writers.write(matches, new_folder(t.spark, "csv"), "csv")
-    reader = t.spark.read.schema(matches.schema).option("header", True)
-    return reader.option("timestampNTZFormat", writers.ISO).csv(path)
+    return readers.read_csv(t.spark, path, matches.schema)
+
+
+@query
+def export_csv_text(t):
+    """Whole texts with their line breaks, empty and missing ones, and some that look like the mark of a missing one."""
+    kind = F.col("doc_id") % 7
+    text = F.when(kind == 0, "").when(kind == 1, F.lit(None).cast("string")).when(kind == 2, "\\N").when(kind == 3, "\\\\N").otherwise(F.col("text"))
+    docs = t["documents"].select("doc_id", text.alias("text"), "lang", "source", "n_chars")
+    path = writers.write(docs, new_folder(t.spark, "csv"), "csv")
+    return readers.read_csv(t.spark, path, docs.schema)
 
 
 @query
@@ -221,12 +255,29 @@ def cache_stats(t):
     return A.cache_stats(t["players"].select("id", "username", "country", "elo_rating"))
 
 
+LAKE_AS_OF = "2020-01-23 00:00:00"  # ten days and twelve nations after the first
+
+
 @query
 def retention_candidates(t):
-    return writers.retention_report(readers.lake_files(t.spark, t.folder), "2099-01-01 00:00:00")
+    return writers.retention_report(readers.lake_files(t.spark, _customer_lake(t)), LAKE_AS_OF, 10)
 
 
-# projections, filters, updates -------------------------------------------------------------------
+@query
+def retention_deletes(t):
+    """Files by nation, and whether retention removed them."""
+    folder = _customer_lake(t)
+    before = readers.lake_files(t.spark, folder).select(_nation("path").alias("nation"), F.col("length").alias("n_bytes"))
+    before = cut_lineage(before)
+    removed = writers.retention(t.spark, folder, LAKE_AS_OF, 10, dry_run=False)
+    removed = removed.select(_nation("folder").alias("nation"), "n_files", F.col("n_bytes").alias("removed"))
+    left = readers.lake_files(t.spark, folder).select(_nation("path").alias("nation"), F.lit(1).cast("long").alias("here"))
+    every = before.join(removed, "nation", "left").join(left, "nation", "left")
+    gone = (F.col("removed") == F.col("n_bytes")) & F.col("here").isNull()
+    return every.select("nation", F.coalesce("n_files", "here").alias("n_files"), "n_bytes", F.coalesce(gone, F.lit(False)).alias("gone"))
+
+
+# projections, filters, updates
 
 
 @query
@@ -300,7 +351,7 @@ def validate_new_players(t):
     return Q.judge_new_players(candidates, AS_OF)
 
 
-# scalar functions --------------------------------------------------------------------------------
+# scalar functions
 
 
 def _damaged(t) -> DataFrame:
@@ -349,7 +400,7 @@ def streakcount_sql(t):
     return A.streak_from_history(t["matches"], run_length=lambda text: F.call_function("streakcount", text))
 
 
-# analytical queries ------------------------------------------------------------------------------
+# analytical queries
 
 
 @query
@@ -478,7 +529,7 @@ def run_log_summary(t):
     return J.run_log_summary(t["query_runs"].withColumnRenamed("query_name", "step"))
 
 
-# numbering and joins by position -----------------------------------------------------------------
+# numbering and joins by position
 
 
 @query
@@ -513,7 +564,7 @@ def bucket_assign(t):
     return R.bucket_assign(players, teams, 6, [F.asc("player_id")], [F.asc("name")])
 
 
-# network -----------------------------------------------------------------------------------------
+# network
 
 
 @query
@@ -537,12 +588,26 @@ def chain_paths_k8(t):
     return N.team_paths(steps, 8)
 
 
+@query
+def team_path_counts_k4(t):
+    return N.team_path_counts(N.team_edges(t["matches"]), 4)
+
+
+@query
+def sparse_path_counts_k8(t):
+    """A chain on which every fifth step has ways back."""
+    key = F.col("c_custkey")
+    steps = t["customer"].select(key.alias("src"), (key + 1).alias("dst"))
+    back = t["customer"].filter(key % 5 > 1).select((key + 1).alias("src"), (key - key % 5).alias("dst"))
+    return N.team_path_counts(steps.unionByName(back), 8)
+
+
 @query
 def team_reach(t):
     return N.team_reach(N.team_edges(t["matches"]))
 
 
-# data checks -------------------------------------------------------------------------------------
+# data checks
 
 
 def _shifted_stats(t) -> DataFrame:
@@ -635,7 +700,7 @@ def fk_violations(t):
     return Q.foreign_keys(t, (*FOREIGN_KEYS, ("lineitem", "l_suppkey", "teams")))
 
 
-# changes -----------------------------------------------------------------------------------------
+# changes
 
 
 @query
@@ -664,7 +729,7 @@ def changelog_compact(t):
     return C.changelog_compact(t["player_changes"], "id", "version")
 
 
-# rate limit and streams --------------------------------------------------------------------------
+# rate limit and streams
 
 
 def _streamed(t, view: str, base: str) -> DataFrame:
@@ -745,7 +810,7 @@ def audit_stream(t):
     return t.spark.read.option("basePath", f"{folder}/out").parquet(f"{folder}/out").drop("batch")
 
 
-# synthetic tables --------------------------------------------------------------------------------
+# synthetic tables
 
 
 def _numbers(t, table: str, key: str) -> DataFrame:
@@ -820,7 +885,7 @@ def named_queries_kept(t):
     return sizes
 
 
-# jobs --------------------------------------------------------------------------------------------
+# jobs
 
 
 def _steps(log: DataFrame) -> DataFrame:
@@ -830,7 +895,20 @@ def _steps(log: DataFrame) -> DataFrame:
 
 @query
 def nightly_job(t):
-    return _steps(J.nightly(t.spark, t, new_folder(t.spark, "nightly"), AS_OF, readers.FIRST_EXPORT))
+    arriving = _streamed(t, "matches", "orders")
+    return _steps(J.nightly(t.spark, t, new_folder(t.spark, "nightly"), AS_OF, readers.FIRST_EXPORT, arriving))
+
+
+@query
+def late_matches(t):
+    """The younger matches arrive first; the older ones come later, with some that were there before."""
+    folder, matches = new_folder(t.spark, "late"), t["matches"]
+    younger = F.col("played_at") >= A.at(WATERMARK)
+    for part, moment in ((matches.filter(younger), AS_OF), (matches.filter(~younger | (F.col("id") % 3 == 0)), EVENTS_AS_OF)):
+        part.write.mode("append").parquet(f"{folder}/in")
+        arriving = t.spark.readStream.schema(matches.schema).parquet(f"{folder}/in")
+        J.load_arrivals(t.spark, arriving, folder, moment)
+    return t.spark.read.parquet(f"{folder}/new_matches").select(*matches.columns)
 
 
 @query

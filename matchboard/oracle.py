@@ -162,6 +162,14 @@ add(
 
 # sinks and stored results
 add("export_csv_roundtrip", "matches", "SELECT * FROM matches")
+add("late_matches", "matches", "SELECT * FROM matches")
+add(
+    "export_csv_text",
+    "",
+    r"""SELECT * REPLACE (
+        CASE doc_id % 7 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN '\N' WHEN 3 THEN '\\N' ELSE text END AS text)
+        FROM documents""",
+)
 add(
     "export_parquet_roundtrip",
     "player_stats",
@@ -448,6 +456,36 @@ add(
     SELECT * FROM p""",
     recursive=True,
 )
+_COUNTED = "SELECT team_id, reached_id, level, count(*) AS n_paths FROM p GROUP BY ALL"
+add(
+    "team_path_counts_k4",
+    "matches",
+    f"""+ e AS (SELECT DISTINCT team_a_id AS src, team_b_id AS dst FROM matches),
+    p AS (
+      SELECT src AS team_id, dst AS reached_id, 1 AS level, [src, dst] AS path FROM e WHERE src <> dst
+      UNION ALL
+      SELECT team_id, e.dst, level + 1, list_append(path, e.dst) FROM p JOIN e ON e.src = reached_id
+      WHERE level < 3 AND NOT list_contains(path, e.dst))
+    {_COUNTED}
+    UNION ALL
+    SELECT team_id, e.dst, 4, count(*) FROM p JOIN e ON e.src = reached_id
+    WHERE level = 3 AND NOT list_contains(path, e.dst) GROUP BY ALL""",
+    recursive=True,
+)
+add(
+    "sparse_path_counts_k8",
+    "",
+    f"""+ e AS (
+      SELECT c_custkey AS src, c_custkey + 1 AS dst FROM customer
+      UNION SELECT c_custkey + 1, c_custkey - c_custkey % 5 FROM customer WHERE c_custkey % 5 > 1),
+    p AS (
+      SELECT src AS team_id, dst AS reached_id, 1 AS level, [src, dst] AS path FROM e WHERE src <> dst
+      UNION ALL
+      SELECT team_id, e.dst, level + 1, list_append(path, e.dst) FROM p JOIN e ON e.src = reached_id
+      WHERE level < 8 AND NOT list_contains(path, e.dst))
+    {_COUNTED}""",
+    recursive=True,
+)
 add(
     "team_reach",
     "matches",
@@ -708,19 +746,25 @@ add(
 
 def _stats(row_id: str, groups: int, kills: int, deaths: int, assists: int, least: int, damage, headshots) -> str:
     key = ("match_id", "g", "s")
+    picks = range(1, 9)
+    draws = ", ".join(f"{_below(f'(n - {8 - k})', 'stat_player', 'match_id', 'g', str(k))} AS t{k}" for k in picks)
+    before = {k: ", ".join(f"c{j}" for j in range(1, k)) or "-1" for k in picks}
+    chosen = ", ".join(f"CASE WHEN t{k} IN ({before[k]}) THEN n - {9 - k} ELSE t{k} END AS c{k}" for k in picks)
     return f"""+ p AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS at FROM players),
     c AS (SELECT count(*) AS n FROM players),
-    r AS (
-      SELECT i, match_id, g, s, (s - 1) * n // 8 AS lo, s * n // 8 AS hi
+    d AS (
+      SELECT i, match_id, g, n, {draws}
       FROM (SELECT id AS match_id, row_number() OVER (ORDER BY id) AS i FROM matches),
-           (SELECT unnest(range(1, {groups} + 1)) AS g), (SELECT unnest(range(1, 9)) AS s), c)
+           (SELECT unnest(range(1, {groups} + 1)) AS g), c),
+    w AS (SELECT i, match_id, g, {chosen} FROM d),
+    r AS (SELECT i, match_id, g, unnest(range(1, 9)) AS s, unnest([{before[8]}, c8]) AS player_at FROM w)
     SELECT {row_id} AS id, match_id, p.id AS player_id,
            ({_below(kills, 'stat_kills', *key)} + {least})::INT AS kills,
            ({_below(deaths, 'stat_deaths', *key)} + {least})::INT AS deaths,
            ({_below(assists, 'stat_assists', *key)} + {least})::INT AS assists,
            round({_draw('stat_damage', *key)} * {damage[1]} + {damage[0]}, 2) AS damage_dealt,
            round({_draw('stat_headshot', *key)} * {headshots[1]} + {headshots[0]}, 2) AS headshot_pct
-    FROM r JOIN p ON p.at = lo + {_below('(hi - lo)', 'stat_player', *key)}"""
+    FROM r JOIN p ON p.at = player_at"""
 
 
 add("gen_player_stats", "matches players", _stats("i * 10 + s", 1, 40, 20, 15, 1, (1, 3000), (30, 40)))
@@ -857,3 +901,23 @@ add(
         f"SELECT '{name}' AS name, count(*) AS n_rows FROM ({text})" for name, text in _KEPT_QUERIES.items()
     ),
 )
+
+# listings of files whose sizes and times follow from the rows written
+_LAKE = """SELECT c_nationkey AS nation, sum(strlen(c_custkey || '|' || c_name) + 1)::BIGINT AS n_bytes FROM customer GROUP BY ALL"""
+add("lake_file_listing", "", f"SELECT nation, n_bytes FROM ({_LAKE})")
+add(
+    "retention_candidates",
+    "",
+    f"""SELECT count(*) AS n_files, round(coalesce(sum(n_bytes), 0) / 1048576.0, 2)::DOUBLE AS mb
+        FROM ({_LAKE}) WHERE nation < 12""",
+)
+add("retention_deletes", "", f"SELECT nation, 1::BIGINT AS n_files, n_bytes, nation < 12 AS gone FROM ({_LAKE})")
+_SIZED = {"nation": ("n_nationkey", "n_name"), "customer": ("c_custkey", "c_name"), "supplier": ("s_suppkey", "s_name")}
+add(
+    "table_sizes",
+    "",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, sum(strlen({key} || '|' || {text}) + 1)::BIGINT AS n_bytes FROM {name}"
+        for name, (key, text) in _SIZED.items()
+    ),
+)

@@ -15,6 +15,7 @@ from ..operators.analytics import slow_queries, top_players
 from ..operators.changes import changelog_bloat, changelog_compact
 from ..operators.quality import negative_stats
 from ..sources import readers, results, writers
+from ..streaming import feeds
 from .checks import write_tested
 from .models import VIEWS, Models
 
@@ -59,26 +60,62 @@ def run_log_summary(log: DataFrame, k: int | None = 5) -> DataFrame:
     return slow_queries(log.select(F.col("step").alias("query_name"), "duration_us"), k)
 
 
+_WATERMARKS = T.StructType([T.StructField("id", T.LongType()), T.StructField("point_of_time", T.TimestampNTZType())])
+
+
+def _move_watermark(spark: SparkSession, loaded: DataFrame, root: str, first_load: str) -> None:
+    """Store the latest time loaded; it never moves back."""
+    registry = results.read_or_empty(spark, f"{root}/watermarks", _WATERMARKS)
+    low = readers.watermark_state(registry, first_load).first()["point_of_time"]
+    newest = readers.watermark_advance(registry, loaded.filter(F.col("played_at") > F.lit(low)), "played_at")
+    newest.orderBy(F.desc("id")).limit(1).write.mode("append").parquet(f"{root}/watermarks")
+
+
+def _copy_to_lake(spark: SparkSession, root: str, as_of: str) -> DataFrame:
+    """The rows that a run has stored, copied as CSV; a run that is repeated replaces its copy."""
+    stored = spark.read.parquet(f"{root}/new_matches").filter(F.col("loaded_at") == F.lit(as_of).cast("timestamp_ntz"))
+    rows = stored.drop("loaded_at")
+    writers.write(rows, writers.stamped(f"{root}/lake/matches", as_of), "csv")
+    return rows
+
+
 def load_matches(
     spark: SparkSession, matches: DataFrame, root: str, as_of: str, first_load: str = readers.FIRST_LOAD
 ) -> int:
-    """Load matches since the watermark, copy them to the lake as CSV, then move the watermark.
+    """Load matches of a table since the watermark, copy them to the lake as CSV, then move the watermark.
 
     No row limit: the rows of one run are one append. The watermark is the latest time loaded and is
-    written last, so a run that fails is simply repeated.
+    written last, so a run that fails is simply repeated. Returns how many rows were stored. Matches that turn up
+    with a time before the watermark are not seen: see ``load_arrivals``.
     """
-    kind = T.StructType([T.StructField("id", T.LongType()), T.StructField("point_of_time", T.TimestampNTZType())])
-    registry = results.read_or_empty(spark, f"{root}/watermarks", kind)
+    registry = results.read_or_empty(spark, f"{root}/watermarks", _WATERMARKS)
     low = readers.watermark_state(registry, first_load).first()["point_of_time"]
     batch = readers.incremental(matches, "played_at", F.lit(low), F.lit(as_of).cast("timestamp_ntz"))
-    loaded = results.as_new_matches(batch, as_of)
-    results.append_new(loaded, f"{root}/new_matches", "id", "played_at")
-    n_rows = batch.count()
-    if n_rows:
-        writers.write(batch, writers.stamped(f"{root}/lake/matches", as_of), "csv")
-        newest = readers.watermark_advance(registry, batch, "played_at").orderBy(F.desc("id")).limit(1)
-        newest.write.mode("append").parquet(f"{root}/watermarks")
-    return n_rows
+    stored = results.append_new(results.as_new_matches(batch, as_of), f"{root}/new_matches", "id", "played_at")
+    if stored:
+        _move_watermark(spark, _copy_to_lake(spark, root, as_of), root, first_load)
+    return stored
+
+
+def load_arrivals(
+    spark: SparkSession, matches: DataFrame, root: str, as_of: str, first_load: str = readers.FIRST_LOAD
+) -> int:
+    """Load matches as they arrive, whenever they were played: ``matches`` is a stream of files.
+
+    The stream's own log says which files were read, so a late match is loaded, and a file once. Its place in
+    the log moves after the rows are stored, and a batch that is delivered again is stored once. The watermark goes
+    on telling the latest time loaded. Returns how many rows were stored.
+    """
+    stored = []
+    target, seen = f"{root}/new_matches", f"{root}/arrivals"
+
+    def write(batch: DataFrame, _: int) -> None:
+        stored.append(results.append_new(results.as_new_matches(batch, as_of), target, "id", "played_at"))
+
+    feeds.run_available(matches, seen, write)
+    if sum(stored):
+        _move_watermark(spark, _copy_to_lake(spark, root, as_of), root, first_load)
+    return sum(stored)
 
 
 def validate_stats(stats: DataFrame, root: str, as_of: str) -> int:
@@ -149,15 +186,26 @@ def maintain(log: DataFrame, root: str, key: str = "id", version: str = "version
 
 
 def nightly(
-    spark: SparkSession, tables, root: str, as_of: str, first_load: str = readers.FIRST_LOAD
+    spark: SparkSession,
+    tables,
+    root: str,
+    as_of: str,
+    first_load: str = readers.FIRST_LOAD,
+    arriving: DataFrame | None = None,
 ) -> DataFrame:
-    """Load, validate, refresh, build, maintain."""
+    """Load, validate, refresh, build, maintain. Matches come from a stream of files, if ``arriving`` is given."""
     log = tables["player_changes"].withColumn("table_name", F.lit("players"))
+
+    def load() -> int:
+        if arriving is None:
+            return load_matches(spark, tables["matches"], root, as_of, first_load)
+        return load_arrivals(spark, arriving, root, as_of, first_load)
+
     return run_steps(
         spark,
         "nightly",
         [
-            ("load_matches", lambda: load_matches(spark, tables["matches"], root, as_of, first_load)),
+            ("load_matches", load),
             ("validate_stats", lambda: validate_stats(tables["player_stats"], root, as_of)),
             ("refresh_players", lambda: refresh_players(spark, tables["players"], root, as_of)),
             ("build_models", lambda: build_marts(tables, root)),

@@ -11,8 +11,11 @@ from pyspark.sql import types as T
 from ..functions import size_pretty
 from ..schema import TABLES
 
-# Text comes back as it was written: spaces at the ends, quotes and line breaks included.
-CSV_TEXT = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+# Text comes back as it was written: spaces at the ends, quotes and line breaks included. A missing value has a mark
+# of its own, as the empty text is written as two quotes; text that looks like the mark gets one more backslash.
+CSV_TEXT = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "nullValue": "\\N"}
+LIKE_THE_MARK = r"^(\\+N)$"
+ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 # Where the first run of each incremental read starts.
 FIRST_LOAD = "2020-01-01 00:00:00"
@@ -80,9 +83,17 @@ def from_json_records(df: DataFrame, column: str, schema: T.StructType) -> DataF
     return df.select(F.inline(records))
 
 
+def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A CSV export with header, as it was before it was written; a lost or added column is an error of the schema."""
+    rows = spark.read.schema(schema).options(**CSV_TEXT, multiLine=True, timestampNTZFormat=ISO).csv(path)
+    text = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
+    plain = {c: F.when(F.col(c).rlike(LIKE_THE_MARK), F.substring(c, 2, 2**31 - 1)).otherwise(F.col(c)) for c in text}
+    return rows.withColumns(plain) if plain else rows
+
+
 def read_csv_versions(spark: SparkSession, versions: Sequence[tuple[str, T.StructType]]) -> DataFrame:
     """CSV exports with header, each read by its own schema; a column a version lacks is NULL."""
-    frames = [spark.read.schema(schema).options(**CSV_TEXT, multiLine=True).csv(path) for path, schema in versions]
+    frames = [read_csv(spark, path, schema) for path, schema in versions]
     result = frames[0]
     for frame in frames[1:]:
         result = result.unionByName(frame, allowMissingColumns=True)

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
 from datetime import datetime
+from urllib.parse import quote
 
+import pyarrow as pa
+from pyarrow import fs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,10 +17,10 @@ from pyspark.sql import types as T
 from ..cluster import cut_lineage
 from ..functions import clean_text
 from ..operators.skew import HOT_ROWS, hot_groups
-from .readers import CSV_TEXT, lake_files
-
-ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+from .readers import CSV_TEXT, ISO, LIKE_THE_MARK, lake_files
 
+# task code travels with the task: executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 def as_text(df: DataFrame) -> DataFrame:
     """Strings made valid for text formats; decimals as text so that no digit is lost."""
@@ -35,6 +41,9 @@ def write(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite
     With partitions, ``overwrite`` replaces the partitions that ``df`` has and leaves others alone.
     """
     target = df if fmt == "parquet" else as_text(df)
+    if fmt == "csv":
+        text = [f.name for f in target.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in partitions]
+        target = target.withColumns({c: F.regexp_replace(c, LIKE_THE_MARK, r"\\$1") for c in text})
     writer = target.write.mode(mode).partitionBy(*partitions)
     if partitions:
         writer = writer.option("partitionOverwriteMode", "dynamic")
@@ -131,8 +140,9 @@ def retention_report(files: DataFrame, as_of: str, days: int = 90) -> DataFrame:
 def retention(spark: SparkSession, path: str, as_of: str, days: int = 90, dry_run: bool = True) -> DataFrame:
     """Expired files below ``path`` by folder, with their number and size; deletes them unless ``dry_run``.
 
-    Only expired files are deleted, one by one. A folder goes when nothing but hidden markers is left below it.
-    Paths are handed to the driver in batches.
+    Only expired files are deleted. A folder goes when nothing but hidden markers is left below it. Tasks delete,
+    each its part of one stored listing, and report what is gone; a task that is run again finds the same files
+    gone and reports the same.
     """
     if not dry_run and days < 1:
         raise ValueError("keep at least one day")
@@ -149,14 +159,47 @@ def retention(spark: SparkSession, path: str, as_of: str, days: int = 90, dry_ru
     found = folders.filter(F.col("n_files") > 0)
     if dry_run:
         return found
-    fs_of = _file_systems(spark)
-    for path in _in_batches(files.filter(expired).select("path")):
-        fs_of(path).delete(path, False)
-    for path in _in_batches(found.filter("whole").select(F.col("folder").alias("path"))):
-        left = fs_of(path).listStatus(path)
-        if all(status.isFile() and status.getPath().getName()[0] in "_." for status in left):
-            fs_of(path).delete(path, True)
-    return found
+    doomed = files.filter(expired).select("path", "folder", "length")
+    gone = cut_lineage(doomed.hint("rebalance").mapInArrow(_delete_files, "folder string, length long"))
+    emptied = found.filter("whole").select("folder").hint("rebalance").mapInArrow(_delete_empty_folders, "folder string")
+    whole = cut_lineage(emptied).withColumn("whole", F.lit(True))  # after the files, as they are stored by now
+    counted = gone.groupBy("folder").agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes"))
+    return counted.join(whole, "folder", "left").select("folder", "n_files", "n_bytes", F.coalesce("whole", F.lit(False)).alias("whole"))
+
+
+def _place(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a Hadoop path, and the path in it."""
+    scheme, rest = path.split(":", 1)
+    rest = rest if rest.startswith("//") else f"//{rest}"  # Hadoop writes file:/folder
+    return fs.FileSystem.from_uri({"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + ":" + quote(rest))
+
+
+def _delete_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path in batch.column(0).to_pylist():
+            system, name = _place(path)
+            folder, own = name.rsplit("/", 1)
+            for file in (name, f"{folder}/.{own}.crc"):  # with its checksum, where there is one
+                try:
+                    system.delete_file(file)
+                except FileNotFoundError:  # or gone, by an earlier run of this task
+                    pass
+        yield pa.RecordBatch.from_arrays(batch.columns[1:], ["folder", "length"])
+
+
+def _delete_empty_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        empty = []
+        for folder in batch.column(0).to_pylist():
+            system, name = _place(folder)
+            left = system.get_file_info(fs.FileSelector(name, allow_not_found=True))
+            if all(info.is_file and info.base_name[0] in "_." for info in left):
+                empty.append(folder)
+                try:
+                    system.delete_dir(name)
+                except FileNotFoundError:  # by an earlier run of this task
+                    pass
+        yield pa.RecordBatch.from_arrays([pa.array(empty, pa.string())], ["folder"])
 
 
 def _file_systems(spark: SparkSession):
@@ -168,10 +211,3 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder with all below it; nothing happens where there is none."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     _file_systems(spark)(target).delete(target, True)
-
-
-def _in_batches(paths: DataFrame):
-    """Hadoop paths, one partition of the listing at a time."""
-    make = paths.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path
-    for row in paths.toLocalIterator():
-        yield make(row["path"])

@@ -1,4 +1,7 @@
 import pytest
+from pyspark.sql import types as T
+
+from matchboard.cluster import cut_lineage
 
 from matchboard.plans import jobs as J
 from matchboard.operators import quality
@@ -109,3 +112,33 @@ def test_foreign_keys_take_one_shuffle(spark):
     folder = {n: spark.createDataFrame([], TABLES[n]) for n in {t for r in FOREIGN_KEYS for t in (r[0], r[2])}}
     plan = quality.foreign_keys(folder)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and plan.count("Exchange") <= 1
+
+
+def test_late_matches_are_loaded_once(spark, tables, tmp_path):
+    root, schema = str(tmp_path), tables["matches"].schema
+    matches = tables["matches"].limit(60).orderBy("played_at", "id").collect()
+
+    def arrive(rows, moment):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        return J.load_arrivals(spark, spark.readStream.schema(schema).parquet(f"{root}/in"), root, moment, readers.FIRST_EXPORT)
+
+    def watermark():
+        return readers.watermark_state(spark.read.parquet(f"{root}/watermarks"), readers.FIRST_EXPORT).first()[0]
+
+    assert arrive(matches[30:], "2026-05-01 00:00:00") == 30
+    newest = watermark()
+    assert newest == matches[-1]["played_at"]
+    assert arrive(matches[:20] + matches[40:], "2026-05-02 00:00:00") == 20  # older than the watermark, the rest known
+    assert arrive([], "2026-05-03 00:00:00") == 0 and watermark() == newest
+    stored = spark.read.parquet(f"{root}/new_matches")
+    assert sorted(r.id for r in stored.collect()) == sorted(m.id for m in matches[:20] + matches[30:])
+    copies = sorted(p.name for p in (tmp_path / "lake").iterdir())
+    columns = [f for f in stored.schema.fields if f.name != "loaded_at"]
+    counts = [readers.read_csv(spark, f"{root}/lake/{c}", T.StructType(columns)).count() for c in copies]
+    assert counts == [30, 20]
+
+
+def test_load_counts_what_it_stores(spark, tables, tmp_path):
+    matches = tables["matches"].limit(50)
+    results.append_new(results.as_new_matches(matches.limit(20), AS_OF), f"{tmp_path}/new_matches", "id", "played_at")
+    assert J.load_matches(spark, cut_lineage(matches), str(tmp_path), "2026-06-01 00:00:00", readers.FIRST_EXPORT) >= 30

@@ -72,3 +72,20 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(ValueError):
         cluster.shared_root(Session())
+
+
+def test_retention_may_be_run_again(spark, tmp_path):
+    """A delete task that is run a second time finds its files gone and reports the same."""
+    import pyarrow as pa
+
+    files = [tmp_path / f"a b%20{i}" / "x=1" / "old file.csv" for i in range(3)]
+    for file in files:
+        file.parent.mkdir(parents=True)
+        file.write_text("x")
+    listing = readers.lake_files(spark, str(tmp_path)).collect()
+    batch = pa.RecordBatch.from_arrays([pa.array([r.path for r in listing]), pa.array(["f"] * 3), pa.array([1, 1, 1])], ["path", "folder", "length"])
+    first, second = (next(writers._delete_files(iter([batch]))) for _ in range(2))
+    assert first.equals(second) and not any(f.exists() for f in files)
+    folders = pa.RecordBatch.from_arrays([pa.array([r.path.rsplit("/", 1)[0] for r in listing])], ["folder"])
+    first, second = (next(writers._delete_empty_folders(iter([folders]))) for _ in range(2))
+    assert first.equals(second) and first.num_rows == 3 and not any(f.parent.exists() for f in files)

@@ -73,11 +73,14 @@ def test_export_of_odd_values(spark, tmp_path, rows):
         [(1, 'say "hi", ok', None, 1.5), (2, "a\nb", "ż😀", None)], "id long, t string, u string, x double"
     ).withColumn("ts", F.lit("2026-05-17 11:49:20.035116").cast("timestamp_ntz"))
     path = writers.write(df, str(tmp_path / "json"), "json")
-    stored = spark.read.schema(df.schema).option("timestampNTZFormat", writers.ISO).json(path)
+    stored = spark.read.schema(df.schema).option("timestampNTZFormat", readers.ISO).json(path)
     assert rows(stored) == rows(df)
     path = writers.write(df, str(tmp_path / "csv"), "csv")
-    reader = spark.read.schema(df.schema).options(header=True, multiLine=True, escape="\\")
-    assert rows(reader.option("timestampNTZFormat", writers.ISO).csv(path)) == rows(df)
+    assert rows(readers.read_csv(spark, path, df.schema)) == rows(df)
+    odd = ["", None, "\\N", "\\\\N", "N", "\\", '"', '""', "a,b", " padded ", "x\\", "\\,", "\r\n", "\n", '\\"', "'", "#"]
+    texts = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate((a, b) for a in odd for b in odd)], "id long, a string, b string")
+    path = writers.write(texts, str(tmp_path / "texts"), "csv")
+    assert rows(readers.read_csv(spark, path, texts.schema)) == rows(texts)
     with pytest.raises(ValueError):
         writers.write(df, str(tmp_path / "x"), "xml")
 
