@@ -1,14 +1,17 @@
 """Token id files compressed by a grammar (Re-Pair).
 
 Documents are encoded, dealt in ascending id order, and written as shard files of bounded size. In each shard
-frequent pairs of neighbouring ids are replaced by new symbols, round after round; a round takes the most
-frequent pairs of which no symbol is the left part of one and the right part of another, so that all their
-occurrences can be replaced at once. No pair reaches over the end of a document.
+frequent pairs of neighbouring ids are replaced by new symbols, round after round until none is frequent enough. A
+round takes many pairs at once; where their places overlap, the more frequent pair goes first, and a pair of equal
+symbols takes every second place of a run. No pair reaches over the end of a document.
 
 A shard file holds the rules, how many ids each rule stands for, where each document's symbols begin, and the
 symbols. One document is decoded from its own symbols and the rules alone; the expansion lengths tell which
 symbols cover a given range of its ids.
 
+Words are what a shard has most of its repetition in, so pairs within words are counted and replaced in every
+different word once, by how often it occurs, and pairs over the ends of words after that.
+
 Encoding uses the tokenizers library on the byte-level words that the vocabulary's own pattern cuts, and
 remembers the ids of words seen in a task; the result is that of the library on the whole text. With
 ``added_tokens``, texts that hold a string of one of the tokenizer's added tokens are encoded by the library
@@ -44,13 +47,13 @@ from matchboard.llm.files import create, new_name, read_all
 
 TOKENIZER = "byte_bpe_50k.json"
 END = 0
-SHARD_IDS = 1 << 21  # a shard ends with the document that reaches this
-ROUNDS = 5
-RULES_A_ROUND = 4096
-SLOT_BITS = 17
-SLOTS = 1 << SLOT_BITS
+SHARD_WORDS = 1 << 20  # a shard ends with the document that reaches this; some two ids a word
+RULES_A_ROUND = 16_384  # others wait for the next round
+SLOT_BITS = 18
+HALF, LOW = np.uint64(32), np.uint64(0xFFFFFFFF)  # a pair's code: the left symbol above the right one
 LEAST_COUNT = 6  # a rule takes three numbers, each replaced pair saves one
-KEEP_WORDS = 800_000
+KEEP_WORDS = 800_000  # words that a task remembers
+HOT_WORDS = 4096
 LONG_WORD = 64
 MAGIC = b"REPAIR1\0"
 
@@ -96,7 +99,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 class Encoder(dict):
-    """Ids of words as bytes; missing words are encoded by the library's model when asked for."""
+    """Numbers of words, whose ids are ``pieces[number]``; missing words are encoded by the library's model."""
 
     def __init__(self, tokenizer_file: str, added_tokens: bool = False):
         from tokenizers import Tokenizer
@@ -108,24 +111,42 @@ class Encoder(dict):
         self.n_plain = self.tokenizer.get_vocab_size()
         self.code = "H" if self.n_plain <= 1 << 16 else "I"
         self.kind = np.dtype(self.code)
-        self.older: dict[str, bytes] = {}
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.older.get(word)
-        if ids is None:
-            tokens = self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
-            ids = array(self.code, [t.id for t in tokens]).tobytes()
-        if len(word) <= LONG_WORD:
-            if len(self) >= KEEP_WORDS // 2:  # words not asked for since the last time are forgotten
-                self.older = dict(self)
-                self.clear()
-            self[word] = ids
-        return ids
+        self.words: list[str | int] = []  # an id that stands alone is a word, too
+        self.pieces: list[bytes] = []
+        self.hot: dict[str, int] = {}
+
+    def __missing__(self, word: str | int) -> int:
+        if isinstance(word, int):
+            ids = [word]
+        else:
+            ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
+        self.words.append(word)
+        self.pieces.append(array(self.code, ids).tobytes())
+        if isinstance(word, int) or len(word) <= LONG_WORD:
+            self[word] = len(self.pieces) - 1
+        return len(self.pieces) - 1
+
+    def numbers(self, text: str) -> list[int]:
+        """The numbers of the words of a text."""
+        if any(t in text for t in self.added):
+            return [self[i] for i in self.tokenizer.encode(text, add_special_tokens=False).ids]
+        words = words_of(text)
+        # most words are among a few that are looked up faster in a small table
+        return [self[w] if n is None else n for w, n in zip(words, map(self.hot.get, words))]
 
     def ids(self, text: str) -> np.ndarray:
-        if any(t in text for t in self.added):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind)
-        return np.frombuffer(b"".join(map(self.__getitem__, words_of(text))), dtype=self.kind)
+        return np.frombuffer(b"".join([self.pieces[n] for n in self.numbers(text)]), dtype=self.kind)
+
+    def after_shard(self, counts: np.ndarray) -> None:
+        """Renew the small table by the counts of a shard's words; forget words it lacks, if there are too many."""
+        if len(self.pieces) > KEEP_WORDS:
+            used = np.flatnonzero(counts)
+            self.words, self.pieces = [self.words[n] for n in used], [self.pieces[n] for n in used]
+            self.clear()
+            self.update((w, n) for n, w in enumerate(self.words) if isinstance(w, int) or len(w) <= LONG_WORD)
+            counts = counts[used]
+        often = np.argsort(-counts, kind="stable")[:HOT_WORDS].tolist()
+        self.hot = {self.words[n]: n for n in often if counts[n] and isinstance(self.words[n], str)}
 
 
 @lru_cache(maxsize=2)
@@ -181,71 +202,171 @@ class Grammar:
         return self.expand(symbols[first:last])[skip : skip + max(0, stop - start)]
 
 
-def _slot(codes: np.ndarray) -> np.ndarray:
-    return (codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+def _counted(codes: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Different codes that occur often enough, and how often."""
+    if weight is None:
+        ordered = np.sort(codes)
+    else:
+        order = np.argsort(codes, kind="stable")
+        ordered, weight = codes[order], weight[order]
+    starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.empty(0, dtype=np.int64)
+    if weight is None:
+        counts = np.diff(np.append(starts, len(ordered)))
+    else:
+        counts = np.add.reduceat(weight, starts) if len(starts) else np.empty(0, dtype=np.int64)
+    often = counts >= LEAST_COUNT
+    return ordered[starts[often]].astype(np.uint64), counts[often]
 
 
-def _disjoint(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The places of pairs, in the given order, none of whose symbols is a left part and a right part."""
-    lefts, rights, chosen = set(), set(), []
-    for at, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
-        if x != y and x not in rights and y not in lefts:
-            lefts.add(x)
-            rights.add(y)
-            chosen.append(at)
-            if len(chosen) == RULES_A_ROUND:
-                break
-    return np.array(chosen, dtype=np.int64)
+def _slot(codes: np.ndarray) -> np.ndarray:
+    return (codes * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def _without_overlap(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Which of the ascending places of pairs to replace: a place goes before its neighbours if its pair is the more
+    frequent one, and every second place of a run of equal symbols. Repeated for places whose neighbours are out."""
+    taken = np.zeros(len(at), dtype=bool)
+    left = np.arange(len(at))
+    while len(left):
+        places, ranks = at[left], rank[left]
+        beside = np.diff(places) == 1
+        before = np.append(False, beside & (ranks[:-1] < ranks[1:]))
+        after = np.append(beside & (ranks[1:] < ranks[:-1]), False)
+        best = ~before & ~after
+        same = np.append(False, beside & (ranks[1:] == ranks[:-1]) & best[:-1])  # one more of a run of equal symbols
+        first = np.maximum.accumulate(np.where(same, 0, np.arange(len(left))))
+        best &= (np.arange(len(left)) - first) % 2 == 0
+        taken[left[best]] = True
+        out = best.copy()
+        out[1:] |= beside & best[:-1]
+        out[:-1] |= beside & best[1:]
+        left = left[~out]
+    return taken
+
+
+class _Rules:
+    """Rules made so far, the number of ids each symbol stands for, and the rounds that make more of them."""
+
+    def __init__(self, n_plain: int):
+        self.left, self.right, self.sizes = [], [], np.ones(n_plain, dtype=np.int64)
+
+    def replace(self, symbols: np.ndarray, inner: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Replace frequent pairs until no pair is left that is frequent enough; a pair begins where ``inner`` is set.
+
+        After all pairs are counted, only pairs with a symbol made in the last round can have become frequent, so
+        only these are counted; counts of others only fall, and a rule is made if enough places are found. When none
+        is left, all pairs are counted once more. With ``weight``, every symbol stands for so many.
+        """
+
+        def codes_at(at: np.ndarray) -> np.ndarray:
+            return symbols[at].astype(np.uint64) << HALF | symbols[at + 1]
+
+        def all_pairs() -> tuple[np.ndarray, np.ndarray]:
+            begins = inner[:-1].copy()
+            equal = np.flatnonzero((symbols[:-1] == symbols[1:]) & begins)
+            begins[equal[~_without_overlap(equal, np.zeros(len(equal), dtype=np.int32))]] = False
+            at = np.flatnonzero(begins)
+            return _counted(codes_at(at), None if weight is None else weight[at])
+
+        pool, counts = all_pairs()
+        at_once, n_rules = RULES_A_ROUND, -1
+        while len(pool):
+            order = np.lexsort((pool, -counts))
+            pool, counts = pool[order], counts[order]
+            slots = _slot(pool[:at_once])
+            chosen = np.sort(np.unique(slots, return_index=True)[1])  # of pairs that share a slot the most frequent one
+            others = np.ones(len(pool), dtype=bool)
+            others[chosen] = False
+            pairs, pool, counts = pool[chosen], pool[others], counts[others]
+            table = np.zeros(1 << SLOT_BITS, dtype=np.int32)
+            table[slots[chosen]] = np.arange(len(pairs))
+            a, b = (pairs >> HALF).astype(np.int64), (pairs & LOW).astype(np.int64)
+            is_left, is_right = np.zeros(len(self.sizes), dtype=bool), np.zeros(len(self.sizes), dtype=bool)
+            is_left[a], is_right[b] = True, True
+            may = is_left[symbols[:-1]]
+            may &= is_right[symbols[1:]]
+            may &= inner[:-1]
+            at = np.flatnonzero(may)
+            asked = codes_at(at)
+            rule = table[_slot(asked)]
+            hit = pairs[rule] == asked
+            at, rule = at[hit], rule[hit]
+            while True:  # a pair that is left with too few places leaves them to others
+                take = _without_overlap(at, rule)
+                made = np.bincount(rule[take], None if weight is None else weight[at[take]], minlength=len(pairs)) >= LEAST_COUNT
+                if made[rule].all():
+                    break
+                at, rule = at[made[rule]], rule[made[rule]]
+            at, rule = at[take], rule[take]
+            if len(at):
+                self.left.append(a[made])
+                self.right.append(b[made])
+                number = (len(self.sizes) + np.cumsum(made) - 1).astype(np.uint32)
+                self.sizes = np.concatenate((self.sizes, self.sizes[a[made]] + self.sizes[b[made]]))
+                symbols[at] = number[rule]
+                inner[at] = inner[at + 1]
+                keep = np.ones(len(symbols), dtype=bool)
+                keep[at + 1] = False
+                symbols, inner = symbols[keep], inner[keep]
+                weight = None if weight is None else weight[keep]
+                new = at - np.arange(len(at))
+                where = np.append(new, new[np.append(True, np.diff(new) > 1)] - 1)  # pairs that begin or end there, each once
+                where = where[where >= 0]
+                where = where[inner[where]]
+                fresh, often = _counted(codes_at(where), None if weight is None else weight[where])
+                pool, counts = np.concatenate((pool, fresh)), np.concatenate((counts, often))
+            if not len(pool):
+                pool, counts = all_pairs()
+                if len(self.sizes) == n_rules:  # these stood in each other's way: fewer at once
+                    at_once = min(at_once, len(pool)) // 2
+                n_rules = len(self.sizes)
+                if not at_once:
+                    break
+        return symbols, inner
+
+    def grammar(self, n_plain: int, symbols: np.ndarray, ends: np.ndarray) -> Grammar:
+        none = np.empty(0, dtype=np.int64)
+        return Grammar(n_plain, np.concatenate(self.left or [none]), np.concatenate(self.right or [none]), self.sizes[n_plain:], symbols, ends)
+
+
+def _inner(size: int, ends: np.ndarray) -> np.ndarray:
+    """Set but at the last place of each part."""
+    inner = np.ones(size, dtype=bool)
+    inner[ends - 1] = False
+    return inner
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, n_plain: int) -> Grammar:
-    """Replace frequent pairs by rules until few are left or the rounds are over."""
-    symbols, ends = ids.astype(np.uint32), ends.astype(np.int64)
-    left, right = [], []
-    sizes = np.ones(n_plain, dtype=np.int64)
-    for _ in range(ROUNDS):
-        if len(symbols) < 2:
-            break
-        inner = np.ones(len(symbols), dtype=bool)
-        inner[ends - 1] = False  # no pair begins at a document's last symbol
-        wide = np.uint64 if len(sizes) > 1 << 16 else np.uint32
-        half = wide(32 if wide is np.uint64 else 16)  # bits of one symbol in the code of a pair
-        codes = symbols[:-1].astype(wide) << half | symbols[1:]
-        ordered = np.sort(codes[inner[:-1]])
-        if not len(ordered):
-            break
-        starts = np.concatenate(([0], np.nonzero(ordered[1:] != ordered[:-1])[0] + 1))
-        counts = np.diff(np.append(starts, len(ordered)))
-        often = counts >= LEAST_COUNT
-        pairs, counts = ordered[starts[often]], counts[often]
-        pairs = pairs[np.lexsort((pairs, -counts))][: 4 * RULES_A_ROUND]
-        a, b = (pairs >> half).astype(np.int64), (pairs & ((wide(1) << half) - wide(1))).astype(np.int64)
-        pairs = pairs[_disjoint(a, b)]
-        if not len(pairs):
-            break
-        # a hash table of the pairs; of pairs that share a slot the most frequent one is taken in this round
-        first = np.unique(_slot(pairs), return_index=True)[1]
-        pairs = pairs[np.sort(first)]
-        table = np.zeros(SLOTS, dtype=np.int64)
-        table[_slot(pairs)] = np.arange(len(pairs))
-        a, b = (pairs >> half).astype(np.int64), (pairs & ((wide(1) << half) - wide(1))).astype(np.int64)
-        left.append(a)
-        right.append(b)
-        is_left, is_right = np.zeros(len(sizes), dtype=bool), np.zeros(len(sizes), dtype=bool)
-        is_left[a], is_right[b] = True, True
-        sizes = np.concatenate((sizes, sizes[a] + sizes[b]))
-        at = np.nonzero(is_left[symbols[:-1]] & is_right[symbols[1:]] & inner[:-1])[0]
-        asked = codes[at]
-        found = table[_slot(asked)]
-        hit = pairs[found] == asked
-        at = at[hit]
-        symbols[at] = (found[hit] + len(is_left)).astype(np.uint32)
-        keep = np.ones(len(symbols), dtype=bool)
-        keep[at + 1] = False
-        ends = ends - np.searchsorted(at + 1, ends)
-        symbols = symbols[keep]
-    none = np.empty(0, dtype=np.int64)
-    return Grammar(n_plain, np.concatenate(left or [none]), np.concatenate(right or [none]), sizes[n_plain:], symbols, ends)
+    """The grammar of documents with at least one id each, that end at ``ends``."""
+    rules = _Rules(n_plain)
+    symbols, inner = rules.replace(ids.astype(np.uint32), _inner(len(ids), ends))
+    return rules.grammar(n_plain, symbols, np.flatnonzero(~inner) + 1)
+
+
+def compress_words(numbers: np.ndarray, ends: np.ndarray, pieces: list[bytes], kind: np.dtype, n_plain: int) -> Grammar:
+    """The same for documents of words, given by number: at least one each, and none without ids.
+
+    Pairs within words are replaced first, in every different word once, by how often the word occurs. Then the words
+    take their places, and pairs go on being replaced over all.
+    """
+    counts = np.bincount(numbers, minlength=len(pieces))
+    used = np.flatnonzero(counts)
+    flat = [pieces[n] for n in used]
+    lengths = np.fromiter(map(len, flat), dtype=np.int64, count=len(flat)) // kind.itemsize
+    rules = _Rules(n_plain)
+    parts, inner = rules.replace(
+        np.frombuffer(b"".join(flat), dtype=kind).astype(np.uint32), _inner(int(lengths.sum()), np.cumsum(lengths)), np.repeat(counts[used], lengths)
+    )
+    part_ends = np.flatnonzero(~inner) + 1
+    place = np.zeros(len(pieces), dtype=np.int64)
+    place[used] = np.arange(len(used))
+    size = np.diff(part_ends, prepend=0)
+    word = place[numbers]
+    n = size[word]
+    upto = np.cumsum(n)
+    symbols = parts[np.arange(int(upto[-1])) + np.repeat((part_ends - size)[word] - (upto - n), n)]
+    symbols, inner = rules.replace(symbols, _inner(len(symbols), upto[ends - 1]))
+    return rules.grammar(n_plain, symbols, np.flatnonzero(~inner) + 1)
 
 
 def to_bytes(g: Grammar, doc_ids: list[int | None]) -> bytes:
@@ -280,35 +401,36 @@ def write_shards(
     def write(batches):
         encode, part, n_files = encoder(tokenizer, added_tokens), TaskContext.get().partitionId(), 0
         n_plain = encode.n_plain
-        doc_ids, texts, held = [], [], 0
+        doc_ids, held, n_words = [], [], 0
 
         def flush():
-            nonlocal held, n_files
-            ends = np.cumsum([len(t) for t in texts])
-            data = to_bytes(compress(np.concatenate(texts), ends, n_plain), doc_ids)
+            nonlocal n_words, n_files
+            numbers, ends = np.concatenate(held), np.cumsum([len(h) for h in held])
+            grammar = compress_words(numbers, ends, encode.pieces, encode.kind, n_plain)
+            data = to_bytes(grammar, doc_ids)
             name = new_name(folder, "shard", ".ids")
             with create(name) as file:
                 file.write(data)
-            row = (part, n_files, name, len(doc_ids), held, len(data))
+            row = (part, n_files, name, len(doc_ids), int(grammar.sizes(grammar.symbols).sum()), len(data))
+            encode.after_shard(np.bincount(numbers, minlength=len(encode.pieces)))
             doc_ids.clear()
-            texts.clear()
-            held, n_files = 0, n_files + 1
+            held.clear()
+            n_words, n_files = 0, n_files + 1
             names = ["part", "place", "file", "n_docs", "n_tokens", "file_bytes"]
             return pa.record_batch([pa.array([v]) for v in row], names)
 
-        end = np.array([END], dtype=encode.kind)
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encode.ids(text.as_py())
                 doc_ids.append(doc_id)
-                texts.append(np.concatenate((ids, end)))
-                held += len(ids) + 1
-                if held >= SHARD_IDS:
+                held.append(np.array([*encode.numbers(text.as_py()), encode[END]], dtype=np.int32))
+                n_words += len(held[-1])
+                if n_words >= SHARD_WORDS:
                     yield flush()
         if doc_ids:
             yield flush()
 
-    in_order = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    order = ("doc_id", F.xxhash64("text"))  # rows of one id, or of none, are spread by their texts
+    in_order = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     schema = "part long, place long, file string, n_docs long, n_tokens long, file_bytes long"
     files = stored(in_order.mapInArrow(write, schema), "token-shards")
     earlier = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)

@@ -89,6 +89,49 @@ def test_simhash_probes_are_never_broadcast(spark, tmp_path):
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
+def plain_pairs(g):
+    """How often the most frequent pair within a document is left, places of equal symbols not overlapping."""
+    counts, last, ends = Counter(), {}, set((g.ends - 1).tolist())
+    for i, pair in enumerate(zip(g.symbols.tolist(), g.symbols.tolist()[1:])):
+        if i not in ends and not (pair[0] == pair[1] and last.get(pair) == i - 1):
+            counts[pair] += 1
+            last[pair] = i
+    return max(counts.values(), default=0)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_grammar_leaves_no_frequent_pair(seed):
+    rng = np.random.default_rng(seed)
+    n = int(rng.integers(1, 500))
+    ids = rng.integers(0, int(rng.choice([1, 2, 3, 30])), n)
+    if seed % 3 == 0:
+        ids = np.tile(ids[:7], n)[:n]
+    ends = np.unique(np.append(rng.integers(1, n + 1, int(rng.integers(0, 5))), n))
+    g = token_files.compress(ids, ends, 30 if seed % 2 else 70_000)
+    assert (g.expand(g.symbols) == ids).all() and plain_pairs(g) < token_files.LEAST_COUNT
+    for i, (low, high) in enumerate(zip([0, *ends], ends)):
+        assert (g.document(i) == ids[low:high]).all()
+
+
+def test_grammar_of_words():
+    rng = np.random.default_rng(1)
+    pieces = [rng.integers(0, 9, int(rng.integers(1, 6))).astype("H").tobytes() for _ in range(50)]
+    numbers = np.append(rng.zipf(1.3, 3000) % 50, 49)
+    ends = np.unique(np.append(rng.integers(1, 3000, 20), len(numbers)))
+    g = token_files.compress_words(numbers, ends, pieces, np.dtype("H"), 9)
+    assert plain_pairs(g) < token_files.LEAST_COUNT and len(g.ends) == len(ends)
+    for i, (low, high) in enumerate(zip([0, *ends], ends)):
+        assert g.document(i).astype("H").tobytes() == b"".join(pieces[k] for k in numbers[low:high])
+
+
+def test_copies_collapse():
+    g = token_files.compress(np.zeros(100_000, dtype="H"), np.array([100_000]), 50_257)
+    assert len(g.symbols) + len(g.left) < 100 and len(g.document(0)) == 100_000
+    one = np.random.default_rng(2).permutation(50_000)[:300]
+    g = token_files.compress(np.tile(one, 1000), np.arange(300, 300_001, 300), 50_257)
+    assert len(g.symbols) == 1000 and len(g.left) == 299 and (g.document(777, 10, 20) == one[10:20]).all()
+
+
 def test_simhash_of_nothing(no_docs):
     assert simhash.near_duplicates(no_docs).count() == 0
 
