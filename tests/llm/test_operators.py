@@ -7,7 +7,7 @@ import random
 import re
 import zlib
 from collections import Counter
-from itertools import combinations
+from itertools import combinations, takewhile
 
 import numpy as np
 import public_tokenizers
@@ -540,11 +540,34 @@ def test_sentencepiece_draws_for_every_occurrence():
     few, many = sp.Codec(file, 0.3, 5, 2), sp.Codec(file, 0.3, 5)
     for name in range(5):
         assert (few.encode(text, name) == many.encode(text, name)).all()
-    for draw in range(300):
-        for run in (" " + word, " stopping", "ab" * 30):
-            ids = many._ids_of(many.cut(run, many._skips(draw))[0])
-            assert many._drawn(run, draw)[1:] == ids == many._drawn(run, draw)[1:]
-            assert many._cut_long(run, many._skips(draw)) == many.cut(run, many._skips(draw))
+    runs = [" " + word, " stopping", "ab" * 30, "日本", "x́y", "z"] * 300
+    ids, came, skipped = many._cut_many(runs, np.arange(len(runs), dtype=np.uint64))
+    for at, run in enumerate(runs):
+        pieces, steps = many.cut(run, many._skips(at))
+        assert (ids[at], came[at]) == (many._ids_of(pieces), steps)
+        assert skipped[at] == list(takewhile(lambda n: n < steps, many._skips(at)))
+        assert many._cut_long(run, many._skips(at)) == (pieces, steps)
+
+
+def test_sentencepiece_equals_a_walk_over_each_occurrence():
+    """Texts in batches, met again or not, forgotten in between or not, against one run after the other."""
+    rng = random.Random(4)
+    texts = [None, "", "▁ x ▁▁", "日本語 text 𝄞𝄞", "a" * 70 + " " + "b" * 63 + " " + "ab" * 40, "\n\n x\n", " lead", "é" * 64 + "ü" * 65]
+    texts += ["".join(rng.choice("abc éñ\n▁日.,1²") for _ in range(300)) for _ in range(30)] + ["stopping internationally again and again " * 9] * 5
+    for dropout, keep in ((0.0, 10**6), (0.1, 10**6), (0.5, 50), (0.95, 10**6)):
+        c = sp.Codec(public_tokenizers.path(sp.MODEL), dropout, 17, keep)
+        for _ in range(2):
+            for name, (text, got) in enumerate(zip(texts, c.encode_many(texts, list(range(len(texts)))))):
+                key = xxhash.xxh64_intdigest(text or "", xxhash.xxh64_intdigest(str(name), 17))
+                runs = c.run.findall(" " + text) if text else []
+                draws = [(at * sp.LANE + key) & sp.MASK for at in range(1, len(runs) + 1)]
+                assert got.tobytes() == b"".join(c._ids_of(c.cut(run, c._skips(draw))[0]) for run, draw in zip(runs, draws))
+                assert c.decode(got) == (text or "")
+
+
+def test_sentencepiece_without_merges():
+    file = public_tokenizers.path(sp.MODEL)
+    plain, word = sp.Codec(file), "internationally"
     assert (sp.Codec(file, 1.0, 5).encode(word) == [i for c in " " + word for i in [plain.ids[c]]]).all()
 
 
