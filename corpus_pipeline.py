@@ -48,7 +48,8 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of every group of near copies: one with the smallest id, or without an id where no row has one."""
     numbered, place = _numbered(docs), ("__file", "__row")
     kept = stored(simhash.representatives(numbered, place, shingle=3, max_distance=3), "simhash-kept")
-    return numbered.join(kept, list(place), "left_semi").select(*_columns(docs))
+    # shuffled at every size: a row for every text is no small table
+    return numbered.join(kept.hint("merge"), list(place), "left_semi").select(*_columns(docs))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
