@@ -6,8 +6,8 @@ still be among the nearest are computed again from the original vectors in doubl
 per query, and the heaps of all tiles are merged. The result is exact.
 
 Vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do rows without
-an id. Vectors of different length are never compared. Repeated rows of an id count once. Ties go to the
-smaller id. Empty tables give an empty result; further columns are never read.
+an id. Vectors of different length are never compared. An id that is repeated counts once, by the nearest of its
+vectors. Ties go to the smaller id. Empty tables give an empty result; further columns are never read.
 """
 
 from __future__ import annotations
@@ -64,6 +64,27 @@ def _scaled(vectors: np.ndarray) -> np.ndarray:
     return np.where(odd, np.ldexp(vectors, -np.frexp(peak)[1]), vectors)
 
 
+class Heap:
+    """The k best scores of different ids; of equal scores the smaller ids."""
+
+    def __init__(self, k: int):
+        self.k, self.entries, self.held = k, [], {}
+
+    def offer(self, score: float, other: int) -> None:
+        entry, known = (score, -other), self.held.get(other)
+        if known is not None:  # the id was here with another vector
+            if score > known:
+                self.entries[self.entries.index((known, -other))] = entry
+                heapq.heapify(self.entries)
+                self.held[other] = score
+        elif len(self.entries) < self.k:
+            heapq.heappush(self.entries, entry)
+            self.held[other] = score
+        elif entry > self.entries[0]:
+            del self.held[-heapq.heapreplace(self.entries, entry)[1]]
+            self.held[other] = score
+
+
 def tile_nearest(query_ids, queries, ids, vectors, k: int) -> list[tuple[int, float, int]]:
     """The k nearest candidates of this tile for each query: (query id, score, id)."""
     distinct, place = np.unique(vectors, axis=0, return_inverse=True)
@@ -83,24 +104,26 @@ def tile_nearest(query_ids, queries, ids, vectors, k: int) -> list[tuple[int, fl
         product += q_code[:, part].astype(np.float32) @ c_code[:, part].astype(np.float32).T
     product *= q_scale[:, None] * c_scale[None, :]
     bound = q_err[:, None] + q_len[:, None] * c_err[None, :] + SLACK
-    # each distinct vector stands for one id at least; one of them may be the query's own row
-    keep = min(k + 1, len(distinct))
-    floor = np.partition(product - bound, len(distinct) - keep, axis=1)[:, len(distinct) - keep] if keep == k + 1 else None
+    # each distinct vector stands for its smallest id, and may share it with others; one may be the query's own
+    owner = ids_at[first[:-1]]
+    owners, begins = np.unique(np.sort(owner), return_index=True)
+    least = product - bound
+    if len(owners) < len(owner):
+        least = np.maximum.reduceat(least[:, np.argsort(owner, kind="stable")], begins, axis=1)
+    floor = np.partition(least, len(owners) - k - 1, axis=1)[:, len(owners) - k - 1] if len(owners) > k else None
     alive = np.ones(product.shape, dtype=bool) if floor is None else product + bound >= floor[:, None]
     rows, columns = np.nonzero(alive)
-    heaps: dict[int, list[tuple[float, int]]] = {}
+    heaps: dict[int, Heap] = {}
     for low in range(0, len(rows), PAIRS_AT_ONCE):
         r, c = rows[low : low + PAIRS_AT_ONCE], columns[low : low + PAIRS_AT_ONCE]
         for i, j, score in zip(r.tolist(), c.tolist(), _cosines(exact_q[r], exact_c[c]).tolist()):
-            heap, own = heaps.setdefault(i, []), query_ids[i]
+            if i not in heaps:
+                heaps[i] = Heap(k)
+            own = query_ids[i]
             same = ids_at[first[j] : min(first[j + 1], first[j] + k + 1)]  # the smallest ids of this vector
             for other in same[same != own][:k].tolist():
-                entry = (score, -other)
-                if len(heap) < k:
-                    heapq.heappush(heap, entry)
-                elif entry > heap[0]:
-                    heapq.heapreplace(heap, entry)
-    return [(int(query_ids[i]), score, -other) for i, heap in heaps.items() for score, other in heap]
+                heaps[i].offer(score, other)
+    return [(int(query_ids[i]), score, -other) for i, heap in heaps.items() for score, other in heap.entries]
 
 
 def nearest(
