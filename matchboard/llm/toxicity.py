@@ -240,26 +240,27 @@ def train(
     odds = lambda r: math.log((r.t + 0.5) / (n_toxic + 1)) - math.log((r.c + 0.5) / (n_clean + 1))
     lexicon = Lexicon({r.word: max(0.1, odds(r)) for r in strong}, frozenset(), max_edits)
 
-    found_type = "array<struct<word string, term string, edits int, quoted boolean, weight double>>"
-
-    @F.pandas_udf(f"struct<found {found_type}, n_words int>")
-    def find(texts: pd.Series) -> pd.DataFrame:
-        out = [lexicon.hits(t) for t in texts]
-        fields = ("word", "term", "edits", "quoted", "weight")
-        return pd.DataFrame({"found": [[dict(zip(fields, h)) for h in hits] for hits, _ in out], "n_words": [n for _, n in out]})
-
-    # one row per training document, train_rows at most (and as often as an id is repeated)
-    seen = sample.select("id", "toxic", find("text").alias("f")).select("id", "toxic", "f.*").orderBy("id").limit(train_rows).collect()
-    hits = [[(h.word, h.term, h.edits, h.quoted, h.weight) for h in r.found] for r in seen]
-    halves = [xxhash.xxh64_intdigest(str(r.id)) & 1 for r in seen]
-    clean: list[set[str]] = [set(), set()]
-    for r, found, half in zip(seen, hits, halves):
-        if not r.toxic:
-            clean[half].update(h[0] for h in found if h[2])
-    # each half is fitted with the clean words of the other, so known words do not look better than they are
-    x = np.array([features(h, r.n_words, clean[1 - half]) for r, h, half in zip(seen, hits, halves)]).reshape(-1, FEATURES)
+    half = F.pmod(F.xxhash64(F.lit("half"), "id"), F.lit(2)).cast("int")
+
+    @F.pandas_udf("array<string>")
+    def near_terms(texts: pd.Series) -> pd.Series:
+        return pd.Series([sorted({h[0] for h in lexicon.hits(t)[0] if h[2]}) for t in texts])
+
+    # words of clean documents within the edits of a term: as many at most as the terms have such neighbours
+    known = sample.where(~F.col("toxic")).select(half.alias("half"), F.explode(near_terms("text")).alias("word")).distinct().collect()
+    clean = [frozenset(r.word for r in known if r.half == h) for h in (0, 1)]
+
+    @F.pandas_udf("array<double>")
+    def feature(texts: pd.Series, halves: pd.Series) -> pd.Series:
+        # each half is fitted with the clean words of the other, so known words do not look better than they are
+        return pd.Series([features(*lexicon.hits(t), clean[1 - h]) for t, h in zip(texts, halves)])
+
+    # a few numbers per training document, train_rows documents at most
+    rows = sample.select("id", "toxic", F.xxhash64("text").alias("h"), feature("text", half).alias("x"))
+    seen = rows.orderBy(F.xxhash64("id"), "id", "h").limit(train_rows).collect()
+    x = np.array([r.x for r in seen]).reshape(-1, FEATURES)
     weights = fit_logistic(x, np.array([float(r.toxic) for r in seen]))
-    return Model(Lexicon(lexicon.weights, frozenset(clean[0] | clean[1]), max_edits), weights)
+    return Model(Lexicon(lexicon.weights, clean[0] | clean[1], max_edits), weights)
 
 
 def held_out(id_col: str = "doc_id"):
