@@ -7,7 +7,7 @@ Further spans come from candidate strings of a character class. A window slides
 count of each character in it is kept up to date as one character enters and one leaves. With n the window
 length, the Shannon entropy is log2(n) - sum(c * log2(c)) / n, so only the sum has to follow the counts; it is
 kept in whole millionths. The reported span runs from the first window above the class's threshold to the end
-of the last. Candidates that the allow-list names are left out.
+of the last. Candidates of a shape on the allow-list are left out, and so are spans that hold its words.
 
 Positions are code points, the end is exclusive. Null texts count as empty and have no spans; repeated rows
 and null ids are scanned like any other. An empty table gives an empty result. ``with_spans`` keeps all
@@ -50,16 +50,18 @@ CLASSES = (
     EntropyClass("entropy_base64", LOWER.upper() + LOWER + DIGITS + "+/_-", r"[A-Za-z0-9+/_-]{20,}", 20, 3.7),
 )
 
-# Candidates that look random and are not secrets.
-ALLOW_LIST = (
+# Candidates that are not secrets, whatever their entropy.
+ALLOWED_RUNS = (
     r"^[A-Za-z_/+-]+$",  # no digit: long words, paths
     r"^[0-9]+$",  # plain numbers
     r"^[A-Za-z]+[0-9]{1,4}$",  # a word with a number
-    r"(?i)example|sample|placeholder|xxxx|0123456789|abcdefghij",  # documentation
     r"^(?:[A-Za-z]+[-_/])+[A-Za-z0-9]{1,8}$",  # slugs and file names
     r"^[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$",  # UUID
 )
 
+# Found spans that look random and are documentation; elsewhere in a candidate the same words mean nothing.
+ALLOWED_SPAN = r"(?i)example|sample|placeholder|xxxx|0123456789|abcdefghij"
+
 KINDS = ("assign", "access", "hex") + tuple(c.kind for c in CLASSES)
 
 
@@ -93,36 +95,39 @@ def _entropy_spans(token: Column, at: Column, cls: EntropyClass) -> Column:
     gain = [round(c * math.log2(c) * MILLION) if c else 0 for c in range(n + 1)]
     ceiling = math.floor(n * (math.log2(n) - cls.bits) * MILLION)  # the sum of a window above the threshold
     steps = F.array(*[F.lit(gain[c + 1] - gain[c]).cast("long") for c in range(n)])
-    place = lambda i: F.when(i > 0, F.instr(F.lit(cls.alphabet), F.substr(token, i, F.lit(1)))).otherwise(F.lit(0))
 
-    def slide(acc: Column, i: Column) -> Column:
+    def slide(places: Column, acc: Column, i: Column) -> Column:
         enters, leaves = acc["enters"], acc["leaves"]
-        less = F.transform(acc["counts"], lambda c, j: F.when(j + 1 == leaves, c - 1).otherwise(c))
-        more = F.transform(less, lambda c, j: F.when(j + 1 == enters, c + 1).otherwise(c))
+        change = lambda place, by: F.when(place, by).otherwise(0)
+        counts = F.transform(acc["counts"], lambda c, j: c + change(j + 1 == enters, 1) - change(j + 1 == leaves, 1))
         after = F.when(leaves > 0, acc["sum"] - F.element_at(steps, F.element_at(acc["counts"], F.greatest(leaves, F.lit(1))))).otherwise(acc["sum"])
-        total = after + F.element_at(steps, F.element_at(less, enters) + 1)
+        total = after + F.element_at(steps, F.element_at(counts, enters))
         hot = (i >= n) & (total <= ceiling)
         return F.struct(
-            more.alias("counts"),
+            counts.alias("counts"),
             total.alias("sum"),
             F.when(hot & (acc["first"] == 0), i).otherwise(acc["first"]).alias("first"),
             F.when(hot, i).otherwise(acc["last"]).alias("last"),
-            place(i + 1).alias("enters"),
-            place(i + 1 - n).alias("leaves"),
+            F.coalesce(F.get(places, i), F.lit(0)).alias("enters"),
+            F.when(i >= n, F.get(places, i - n)).otherwise(F.lit(0)).alias("leaves"),
         )
 
-    zero = F.struct(
-        F.array_repeat(F.lit(0), len(cls.alphabet)).alias("counts"),
-        F.lit(0).cast("long").alias("sum"),
-        F.lit(0).alias("first"),
-        F.lit(0).alias("last"),
-        place(F.lit(1)).alias("enters"),
-        F.lit(0).alias("leaves"),
-    )
-    run = F.aggregate(F.sequence(F.lit(1), F.length(token)), zero, slide)
-    return F.transform(
-        F.filter(F.array(run), lambda r: r["first"] > 0), lambda r: _span(at + r["first"] - n, at + r["last"], cls.kind)
-    )
+    def zero(places: Column) -> Column:
+        return F.struct(
+            F.array_repeat(F.lit(0), len(cls.alphabet)).alias("counts"),
+            F.lit(0).cast("long").alias("sum"),
+            F.lit(0).alias("first"),
+            F.lit(0).alias("last"),
+            F.get(places, F.lit(0)).alias("enters"),
+            F.lit(0).alias("leaves"),
+        )
+
+    # the candidate is taken apart once; a character is then looked up by its place
+    places = F.transform(F.split(token, ""), lambda c: F.instr(F.lit(cls.alphabet), c))
+    runs = F.transform(F.array(places), lambda p: F.aggregate(F.sequence(F.lit(1), F.length(token)), zero(p), lambda acc, i: slide(p, acc, i)))
+    hot = lambda r: F.substr(token, r["first"] - n + 1, r["last"] - r["first"] + n)
+    found = F.filter(runs, lambda r: (r["first"] > 0) & ~hot(r).rlike(ALLOWED_SPAN))
+    return F.transform(found, lambda r: _span(at + r["first"] - n, at + r["last"], cls.kind))
 
 
 def _entropy_spans_of(candidates: Column, cls: EntropyClass) -> Column:
@@ -166,7 +171,7 @@ def with_spans(docs: DataFrame, name: str = "spans", text_col: str = "text") ->
 
 def _allowed(token: Column) -> Column:
     allowed = F.lit(False)
-    for pattern in ALLOW_LIST:
+    for pattern in ALLOWED_RUNS:
         allowed = allowed | token.rlike(pattern)
     return allowed
 
