@@ -311,6 +311,40 @@ def test_secrets_stay_native(docs, no_docs):
     assert secret_scan.report(no_docs).count() == 0 and secret_scan.report(docs).count() == len(TEXTS)
 
 
+def main_text(page):
+    return html_text._text(html_text.blocks(page), None)
+
+
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        ('<div class="layout with-sidebar"><article><p>Story</p></article></div>', "Story"),
+        ('<div class="page no-sidebar"><article><p>Story</p></article><div class="left-sidebar">Out</div></div>', "Story"),
+        ('<div class="ad-free"><article><p>Story</p></article></div><div class="ad">Out</div>', "Story"),
+        ('<article><div class="entry-header"><h1>Title</h1><span>by A</span></div><p>Story</p></article>', "Title\n\nStory"),
+        ('<article><header><h1>Title</h1><p>by <b>A</b> and <i>B</i></p></header><p>Story</p></article>', "Title\n\nStory"),
+        ('<div class="header"><h1>Site</h1></div><article><p>Story</p></article><div class="site-footer"><h2>Out</h2></div>', "Story"),
+        ('<div class="sidebar"><article><p>Only story</p></article></div><p>Loose</p>', "Only story"),
+        ('<article><p>Story</p></article><div class="comments"><article><p>Reader</p></article></div>', "Story"),
+        ('<p>Open text of a page</p><div class="comments"><article><p>Reader one</p></article><p>Reader two is longer than the page</p></div>', "Open text of a page"),
+        ('<div class="widget"><p>All that this page has to say</p><div class="share">Out</div></div><p>Loose</p>', "All that this page has to say\n\nLoose"),
+        ('<p>Long enough a text of its own</p><div class="widget">Out</div>', "Long enough a text of its own"),
+        ('<div class="widget" hidden><p>All that this page has to say</p></div><p>Loose</p>', "Loose"),
+        ('<div class="widget"></div>', ""),
+    ],
+)
+def test_marks_and_what_speaks_against_them(page, expected):
+    assert main_text(page) == expected
+
+
+def test_marks_on_pages_of_any_length(spark):
+    long = "<article>" + "".join(f"<p class='x'>Line {i} &amp; more</p>" for i in range(20_000)) + "</article>"
+    pages = spark.createDataFrame([(1, "http://a/x", long, "t"), (1, "http://a/x", long, "t"), (None, None, None, "t")], "page_id long, url string, html string, text string")
+    got = html_text.extract(pages).collect()
+    assert [r.n_chars for r in got if r.page_id] == [len("\n\n".join(f"Line {i} & more" for i in range(20_000)))] * 2
+    assert [r.text for r in got if r.page_id is None] == [""] and html_text.extract(pages.limit(0)).count() == 0
+
+
 # ---- toxicity
 
 
