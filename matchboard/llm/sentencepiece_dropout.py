@@ -286,20 +286,16 @@ class Codec:
                 if len(m):
                     at = i[m]
                     joined = self.table.piece[self.table.find(parts[m, at], parts[m, at + 1])]
-                    width = parts.shape[1]
-                    source = np.minimum(np.arange(width) + (np.arange(width) > at[:, None]), width - 1)  # closes the gap
-                    moved = np.take_along_axis(parts[m], source, axis=1)
-                    moved[np.arange(len(m)), at] = joined
-                    rank = np.take_along_axis(ranks[m], source, axis=1)
-                    rank[:, -1] = NEVER
+                    beyond = column[: parts.shape[1] - 1] > np.where(skips, parts.shape[1], i)[:, None]
+                    for held in (parts, ranks):  # close the gaps
+                        np.copyto(held[:, :-1], held[:, 1:].copy(), where=beyond)
+                    parts[m, at] = joined
                     n[m] -= 1
-                    before, after = at > 0, at < n[m] - 1
-                    q = np.flatnonzero(before)
-                    rank[q, at[q] - 1] = self.table.rank[self.table.find(moved[q, at[q] - 1], joined[q])]
-                    rank[np.arange(len(m)), at] = NEVER
-                    q = np.flatnonzero(after)
-                    rank[q, at[q]] = self.table.rank[self.table.find(joined[q], moved[q, at[q] + 1])]
-                    parts[m], ranks[m] = moved, rank
+                    ranks[m, at] = NEVER
+                    q = np.flatnonzero(at > 0)
+                    ranks[m[q], at[q] - 1] = self.table.rank[self.table.find(parts[m[q], at[q] - 1], joined[q])]
+                    q = np.flatnonzero(at < n[m] - 1)
+                    ranks[m[q], at[q]] = self.table.rank[self.table.find(joined[q], parts[m[q], at[q] + 1])]
         return out, came, skipped
 
     def _ids_of_symbols(self, symbols: np.ndarray) -> bytes:
