@@ -78,8 +78,7 @@ def incr_matches_closed(t):
 
 
 def _registry(t) -> DataFrame:
-    purchases = t["events"].filter("event_type = 'purchase'")
-    return purchases.select(F.col("event_id").alias("id"), F.col("ts").alias("point_of_time"))
+    return t["events"].select(F.col("event_id").alias("id"), F.col("ts").alias("point_of_time"))
 
 
 @query

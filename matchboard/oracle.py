@@ -62,7 +62,7 @@ add("scan_players", "players", "SELECT * FROM players")
 _HALF_OPEN = f"played_at > {_SINCE} AND played_at <= {_NOW}"
 add("incr_matches_halfopen", "matches", f"SELECT * FROM matches WHERE {_HALF_OPEN}")
 add("incr_matches_closed", "matches", f"SELECT * FROM matches WHERE played_at BETWEEN {_SINCE} AND {_NOW}")
-_REGISTRY = "SELECT event_id AS id, ts AS point_of_time FROM events WHERE event_type = 'purchase'"
+_REGISTRY = "SELECT event_id AS id, ts AS point_of_time FROM events"
 add("watermark_state", "", f"SELECT point_of_time FROM ({_REGISTRY}) ORDER BY id DESC LIMIT 1")
 add(
     "watermark_advance",
