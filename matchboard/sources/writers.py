@@ -207,6 +207,12 @@ def _file_systems(spark: SparkSession):
     return lambda path: path.getFileSystem(conf)
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    """Whether a path is one file; nothing is listed or opened."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return _file_systems(spark)(target).getFileStatus(target).isFile()
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder with all below it; nothing happens where there is none."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

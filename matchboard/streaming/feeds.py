@@ -29,7 +29,7 @@ from ..operators.ranking import first_per_key
 from ..operators.ratelimit import NO_WINDOW, decide_times, rate_limit
 from ..operators.skew import skew_join
 from ..sources.results import append_new, leaderboard_snapshot
-from ..sources.writers import drop_folder
+from ..sources.writers import drop_folder, is_file
 from .state import KeyedState
 
 # task code travels with the task: executors need no copy of this package
@@ -47,7 +47,7 @@ def stream_table(spark: SparkSession, folder: str, table: str, files_per_batch:
     reader = spark.readStream.schema(stored.schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    if any(name.rstrip("/").endswith(f"/{table}.parquet") for name in stored.inputFiles()):
+    if is_file(spark, path):
         return reader.option("pathGlobFilter", f"{table}.parquet").parquet(folder)
     return reader.parquet(path)
 
