@@ -646,7 +646,7 @@ def dq_accepted_values(t):
 
 @query
 def dq_singular(t):
-    return Q.singular(Models(t)["prize_earnings"].filter("prize_pool < 0"))
+    return Q.singular(Models(t)["prize_earnings"].filter("prize_pool < 1200"))
 
 
 @query
@@ -654,6 +654,14 @@ def dq_negative_stats(t):
     return Q.negative_stats(_shifted_stats(t))
 
 
+@query
+def validation_log(t):
+    """The messages of a validation step, as its log holds them."""
+    root = new_folder(t.spark, "validation")
+    J.validate_stats(_shifted_stats(t), root, AS_OF)
+    return t.spark.read.option("basePath", f"{root}/validation_log").parquet(f"{root}/validation_log").drop("run")
+
+
 @query
 def dq_composite_pk(t):
     return Q.unique(t["player_stats"], ["match_id", "player_id"])

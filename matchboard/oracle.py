@@ -157,7 +157,7 @@ add("prize_earnings", "matches tournaments", f"+ {_PRIZES} SELECT * FROM prizes"
 add(
     "dq_singular",
     "matches tournaments",
-    f"+ {_PRIZES} SELECT count(*) AS n_violations, count(*) = 0 AS passed FROM prizes WHERE prize_pool < 0",
+    f"+ {_PRIZES} SELECT count(*) AS n_violations, count(*) = 0 AS passed FROM prizes WHERE prize_pool < 1200",
 )
 
 # sinks and stored results
@@ -532,16 +532,16 @@ add(
     """SELECT status AS value, count(*) AS n_rows FROM tournaments
        WHERE status NOT IN ('upcoming', 'completed', 'ongoing') GROUP BY status""",
 )
-add(
-    "dq_negative_stats",
-    "player_stats",
+_NEGATIVE = (
     f"+ {_SHIFTED} "
     + " UNION ALL ".join(
         f"""SELECT player_id, 'Negative {c} for player ' || player_id || ': ' || {c} AS message
             FROM shifted WHERE {c} < 0"""
         for c in ("kills", "assists", "deaths")
-    ),
+    )
 )
+add("dq_negative_stats", "player_stats", _NEGATIVE)
+add("validation_log", "player_stats", _NEGATIVE)
 add(
     "dq_composite_pk",
     "player_stats",
