@@ -41,6 +41,7 @@ PLAYERS_PER_TEAM = 6
 PLAYERS_PER_MATCH = 8
 LEAST_MATCHES = 10
 BAN_REASON = "Violation of terms of service"
+FIRST_DAY = "2001-10-10"
 
 
 def series(spark: SparkSession, first: int, last: int, name: str = "n") -> DataFrame:
@@ -81,7 +82,7 @@ def gen_teams(numbers: DataFrame) -> DataFrame:
         row_uuid("team", "n").alias("id"),
         F.concat(F.lit("team"), F.col("n").cast("string")).alias("name"),
         draw_item(REGIONS, "team_region", "n").alias("region"),
-        F.date_add(F.lit("2001-10-10").cast("date"), _below(365, "team_founded", "n").cast("int")).alias("founded_at"),
+        F.date_add(F.lit(FIRST_DAY).cast("date"), _below(365, "team_founded", "n").cast("int")).alias("founded_at"),
         _money(50_000, 50_000, "team_prize", "n").alias("prize_pool"),
         (draw("team_active", "n") < 0.5).alias("is_active"),
     )
@@ -116,7 +117,7 @@ def gen_rosters(players: DataFrame, teams: DataFrame) -> DataFrame:
         [draw("roster_team", "team_id"), F.col("team_id")],
     )
     pick = F.round(draw("roster_role", "player_id") * (len(ROLES) - 1)).cast("int")  # the end roles are half as likely
-    joined_at = F.date_add(F.lit("2001-10-10").cast("date"), _below(365, "roster_joined", "player_id").cast("int"))
+    joined_at = F.date_add(F.lit(FIRST_DAY).cast("date"), _below(365, "roster_joined", "player_id").cast("int"))
     return placed.select(
         F.col("member_rn").alias("id"),
         "team_id",

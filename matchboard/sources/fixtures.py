@@ -12,8 +12,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..plans.generate import BAN_REASON, FIRST_DAY, ROLES
+
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
 
+_ROLE = "CASE c_custkey % 5 " + " ".join(f"WHEN {i} THEN '{role}'" for i, role in enumerate(ROLES[:-1])) + f" ELSE '{ROLES[-1]}' END"
+
 VIEWS: dict[str, str] = {
     "players": """
         SELECT c_custkey AS id, c_name AS username, n_name AS country,
@@ -23,7 +27,7 @@ VIEWS: dict[str, str] = {
         FROM {customer} AS customer JOIN {nation} AS nation ON c_nationkey = n_nationkey""",
     "teams": """
         SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS name, r_name AS region,
-               DATE '2001-10-10' + CAST(n_nationkey AS INT) AS founded_at,
+               DATE '<first day>' + CAST(n_nationkey AS INT) AS founded_at,
                CAST(50000 + n_nationkey * 1000 AS DECIMAL(15,2)) AS prize_pool, n_nationkey % 2 = 0 AS is_active
         FROM {nation} AS nation JOIN {region} AS region ON n_regionkey = r_regionkey""",
     "tournaments": """
@@ -55,9 +59,8 @@ VIEWS: dict[str, str] = {
         FROM {orders} AS orders""",
     "team_rosters": """
         SELECT c_custkey AS id, c_custkey % 25 AS team_id, c_custkey - c_custkey % 4 AS player_id,
-               CASE c_custkey % 5 WHEN 0 THEN 'IGL' WHEN 1 THEN 'AWPer' WHEN 2 THEN 'Support'
-                                  WHEN 3 THEN 'Entry Fragger' ELSE 'Lurker' END AS role,
-               DATE '2001-10-10' + CAST(c_custkey % 365 AS INT) AS joined_at,
+               <role> AS role,
+               DATE '<first day>' + CAST(c_custkey % 365 AS INT) AS joined_at,
                CASE WHEN c_custkey % 3 = 0 THEN NULL
                     ELSE DATE '2001-10-12' + CAST(c_custkey % 365 AS INT) END AS left_at
         FROM {customer} AS customer""",
@@ -68,7 +71,7 @@ VIEWS: dict[str, str] = {
                o_custkey AS player_id, CAST(o_totalprice AS DECIMAL(12,2)) AS amount, o_orderdate AS paid_at
         FROM {orders} AS orders""",
     "player_bans": """
-        SELECT event_id AS id, user_id AS player_id, 'Violation of terms of service' AS reason, ts AS banned_at,
+        SELECT event_id AS id, user_id AS player_id, '<reason>' AS reason, ts AS banned_at,
                ts + INTERVAL '37' DAY AS expires_at, FALSE AS is_permanent
         FROM {events} AS events WHERE event_type = 'error'""",
     "players_before": """
@@ -87,6 +90,8 @@ VIEWS: dict[str, str] = {
         SELECT event_type AS query_name, event_id AS run_id, CAST(round(value * 100) AS BIGINT) AS duration_us
         FROM {events} AS events""",
 }
+for _name, _text in VIEWS.items():
+    VIEWS[_name] = _text.replace("<role>", _ROLE).replace("<reason>", BAN_REASON).replace("<first day>", FIRST_DAY)
 
 # The tables a copy of everything holds.
 MATCH_TABLES = (
