@@ -1,4 +1,7 @@
-"""Which files of a large Parquet table may hold a key: a key range and a Bloom filter per file.
+"""Which files of a large Parquet table may hold a key: a key range per file and Bloom filters.
+
+Filters are made where a file is read, one of at most ``KEYS_PER_FILTER`` keys after the other, so a task holds no
+more than that of a file of any size; the keys themselves are not shuffled.
 
 The index lies in ``_keys`` below the table, where no reader of the table looks. It may lag behind: files it does not
 know are read whole, and entries of files that are gone are not asked. So a crash between a write and its entry, or
@@ -12,7 +15,6 @@ import sys
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
@@ -26,7 +28,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BITS_PER_KEY, PROBES = 24, 8  # about four keys in 100,000 are found where they are not
 FEW_KEYS = 65_536  # more keys than that are hardly absent from any file; their range alone is asked
-ROWS_PER_FILE = 2_000_000  # bounds what one filter is made of
+ROWS_PER_FILE = 2_000_000  # bounds what is read for one hit
+KEYS_PER_FILTER = 1 << 18  # a filter of them takes 1 MB
+KEYS_PER_PART = 1 << 24  # whose filters are one file of the index
 
 
 def _places(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -51,6 +55,28 @@ def bloom_holds(filter_bytes: bytes, hashes: np.ndarray) -> np.ndarray:
     return held[_places(hashes, len(held))].all(axis=1)
 
 
+def _filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Filters of the hashes in the second column, none of two files; a file's rows follow each other."""
+
+    def made(file: int, held: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([file], pa.int64()), pa.array([bloom(np.concatenate(held))], pa.binary())], ["id", "bloom"])
+
+    now, held, n = None, [], 0
+    for batch in batches:
+        files, hashes = (batch.column(i).to_numpy() for i in range(2))
+        turns = np.flatnonzero(np.diff(files)) + 1
+        for file, part in zip(files[np.append(0, turns)].tolist() if len(files) else [], np.split(hashes, turns)):
+            while len(part):
+                if n and (file != now or n == KEYS_PER_FILTER):
+                    yield made(now, held)
+                    held, n = [], 0
+                now, room = file, KEYS_PER_FILTER - n
+                held.append(part[:room])
+                n, part = n + len(held[-1]), part[room:]
+    if n:
+        yield made(now, held)
+
+
 class KeyIndex:
     """The index of a table at ``path`` by ``key``."""
 
@@ -80,18 +106,16 @@ class KeyIndex:
         if not fresh:
             return 0
 
-        @F.pandas_udf("binary")
-        def filters(hashes: pd.Series) -> pd.Series:
-            return pd.Series([None if h is None else bloom(np.asarray(h, dtype=np.int64)) for h in hashes])
-
         rows = self.spark.read.parquet(*[r.file for r in fresh])
-        hashed = rows.select(F.xxhash64("_metadata.file_path").alias("id"), F.col(self.key).alias("key"), F.xxhash64(self.key).alias("h"))
-        per_file = hashed.groupBy("id").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.collect_list("h").alias("hashes"))
-        listed = self.spark.createDataFrame(fresh, "file string, id long")
-        entries = listed.join(per_file, "id", "left").select(  # a file without rows has no range
-            "file", "low", "high", filters("hashes").alias("bloom")
-        )
-        entries.coalesce(1 + len(fresh) // 1000).write.mode("append").parquet(f"{self.path}/_keys")
+        keyed = rows.select(F.xxhash64("_metadata.file_path").alias("id"), F.col(self.key).alias("key"), F.xxhash64(self.key).alias("h"))
+        per_file = keyed.groupBy("id").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.count(F.lit(1)).alias("n"))
+        listed = self.spark.createDataFrame(fresh, "file string, id long").join(per_file, "id", "left")
+        known = self.spark.createDataFrame(listed.collect(), listed.schema)  # a row per file
+        made = keyed.select("id", "h").mapInArrow(_filters, "id long, bloom binary").join(F.broadcast(known), "id")
+        empty = known.where("n IS NULL").withColumn("bloom", F.lit(None).cast("binary"))  # a file without rows has no range
+        entries = made.select("file", "low", "high", "bloom").union(empty.select("file", "low", "high", "bloom"))
+        parts = 1 + len(fresh) // 1000 + known.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] // KEYS_PER_PART
+        entries.repartition(parts).write.mode("append").parquet(f"{self.path}/_keys")
         return len(fresh)
 
     def files_with(self, keys: DataFrame) -> list[str]:

@@ -252,6 +252,23 @@ def test_index_that_lags_or_errs_changes_nothing(spark, tmp_path, monkeypatch):
     assert KeyIndex(spark, target, "id").files_with(spark.range(500, 600)) == []
 
 
+def test_filters_of_a_file_are_of_bounded_size(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "target")
+    keys = spark.range(5000).select(F.when(F.col("id") % 50 > 0, F.col("id")).alias("id"))
+    keys.repartition(2).write.parquet(target)
+    spark.range(0).write.mode("append").parquet(target)
+    files = len(list((tmp_path / "target").glob("*.parquet")))
+    monkeypatch.setattr("matchboard.sources.keyindex.KEYS_PER_FILTER", 512)
+    index = KeyIndex(spark, target, "id")
+    assert index.refresh() == files and index.refresh() == 0
+    entries = spark.read.parquet(f"{target}/_keys")
+    assert entries.agg(F.max(F.length("bloom"))).first()[0] <= 2048  # 512 keys of 24 bits, rounded up
+    assert entries.select("file").distinct().count() == files and entries.count() >= 5000 / 512
+    held = {f: set(r.id for r in spark.read.parquet(f).collect()) for f in index.files_with(keys)}
+    for key in (1, 777, 2499, 4999):
+        assert {f for f, ids in held.items() if key in ids} <= set(index.files_with(spark.createDataFrame([(key,)], "id long")))
+
+
 def test_bloom_filter():
     hashes = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, size=5000)
     held = bloom(hashes[:2000])
