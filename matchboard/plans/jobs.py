@@ -286,8 +286,9 @@ def lake_export(spark: SparkSession, tables, root: str, run_date: str, limit: in
         rows = models[name]
         if limit is not None:
             rows = readers.bounded_extract(rows, [F.asc(c) for c in orders[name]], limit)
-        for fmt in ("csv", "parquet"):
-            writers.write_dated(rows, f"{root}/{name}/{fmt}", run_date, fmt)
+        writers.write_dated(rows, f"{root}/{name}/parquet", run_date, "parquet")
+        written = writers.read_dated(spark, f"{root}/{name}/parquet", run_date, rows.schema)  # not worked out twice
+        writers.write_dated(written, f"{root}/{name}/csv", run_date, "csv")
         return spark.read.parquet(f"{root}/{name}/parquet").count()
 
     logs = [run_steps(spark, "lake_export", [(name, lambda name=name: export(name))]) for name in orders]

@@ -55,8 +55,11 @@ def stg_player_stats(tables) -> DataFrame:
 
 
 def int_player_match_summary(tables) -> DataFrame:
-    """Each statistics row with its player and match. Hot matches and players are spread out."""
-    stats = stg_player_stats(tables)
+    """Each statistics row with its player and match. Hot matches and players are spread out.
+
+    What follows from other columns is worked out after the joins, so that it is not shuffled.
+    """
+    stats = stg_player_stats(tables).drop("kda")
     matches = stg_matches(tables).select("match_id", "tournament_id", "played_at")
     players = stg_players(tables).select(F.col("id").alias("player_id"), "username", "country", "elo_rating")
     joined = skew_joins(stats, [Lookup(matches, ("match_id",)), Lookup(players, ("player_id",))])
@@ -72,7 +75,7 @@ def int_player_match_summary(tables) -> DataFrame:
         "kills",
         "deaths",
         "assists",
-        "kda",
+        kda("kills", "assists", "deaths").alias("kda"),
         (F.col("kills") + F.col("assists")).alias("total_contribution"),
     )
 

@@ -10,7 +10,7 @@ from urllib.parse import quote
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,18 +93,27 @@ def store_layout(tables, layout: str, name: str, path: str, buckets: int) -> Dat
     return write_bucketed(tables[table], name, path, keys, sort, buckets)
 
 
+def _date_parts(run_date: str) -> dict[str, Column]:
+    """The columns of the folders of a date."""
+    day = F.lit(run_date).cast("date")
+    return {name: F.date_format(day, form) for name, form in (("year", "yyyy"), ("month", "MM"), ("day", "dd"))}
+
+
 def write_dated(df: DataFrame, base: str, run_date: str, fmt: str = "parquet") -> str:
     """Write below ``base/year=YYYY/month=MM/day=DD`` of the run date; a second run of a date replaces the first."""
-    day = F.lit(run_date).cast("date")
-    dated = df.select(
-        "*",
-        F.date_format(day, "yyyy").alias("year"),
-        F.date_format(day, "MM").alias("month"),
-        F.date_format(day, "dd").alias("day"),
-    )
+    dated = df.select("*", *[part.alias(name) for name, part in _date_parts(run_date).items()])
     return write(dated, base, fmt, "overwrite", ("year", "month", "day"))
 
 
+def read_dated(spark: SparkSession, base: str, run_date: str, schema: T.StructType) -> DataFrame:
+    """The rows that ``write_dated`` has written as Parquet for a date; files of other dates are not read."""
+    parts = _date_parts(run_date)
+    stored = spark.read.schema(T.StructType([*schema.fields, *[T.StructField(name, T.StringType()) for name in parts]])).parquet(base)
+    for name, part in parts.items():
+        stored = stored.filter(F.col(name) == part)
+    return stored.drop(*parts)
+
+
 def stamped(path: str, moment: str) -> str:
     """``path_YYYY-MM-DD_HH-MM-SS`` for the start of a job."""
     return f"{path}_{datetime.fromisoformat(moment):%Y-%m-%d_%H-%M-%S}"

@@ -1,4 +1,7 @@
+import uuid
+
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchboard.cluster import cut_lineage
@@ -44,6 +47,23 @@ def test_all_models_are_built(spark, tables, tmp_path, rows):
         assert rows(spark.read.parquet(str(tmp_path / name))) == rows(lazy[name])
 
 
+def test_lake_export_works_models_out_once(spark, tables, tmp_path):
+    class Changing:
+        def __getitem__(self, name):
+            other = F.udf(lambda: uuid.uuid4().hex).asNondeterministic()
+            return tables[name].withColumn("username", other()) if name == "players" else tables[name]
+
+    base = f"{tmp_path}/int_player_match_summary"
+    for date in ("2026-05-07", "2026-05-17", "2026-05-17"):
+        log = J.lake_export(spark, Changing(), str(tmp_path), date).collect()
+        assert {r["status"] for r in log} == {"ok"}
+        held = spark.read.parquet(f"{base}/parquet/year=2026/month=05/day={date[-2:]}")
+        copied = spark.read.option("header", True).csv(f"{base}/csv/year=2026/month=05/day={date[-2:]}")
+        names = {(r.stat_id, r.username) for r in held.select(F.col("stat_id").cast("string"), "username").collect()}
+        assert copied.columns == held.columns and copied.count() == held.count() == tables["player_stats"].count()
+        assert names == {(r.stat_id, r.username) for r in copied.select("stat_id", "username").collect()}
+
+
 def test_lake_export_goes_on_after_a_failure(spark, tables, tmp_path):
     class Broken:
         def __getitem__(self, name):
