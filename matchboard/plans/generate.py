@@ -40,6 +40,7 @@ ROLES = ("IGL", "AWPer", "Support", "Entry Fragger", "Lurker")
 PLAYERS_PER_TEAM = 6
 PLAYERS_PER_MATCH = 8
 LEAST_MATCHES = 10
+BLOCK_BITS, BROADCAST_IDS = 10, 1 << 23
 BAN_REASON = "Violation of terms of service"
 FIRST_DAY = "2001-10-10"
 
@@ -175,11 +176,27 @@ def _different(n: int, picks: int, seed: str, *key) -> Column:
     which cannot have been. So no list of all numbers is needed, and no draw is repeated.
     """
 
-    def pick(chosen: Column, k: Column) -> Column:
-        drawn = _below(n - picks + k, seed, *key, k)
-        return F.array_append(chosen, F.when(F.array_contains(chosen, drawn), n - picks + k - 1).otherwise(drawn))
+    def pick(chosen: Column, drawn: Column) -> Column:
+        return F.array_append(chosen, F.when(F.array_contains(chosen, drawn), n - picks + F.size(chosen)).otherwise(drawn))
 
-    return F.aggregate(F.sequence(F.lit(1).cast("long"), F.lit(picks).cast("long")), F.array().cast("array<bigint>"), pick)
+    drawn = F.array(*[_below(n - picks + k, seed, *key, F.lit(k)) for k in range(1, picks + 1)])
+    return F.aggregate(drawn, F.array().cast("array<bigint>"), pick)
+
+
+def _with_id_at(rows: DataFrame, df: DataFrame, name: str) -> DataFrame:
+    """Rows with the id of ``df`` at the position ``{name}_at``, counted from 0.
+
+    Positions have no gaps, so ids are broadcast in blocks, eight bytes an id: 64 MB at most. More are shuffled.
+    """
+    at = f"{name}_at"
+    ids = zip_with_index(df.select(F.col("id").alias(name)), [F.asc(name)], at, start=0)
+    if not fits(ids, BROADCAST_IDS):
+        return rows.join(ids, at)
+    block = F.shiftright(at, BLOCK_BITS)
+    blocks = ids.groupBy(block.alias("__block")).agg(F.sort_array(F.collect_list(F.struct(at, name))).getField(name).alias("__ids"))
+    found = rows.withColumn("__block", block).join(F.broadcast(blocks), "__block")
+    in_block = F.col(at).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)).cast("int")
+    return found.withColumn(name, F.get("__ids", in_block)).drop("__block", "__ids")
 
 
 def gen_player_stats(matches: DataFrame, players: DataFrame, wide: bool = False, groups: int = 1) -> DataFrame:
@@ -191,22 +208,24 @@ def gen_player_stats(matches: DataFrame, players: DataFrame, wide: bool = False,
     if wide and fits(matches, LEAST_MATCHES - 1):
         raise ValueError(f"need at least {LEAST_MATCHES} matches")
     numbered = zip_with_index(matches.select(F.col("id").alias("match_id")), [F.asc("match_id")], "i")
-    grouped = numbered.select("*", F.explode(F.sequence(F.lit(1), F.lit(groups))).alias("g"))
+    tasks = int(matches.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes, but much to make of them
+    spread = numbered.repartition(tasks, "i")
+    grouped = spread.select("*", F.explode(F.sequence(F.lit(1), F.lit(groups))).alias("g"))
     chosen = _different(n_players, PLAYERS_PER_MATCH, "stat_player", "match_id", "g")
     rows = grouped.select("*", F.posexplode(chosen).alias("place", "player_id_at")).withColumn("s", F.col("place") + 1)
-    key = ("match_id", "g", "s")
     kills, deaths, assists = (40, 25, 20) if wide else (40, 20, 15)
     least = 0 if wide else 1
     damage, headshots = ((100, 4500), (25, 55)) if wide else ((1, 3000), (30, 40))
     in_order = ((F.col("i") - 1) * groups + F.col("g") - 1) * PLAYERS_PER_MATCH + F.col("s")
 
     def count(limit: int, seed: str) -> Column:
-        return (_below(limit, seed, *key) + least).cast("int")
+        return (_below(limit, seed, "key") + least).cast("int")
 
     def number(bounds: tuple[int, int], seed: str, digits: int) -> Column:
-        return F.round(draw(seed, *key) * bounds[1] + bounds[0], 2).cast(f"decimal({digits},2)")
+        return F.round(draw(seed, "key") * bounds[1] + bounds[0], 2).cast(f"decimal({digits},2)")
 
-    return rows.join(_by_position(players, "player_id"), "player_id_at").select(
+    found = _with_id_at(rows, players, "player_id")
+    return found.select("*", F.concat_ws(":", "match_id", "g", "s").alias("key")).select(  # put together once
         (in_order if wide else F.col("i") * 10 + F.col("s")).alias("id"),
         "match_id",
         "player_id",

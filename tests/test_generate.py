@@ -157,3 +157,20 @@ def test_generated_tables_feed_queries_models_and_checks(spark, made, tmp_path):
     assert A.leaderboard(tables["players"], 500).count() == 500
     network = team_reach(team_edges(tables["matches"]))
     assert network.count() == 50 * 49 and network.agg(F.max("hops")).first()[0] <= 3
+
+
+@pytest.mark.parametrize("at_most", [1 << 23, 10])
+def test_ids_by_position_in_blocks_and_shuffled(spark, monkeypatch, at_most):
+    monkeypatch.setattr(G, "BLOCK_BITS", 4)
+    monkeypatch.setattr(G, "BROADCAST_IDS", at_most)
+    ids = spark.range(100).select((F.col("id") * 7 + 3).alias("id"))
+    rows = spark.range(1000).select((F.col("id") * 37 % 100).alias("player_id_at"))
+    found = G._with_id_at(rows, ids, "player_id")
+    assert {(r.player_id_at, r.player_id) for r in found.collect()} == {(n, n * 7 + 3) for n in range(100)} and found.count() == 1000
+
+
+def test_statistics_are_made_in_as_many_tasks_as_a_shuffle_has(spark):
+    matches, players = (spark.range(n).select("id") for n in (200, 40))
+    made = G.gen_player_stats(matches.coalesce(1), players, wide=True, groups=2)
+    tasks = made.select(F.spark_partition_id().alias("t")).distinct().count()
+    assert made.count() == 3200 and tasks > 1
