@@ -5,12 +5,20 @@ notices, adverts, forms, scripts, styles, comments of readers) are told by their
 whatever stands in them is marked; unless that is the page's only article or most of its text. What stands inside
 an article or main element is its text.
 
-Where a page marks no article, its blocks are judged by repetition: runs of at least ``MIN_RUN`` tokens that
-occur on distinct pages of its host are boilerplate, and of each unmarked block the tokens not covered by such
-runs stay. Pages that are copies of each other count as one page, so a copied article does not cover itself.
-The suffixes of all pages of a host are dealt by a 128-bit hash of host and first ``MIN_RUN`` tokens, so equal
-runs always meet, and a host of any size is spread over all tasks. Hosts where every page marks an article need
-none of this. ``repeated`` and ``main_texts`` do the same for pages held in memory, by a suffix array.
+Marks and repetition decide together, on every page: runs of at least ``MIN_RUN`` tokens that occur on distinct pages
+of a host are looked for by the suffixes of its texts, dealt and ordered by a 128-bit hash of host and first
+``MIN_RUN`` tokens, so that equal runs always meet and a host of any size is spread over all tasks. Suffixes that begin
+alike at neighbouring places make up one longer run. Pages that are copies of each other count as one page, so a
+copied article does not cover itself.
+
+* Where a page marks no article, such runs are boilerplate, and of each unmarked block the tokens not covered stay.
+* In an article, a block is boilerplate if it is covered from end to end by runs that half of the pages of the host,
+  and ``LEAST_PAGES`` at least, hold in marked elements or beside their article: a notice that is marked elsewhere. What
+  fewer hold, or other articles repeat, stays, as it is the article's text, and so does everything where such blocks are
+  half of the article or more.
+
+The first suffix of each block of an article is looked up first; the others of a block only where that one is found.
+``repeated`` and ``main_texts`` do the same for pages held in memory, by a suffix array.
 
 Character references are decoded, white space within a block becomes one space, blocks are joined by an empty
 line. Null and empty pages have an empty text. Pages without a host are one host of their own. Repeated rows
@@ -28,6 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matchboard.cluster import broadcast_if_small
 from matchboard.llm.common import stored
 
 TOKEN = re.compile(
@@ -57,6 +66,9 @@ MARKS = frozenset(
     "widget toolbar pagination pager copyright search form contentinfo complementary dialog".split()
 )
 MIN_RUN = 8  # tokens
+LEAST_PAGES = 3  # that hold a notice
+FEW_PAGES = 20_000  # what is found in them is broadcast
+BETWEEN = "\n\n"  # blocks; none holds a line break
 RUNS_AT_ONCE = 1 << 16  # rows of runs that leave a task at a time
 
 
@@ -265,14 +277,51 @@ def _text(page: list[tuple[str, bool, bool]], cover: np.ndarray | None) -> str:
             continue
         if text:
             kept.append(text)
-    return "\n\n".join(kept)
+    return BETWEEN.join(kept)
+
+
+def _without(text: str, covered: dict[int, np.ndarray]) -> str:
+    """An article's text without the blocks, told by their place, that runs from the given places on cover wholly;
+    as it is, if these are half of it or more."""
+    parts = text.split(BETWEEN)
+    out = set()
+    for place, begins in covered.items():
+        n = parts[place].count(" ") + 1
+        steps = np.diff(np.concatenate(([-MIN_RUN], np.unique(begins), [n])))
+        if steps.max() <= MIN_RUN and steps[0] == MIN_RUN:  # the first begins it, no gap, the last one ends it
+            out.add(place)
+    return text if 2 * sum(len(parts[i]) for i in out) >= sum(map(len, parts)) else BETWEEN.join(t for i, t in enumerate(parts) if i not in out)
+
+
+def _outside(page: list[tuple[str, bool, bool]]) -> list[str]:
+    """Blocks long enough to hold a run that stand in marked elements or beside the page's article."""
+    marked = _marks_article(page)
+    return [text for text, inside, skipped in page if (skipped or marked and not inside) and text.count(" ") + 1 >= MIN_RUN]
+
+
+def _family(page: list[tuple[str, bool, bool]]) -> int:
+    return xxhash.xxh3_64_intdigest(_body(page).encode()) - (1 << 63)
 
 
 def main_texts(pages: list[list[tuple[str, bool, bool]]]) -> list[str]:
     """The main text of every page of one host."""
     same: dict[str, int] = {}
-    covered = repeated([_tokens(p) for p in pages], [same.setdefault(b, len(same)) for b in map(_body, pages)])
-    return [_text(page, cover) for page, cover in zip(pages, covered)]
+    families = [same.setdefault(b, len(same)) for b in map(_body, pages)]
+    texts = [_text(page, cover) for page, cover in zip(pages, repeated([_tokens(p) for p in pages], families))]
+    holders: dict[tuple, set[int]] = {}
+    for page, family in zip(pages, families):
+        for words in (text.split(" ") for text in _outside(page)):
+            for at in range(len(words) - MIN_RUN + 1):
+                holders.setdefault(tuple(words[at : at + MIN_RUN]), set()).add(family)
+    for i, page in enumerate(pages):
+        if _marks_article(page):
+            covered = {}
+            for place, words in enumerate(t.split(" ") for t in texts[i].split(BETWEEN)):
+                runs = (holders.get(tuple(words[at : at + MIN_RUN]), ()) for at in range(len(words) - MIN_RUN + 1))
+                if begins := [at for at, held in enumerate(runs) if len(held) >= max(LEAST_PAGES, len(same) / 2)]:
+                    covered[place] = np.array(begins)
+            texts[i] = _without(texts[i], covered)
+    return texts
 
 
 def _runs(host: str, page: list[tuple[str, bool, bool]]) -> np.ndarray:
@@ -306,21 +355,23 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     def read(batches):
         for batch in batches:
-            texts, open_pages = [], []
+            texts, open_pages, outside, families = [], [], [], []
             for h in batch.column(3).to_pylist():
                 page = blocks(h)
                 judged = bool(page) and not _marks_article(page)  # by repetition
                 texts.append(None if judged else _text(page, None))
                 open_pages.append([dict(zip(fields, b)) for b in page] if judged else None)
-            columns = [*batch.columns[:3], pa.array(texts, pa.string()), pa.array(open_pages, kinds)]
-            yield pa.record_batch(columns, ["page_id", "url", "host", "text", "blocks"])
+                outside.append(_outside(page))
+                families.append(_family(page))
+            columns = [pa.array(texts, pa.string()), pa.array(open_pages, kinds), pa.array(outside, pa.list_(pa.string())), pa.array(families, pa.int64())]
+            yield pa.record_batch([*batch.columns[:3], *columns], ["page_id", "url", "host", "text", "blocks", "outside", "family"])
 
     def runs_of_open(batches):
         def found(batch):
             for row, host, page in zip(*(batch.column(c).to_pylist() for c in range(3))):
                 page = held(page)
                 keys = _runs(host, page)
-                family = np.full(len(keys), np.int64(xxhash.xxh3_64_intdigest(_body(page).encode()) - (1 << 63)))
+                family = np.full(len(keys), np.int64(_family(page)))
                 yield np.full(len(keys), row), np.arange(len(keys)), keys[:, 0], keys[:, 1], family
 
         for batch in batches:
@@ -332,12 +383,53 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 page = blocks(h)
                 if _marks_article(page):
                     keys = np.unique(_runs(host, page), axis=0)
-                    family = np.full(len(keys), np.int64(xxhash.xxh3_64_intdigest(_body(page).encode()) - (1 << 63)))
+                    family = np.full(len(keys), np.int64(_family(page)))
                     yield keys[:, 0], keys[:, 1], family
 
         for batch in batches:
             yield from _in_batches(found(batch), ["k1", "k2", "family"])
 
+    def runs_outside(batches):
+        def found(batch):
+            for host, family, texts in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                keys = np.unique(np.concatenate([_runs(host, [(t, False, True)]) for t in texts]), axis=0)
+                yield keys[:, 0], keys[:, 1], np.full(len(keys), np.int64(family))
+
+        for batch in batches:
+            yield from _in_batches(found(batch), ["k1", "k2", "family"])
+
+    def runs_of_blocks(batches):
+        """The first run of each block, or all runs of the blocks in a fifth column."""
+
+        def found(batch):
+            asked = batch.column(4).to_pylist() if batch.num_columns > 4 else [None] * batch.num_rows
+            for row, host, least, text, places in zip(*(batch.column(c).to_pylist() for c in range(4)), asked):
+                parts = text.split(BETWEEN)
+                for place in range(len(parts)) if places is None else places:
+                    part = parts[place] if places is not None else " ".join(parts[place].split(" ", MIN_RUN)[:MIN_RUN])
+                    if len(keys := _runs(host, [(part, True, False)])):
+                        n = len(keys)
+                        yield np.full(n, row), np.full(n, place), np.arange(n), keys[:, 0], keys[:, 1], np.full(n, least)
+
+        for batch in batches:
+            yield from _in_batches(found(batch), ["row", "place", "at", "k1", "k2", "needed"])
+
+    def take_out(batches):
+        for batch in batches:
+            texts = []
+            for text, runs in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                covered: dict[int, list[int]] = {}
+                for run in runs or ():
+                    covered.setdefault(run["place"], []).append(run["at"])
+                texts.append(_without(text, covered))
+            yield pa.record_batch([*batch.columns[:2], pa.array(texts, pa.string())], ["page_id", "url", "text"])
+
+    def held_outside(runs: DataFrame, pages: DataFrame) -> DataFrame:
+        """The runs that enough pages of the host hold outside their article."""
+        beside = pages.where(F.size("outside") > 0).select("host", "family", "outside").mapInArrow(runs_outside, "k1 long, k2 long, family long")
+        spread = beside.distinct().groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"))
+        return runs.join(spread, ["k1", "k2"]).where(F.col("n") >= F.col("needed"))
+
     def judge(batches):
         for batch in batches:
             texts = []
@@ -353,10 +445,27 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     url = F.col(url_col).cast("string")
     host = F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), url.alias("url"), host.alias("host"), F.col(html_col).cast("string").alias("html"))
-    found = rows.mapInArrow(read, f"page_id long, url string, host string, text string, blocks {parts}")
+    found = rows.mapInArrow(read, f"page_id long, url string, host string, text string, blocks {parts}, outside array<string>, family long")
     found = stored(found.withColumn("row", F.monotonically_increasing_id()), "html-blocks")  # numbered once, then read
     result = ["page_id", "url", "text", F.length("text").cast("long").alias("n_chars")]
-    direct = found.where(F.col("blocks").isNull()).select(*result)
+    direct = found.where(F.col("blocks").isNull())
+    places = "row long, place long, at long, k1 long, k2 long, needed long"
+    half = F.ceil(F.count(F.lit(1)) / 2).cast("long")
+    hosts = found.select("host", "family").distinct().groupBy("host").agg(F.greatest(half, F.lit(LEAST_PAGES)).alias("needed"))
+    holders = found.where(F.size("outside") > 0).select("host", "family").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+    asked = stored(hosts.join(holders, "host").where(F.col("n") >= F.col("needed")).drop("n"), "html-hosts")  # hosts that can have such runs
+    of_articles = direct.where(F.col("text") != "").join(broadcast_if_small(asked), "host").select("row", "host", "needed", "text")
+    begun = held_outside(of_articles.mapInArrow(runs_of_blocks, places), found.join(broadcast_if_small(asked), "host", "left_semi"))
+    begun = stored(begun.groupBy("row").agg(F.collect_list("place").alias("places")), "html-begun")  # of one page
+    if begun.isEmpty():
+        direct = direct.select(*result)
+    else:
+        runs = of_articles.join(broadcast_if_small(begun, FEW_PAGES), "row").select("row", "host", "needed", "text", "places").mapInArrow(runs_of_blocks, places)
+        again = stored(of_articles.join(broadcast_if_small(begun, FEW_PAGES), "row", "left_semi").select("host").distinct(), "html-hosts")
+        runs = held_outside(runs, found.join(broadcast_if_small(again), "host", "left_semi"))
+        covers = stored(runs.groupBy("row").agg(F.collect_list(F.struct("place", "at")).alias("runs")), "html-covers")
+        judged_too = direct.join(broadcast_if_small(covers, FEW_PAGES), "row", "left").select("page_id", "url", "text", "runs")
+        direct = judged_too.mapInArrow(take_out, "page_id long, url string, text string").select(*result)
     judged = found.where(F.col("blocks").isNotNull())
     if judged.isEmpty():
         return direct

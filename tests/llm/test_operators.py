@@ -516,6 +516,34 @@ def test_extract_finds_runs_of_two_pages_on_a_large_host(spark):
     assert sorted(got) == sorted((p, text, len(text)) for (p, _, _), text in zip(table, plain))
 
 
+def test_extract_lets_marks_and_repetition_decide_together(spark):
+    notice = " ".join(f"n{i}" for i in range(12))
+    line = " ".join(f"licence{i}" for i in range(12))
+    copied = " ".join(f"c{i}" for i in range(30))
+    tail = " ".join(notice.split()[5:])
+    own = [" ".join(f"p{p}w{i}" for i in range(40)) for p in range(20)]
+    marked = f'<div class="notice">{notice}</div><aside>{copied}</aside>'
+    page = lambda *blocks, aside="": f"<article>{''.join(f'<p>{b}</p>' for b in blocks)}</article>{aside}"
+    table = [
+        (0, "http://h/", page(own[0], notice, line)),  # half of the pages mark the notice
+        (1, "http://h/", page(own[1], aside=marked)),
+        (2, "http://h/", page(own[2], line)),  # articles share this line: it is their text
+        (3, "http://h/", page(own[3], notice + " and more")),  # not the notice alone
+        (4, "http://h/", page(copied, own[4][:9])),  # most of the article stays, whatever repeats it
+        (5, "http://h/", page(own[5], aside=f"{marked}<aside>{line}</aside>")),  # few hold this line beside their article
+        (6, "http://h/", page(own[6], f"{notice} {tail}")),  # the notice again from its sixth word on, too short a run
+        (7, "http://g/", page(own[7], notice)),  # of another host
+        (8, "http://h/", f'<article><p>{own[8]}</p></article><p>{line[:-9]}</p>'),  # too short a part of the line
+    ]
+    table += [(p, "http://h/", page(own[p], aside=marked)) for p in range(9, 20)]
+    texts = [own[0] + "\n\n" + line, own[1], own[2] + "\n\n" + line, own[3] + "\n\n" + notice + " and more", copied + "\n\n" + own[4][:9], own[5]]
+    texts += [own[6] + "\n\n" + notice + " " + tail, own[7] + "\n\n" + notice, *own[8:]]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(table, "page_id long, url string, html string")).collect()}
+    plain = html_text.main_texts([html_text.blocks(h) for _, u, h in table if u == "http://h/"])
+    assert plain == [t for t, (_, u, _) in zip(texts, table) if u == "http://h/"]
+    assert [got[p] for p in range(20)] == texts
+
+
 # ---- archives
 
 
