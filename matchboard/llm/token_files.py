@@ -36,6 +36,7 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -49,11 +50,11 @@ TOKENIZER = "byte_bpe_50k.json"
 END = 0
 SHARD_WORDS = 1 << 20  # a shard ends with the document that reaches this; some two ids a word
 RULES_A_ROUND = 16_384  # others wait for the next round
-SLOT_BITS = 18
-HALF, LOW = np.uint64(32), np.uint64(0xFFFFFFFF)  # a pair's code: the left symbol above the right one
+GONE = np.uint32(0xFFFFFFFF)  # no symbol: the second one of a replaced pair
 LEAST_COUNT = 6  # a rule takes three numbers, each replaced pair saves one
+SHARDS_AT_ONCE = 4  # whose words are looked up together
 KEEP_WORDS = 800_000  # words that a task remembers
-HOT_WORDS = 4096
+WORDS_A_CHUNK = 1 << 16
 LONG_WORD = 64
 MAGIC = b"REPAIR1\0"
 
@@ -98,8 +99,21 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(0x100 + i) for i, b in enumerate(others)}
 
 
-class Encoder(dict):
-    """Numbers of words, whose ids are ``pieces[number]``; missing words are encoded by the library's model."""
+def _starts(sizes: np.ndarray) -> np.ndarray:
+    return np.cumsum(sizes) - sizes
+
+
+def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of so many elements from each start on, one span after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
+class Encoder:
+    """Numbers of words; the ids of a word are ``sizes[number]`` ones in ``flat``. New words are encoded by the library's model.
+
+    An id that stands alone is a word, too: a line feed and its digits, which the pattern never cuts from a text.
+    """
 
     def __init__(self, tokenizer_file: str, added_tokens: bool = False):
         from tokenizers import Tokenizer
@@ -109,44 +123,56 @@ class Encoder(dict):
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added_tokens else []
         self.letters = _byte_letters()
         self.n_plain = self.tokenizer.get_vocab_size()
-        self.code = "H" if self.n_plain <= 1 << 16 else "I"
-        self.kind = np.dtype(self.code)
-        self.words: list[str | int] = []  # an id that stands alone is a word, too
-        self.pieces: list[bytes] = []
-        self.hot: dict[str, int] = {}
-
-    def __missing__(self, word: str | int) -> int:
-        if isinstance(word, int):
-            ids = [word]
-        else:
-            ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
-        self.words.append(word)
-        self.pieces.append(array(self.code, ids).tobytes())
-        if isinstance(word, int) or len(word) <= LONG_WORD:
-            self[word] = len(self.pieces) - 1
-        return len(self.pieces) - 1
-
-    def numbers(self, text: str) -> list[int]:
-        """The numbers of the words of a text."""
+        self.known = pa.array([], pa.large_string())
+        self.flat = np.empty(0, dtype=np.uint16 if self.n_plain <= 1 << 16 else np.uint32)
+        self.sizes = np.empty(0, dtype=np.int64)
+        self.last_met = np.empty(0, dtype=np.int64)
+        self.turn = 0
+
+    def words(self, text: str) -> list[str]:
+        """The words of a text and of the end of its document."""
         if any(t in text for t in self.added):
-            return [self[i] for i in self.tokenizer.encode(text, add_special_tokens=False).ids]
+            return [f"\n{i}" for i in (*self.tokenizer.encode(text, add_special_tokens=False).ids, END)]
         words = words_of(text)
-        # most words are among a few that are looked up faster in a small table
-        return [self[w] if n is None else n for w, n in zip(words, map(self.hot.get, words))]
-
-    def ids(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join([self.pieces[n] for n in self.numbers(text)]), dtype=self.kind)
-
-    def after_shard(self, counts: np.ndarray) -> None:
-        """Renew the small table by the counts of a shard's words; forget words it lacks, if there are too many."""
-        if len(self.pieces) > KEEP_WORDS:
-            used = np.flatnonzero(counts)
-            self.words, self.pieces = [self.words[n] for n in used], [self.pieces[n] for n in used]
-            self.clear()
-            self.update((w, n) for n, w in enumerate(self.words) if isinstance(w, int) or len(w) <= LONG_WORD)
-            counts = counts[used]
-        often = np.argsort(-counts, kind="stable")[:HOT_WORDS].tolist()
-        self.hot = {self.words[n]: n for n in often if counts[n] and isinstance(self.words[n], str)}
+        words.append(f"\n{END}")
+        return words
+
+    def _learn(self, words: pa.Array) -> None:
+        """Append the ids of new words."""
+        names = words.to_numpy(zero_copy_only=False).tolist()
+        letters = "".join(names).encode().decode("latin-1").translate(self.letters)  # one for each byte
+        ends = np.cumsum(pc.binary_length(words).to_numpy())
+        ids, sizes, start, tokenize = array(self.flat.dtype.char), array("q"), 0, self.model.tokenize
+        for name, end in zip(names, ends.tolist()):
+            found = [int(name)] if name[0] == "\n" and name[1:].isdigit() else [t.id for t in tokenize(letters[start:end])]
+            ids.extend(found)
+            sizes.append(len(found))
+            start = end
+        self.flat = np.append(self.flat, np.array(ids))
+        self.sizes = np.append(self.sizes, np.array(sizes))
+        self.last_met = np.append(self.last_met, np.zeros(len(sizes), dtype=np.int64))
+
+    def numbers(self, shards: list[pa.DictionaryArray]) -> list[np.ndarray]:
+        """The number of each word, good until the next call. Known words come first, so they keep their numbers."""
+        self._forget()
+        n_known = len(self.known)
+        coded = pa.chunked_array([self.known, *(s.dictionary for s in shards)]).combine_chunks().dictionary_encode()
+        self.known = coded.dictionary
+        self._learn(self.known.slice(n_known))
+        number = coded.indices.to_numpy()[n_known:]
+        self.turn += 1
+        self.last_met[number] = self.turn
+        upto = np.cumsum([len(s.dictionary) for s in shards])
+        return [own[s.indices.to_numpy()] for own, s in zip(np.split(number, upto[:-1]), shards)]
+
+    def _forget(self) -> None:
+        """Forget the words that were not met for the longest time, if there are too many, and long ones."""
+        kept = np.flatnonzero(pc.utf8_length(self.known).to_numpy() <= LONG_WORD)
+        if len(kept) > KEEP_WORDS:
+            kept = np.sort(kept[np.argsort(-self.last_met[kept], kind="stable")[: KEEP_WORDS * 2 // 3]])
+        if len(kept) < len(self.known):
+            self.flat = self.flat[_spans(_starts(self.sizes)[kept], self.sizes[kept])]
+            self.known, self.sizes, self.last_met = self.known.take(pa.array(kept)), self.sizes[kept], self.last_met[kept]
 
 
 @lru_cache(maxsize=2)
@@ -170,21 +196,24 @@ class Grammar:
         """The ids of every symbol, one after the other, and where they start and how many they are."""
         if self.table is None:
             sizes = np.concatenate((np.ones(self.n_plain, dtype=np.int64), self.lengths))
-            starts = np.cumsum(sizes) - sizes
-            flat = np.empty(int(sizes.sum()), dtype=np.int64)
+            starts = _starts(sizes)
+            flat = np.empty(int(sizes.sum()), dtype=np.uint32)
             flat[: self.n_plain] = np.arange(self.n_plain)
-            for rule, (a, b) in enumerate(zip(self.left.tolist(), self.right.tolist()), self.n_plain):
-                at, middle = starts[rule], starts[rule] + sizes[a]  # parts have lower numbers, so they are there
-                flat[at:middle] = flat[starts[a] : starts[a] + sizes[a]]
-                flat[middle : at + sizes[rule]] = flat[starts[b] : starts[b] + sizes[b]]
+            parts = np.column_stack((self.left, self.right))
+            highest = np.maximum.accumulate(parts.max(axis=1))
+            first = 0
+            while first < len(parts):  # at once all rules up to the first one with a part among them
+                end = int(np.searchsorted(highest, self.n_plain + first))
+                asked = parts[first:end].ravel()
+                at = starts[self.n_plain + first]
+                flat[at : at + sizes[asked].sum()] = flat[_spans(starts[asked], sizes[asked])]
+                first = end
             self.table = flat, starts, sizes
         return self.table
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
         flat, starts, sizes = self._expansions()
-        n = sizes[symbols]
-        ends = np.cumsum(n)
-        return flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts[symbols] - (ends - n), n)]
+        return flat[_spans(starts[symbols], sizes[symbols])]
 
     def sizes(self, symbols: np.ndarray) -> np.ndarray:
         """How many ids each symbol stands for."""
@@ -202,40 +231,24 @@ class Grammar:
         return self.expand(symbols[first:last])[skip : skip + max(0, stop - start)]
 
 
-def _counted(codes: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Different codes that occur often enough, and how often."""
-    if weight is None:
-        ordered = np.sort(codes)
-    else:
-        order = np.argsort(codes, kind="stable")
-        ordered, weight = codes[order], weight[order]
-    starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.empty(0, dtype=np.int64)
-    if weight is None:
-        counts = np.diff(np.append(starts, len(ordered)))
-    else:
-        counts = np.add.reduceat(weight, starts) if len(starts) else np.empty(0, dtype=np.int64)
-    often = counts >= LEAST_COUNT
-    return ordered[starts[often]].astype(np.uint64), counts[often]
-
-
-def _slot(codes: np.ndarray) -> np.ndarray:
-    return (codes * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-
-
-def _without_overlap(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
+def _without_overlap(at: np.ndarray, rank: np.ndarray, after: np.ndarray) -> np.ndarray:
     """Which of the ascending places of pairs to replace: a place goes before its neighbours if its pair is the more
     frequent one, and every second place of a run of equal symbols. Repeated for places whose neighbours are out."""
-    taken = np.zeros(len(at), dtype=bool)
-    left = np.arange(len(at))
+    beside = after[at[:-1]] == at[1:]
+    taken = np.ones(len(at), dtype=bool)
+    taken[1:] &= ~beside
+    taken[:-1] &= ~beside
+    left = np.flatnonzero(~taken)
     while len(left):
         places, ranks = at[left], rank[left]
-        beside = np.diff(places) == 1
-        before = np.append(False, beside & (ranks[:-1] < ranks[1:]))
-        after = np.append(beside & (ranks[1:] < ranks[:-1]), False)
-        best = ~before & ~after
-        same = np.append(False, beside & (ranks[1:] == ranks[:-1]) & best[:-1])  # one more of a run of equal symbols
-        first = np.maximum.accumulate(np.where(same, 0, np.arange(len(left))))
-        best &= (np.arange(len(left)) - first) % 2 == 0
+        beside = after[places[:-1]] == places[1:]
+        first, then = ranks[:-1], ranks[1:]
+        best = ~np.append(False, beside & (first < then))
+        best[:-1] &= ~(beside & (then < first))
+        same = np.append(False, beside & (then == first) & best[:-1])  # one more of a run of equal symbols
+        if same.any():
+            number = np.arange(len(left))
+            best &= (number - np.maximum.accumulate(np.where(same, 0, number))) % 2 == 0
         taken[left[best]] = True
         out = best.copy()
         out[1:] |= beside & best[:-1]
@@ -244,6 +257,40 @@ def _without_overlap(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
     return taken
 
 
+def _by_pair(left: np.ndarray, right: np.ndarray, places: np.ndarray, n_symbols: int, n_places: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where in the sorted order each different pair starts, and the places in the order of their pairs, then ascending."""
+    bits, place_bits = n_symbols.bit_length(), n_places.bit_length()
+    if 2 * bits + place_bits <= 64:  # pair and place are sorted as one number, several times as fast
+        code = left.astype(np.uint64)
+        code <<= np.uint64(bits)
+        code |= right
+        code <<= np.uint64(place_bits)
+        code |= places.view(np.uint64)
+        code.sort()
+        places = (code & np.uint64((1 << place_bits) - 1)).view(places.dtype)
+        code >>= np.uint64(place_bits)
+    else:
+        code = left.astype(np.uint64) << np.uint64(32) | right
+        order = np.lexsort((places, code))
+        code, places = code[order], places[order]
+    return np.flatnonzero(np.append(True, code[1:] != code[:-1]) if len(code) else []), places
+
+
+class _Pool:
+    """Frequent pairs: their symbols, counts and places; ``group`` is the number of each place's pair."""
+
+    def __init__(self, left: np.ndarray, right: np.ndarray, counts: np.ndarray, places: np.ndarray, group: np.ndarray):
+        self.left, self.right, self.counts, self.places, self.group = left, right, counts, places, group
+
+    def only(self, pairs: np.ndarray) -> _Pool:
+        kept = pairs[self.group]
+        return _Pool(self.left[pairs], self.right[pairs], self.counts[pairs], self.places[kept], (np.cumsum(pairs) - 1)[self.group[kept]])
+
+    def __add__(self, more: _Pool) -> _Pool:
+        both = [(getattr(self, x), getattr(more, x)) for x in ("left", "right", "counts", "places")]
+        return _Pool(*map(np.concatenate, both), np.concatenate((self.group, more.group + len(self.left))))
+
+
 class _Rules:
     """Rules made so far, the number of ids each symbol stands for, and the rounds that make more of them."""
 
@@ -253,76 +300,93 @@ class _Rules:
     def replace(self, symbols: np.ndarray, inner: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Replace frequent pairs until no pair is left that is frequent enough; a pair begins where ``inner`` is set.
 
-        After all pairs are counted, only pairs with a symbol made in the last round can have become frequent, so
-        only these are counted; counts of others only fall, and a rule is made if enough places are found. When none
-        is left, all pairs are counted once more. With ``weight``, every symbol stands for so many.
+        Symbols keep their places, and each place knows the next and the one before, so a round touches no more than
+        the places of its pairs. All pairs are counted once. After that only pairs with a new symbol can become
+        frequent, and these stand beside it; others only lose places, which is seen when they are replaced. A pair
+        that gave way to others is counted again by the places it still has. With ``weight``, every symbol stands
+        for so many.
         """
-
-        def codes_at(at: np.ndarray) -> np.ndarray:
-            return symbols[at].astype(np.uint64) << HALF | symbols[at + 1]
-
-        def all_pairs() -> tuple[np.ndarray, np.ndarray]:
-            begins = inner[:-1].copy()
-            equal = np.flatnonzero((symbols[:-1] == symbols[1:]) & begins)
-            begins[equal[~_without_overlap(equal, np.zeros(len(equal), dtype=np.int32))]] = False
-            at = np.flatnonzero(begins)
-            return _counted(codes_at(at), None if weight is None else weight[at])
-
-        pool, counts = all_pairs()
-        at_once, n_rules = RULES_A_ROUND, -1
-        while len(pool):
-            order = np.lexsort((pool, -counts))
-            pool, counts = pool[order], counts[order]
-            slots = _slot(pool[:at_once])
-            chosen = np.sort(np.unique(slots, return_index=True)[1])  # of pairs that share a slot the most frequent one
-            others = np.ones(len(pool), dtype=bool)
-            others[chosen] = False
-            pairs, pool, counts = pool[chosen], pool[others], counts[others]
-            table = np.zeros(1 << SLOT_BITS, dtype=np.int32)
-            table[slots[chosen]] = np.arange(len(pairs))
-            a, b = (pairs >> HALF).astype(np.int64), (pairs & LOW).astype(np.int64)
-            is_left, is_right = np.zeros(len(self.sizes), dtype=bool), np.zeros(len(self.sizes), dtype=bool)
-            is_left[a], is_right[b] = True, True
-            may = is_left[symbols[:-1]]
-            may &= is_right[symbols[1:]]
-            may &= inner[:-1]
-            at = np.flatnonzero(may)
-            asked = codes_at(at)
-            rule = table[_slot(asked)]
-            hit = pairs[rule] == asked
-            at, rule = at[hit], rule[hit]
+        n = len(symbols)
+        symbols = np.append(symbols, GONE)  # the last one stands behind the end of every part
+        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        after[:-1][~inner] = n
+        before[0] = before[1:][~inner] = n
+        mark, rule_at = np.zeros(n + 1, dtype=bool), np.empty(n + 1, dtype=np.int32)
+
+        def frequent(places: np.ndarray) -> _Pool:
+            starts, places = _by_pair(symbols[places], symbols[after[places]], places, len(self.sizes), n)
+            sizes = np.diff(np.append(starts, len(places)))
+            counts = sizes if weight is None or not len(starts) else np.add.reduceat(weight[places], starts)
+            often = counts >= LEAST_COUNT
+            first = places[starts[often]]
+            group = np.repeat(np.arange(len(first), dtype=np.int32), sizes[often])
+            pool = _Pool(symbols[first], symbols[after[first]], counts[often], places[np.repeat(often, sizes)], group)
+            equal = pool.left == pool.right
+            if equal.any():  # every second place of a run counts
+                places = np.flatnonzero(equal[group])
+                out = places[~_without_overlap(pool.places[places], np.zeros(len(places), dtype=np.int32), after)]
+                less = np.bincount(group[out], None if weight is None else weight[pool.places[out]], minlength=len(first))
+                pool.counts = pool.counts - less.astype(np.int64)
+                pool = pool.only(pool.counts >= LEAST_COUNT)
+            return pool
+
+        pool, stale = frequent(np.flatnonzero(inner)), False
+        while len(pool.left):
+            best = np.lexsort((pool.right, pool.left, -pool.counts))[:RULES_A_ROUND]
+            a, b = pool.left[best], pool.right[best]
+            rank = np.full(len(pool.left), -1, dtype=np.int32)
+            rank[best] = np.arange(len(best))
+            rule = rank[pool.group]
+            at = pool.places
+            if len(best) < len(rank):
+                at, rule = at[rule >= 0], rule[rule >= 0]
+
+            def there(at: np.ndarray, rule: np.ndarray) -> np.ndarray:
+                return (symbols[at] == a[rule]) & (symbols[after[at]] == b[rule])
+
+            if stale:  # places that earlier rounds took from pairs which had to wait
+                still = there(at, rule)
+                at, rule = at[still], rule[still]
+            stale = len(best) < len(rank)
+            rule_at[at] = rule
+            mark[at] = True
+            at = np.flatnonzero(mark)
+            mark[at] = False
+            rule = rule_at[at]
+            take = _without_overlap(at, rule, after)
+            run = np.zeros(len(at), dtype=np.int64)  # places side by side, which alone can be in each other's way
+            run[1:] = np.cumsum(after[at[:-1]] != at[1:])
+            given = np.ones(len(at), dtype=bool)
             while True:  # a pair that is left with too few places leaves them to others
-                take = _without_overlap(at, rule)
-                made = np.bincount(rule[take], None if weight is None else weight[at[take]], minlength=len(pairs)) >= LEAST_COUNT
-                if made[rule].all():
+                made = np.bincount(rule[take], None if weight is None else weight[at[take]], minlength=len(a)) >= LEAST_COUNT
+                lost = np.flatnonzero(given & ~made[rule])
+                if not len(lost):
                     break
-                at, rule = at[made[rule]], rule[made[rule]]
+                given[lost] = take[lost] = False
+                changed = np.zeros(len(at), dtype=bool)
+                changed[run[lost]] = True
+                again = np.flatnonzero(changed[run] & given)
+                take[again] = _without_overlap(at[again], rule[again], after)
+            unmade, unmade_rule = at[~given], rule[~given]
             at, rule = at[take], rule[take]
-            if len(at):
-                self.left.append(a[made])
-                self.right.append(b[made])
-                number = (len(self.sizes) + np.cumsum(made) - 1).astype(np.uint32)
-                self.sizes = np.concatenate((self.sizes, self.sizes[a[made]] + self.sizes[b[made]]))
-                symbols[at] = number[rule]
-                inner[at] = inner[at + 1]
-                keep = np.ones(len(symbols), dtype=bool)
-                keep[at + 1] = False
-                symbols, inner = symbols[keep], inner[keep]
-                weight = None if weight is None else weight[keep]
-                new = at - np.arange(len(at))
-                where = np.append(new, new[np.append(True, np.diff(new) > 1)] - 1)  # pairs that begin or end there, each once
-                where = where[where >= 0]
-                where = where[inner[where]]
-                fresh, often = _counted(codes_at(where), None if weight is None else weight[where])
-                pool, counts = np.concatenate((pool, fresh)), np.concatenate((counts, often))
-            if not len(pool):
-                pool, counts = all_pairs()
-                if len(self.sizes) == n_rules:  # these stood in each other's way: fewer at once
-                    at_once = min(at_once, len(pool)) // 2
-                n_rules = len(self.sizes)
-                if not at_once:
-                    break
-        return symbols, inner
+            self.left.append(a[made].astype(np.int64))
+            self.right.append(b[made].astype(np.int64))
+            number = (len(self.sizes) + np.cumsum(made) - 1).astype(np.uint32)
+            self.sizes = np.concatenate((self.sizes, self.sizes[a[made]] + self.sizes[b[made]]))
+            second = after[at]
+            third = after[second]
+            symbols[at] = number[rule]
+            symbols[second] = GONE
+            after[at] = third
+            before[third] = at
+            mark[at] = True
+            earlier = before[at]
+            earlier = earlier[(earlier < n) & ~mark[earlier]]
+            mark[at] = False
+            gave_way = unmade[there(unmade, unmade_rule)]
+            pool = pool.only(rank < 0) + frequent(np.concatenate((at[third < n], earlier, gave_way)))
+        kept = symbols[:-1] != GONE
+        return symbols[:-1][kept], after[:-1][kept] < n
 
     def grammar(self, n_plain: int, symbols: np.ndarray, ends: np.ndarray) -> Grammar:
         none = np.empty(0, dtype=np.int64)
@@ -349,23 +413,25 @@ def compress_words(numbers: np.ndarray, ends: np.ndarray, pieces: list[bytes], k
     Pairs within words are replaced first, in every different word once, by how often the word occurs. Then the words
     take their places, and pairs go on being replaced over all.
     """
-    counts = np.bincount(numbers, minlength=len(pieces))
+    sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) // kind.itemsize
+    return compress_flat_words(numbers, ends, np.frombuffer(b"".join(pieces), dtype=kind), sizes, n_plain)
+
+
+def compress_flat_words(numbers: np.ndarray, ends: np.ndarray, flat: np.ndarray, sizes: np.ndarray, n_plain: int) -> Grammar:
+    """The same with the ids of all words one after the other, so many of each."""
+    counts = np.bincount(numbers, minlength=len(sizes))
     used = np.flatnonzero(counts)
-    flat = [pieces[n] for n in used]
-    lengths = np.fromiter(map(len, flat), dtype=np.int64, count=len(flat)) // kind.itemsize
+    lengths = sizes[used]
+    ids = flat[_spans(_starts(sizes)[used], lengths)].astype(np.uint32)
     rules = _Rules(n_plain)
-    parts, inner = rules.replace(
-        np.frombuffer(b"".join(flat), dtype=kind).astype(np.uint32), _inner(int(lengths.sum()), np.cumsum(lengths)), np.repeat(counts[used], lengths)
-    )
+    parts, inner = rules.replace(ids, _inner(len(ids), np.cumsum(lengths)), np.repeat(counts[used], lengths))
     part_ends = np.flatnonzero(~inner) + 1
-    place = np.zeros(len(pieces), dtype=np.int64)
+    place = np.zeros(len(sizes), dtype=np.int64)
     place[used] = np.arange(len(used))
     size = np.diff(part_ends, prepend=0)
     word = place[numbers]
-    n = size[word]
-    upto = np.cumsum(n)
-    symbols = parts[np.arange(int(upto[-1])) + np.repeat((part_ends - size)[word] - (upto - n), n)]
-    symbols, inner = rules.replace(symbols, _inner(len(symbols), upto[ends - 1]))
+    symbols = parts[_spans((part_ends - size)[word], size[word])]
+    symbols, inner = rules.replace(symbols, _inner(len(symbols), np.cumsum(size[word])[ends - 1]))
     return rules.grammar(n_plain, symbols, np.flatnonzero(~inner) + 1)
 
 
@@ -401,33 +467,47 @@ def write_shards(
     def write(batches):
         encode, part, n_files = encoder(tokenizer, added_tokens), TaskContext.get().partitionId(), 0
         n_plain = encode.n_plain
-        doc_ids, held, n_words = [], [], 0
+        doc_ids, ends, held, words, shards = [], [], [], [], []
+
+        def hold():
+            held.append(pa.array(words, pa.large_string()))
+            words.clear()
+
+        def end_shard():
+            hold()
+            shards.append((doc_ids[:], np.array(ends), pa.chunked_array(held).combine_chunks().dictionary_encode()))
+            for part_of_it in (doc_ids, ends, held):
+                part_of_it.clear()
 
         def flush():
-            nonlocal n_words, n_files
-            numbers, ends = np.concatenate(held), np.cumsum([len(h) for h in held])
-            grammar = compress_words(numbers, ends, encode.pieces, encode.kind, n_plain)
-            data = to_bytes(grammar, doc_ids)
-            name = new_name(folder, "shard", ".ids")
-            with create(name) as file:
-                file.write(data)
-            row = (part, n_files, name, len(doc_ids), int(grammar.sizes(grammar.symbols).sum()), len(data))
-            encode.after_shard(np.bincount(numbers, minlength=len(encode.pieces)))
-            doc_ids.clear()
-            held.clear()
-            n_words, n_files = 0, n_files + 1
-            names = ["part", "place", "file", "n_docs", "n_tokens", "file_bytes"]
-            return pa.record_batch([pa.array([v]) for v in row], names)
+            nonlocal n_files
+            for (names, upto, _), numbers in zip(shards, encode.numbers([coded for *_, coded in shards])):
+                grammar = compress_flat_words(numbers, upto, encode.flat, encode.sizes, n_plain)
+                data = to_bytes(grammar, names)
+                name = new_name(folder, "shard", ".ids")
+                with create(name) as file:
+                    file.write(data)
+                row = (part, n_files, name, len(names), int(grammar.sizes(grammar.symbols).sum()), len(data))
+                n_files += 1
+                yield pa.record_batch([pa.array([v]) for v in row], ["part", "place", "file", "n_docs", "n_tokens", "file_bytes"])
+            shards.clear()
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 doc_ids.append(doc_id)
-                held.append(np.array([*encode.numbers(text.as_py()), encode[END]], dtype=np.int32))
-                n_words += len(held[-1])
-                if n_words >= SHARD_WORDS:
-                    yield flush()
+                more = encode.words(text.as_py())
+                words += more
+                ends.append((ends[-1] if ends else 0) + len(more))
+                if len(words) >= WORDS_A_CHUNK:
+                    hold()
+                if ends[-1] >= SHARD_WORDS:
+                    end_shard()
+                if len(shards) == SHARDS_AT_ONCE:
+                    yield from flush()
         if doc_ids:
-            yield flush()
+            end_shard()
+        if shards:
+            yield from flush()
 
     order = ("doc_id", F.xxhash64("text"))  # rows of one id, or of none, are spread by their texts
     in_order = rows.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -452,7 +532,7 @@ def read_shards(shards: DataFrame) -> DataFrame:
                 grammar, doc_ids = from_bytes(read_all(file))
                 lengths = np.add.reduceat(grammar.sizes(grammar.symbols), np.concatenate(([0], grammar.ends[:-1])))
                 ends = np.cumsum(lengths)
-                data = grammar.expand(grammar.symbols).astype("<u4")
+                data = grammar.expand(grammar.symbols).astype("<u4", copy=False)
                 sums = [zlib.crc32(data[e - n : e].tobytes()) for e, n in zip(ends.tolist(), lengths.tolist())]
                 starts = start + ends - lengths
                 columns = [pa.array(doc_ids, pa.int64()), pa.array(starts.astype(np.int64)), pa.array(lengths.astype(np.int64)), pa.array(sums, pa.int64())]

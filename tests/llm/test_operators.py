@@ -9,9 +9,11 @@ import time
 import zlib
 from collections import Counter
 from itertools import combinations, takewhile
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -133,6 +135,49 @@ def test_copies_collapse():
     assert len(g.symbols) == 1000 and len(g.left) == 299 and (g.document(777, 10, 20) == one[10:20]).all()
 
 
+def test_grammar_counts_all_pairs_once(monkeypatch):
+    sizes, by_pair = [], token_files._by_pair
+    monkeypatch.setattr(token_files, "_by_pair", lambda left, *more: (sizes.append(len(left)), by_pair(left, *more))[1])
+    ids = np.random.default_rng(3).zipf(1.4, 50_000) % 1000
+    g = token_files.compress(ids, np.arange(500, 50_001, 500), 1000)
+    assert plain_pairs(g) < token_files.LEAST_COUNT and (g.expand(g.symbols) == ids).all()
+    assert sizes[0] == 49_900 and sum(sizes) < 2.5 * len(ids)  # later rounds count pairs with a new symbol only
+
+
+@pytest.mark.parametrize("at_once", [1, 2, 5])
+def test_pairs_that_wait_lose_places(monkeypatch, at_once):
+    monkeypatch.setattr(token_files, "RULES_A_ROUND", at_once)
+    for seed in range(12):
+        rng = np.random.default_rng(seed)
+        ids = np.repeat(rng.zipf(1.3, 600) % 7, rng.integers(1, 5, 600))
+        g = token_files.compress(ids, np.array([len(ids) // 2, len(ids)]), 7)
+        assert plain_pairs(g) < token_files.LEAST_COUNT and (g.expand(g.symbols) == ids).all()
+
+
+def test_pairs_too_large_for_one_number():
+    rng = np.random.default_rng(4)
+    left, right, places = rng.integers(0, 5, 300).astype("I"), rng.integers(0, 5, 300).astype("I"), rng.permutation(300)
+    packed, sorted_ = (token_files._by_pair(left, right, places, n, 300) for n in (5, 1 << 31))
+    assert len(packed[0]) == 25 and all((a == b).all() for a, b in zip(packed, sorted_))
+
+
+def test_words_are_encoded_once(monkeypatch):
+    monkeypatch.setattr(token_files, "KEEP_WORDS", 30)
+    encode = token_files.Encoder(public_tokenizers.path(token_files.TOKENIZER))
+    asked, tokenize = [], encode.model.tokenize
+    monkeypatch.setattr(encode, "model", SimpleNamespace(tokenize=lambda letters: (asked.append(letters), tokenize(letters))[1]))
+
+    def ids(*texts):
+        numbers = encode.numbers([pa.array(encode.words(t), pa.large_string()).dictionary_encode() for t in texts])
+        return [[i for n in of for i in np.split(encode.flat, np.cumsum(encode.sizes))[n].tolist()] for of in numbers]
+
+    long = "x" * 100
+    for texts in (["one two three", "two four"], ["one four\n five é", ""], [" ".join(f"w{i}" for i in range(40)), "one"], [f"two {long} {long}"], [long]):
+        assert ids(*texts) == [[*encode.tokenizer.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+    assert asked[:8] == ["one", "Ġtwo", "Ġthree", "two", "Ġfour", "Ċ", "Ġfive", "ĠÃ©"] and len(encode.known) <= 30
+    assert asked.count("one") == 1 and asked.count("two") == 2 and asked.count(long) == 1 and asked.count(f"Ġ{long}") == 1
+
+
 def test_simhash_of_nothing(no_docs):
     assert simhash.near_duplicates(no_docs).count() == 0
 
