@@ -49,6 +49,12 @@ def test_components_of_long_chains_and_stars(spark):
     assert found == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)}
 
 
+def test_components_of_a_million_links(spark):
+    near = spark.range(1_000_000).select((F.col("id") * 3).alias("a"), (F.col("id") * 3 + 1 + F.col("id") % 2).alias("b"))
+    found = components(near)
+    assert found.count() == 2_000_000 and found.where(F.col("root") != F.col("node") - F.col("node") % 3).count() == 0
+
+
 def plain_print(text, shingle=3):
     words = [w for w in re.split(r"[\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")) if w]
     grams = [" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))] if words else []
