@@ -63,18 +63,32 @@ def register_sql_functions(spark: SparkSession) -> None:
     )
 
 
-def size_pretty(n_bytes: ColumnLike) -> Column:
-    """Readable size: plain bytes below 10 kB, then kB, MB, GB, TB rounded half up."""
-    size = _col(n_bytes).cast("long")
+_UNITS = ((1, "kB"), (2, "MB"), (3, "GB"), (4, "TB"))
+
+
+def _size_text(size: Column, units: Sequence[tuple[int, str]]) -> Column:
     text = F.concat(size.cast("string"), F.lit(" bytes"))
-    for power, unit in ((1, "kB"), (2, "MB"), (3, "GB"), (4, "TB")):
+    for power, unit in units:
         # a unit is used from 10 of it less half of the unit below, where rounding first shows 10
-        floor = 10 * 1024 if power == 1 else 10 * 1024**power - 1024 ** (power - 1) // 2
-        shown = F.floor(size / float(1024**power) + 0.5).cast("long")
+        whole = 1024**power
+        floor = 10 * 1024 if power == 1 else 10 * whole - 1024 ** (power - 1) // 2
+        # without its remainder the size is a multiple, whose quotient is exact in doubles and in decimals
+        shown = ((size - size % whole) / whole).cast("decimal(38,0)") + F.when(size % whole >= whole // 2, 1).otherwise(0)
         text = F.when(size >= floor, F.concat(shown.cast("string"), F.lit(f" {unit}"))).otherwise(text)
     return text
 
 
+def size_pretty(n_bytes: ColumnLike) -> Column:
+    """Readable size: plain bytes below 10 kB, then kB, MB, GB, TB rounded half up.
+
+    Sizes that no long holds may be given as decimals, of up to 38 digits.
+    """
+    given = _col(n_bytes)
+    size = given.try_cast("long")
+    # what no long holds is terabytes, or negative
+    return F.when(size.isNull(), _size_text(given.cast("decimal(38,0)"), _UNITS[-1:])).otherwise(_size_text(size, _UNITS))
+
+
 def iso_timestamp(ts: ColumnLike) -> Column:
     """ISO 8601 text with microseconds."""
     return F.date_format(_col(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")

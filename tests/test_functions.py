@@ -2,6 +2,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
+from matchboard.catalog import size_labels
 from matchboard.functions import (
     clean_text,
     draw,
@@ -16,6 +17,7 @@ from matchboard.functions import (
     size_pretty,
     streakcount,
 )
+from matchboard.sources.fixtures import Tables
 
 
 def values(df, column):
@@ -55,6 +57,31 @@ def test_size_pretty(spark):
     ]
 
 
+def size_text(n):
+    for power, unit in ((4, "TB"), (3, "GB"), (2, "MB"), (1, "kB")):
+        if n >= 10 * 1024**power - 1024 ** (power - 1) // 2 * (power > 1):
+            return f"{(n + 1024**power // 2) // 1024**power} {unit}"
+    return f"{n} bytes"
+
+
+def test_size_pretty_is_exact_at_any_size(spark):
+    edges = [10 * 1024**p - 1024 ** (p - 1) // 2 + d for p in (2, 3, 4) for d in (-1, 0, 1)]
+    halves = [k * 1024**4 + 1024**4 // 2 + d for k in (11, 8_388_606, 10**9, 9 * 10**25) for d in (-1, 0)]
+    sizes = [*edges, *halves, 2**63 - 1, 2**63, 10**38 - 1, -5, -(2**63), -(10**38) + 1]
+    df = spark.createDataFrame([(str(s),) for s in sizes] + [(None,)], "n string").coalesce(1)
+    assert values(df, size_pretty(F.col("n").cast("decimal(38,0)"))) == [*map(size_text, sizes), None]
+    longs = df.where(F.col("n").try_cast("long").isNotNull())
+    assert values(longs, size_pretty(F.col("n").cast("long"))) == [size_text(s) for s in sizes if -(2**63) <= s < 2**63]
+    assert values(spark.sql("SELECT 10239.9D AS n"), size_pretty("n")) == ["10239 bytes"]
+
+
+def test_size_labels_of_large_keys(spark):
+    keys = [0, 21, 22, 2_097_151, 2_097_152, 8_999_999, 53_999_999, 4 * 10**12, -3, None, 21]
+    orders = spark.createDataFrame([(k,) for k in keys], "o_orderkey long").coalesce(1)
+    got = size_labels(Tables(spark, "", {"orders": orders})).collect()
+    assert [tuple(r) for r in got] == [(k, None if k is None else size_text(k**3)) for k in keys]
+
+
 def test_iso_timestamp(spark):
     df = spark.sql("SELECT TIMESTAMP_NTZ'2026-05-15 10:58:33.767569' AS t")
     assert values(df, iso_timestamp("t")) == ["2026-05-15T10:58:33.767569"]
