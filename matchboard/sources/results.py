@@ -14,7 +14,7 @@ from ..cluster import cut_lineage
 from ..operators.analytics import MAX_LEADERBOARD, top_players
 from ..operators.changes import apply_updates
 from ..operators.ranking import first_per_key
-from .keyindex import ROWS_PER_FILE, KeyIndex
+from .keyindex import FEW_KEYS, ROWS_PER_FILE, KeyIndex
 
 REGISTRY = T.StructType(
     [
@@ -57,6 +57,8 @@ def append_new(batch: DataFrame, target_path: str, key: str, ts: str) -> int:
     known = spark.read.schema(batch.schema).parquet(*files) if files else spark.createDataFrame([], batch.schema)
     fresh = cut_lineage(batch.join(known.select(key), key, "left_anti"))
     stored = fresh.count()
+    if 0 < stored <= FEW_KEYS:
+        fresh = fresh.coalesce(1)  # one file, and no empty one beside it
     if stored or not files:  # an empty first batch still makes the table
         fresh.write.mode("append").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(target_path)
         index.refresh()
